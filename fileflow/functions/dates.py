@@ -59,4 +59,4 @@ def minutes_between(start: Column | str, end: Column | str) -> Column:
     """(end - start) in minutes as a double; NULL when either side is NULL."""
     s = F.col(start) if isinstance(start, str) else start
     e = F.col(end) if isinstance(end, str) else end
-    return F.timestampdiff("MICROSECOND", s, e) / F.lit(60_000_000.0)
+    return F.timestamp_diff("MICROSECOND", s, e) / F.lit(60_000_000.0)

@@ -69,7 +69,7 @@ def avg_duration(runs: DataFrame, start: str = "start_time", end: str = "end_tim
     Summed as exact integer microseconds, divided once at the end, so the result does not
     depend on the order partitions are combined in.
     """
-    us = F.timestampdiff("MICROSECOND", F.col(start), F.col(end))
+    us = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end))
     return runs.agg((F.sum(us) / F.count(us) / F.lit(60_000_000.0)).alias("avg_duration_minutes"))
 
 

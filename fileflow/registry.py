@@ -293,3 +293,154 @@ def q_run_rollup(spark, sf):
         "l_returnflag", F.col("l_quantity").cast("long").alias("rows_inserted"),
         F.col("l_linenumber").cast("long").alias("rows_updated"))
     return runs.rollup(li, ["l_returnflag"])
+
+
+# --- W1 upsert: orders placed before 1997 are the target; every lineitem row is an update of
+# its order (status, price, ship date); the highest line number wins per order. -------------
+
+def _upsert_inputs(spark, sf, null_returns: bool = False):
+    o = load(spark, sf, "orders")
+    t = o.filter(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
+    li = load(spark, sf, "lineitem")
+    key = F.col("l_orderkey")
+    if null_returns:
+        key = F.when(F.col("l_returnflag") == "R", F.lit(None).cast("long")).otherwise(key)
+    s = li.select(key.alias("o_orderkey"), F.col("l_linenumber").alias("o_line"),
+                  F.col("l_extendedprice").alias("o_totalprice"),
+                  F.col("l_linestatus").alias("o_orderstatus"),
+                  F.col("l_shipdate").alias("o_shipdate"))
+    return t, s
+
+
+def _upsert_sql(null_returns: bool = False) -> str:
+    key = ("CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_orderkey END" if null_returns
+           else "l_orderkey")
+    return f"""
+WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'),
+s0 AS (SELECT {key} AS o_orderkey, l_linenumber AS o_line, l_extendedprice AS o_totalprice,
+              l_linestatus AS o_orderstatus, l_shipdate AS o_shipdate FROM lineitem),
+s AS (SELECT o_orderkey, o_line, o_totalprice, o_orderstatus, o_shipdate FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_line DESC,
+               o_totalprice DESC, o_orderstatus DESC, o_shipdate DESC) AS rn
+        FROM s0 WHERE o_orderkey IS NOT NULL) WHERE rn = 1),
+g AS (SELECT o_orderkey, count(*) AS n FROM s0 WHERE o_orderkey IS NOT NULL GROUP BY 1)"""
+
+
+_UPSERT_BODY = """
+SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, t.o_custkey,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderstatus ELSE t.o_orderstatus END
+         AS o_orderstatus,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END
+         AS o_totalprice,
+       t.o_orderdate, t.o_orderpriority, s.o_line, s.o_shipdate
+FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey"""
+
+
+@register("upsert_orders", _upsert_sql() + _UPSERT_BODY)
+def q_upsert_orders(spark, sf):
+    from fileflow.operators.upsert import merge
+    t, s = _upsert_inputs(spark, sf)
+    return merge(t, s, ["o_orderkey"], order_by=["o_line"]).result
+
+
+@register("upsert_orders_shuffle", _upsert_sql() + _UPSERT_BODY)
+def q_upsert_orders_shuffle(spark, sf):
+    from fileflow.operators.upsert import merge
+    t, s = _upsert_inputs(spark, sf)
+    return merge(t, s, ["o_orderkey"], order_by=["o_line"], strategy="shuffle").result
+
+
+@register("upsert_counts", _upsert_sql() + """
+SELECT CAST(sum(CASE WHEN t.o_orderkey IS NULL THEN 1 ELSE 0 END)
+            + (SELECT count(*) FROM s0 WHERE o_orderkey IS NULL) AS BIGINT) AS inserted,
+       CAST(sum(CASE WHEN t.o_orderkey IS NULL THEN g.n - 1 ELSE g.n END) AS BIGINT) AS updated
+FROM g LEFT JOIN t ON g.o_orderkey = t.o_orderkey""")
+def q_upsert_counts(spark, sf):
+    from fileflow.operators.upsert import merge
+    t, s = _upsert_inputs(spark, sf)
+    return merge(t, s, ["o_orderkey"], order_by=["o_line"]).counts
+
+
+@register("upsert_null_keys", _upsert_sql(True) + _UPSERT_BODY + """
+UNION ALL
+SELECT NULL, NULL, o_orderstatus, o_totalprice, NULL, NULL, o_line, o_shipdate
+FROM s0 WHERE o_orderkey IS NULL""")
+def q_upsert_null_keys(spark, sf):
+    from fileflow.operators.upsert import merge
+    t, s = _upsert_inputs(spark, sf, null_returns=True)
+    return merge(t, s, ["o_orderkey"], order_by=["o_line"], strategy="shuffle").result
+
+
+# --- W3: run records. Target = runs from orders; updates = RUNNING orders finishing, plus one
+# new run per event. "now" is fixed so the result is reproducible. --------------------------
+
+_NOW = "2024-02-01 12:00:00"
+
+
+@register("run_record_merge", f"""
+WITH t AS ({RUNS_FROM_ORDERS_SQL}),
+u AS (SELECT run_id, dag_id, 'SUCCESS' AS status, files_processed, rows_inserted + 1
+             AS rows_inserted, rows_updated, '' AS error_message
+      FROM t WHERE status = 'RUNNING'
+      UNION ALL
+      SELECT 'ev-' || CAST(event_id AS VARCHAR), event_type, 'RUNNING', CAST(1 AS BIGINT),
+             user_id, CAST(0 AS BIGINT), props FROM events)
+SELECT coalesce(t.run_id, u.run_id) AS run_id,
+       CASE WHEN t.run_id IS NULL THEN u.dag_id ELSE t.dag_id END AS dag_id,
+       CASE WHEN t.run_id IS NULL THEN TIMESTAMP '{_NOW}' ELSE t.start_time END AS start_time,
+       CASE WHEN t.run_id IS NULL THEN NULL WHEN u.run_id IS NOT NULL THEN TIMESTAMP '{_NOW}'
+            ELSE t.end_time END AS end_time,
+       CASE WHEN u.run_id IS NOT NULL THEN u.status ELSE t.status END AS status,
+       CASE WHEN u.run_id IS NOT NULL THEN u.files_processed ELSE t.files_processed END
+         AS files_processed,
+       CASE WHEN u.run_id IS NOT NULL THEN u.rows_inserted ELSE t.rows_inserted END
+         AS rows_inserted,
+       CASE WHEN u.run_id IS NOT NULL THEN u.rows_updated ELSE t.rows_updated END
+         AS rows_updated,
+       CASE WHEN u.run_id IS NOT NULL THEN substr(nullif(u.error_message, ''), 1, 4000)
+            ELSE t.error_message END AS error_message
+FROM t FULL OUTER JOIN u ON t.run_id = u.run_id""")
+def q_run_record_merge(spark, sf):
+    from fileflow.operators.upsert import merge_runs
+    t = runs_from_orders(load(spark, sf, "orders"))
+    fin = t.filter(F.col("status") == "RUNNING").select(
+        "run_id", "dag_id", F.lit("SUCCESS").alias("status"), "files_processed",
+        (F.col("rows_inserted") + 1).alias("rows_inserted"), "rows_updated",
+        F.lit("").alias("error_message"))
+    ev = load(spark, sf, "events").select(
+        F.concat(F.lit("ev-"), F.col("event_id").cast("string")).alias("run_id"),
+        F.col("event_type").alias("dag_id"), F.lit("RUNNING").alias("status"),
+        F.lit(1).cast("long").alias("files_processed"), F.col("user_id").alias("rows_inserted"),
+        F.lit(0).cast("long").alias("rows_updated"), F.col("props").alias("error_message"))
+    now = F.lit(_NOW).cast("timestamp_ntz")
+    return merge_runs(t, fin.unionByName(ev), now)
+
+
+# --- W2 + S20 + S18: identity column over two appends (customers, then suppliers) ----------
+
+@register("identity_append", """
+SELECT row_number() OVER (ORDER BY c_custkey) AS data_id, 'customer' AS kind,
+       c_custkey AS entity_key, c_name AS name, c_nationkey AS nationkey FROM customer
+UNION ALL
+SELECT (SELECT count(*) FROM customer) + row_number() OVER (ORDER BY s_suppkey), 'supplier',
+       s_suppkey, s_name, s_nationkey FROM supplier""")
+def q_identity_append(spark, sf):
+    from fileflow.operators.identity import assign_identity
+    from fileflow.operators.table import SnapshotTable
+    from fileflow.session import scratch_path
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL("data_id long, kind string, entity_key long, name string, "
+                                "nationkey int")
+    tbl = SnapshotTable(spark, scratch_path(spark, "identity_append"))
+    tbl.create_if_absent(schema)
+    c = load(spark, sf, "customer").select(F.lit("customer").alias("kind"),
+                                           F.col("c_custkey").alias("entity_key"),
+                                           F.col("c_name").alias("name"),
+                                           F.col("c_nationkey").alias("nationkey"))
+    tbl.append(assign_identity(tbl.read(), c, "data_id", order_by=["entity_key"]))
+    s = load(spark, sf, "supplier").select(F.lit("supplier").alias("kind"),
+                                           F.col("s_suppkey").alias("entity_key"),
+                                           F.col("s_name").alias("name"),
+                                           F.col("s_nationkey").alias("nationkey"))
+    tbl.append(assign_identity(tbl.read(), s, "data_id", order_by=["entity_key"]))
+    return tbl.read()
