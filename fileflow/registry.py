@@ -444,3 +444,320 @@ def q_identity_append(spark, sf):
                                            F.col("s_nationkey").alias("nationkey"))
     tbl.append(assign_identity(tbl.read(), s, "data_id", order_by=["entity_key"]))
     return tbl.read()
+
+
+# --- cleaning -------------------------------------------------------------------------------
+
+@register("normalize_names", """
+SELECT c_custkey AS customer_id, c_name AS full_name, c_nationkey AS "région_key",
+       c_acctbal AS col_3, c_mktsegment AS full_name_2
+FROM customer""")
+def q_normalize_names(spark, sf):
+    from fileflow.operators.clean import normalize_columns
+    c = load(spark, sf, "customer").toDF(" Customer ID ", "Full-Name", "Région/Key", "%",
+                                         "full name")
+    return normalize_columns(c)
+
+
+_PAD_L = " \t "
+_PAD_R = "　 \n"
+
+
+@register("clean_strings", """
+SELECT regexp_replace(t, '^[\\s\\p{Z}\\x0b\\x{85}\\x1c-\\x1f]+|[\\s\\p{Z}\\x0b\\x{85}\\x1c-\\x1f]+$', '', 'g')
+         AS text,
+       regexp_replace(s, '^[\\s\\p{Z}\\x0b\\x{85}\\x1c-\\x1f]+|[\\s\\p{Z}\\x0b\\x{85}\\x1c-\\x1f]+$', '', 'g')
+         AS source
+FROM (SELECT CASE WHEN lang = 'de' THEN NULL ELSE ' ' || chr(9) || chr(160) || text || chr(12288) || ' ' || chr(10) END AS t,
+             CASE WHEN lang = 'de' THEN NULL ELSE '  ' || source END AS s
+      FROM documents)
+WHERE t IS NOT NULL OR s IS NOT NULL""")
+def q_clean_strings(spark, sf):
+    from fileflow.operators.clean import drop_empty_rows, strip_strings
+    d = load(spark, sf, "documents")
+    de = F.col("lang") == "de"
+    df = d.select(F.when(de, F.lit(None)).otherwise(F.concat(F.lit(_PAD_L), "text", F.lit(_PAD_R)))
+                  .alias("text"),
+                  F.when(de, F.lit(None)).otherwise(F.concat(F.lit("  "), "source")).alias("source"))
+    return strip_strings(drop_empty_rows(df))
+
+
+_DATE_TEXT_SQL = """
+CASE o_orderpriority
+  WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d')
+  WHEN '2-HIGH' THEN strftime(o_orderdate, '%m/%d/%Y')
+  WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+  WHEN '4-NOT SPECIFIED' THEN 'not a date ' || CAST(o_orderkey AS VARCHAR)
+  ELSE NULL END"""
+
+
+@register("coerce_dates", f"""
+SELECT o_orderkey, d_text,
+       coalesce(try_strptime(d_text, '%Y-%m-%d %H:%M:%S'), try_strptime(d_text, '%Y-%m-%d'),
+                try_strptime(d_text, '%m/%d/%Y')) AS d_parsed
+FROM (SELECT o_orderkey, {_DATE_TEXT_SQL} AS d_text FROM orders)""")
+def q_coerce_dates(spark, sf):
+    from fileflow.operators.clean import coerce_dates
+    o = load(spark, sf, "orders")
+    p = F.col("o_orderpriority")
+    txt = (F.when(p == "1-URGENT", F.date_format("o_orderdate", "yyyy-MM-dd"))
+           .when(p == "2-HIGH", F.date_format("o_orderdate", "MM/dd/yyyy"))
+           .when(p == "3-MEDIUM", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+           .when(p == "4-NOT SPECIFIED",
+                 F.concat(F.lit("not a date "), F.col("o_orderkey").cast("string"))))
+    df = o.select("o_orderkey", txt.alias("d_text"), txt.alias("d_parsed"))
+    out = coerce_dates(df, ["d_parsed", "no_such_column"])
+    return out.withColumn("d_parsed", F.col("d_parsed").cast("timestamp_ntz"))
+
+
+@register("row_ids", """
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id,
+       'orders.parquet' AS source_file, TIMESTAMP '2024-03-01 00:00:00' AS loaded_at
+FROM orders""")
+def q_row_ids(spark, sf):
+    from fileflow.functions.paths import file_name
+    from fileflow.operators.clean import add_audit, with_row_ids
+    from fileflow.sources.files import with_file_info
+    o = with_file_info(load(spark, sf, "orders")).select("o_orderkey", "_file", "_block")
+    o = with_row_ids(o)
+    o = add_audit(o, file_name("_file"), F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
+    return o.select("o_orderkey", "row_id", "source_file", "loaded_at")
+
+
+@register("pack_json", """
+SELECT c_custkey AS source_key, c_name, c_nationkey, c_acctbal,
+       nullif(c_mktsegment, 'BUILDING') AS c_mktsegment,
+       c_mktsegment = 'BUILDING' AS null_field_kept
+FROM customer""")
+def q_pack_json(spark, sf):
+    from fileflow.operators.clean import pack_json
+    c = load(spark, sf, "customer").withColumn(
+        "c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING")))
+    packed = pack_json(c, ["c_custkey"])
+    schema = "c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    back = packed.select(F.col("c_custkey").alias("source_key"),
+                         F.from_json("data_json", schema).alias("j"),
+                         F.col("data_json").contains('"c_mktsegment":null').alias("null_field_kept"))
+    return back.select("source_key", "j.*", "null_field_kept")
+
+
+# --- checksums, landing, manifests ----------------------------------------------------------
+
+@register("checksums", """
+SELECT doc_id, md5(text) AS md5, sha256(text) AS sha256 FROM documents""")
+def q_checksums(spark, sf):
+    from fileflow.functions.hashing import md5_hex, sha256_hex
+    d = load(spark, sf, "documents")
+    return d.select("doc_id", md5_hex("text").alias("md5"), sha256_hex("text").alias("sha256"))
+
+
+# documents as files: key = lang/source/doc-<id>.csv; the known manifest holds the en and fr
+# documents; the incoming run revises every src1 document.
+_DOC_KEY_SQL = "lang || '/' || source || '/doc-' || CAST(doc_id AS VARCHAR) || '.csv'"
+_INCOMING_SQL = f"""
+WITH known AS (SELECT {_DOC_KEY_SQL} AS storage_path, md5(text) AS checksum_md5
+               FROM documents WHERE lang IN ('en', 'fr')),
+inc AS (SELECT doc_id, {_DOC_KEY_SQL} AS storage_path,
+               md5(CASE WHEN source = 'src1' THEN text || ' (rev 2)' ELSE text END) AS checksum_md5
+        FROM documents)"""
+
+
+def _doc_files(spark, sf):
+    d = load(spark, sf, "documents")
+    key = F.concat_ws("/", "lang", "source",
+                      F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".csv")))
+    known = d.filter(F.col("lang").isin("en", "fr")).select(
+        key.alias("storage_path"), F.md5("text").alias("checksum_md5"))
+    body = F.when(F.col("source") == "src1", F.concat("text", F.lit(" (rev 2)"))) \
+        .otherwise(F.col("text"))
+    inc = d.select("doc_id", key.alias("storage_path"), F.md5(body).alias("checksum_md5"))
+    return known, inc
+
+
+@register("checksum_new_files", _INCOMING_SQL + """
+SELECT * FROM inc WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.storage_path = inc.storage_path
+                                    AND k.checksum_md5 = inc.checksum_md5)""")
+def q_checksum_new_files(spark, sf):
+    from fileflow.sources.landing import split_by_checksum
+    known, inc = _doc_files(spark, sf)
+    return split_by_checksum(inc, known)[0]
+
+
+@register("checksum_skipped", _INCOMING_SQL + """
+SELECT * FROM inc WHERE EXISTS (SELECT 1 FROM known k WHERE k.storage_path = inc.storage_path
+                                AND k.checksum_md5 = inc.checksum_md5)""")
+def q_checksum_skipped(spark, sf):
+    from fileflow.sources.landing import split_by_checksum
+    known, inc = _doc_files(spark, sf)
+    return split_by_checksum(inc, known)[1]
+
+
+@register("manifest", f"""
+SELECT lang AS run_date, '2024-01-01T00:00:00' AS created_at,
+       'doc-' || CAST(doc_id AS VARCHAR) || '.csv' AS file_name, {_DOC_KEY_SQL} AS minio_key,
+       n_chars AS size_bytes, count(*) OVER (PARTITION BY lang) AS file_count
+FROM documents""")
+def q_manifest(spark, sf):
+    from fileflow.session import scratch_path
+    from fileflow.sources.landing import read_manifest, write_manifest
+    d = load(spark, sf, "documents")
+    files = d.select("lang",
+                     F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".csv"))
+                     .alias("file_name"),
+                     F.concat_ws("/", "lang", "source", F.concat(
+                         F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".csv")))
+                     .alias("minio_key"),
+                     F.col("n_chars").alias("size_bytes"))
+    path = scratch_path(spark, "manifest")
+    write_manifest(files, path, "lang", F.lit("2024-01-01T00:00:00"))
+    return read_manifest(spark, path).select("run_date", "created_at", "file_name", "minio_key",
+                                             "size_bytes", "file_count")
+
+
+@register("manifest_lookup", f"""
+SELECT lang AS run_id, 'doc-' || CAST(doc_id AS VARCHAR) || '.csv' AS file_name,
+       CAST(doc_id AS VARCHAR) AS file_id, md5(text) AS checksum_md5,
+       {_DOC_KEY_SQL} AS storage_path, n_chars AS row_count, 'LOADED' AS status
+FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)""")
+def q_manifest_lookup(spark, sf):
+    from fileflow.sources.landing import manifest_rows, metadata
+    d = load(spark, sf, "documents")
+    landed = d.select(
+        "lang", F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".csv"))
+        .alias("file_name"), F.col("doc_id").cast("string").alias("file_id"),
+        F.md5("text").alias("checksum_md5"),
+        F.concat_ws("/", "lang", "source", F.concat(
+            F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".csv"))).alias("storage_path"),
+        F.col("n_chars").alias("row_count"))
+    man = manifest_rows(landed, F.col("lang"), "LOADED")
+    keys = load(spark, sf, "labels").join(d.select("doc_id", "lang", "source"), "doc_id") \
+        .select(F.concat_ws("/", "lang", "source", F.concat(
+            F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".csv"))).alias("storage_path"))
+    return metadata(man, keys).drop("manifest_id", "processed_at")
+
+
+@register("file_scan", """
+SELECT page_id, split(url, '/')[-1] AS name,
+       lower(regexp_extract(split(url, '/')[-1], '(\\.[^./]*)$', 1)) AS ext,
+       regexp_replace(url, '/[^/]*$', '') AS parent_path,
+       CAST(octet_length(encode(html)) AS BIGINT) AS size_bytes,
+       octet_length(encode(html)) <= 4096 AS accepted
+FROM pages WHERE starts_with(url, 'https://')""")
+def q_file_scan(spark, sf):
+    from fileflow.functions.paths import extension, file_name, parent_path
+    from fileflow.sources.discover import size_guard
+    p = load(spark, sf, "pages").filter(F.startswith("url", F.lit("https://")))
+    files = p.select("page_id", file_name("url").alias("name"), extension("url").alias("ext"),
+                     parent_path("url").alias("parent_path"),
+                     F.octet_length("html").cast("long").alias("size_bytes"))
+    ok, rejected = size_guard(files, max_bytes=4096)
+    return ok.withColumn("accepted", F.lit(True)).unionByName(
+        rejected.drop("reason").withColumn("accepted", F.lit(False)))
+
+
+# --- contracts and quality ------------------------------------------------------------------
+
+def _orders_for_rules(spark, sf):
+    o = load(spark, sf, "orders")
+    return o.select("o_orderkey", "o_custkey",
+                    F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"),
+                    "o_totalprice", "o_orderdate", "o_orderpriority",
+                    F.concat_ws("-", "o_orderpriority", "o_orderstatus").alias("o_note"))
+
+
+_PRIO_OK = "('1-URGENT', '2-HIGH', '3-MEDIUM')"
+
+
+@register("validate_report", f"""
+WITH o AS (SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'P') AS o_orderstatus,
+                  o_totalprice, o_orderdate, o_orderpriority,
+                  o_orderpriority || '-' || o_orderstatus AS o_note FROM orders),
+c AS (SELECT count(*) FILTER (WHERE o_orderkey IS NULL) AS k_null,
+             count(*) FILTER (WHERE o_orderstatus IS NULL) AS s_null,
+             count(*) FILTER (WHERE length(o_note) > 8) AS note_long,
+             count(*) FILTER (WHERE o_orderpriority IS NOT NULL
+                              AND o_orderpriority NOT IN {_PRIO_OK}) AS prio_bad FROM o),
+s AS (SELECT '[' || string_agg('''' || v || '''', ', ' ORDER BY v) || ']' AS samples
+      FROM (SELECT DISTINCT o_orderpriority AS v FROM o
+            WHERE o_orderpriority NOT IN {_PRIO_OK} ORDER BY v LIMIT 5))
+SELECT 'o_clerk' AS "column", 'missing' AS rule, CAST(1 AS BIGINT) AS n_bad,
+       'Missing required column: ''o_clerk''' AS message
+UNION ALL SELECT 'o_orderkey', 'not_null', k_null,
+       'Column ''o_orderkey'' has ' || k_null || ' null values (not allowed)' FROM c WHERE k_null > 0
+UNION ALL SELECT 'o_orderstatus', 'not_null', s_null,
+       'Column ''o_orderstatus'' has ' || s_null || ' null values (not allowed)' FROM c WHERE s_null > 0
+UNION ALL SELECT 'o_totalprice', 'int_type', 1, 'Column ''o_totalprice'' expected integer, got double'
+UNION ALL SELECT 'o_custkey', 'float_type', 1, 'Column ''o_custkey'' expected float, got bigint'
+UNION ALL SELECT 'o_note', 'max_length', note_long,
+       'Column ''o_note'' has ' || note_long || ' values exceeding max length 8' FROM c WHERE note_long > 0
+UNION ALL SELECT 'o_orderpriority', 'allowed_values', prio_bad,
+       'Column ''o_orderpriority'' has invalid values: ' || samples
+       || '. Allowed: [''1-URGENT'', ''2-HIGH'', ''3-MEDIUM'']' FROM c, s WHERE prio_bad > 0""")
+def q_validate_report(spark, sf):
+    from fileflow.operators.contracts import report
+    from fileflow.schemas import ColumnSpec
+    specs = [
+        ColumnSpec("o_orderkey", "int64", nullable=False),
+        ColumnSpec("o_clerk", "object", nullable=False),
+        ColumnSpec("o_comment", "object"),
+        ColumnSpec("o_orderstatus", "object", nullable=False),
+        ColumnSpec("o_totalprice", "int64"),
+        ColumnSpec("o_custkey", "float64"),
+        ColumnSpec("o_note", "object", max_length=8),
+        ColumnSpec("o_orderpriority", "object", allowed_values=["1-URGENT", "2-HIGH", "3-MEDIUM"]),
+    ]
+    return report(_orders_for_rules(spark, sf), specs).select("column", "rule", "n_bad", "message")
+
+
+@register("constraint_unique", """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_constraint_unique(spark, sf):
+    return contracts.duplicate_keys(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("constraint_fk", """
+SELECT * FROM orders o WHERE o_custkey IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM customer c WHERE c.c_mktsegment <> 'BUILDING' AND c.c_custkey = o.o_custkey)""")
+def q_constraint_fk(spark, sf):
+    parent = load(spark, sf, "customer").filter(F.col("c_mktsegment") != "BUILDING")
+    return contracts.orphans(load(spark, sf, "orders"), parent, ["o_custkey"], ["c_custkey"])
+
+
+_EV_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props", "note"]
+_CHECKS_SQL = """
+WITH e AS (SELECT *, CAST(NULL AS VARCHAR) AS note FROM events)
+SELECT 'rows_loaded_today' AS "check", count(*) > 0 AS ok, count(*) AS observed,
+       'ts >= day start' AS detail FROM e WHERE ts >= TIMESTAMP '2024-01-30'
+""" + "".join(
+    f"UNION ALL SELECT 'no_all_null_columns:{c}', count({c}) > 0, count({c}), 'non-null values' "
+    f"FROM e\n" for c in _EV_COLS) + """
+UNION ALL SELECT 'no_duplicate_keys', coalesce(sum(n - 1), 0) = 0,
+       CAST(coalesce(sum(n - 1), 0) AS BIGINT), 'duplicate groups: ' || count(*)
+FROM (SELECT event_id, count(*) AS n FROM e GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'no_duplicate_user_type', coalesce(sum(n - 1), 0) = 0,
+       CAST(coalesce(sum(n - 1), 0) AS BIGINT), 'duplicate groups: ' || count(*)
+FROM (SELECT user_id, event_type, count(*) AS n FROM e GROUP BY 1, 2 HAVING count(*) > 1)"""
+
+
+def _checks(spark, sf):
+    e = load(spark, sf, "events").withColumn("note", F.lit(None).cast("string"))
+    return quality.suite(
+        quality.rows_loaded_since(e, "2024-01-30", time_col="ts"),
+        quality.all_null_columns(e),
+        quality.no_duplicates(e, ["event_id"]),
+        quality.no_duplicates(e, ["user_id", "event_type"], name="no_duplicate_user_type"))
+
+
+@register("quality_checks", _CHECKS_SQL)
+def q_quality_checks(spark, sf):
+    return _checks(spark, sf)
+
+
+@register("quality_gate", f"""
+SELECT CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS passed, count(*) AS total,
+       bool_and(ok) AS ok,
+       string_agg(CASE WHEN NOT ok THEN "check" END, ',' ORDER BY "check") AS failing
+FROM ({_CHECKS_SQL})""")
+def q_quality_gate(spark, sf):
+    return quality.rollup(_checks(spark, sf))
