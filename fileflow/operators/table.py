@@ -2,15 +2,17 @@
 
 Layout under ``root``::
 
-    root/_log/            one small Parquet file appended per commit
-    root/data/<version>-<uuid>/   Parquet written by that commit
-
-A commit first writes its data directory, then appends one log row
-``(version, committed_at, operation, paths, schema_json, rows, inserted, updated)``. The
-current table is the union of the ``paths`` of the highest version in the log. Readers never
-see a half-written version (the log row appears only after the data is complete), old
-versions stay readable, and no job ever reads and overwrites the same path. One writer per
-table at a time is assumed, as with the reference's single MERGE transaction.
+    root/_log/             one small Parquet file appended per commit
+    root/data/_v=<n>/...   Parquet written by commit n (plus any partition columns)
+
+A commit first writes its data under ``_v=<n>``, then appends one log row
+``(version, committed_at, operation, versions, schema_json, rows, inserted, updated)``. The
+current table is the data of the ``versions`` listed by the highest log row: an overwrite
+lists only itself, an append lists the previous versions plus itself. All versions share one
+base path, so a read is a single scan with partition pruning on ``_v``. Readers never see a
+half-written version (the log row appears only after the data is complete), old versions
+stay readable, and no job reads and overwrites the same path. One writer per table at a time
+is assumed, as with the reference's single MERGE transaction.
 """
 
 from __future__ import annotations
@@ -22,9 +24,9 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-_LOG_SCHEMA = ("version long, committed_at timestamp, operation string, paths array<string>, "
+_LOG_SCHEMA = ("version long, committed_at timestamp, operation string, versions array<long>, "
                "schema_json string, rows long, inserted long, updated long")
 
 
@@ -33,6 +35,7 @@ class SnapshotTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self.log_path = f"{self.root}/_log"
+        self.data_path = f"{self.root}/data"
 
     # -- metadata ------------------------------------------------------------------------
     def log(self) -> DataFrame:
@@ -62,24 +65,26 @@ class SnapshotTable:
         if h is None:
             raise FileNotFoundError(f"no table at {self.root}")
         schema = StructType.fromJson(json.loads(h.schema_json))
-        if not h.paths:
+        if not h.versions:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*h.paths)
+        full = StructType(schema.fields + [StructField("_v", LongType(), True)])
+        return self.spark.read.schema(full).parquet(self.data_path) \
+            .filter(F.col("_v").isin([int(v) for v in h.versions])) \
+            .select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
 
     # -- writes --------------------------------------------------------------------------
     def _write(self, df: DataFrame, version: int, partition_by: list[str] | None):
-        path = f"{self.root}/data/{version:08d}-{uuid.uuid4().hex[:8]}"
         obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        return path, int(obs.get.get("rows", 0))
+        out = df.withColumn("_v", F.lit(version).cast("long"))
+        w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append") \
+            .partitionBy("_v", *(partition_by or []))
+        w.parquet(self.data_path)
+        return version, int(obs.get.get("rows", 0))
 
-    def _commit(self, version: int, operation: str, paths: list[str], schema: StructType,
+    def _commit(self, version: int, operation: str, versions: list[int], schema: StructType,
                 rows: int, inserted: int | None = None, updated: int | None = None) -> int:
         row = [(version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), operation,
-                paths, schema.json(), rows, inserted, updated)]
+                versions, schema.json(), rows, inserted, updated)]
         self.spark.createDataFrame(row, _LOG_SCHEMA).coalesce(1).write.mode("append") \
             .parquet(self.log_path)
         return version
@@ -104,7 +109,7 @@ class SnapshotTable:
         Returns the number of rows appended (0 for empty input)."""
         h = self.head()
         v = (int(h.version) if h else 0) + 1
-        old_paths = list(h.paths) if h else []
+        old_paths = list(h.versions) if h else []
         if h is not None:
             old = StructType.fromJson(json.loads(h.schema_json))
             df = _align(df, old)
@@ -114,16 +119,20 @@ class SnapshotTable:
         return rows
 
     def upsert(self, source: DataFrame, keys: list[str], order_by: list[str] | None = None,
-               strategy: str = "auto") -> tuple[int, int]:
+               strategy: str = "auto", keep_target: tuple[str, ...] = ()) -> tuple[int, int]:
         """W1 against this table: merge, write a new version, publish; (inserted, updated)."""
         from fileflow.operators.upsert import count_exprs, merge
         if not self.exists():
             self.create_if_absent(source.schema)
         h = self.head()
         target = self.read()
+        # wide mode: the table evolves by name, new source columns start out NULL
+        for f in source.schema.fields:
+            if f.name not in target.columns:
+                target = target.withColumn(f.name, F.lit(None).cast(f.dataType))
         if source.isEmpty():
             return 0, 0
-        m = merge(target, source, keys, order_by, strategy)
+        m = merge(target, source, keys, order_by, strategy, keep_target=keep_target)
         # counts ride along the write through an Observation: the merge runs once
         obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
         out = m.flagged.observe(obs, *count_exprs()).drop("_kind", "_n")

@@ -96,15 +96,19 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return int(r.n), int(r.b or 0)
 
 
-def _project(keys, t_cols, s_cols, from_src: Column, t_pref: str, s_pref: str):
+def _project(keys, t_cols, s_cols, from_src: Column, t_pref: str, s_pref: str,
+             keep_target: tuple[str, ...] = ()):
     """Output columns: target order first, then source-only columns (wide mode).
 
     Rows the source touched (updates and inserts) take the source's values; target-only
-    columns keep the target's value (NULL for inserts)."""
+    columns keep the target's value (NULL for inserts). ``keep_target`` columns keep an
+    existing target value (e.g. an identity assigned at first insert)."""
     out = []
     for c in t_cols:
         if c in keys:
             out.append(_q(c))
+        elif c in s_cols and c in keep_target:
+            out.append(F.coalesce(F.col(f"`{t_pref}{c}`"), F.col(f"`{s_pref}{c}`")).alias(c))
         elif c in s_cols:
             out.append(F.when(from_src, F.col(f"`{s_pref}{c}`"))
                        .otherwise(F.col(f"`{t_pref}{c}`")).alias(c))
@@ -119,7 +123,8 @@ def _project(keys, t_cols, s_cols, from_src: Column, t_pref: str, s_pref: str):
 def merge(target: DataFrame, source: DataFrame, keys: list[str],
           order_by: list[str] | None = None, strategy: str = "auto",
           max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-          max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> Merge:
+          max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
+          keep_target: tuple[str, ...] = ()) -> Merge:
     """MERGE ``source`` into ``target`` on ``keys``; returns the new table and the counts.
 
     ``order_by`` names source columns giving input order (last wins), e.g.
@@ -163,7 +168,7 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str],
     kind = F.when(matched, F.lit("update")).when(F.col("_m").isNotNull(), F.lit("insert")) \
         .otherwise(F.lit("keep"))
     from_src = F.col("_m").isNotNull()
-    body = joined.select(*_project(keys, t_cols, s_cols, from_src, "_t_", "_s_"),
+    body = joined.select(*_project(keys, t_cols, s_cols, from_src, "_t_", "_s_", keep_target),
                          kind.alias("_kind"), F.coalesce(F.col("_n"), F.lit(0)).alias("_n"))
     null_rows = nulls.select(*[(_q(c) if c in source.columns else
                                 F.lit(None).cast(target.schema[c].dataType)).alias(c)

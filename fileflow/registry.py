@@ -761,3 +761,259 @@ SELECT CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS passed, count(*) AS total,
 FROM ({_CHECKS_SQL})""")
 def q_quality_gate(spark, sf):
     return quality.rollup(_checks(spark, sf))
+
+
+# --- file sources: every fixture below is written by Spark from the given tables into the
+# shared scratch folder (under spark.checkpoint.dir), then read back by the library ---------
+
+def _scratch(spark, name):
+    from fileflow.session import scratch_path
+    return scratch_path(spark, name)
+
+
+
+
+def _orders_out(df):
+    return df.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                     F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"),
+                     "o_orderpriority")
+
+
+@register("csv_roundtrip", "SELECT * FROM orders")
+def q_csv_roundtrip(spark, sf):
+    from fileflow.sources.csv import export_csv, read_csv
+    path = _scratch(spark, "csv_roundtrip")
+    export_csv(load(spark, sf, "orders"), path, maxRecordsPerFile=2000)
+    return _orders_out(read_csv(spark, path, date_columns=["o_orderdate"], root=path).data)
+
+
+@register("csv_drift", """
+SELECT o_orderkey, o_custkey, CAST(NULL AS VARCHAR) AS o_orderstatus, o_totalprice
+FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT o_orderkey, CAST(NULL AS BIGINT), o_orderstatus, o_totalprice
+FROM orders WHERE o_orderstatus <> 'F'""")
+def q_csv_drift(spark, sf):
+    from fileflow.sources.csv import export_csv, read_csv
+    o = load(spark, sf, "orders")
+    root = _scratch(spark, "csv_drift")
+    export_csv(o.filter(F.col("o_orderstatus") == "F")
+               .select("o_orderkey", "o_custkey", "o_totalprice"), f"{root}/finished")
+    export_csv(o.filter(F.col("o_orderstatus") != "F")
+               .select("o_totalprice", "o_orderkey", "o_orderstatus"), f"{root}/open")
+    return read_csv(spark, root).data.select("o_orderkey", "o_custkey", "o_orderstatus",
+                                             "o_totalprice")
+
+
+_NOTE = " – café €"
+
+
+def _encoding_rows(spark, sf):
+    c = load(spark, sf, "customer")
+    return c.select("c_custkey", "c_name", F.concat("c_name", F.lit(_NOTE)).alias("note"))
+
+
+@register("encodings", "\nUNION ALL\n".join(
+    f"SELECT '{v}' AS variant, c_custkey, c_name, c_name || ' – café €' AS note FROM customer"
+    for v in ("utf8", "utf8bom", "utf16", "cp1252")))
+def q_encodings(spark, sf):
+    from fileflow.sources.csv import export_csv, read_csv
+    rows = _encoding_rows(spark, sf)
+    root = _scratch(spark, "encodings")
+    export_csv(rows, f"{root}/utf8")
+    export_csv(rows.withColumnRenamed("c_custkey", "﻿c_custkey"), f"{root}/utf8bom")
+    export_csv(rows, f"{root}/utf16", encoding="UTF-16")
+    export_csv(rows, f"{root}/cp1252", encoding="windows-1252")
+    data = read_csv(spark, root, root=root).data
+    return data.select(F.regexp_extract("source_file", r"^([^/]+)/", 1).alias("variant"),
+                       "c_custkey", "c_name", "note")
+
+
+@register("delimiters", "\nUNION ALL\n".join(
+    [f"SELECT '{v}' AS variant, c_custkey, c_name, c_acctbal FROM customer"
+     for v in ("comma", "semicolon", "tab", "pipe")]
+    + ["SELECT 'single', CAST(NULL AS BIGINT), c_name, CAST(NULL AS DOUBLE) FROM customer"]))
+def q_delimiters(spark, sf):
+    from fileflow.sources.csv import export_csv, read_csv
+    c = load(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    root = _scratch(spark, "delimiters")
+    for name, sep in (("comma", ","), ("semicolon", ";"), ("tab", "\t"), ("pipe", "|")):
+        export_csv(c, f"{root}/{name}", sep=sep)
+    export_csv(c.select("c_name"), f"{root}/single")
+    data = read_csv(spark, root, root=root).data
+    return data.select(F.regexp_extract("source_file", r"^([^/]+)/", 1).alias("variant"),
+                       "c_custkey", "c_name", "c_acctbal")
+
+
+def _ragged(spark, sf):
+    from fileflow.sources.csv import read_csv
+    from fileflow.testing import write_csv_with_header_rows
+    c = load(spark, sf, "customer")
+    seg = F.col("c_mktsegment")
+    base = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name")
+    line = (F.when(seg == "MACHINERY", F.concat_ws(",", base, seg, F.lit("extra")))
+            .when(seg == "HOUSEHOLD", base)
+            .otherwise(F.concat_ws(",", base, seg)))
+    path = _scratch(spark, "ragged")
+    write_csv_with_header_rows(c.select(line.alias("line")), path,
+                               ["c_custkey", "c_name", "c_mktsegment"])
+    return read_csv(spark, path, root=path)
+
+
+@register("csv_ragged", """
+SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_mktsegment END
+       AS c_mktsegment
+FROM customer WHERE c_mktsegment <> 'MACHINERY'""")
+def q_csv_ragged(spark, sf):
+    return _ragged(spark, sf).data.select("c_custkey", "c_name", "c_mktsegment")
+
+
+@register("csv_reject_lines", """
+SELECT CAST(c_custkey AS VARCHAR) || ',' || c_name || ',' || c_mktsegment || ',extra' AS line,
+       'more fields than the header' AS reason
+FROM customer WHERE c_mktsegment = 'MACHINERY'""")
+def q_csv_reject_lines(spark, sf):
+    return _ragged(spark, sf).rejects.select("line", "reason")
+
+
+def _workbooks(spark, sf):
+    """One workbook per (nation, block of 5000 customer keys): sheet 'Customers' + 'Summary'."""
+    import pandas as pd
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        from fileflow.testing import workbook_bytes
+        pdf = pdf.sort_values("c_custkey")
+        nation = int(pdf["c_nationkey"].iloc[0])
+        block = int(pdf["blk"].iloc[0])
+        rows = [["Customer Key", "Name", "Account Balance", "Segment"]]
+        rows += [[int(k), n, float(b), s] for k, n, b, s in
+                 zip(pdf.c_custkey, pdf.c_name, pdf.c_acctbal, pdf.c_mktsegment)]
+        summary = [["Nation", "Customers"], [nation, len(pdf)]]
+        data = workbook_bytes([("Customers", rows), ("Summary", summary)])
+        return pd.DataFrame({"path": [f"wb/nation-{nation}-{block}.xlsx"], "content": [data]})
+
+    c = load(spark, sf, "customer").withColumn("blk", F.floor(F.col("c_custkey") / 5000))
+    return c.groupBy("c_nationkey", "blk").applyInPandas(build, "path string, content binary")
+
+
+@register("xlsx_roundtrip", """
+SELECT c_custkey AS customer_key, c_name AS name, c_acctbal AS account_balance,
+       c_mktsegment AS segment, CAST(c_nationkey AS BIGINT) AS nation
+FROM customer""")
+def q_xlsx_roundtrip(spark, sf):
+    from fileflow.sources.excel import read_excel
+    data = read_excel(spark, _workbooks(spark, sf), sheet="Customers").data
+    nation = F.regexp_extract("source_file", r"nation-(\d+)-", 1).cast("bigint")
+    return data.select("customer_key", "name", "account_balance", "segment",
+                       nation.alias("nation"))
+
+
+@register("xlsx_all_sheets", """
+SELECT 'Customers' AS sheet, c_custkey AS customer_key, c_name AS name,
+       CAST(NULL AS BIGINT) AS nation, CAST(NULL AS BIGINT) AS customers
+FROM customer
+UNION ALL
+SELECT 'Summary', NULL, NULL, CAST(c_nationkey AS BIGINT), count(*)
+FROM customer GROUP BY c_nationkey, floor(c_custkey / 5000)""")
+def q_xlsx_all_sheets(spark, sf):
+    from fileflow.sources.excel import read_excel
+    data = read_excel(spark, _workbooks(spark, sf), sheet=None).data
+    return data.select("sheet", "customer_key", "name", "nation", "customers")
+
+
+@register("silver_partitions", """
+SELECT event_id, ts, user_id, event_type, value, props, event_type AS source_file,
+       strftime(ts, '%Y-%m-%d') AS run_date
+FROM events WHERE strftime(ts, '%Y-%m-%d') = '2024-01-07' AND event_type = 'click'""")
+def q_silver_partitions(spark, sf):
+    from fileflow.sources.silver import read_silver, write_silver
+    e = load(spark, sf, "events")
+    root = _scratch(spark, "silver")
+    write_silver(e.withColumn("run_date", F.date_format("ts", "yyyy-MM-dd"))
+                 .withColumn("source_file", F.col("event_type")), root)
+    return read_silver(spark, root, "2024-01-07", "click")
+
+
+@register("incremental_ingest", "SELECT * FROM orders")
+def q_incremental_ingest(spark, sf):
+    from fileflow.operators.table import SnapshotTable
+    from fileflow.sources.csv import export_csv
+    from fileflow.streaming.incremental import run_available
+    o = load(spark, sf, "orders")
+    root = _scratch(spark, "incremental")
+    src, cp = f"{root}/source", f"{root}/checkpoint"
+    tbl = SnapshotTable(spark, f"{root}/table")
+    export_csv(o.filter(F.col("o_orderstatus") == "F"), f"{src}/batch1")
+    run_available(spark, src, tbl, cp, natural_keys=["o_orderkey"], date_columns=["o_orderdate"])
+    export_csv(o.filter(F.col("o_orderstatus") != "F"), f"{src}/batch2")
+    run_available(spark, src, tbl, cp, natural_keys=["o_orderkey"], date_columns=["o_orderdate"])
+    return _orders_out(tbl.read())
+
+
+def _full_run(spark, sf):
+    from fileflow.plans.full import full_run
+    from fileflow.plans.lake import Lake
+    from fileflow.sources.csv import export_csv
+    import datetime as dt
+    o = load(spark, sf, "orders")
+    root = _scratch(spark, "full_run")
+    src = f"{root}/source"
+    export_csv(o, src, maxRecordsPerFile=4000)
+    lake = Lake(spark, f"{root}/lake")
+    today = dt.datetime.now(dt.timezone.utc).date()
+    res = full_run(spark, lake, src, today.isoformat(), "run-1", natural_keys=["o_orderkey"],
+                   date_columns=["o_orderdate"], as_of=today)
+    return lake, res
+
+
+@register("full_run", "SELECT * FROM orders")
+def q_full_run(spark, sf):
+    lake, _ = _full_run(spark, sf)
+    return _orders_out(lake.table("records").read())
+
+
+@register("full_run_checks", """
+SELECT 'rows_loaded_today' AS "check", true AS ok, count(*) AS observed,
+       'loaded_at >= day start' AS detail FROM orders
+""" + "".join(f"UNION ALL SELECT 'no_all_null_columns:{c}', true, count({c}), 'non-null values' "
+              f"FROM orders\n" for c in ("o_orderkey", "o_custkey", "o_orderstatus",
+                                         "o_totalprice", "o_orderdate", "o_orderpriority")) + """
+UNION ALL SELECT 'no_duplicate_keys', true, CAST(0 AS BIGINT), 'duplicate groups: 0'
+UNION ALL SELECT 'latest_run_succeeded', true, CAST(1 AS BIGINT), 'full_pipeline'""")
+def q_full_run_checks(spark, sf):
+    _, res = _full_run(spark, sf)
+    return res.checks
+
+
+@register("discover_read", """
+SELECT doc_id, source, n_chars, lang FROM documents""")
+def q_discover_read(spark, sf):
+    from fileflow.sources import discover
+    from fileflow.sources.dispatch import read_files
+    d = load(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    root = _scratch(spark, "discover")
+    d.write.partitionBy("lang").option("header", "true").csv(f"{root}/docs")
+    d.write.partitionBy("lang").json(f"{root}/docs_json")       # unsupported: must be skipped
+    files = discover.scan(spark, root)
+    ok, _ = discover.size_guard(files)
+    data = read_files(spark, ok, root=root).data
+    return data.select("doc_id", "source", "n_chars",
+                       F.regexp_extract("source_file", r"lang=([^/]+)/", 1).alias("lang"))
+
+
+@register("param_query", """
+SELECT o_orderkey, o_totalprice FROM orders
+WHERE o_orderpriority = '2-HIGH' AND o_totalprice > 300000""")
+def q_param_query(spark, sf):
+    from fileflow.sources.jdbc import query
+    return query(spark, "SELECT O_ORDERKEY, O_TOTALPRICE FROM {t} "
+                        "WHERE o_orderpriority = :prio AND o_totalprice > :minp",
+                 {"prio": "2-HIGH", "minp": 300000}, t=load(spark, sf, "orders"))
+
+
+@register("status_table", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"Dataset\", count(*) AS \"Row Count\", "
+    f"CAST(NULL AS TIMESTAMP) AS \"Last Loaded\" FROM {t}" for t in TABLES))
+def q_status_table(spark, sf):
+    return catalog.status_table(catalog.list_datasets(spark, {t: load(spark, sf, t)
+                                                              for t in TABLES}))

@@ -73,9 +73,12 @@ def _read_group(spark: SparkSession, paths: list[str], encoding: str, delimiter:
     too_long = F.col(CORRUPT).isNotNull() & parsed[f"x{n}"].isNotNull()
     df = df.withColumn("_too_long", too_long)
     rejects = df.filter("_too_long").select(F.col(FILE_COL).alias("source_file"),
-                                            # coalesce keeps a data column in the plan: Spark
-                                            # refuses queries that read only the corrupt column
-                                            F.coalesce(F.col(CORRUPT), F.col("_c0")).alias("line"),
+                                            # every data column stays in the plan: with column
+                                            # pruning the parser would not flag long lines, and
+                                            # Spark refuses plans reading only the corrupt column
+                                            F.coalesce(F.col(CORRUPT),
+                                                       F.concat_ws(delimiter, *raw_cols))
+                                            .alias("line"),
                                             F.lit("more fields than the header").alias("reason"))
     good = df.filter(~F.col("_too_long")).drop("_too_long", CORRUPT)
     names = normalize_names(raw_names) if raw_names else ["col_0"]
@@ -160,6 +163,8 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
                            fallback_encoding)
     prof = prof.withColumn("multi_line", F.col("encoding").startswith("UTF-16")
                            | F.col("has_quote"))
+    # an empty file has no header and no rows: nothing to read
+    prof = prof.filter(F.col("size_bytes") > 0)
     groups = prof.groupBy("encoding", "delimiter", "header_line", "multi_line") \
         .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
     if not groups:

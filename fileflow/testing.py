@@ -93,3 +93,27 @@ def workbook_bytes(sheets: list[tuple[str, list[list]]]) -> bytes:
         for i, (_, rows) in enumerate(sheets):
             z.writestr(f"xl/worksheets/sheet{i + 1}.xml", _sheet_xml(rows))
     return buf.getvalue()
+
+
+# --- Spark-side fixture writers (run on executors, write to the shared scratch folder) ------
+
+def write_csv_with_header_rows(df, path: str, header: list[str], sep: str = ",",
+                               line_col: str = "line") -> None:
+    """Write ``df[line_col]`` (pre-joined text lines) as text files whose first line is
+    ``header`` joined by ``sep`` — lets tests build deliberately ragged CSV lines.
+
+    The header row is emitted at the head of every partition by ``mapInPandas`` (no shuffle,
+    so the order reaches the text writer unchanged)."""
+    import pandas as pd
+
+    head = sep.join(header)
+
+    def gen(batches):
+        first = True
+        for pdf in batches:
+            if first:
+                yield pd.DataFrame({"value": [head]})
+                first = False
+            yield pd.DataFrame({"value": pdf[line_col].astype(str)})
+
+    df.select(line_col).mapInPandas(gen, "value string").write.mode("overwrite").text(path)
