@@ -36,6 +36,7 @@ class SnapshotTable:
         self.root = root.rstrip("/")
         self.log_path = f"{self.root}/_log"
         self.data_path = f"{self.root}/data"
+        self._latest = None          # cached newest log row; this object is the only writer
 
     # -- metadata ------------------------------------------------------------------------
     def log(self) -> DataFrame:
@@ -44,13 +45,20 @@ class SnapshotTable:
         except AnalysisException:
             return self.spark.createDataFrame([], _LOG_SCHEMA)
 
-    def head(self, version: int | None = None):
-        """The log row of ``version`` (default: latest), or None. One row reaches the driver."""
+    def head(self, version: int | None = None, refresh: bool = False):
+        """The log row of ``version`` (default: latest), or None. One row reaches the driver.
+
+        The latest row is cached between commits made through this object."""
+        if version is None and self._latest is not None and not refresh:
+            return self._latest
         lg = self.log()
         if version is not None:
             lg = lg.filter(F.col("version") == version)
         rows = lg.orderBy(F.col("version").desc()).limit(1).collect()
-        return rows[0] if rows else None
+        row = rows[0] if rows else None
+        if version is None:
+            self._latest = row
+        return row
 
     def exists(self) -> bool:
         return self.head() is not None
@@ -87,6 +95,7 @@ class SnapshotTable:
                 versions, schema.json(), rows, inserted, updated)]
         self.spark.createDataFrame(row, _LOG_SCHEMA).coalesce(1).write.mode("append") \
             .parquet(self.log_path)
+        self._latest = None
         return version
 
     def create_if_absent(self, schema: StructType) -> bool:

@@ -19,6 +19,7 @@ from fileflow.operators.identity import assign_identity
 from fileflow.plans.lake import Lake
 from fileflow.sources import discover
 from fileflow.sources.landing import manifest_rows, split_by_checksum, write_manifest
+from fileflow.sources.profile import with_profile
 
 
 @dataclass
@@ -44,9 +45,12 @@ def extract(spark: SparkSession, lake: Lake, source_root: str, run_date: str, ru
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source_root)
     incoming = raw.join(ok.select("path"), "path", "left_semi").select(
         "path", relative_path("path", source_root).alias("rel_path"),
-        file_name("path").alias("file_name"), F.col("length").alias("size_bytes"), "content",
+        file_name("path").alias("file_name"), "content",
         F.md5("content").alias("checksum_md5"),
         bronze_key(F.lit(run_date), relative_path("path", source_root)).alias("storage_path"))
+    # the CSV profile (encoding, delimiter, header) is computed while the bytes are in memory
+    # for the md5, and kept in bronze: the load step never re-reads bytes to profile
+    incoming = with_profile(incoming)
     # survey S10: the key is run_date/relative path; the same bytes under the same key are
     # skipped (a re-run of a day lands nothing twice), anything else lands
     new, skipped = split_by_checksum(incoming, lake.file_manifest.read())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
@@ -14,9 +14,12 @@ from fileflow.schemas import ELT_DATA, FILE_MANIFEST, PIPELINE_RUN
 class Lake:
     spark: SparkSession
     root: str
+    _tables: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root.rstrip('/')}/tables/{name}")
+        if name not in self._tables:
+            self._tables[name] = SnapshotTable(self.spark, f"{self.root.rstrip('/')}/tables/{name}")
+        return self._tables[name]
 
     @property
     def pipeline_run(self) -> SnapshotTable:

@@ -59,7 +59,8 @@ def transform_load(spark: SparkSession, lake: Lake, run_date: str, run_id: str,
         roots = [r.source_root for r in files.select("source_root").distinct().collect()]
         root = roots[0] if len(roots) == 1 else None
         n_files = files.select("storage_path").distinct().count()
-        res = read_files(spark, files.select("path", "content"), root=root,
+        from fileflow.sources.profile import PROFILE_COLUMNS
+        res = read_files(spark, files.select(*PROFILE_COLUMNS, "content"), root=root,
                          date_columns=date_columns, sheet=sheet,
                          loaded_at=loaded_at if loaded_at is not None
                          else F.lit(_now()).cast("timestamp"))

@@ -22,14 +22,13 @@ import io
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from fileflow.functions.paths import relative_path
 from fileflow.operators.clean import (BLOCK_COL, FILE_COL, add_audit, coerce_dates,
-                                      drop_empty_rows, null_na_tokens, strip_strings,
-                                      with_row_ids)
+                                      drop_empty_rows, null_na_tokens, strip_strings)
 from fileflow.functions.strings import normalize_names
 from fileflow.sources.profile import FALLBACK_ENCODING, profile_content
 
@@ -120,6 +119,60 @@ def infer_types(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
                        if c in target else F.col(f"`{c}`") for c in df.columns])
 
 
+BROADCAST_MAX_SPLITS = 2_000_000
+
+
+def _row_ids_and_types(data: DataFrame, infer: bool = True) -> DataFrame:
+    """Row ids per file (P7) and type inference (Q6) from ONE aggregate pass.
+
+    The per-split aggregate (one row per input split: first id, row count, and per column
+    whether every value parses as bigint / double / boolean) is cut from its lineage with a
+    reliable ``checkpoint`` (it is small: one row per split). Global types are a second,
+    tiny aggregate over it; split offsets are a running sum over it. The main pass joins
+    the offsets back — broadcast, since the row count of the checkpointed table is known
+    and bounded by the number of splits. CSV text is therefore parsed twice in total (stats,
+    then the main pass), not three times.
+    """
+    cols = [f.name for f in data.schema.fields
+            if isinstance(f.dataType, StringType) and f.name not in (FILE_COL, BLOCK_COL)] \
+        if infer else []
+    tagged = data.withColumn("_mid", F.monotonically_increasing_id())
+    aggs = [F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n")]
+    for i, c in enumerate(cols):
+        v = F.trim(F.col(f"`{c}`"))
+        nn = v.isNotNull()
+        aggs += [F.bool_and(~nn | (v.rlike(_INT_RE) & v.try_cast("bigint").isNotNull()))
+                 .alias(f"i{i}"),
+                 F.bool_and(~nn | v.try_cast("double").isNotNull()).alias(f"d{i}"),
+                 F.bool_and(~nn | F.lower(v).isin("true", "false")).alias(f"b{i}"),
+                 F.count(v).alias(f"n{i}")]
+    stats = tagged.groupBy(FILE_COL, BLOCK_COL).agg(*aggs).checkpoint(eager=True)
+    target: dict[str, str] = {}
+    if cols:
+        r = stats.agg(*[F.bool_and(f"{k}{i}").alias(f"{k}{i}") for i in range(len(cols))
+                        for k in "idb"],
+                      *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(cols))]).first()
+        for i, c in enumerate(cols):
+            if not r[f"n{i}"]:
+                continue
+            if r[f"i{i}"]:
+                target[c] = "bigint"
+            elif r[f"d{i}"]:
+                target[c] = "double"
+            elif r[f"b{i}"]:
+                target[c] = "boolean"
+    w = Window.partitionBy(FILE_COL).orderBy(BLOCK_COL).rowsBetween(Window.unboundedPreceding, -1)
+    offs = stats.select(FILE_COL, BLOCK_COL, "_m0",
+                        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    if stats.count() <= BROADCAST_MAX_SPLITS:
+        offs = F.broadcast(offs)
+    out = tagged.join(offs, [FILE_COL, BLOCK_COL], "inner")
+    out = out.withColumn("row_id", (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long"))
+    keep = [c for c in data.columns]
+    return out.select(*[F.trim(F.col(f"`{c}`")).try_cast(target[c]).alias(c) if c in target
+                        else F.col(f"`{c}`") for c in keep], "row_id")
+
+
 def apply_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """Cast to a declared schema by name (no inference pass); absent columns become NULL."""
     cols = []
@@ -139,14 +192,19 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
              date_columns: list[str] | tuple[str, ...] = (), schema: StructType | None = None,
              na_tokens: list[str] | None = None, root: str | None = None,
              loaded_at=None, fallback_encoding: str = FALLBACK_ENCODING,
-             date_formats: list[str] | None = None) -> CsvResult:
+             date_formats: list[str] | None = None,
+             profiles: DataFrame | None = None) -> CsvResult:
     """Read, clean and type a set of CSV files into one DataFrame (plus a rejects DataFrame).
 
     ``paths``: a folder, a list of files, or a DataFrame with ``path`` (and optionally
     ``content``, e.g. a discovery result). ``source_file`` is the path relative to ``root``
-    when given, else the full path.
+    when given, else the full path. ``profiles``: per-file profile rows computed earlier
+    (e.g. stored in bronze when the files were landed); then no file bytes are read here
+    except by the CSV parser itself.
     """
-    if isinstance(paths, DataFrame):
+    if profiles is not None:
+        prof = profiles
+    elif isinstance(paths, DataFrame):
         files = paths
         if "content" not in files.columns:
             plist = [r.path for r in files.select("path").distinct().collect()]
@@ -159,8 +217,9 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
             return _empty(spark)
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
             .load(plist)
-    prof = profile_content(files.select("path", "content"), encoding, delimiter,
-                           fallback_encoding)
+    if profiles is None:
+        prof = profile_content(files.select("path", "content"), encoding, delimiter,
+                               fallback_encoding)
     prof = prof.withColumn("multi_line", F.col("encoding").startswith("UTF-16")
                            | F.col("has_quote"))
     # an empty file has no header and no rows: nothing to read
@@ -178,11 +237,9 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
     data = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     data = null_na_tokens(data, na_tokens)
     data = drop_empty_rows(data)
-    data = with_row_ids(data)
+    data = _row_ids_and_types(data, infer=schema is None)
     if schema is not None:
         data = apply_schema(data, schema)
-    else:
-        data = infer_types(data, exclude=(FILE_COL, BLOCK_COL))
     data = strip_strings(data, ignore=(FILE_COL, BLOCK_COL))
     data = coerce_dates(data, list(date_columns), date_formats)
     src = relative_path(FILE_COL, root) if root else F.col(FILE_COL)

@@ -12,6 +12,7 @@ from fileflow.functions.paths import extension
 from fileflow.sources.csv import read_csv
 from fileflow.sources.discover import EXCEL_EXTENSIONS
 from fileflow.sources.excel import read_excel
+from fileflow.sources.profile import PROFILE_COLUMNS
 
 
 @dataclass
@@ -30,8 +31,12 @@ def read_files(spark: SparkSession, files: DataFrame, *, root: str | None = None
     texts = files.filter(~ext.isin(EXCEL_EXTENSIONS))
     parts, rejects = [], []
     if not texts.isEmpty():
-        r = read_csv(spark, texts, delimiter=delimiter, encoding=encoding,
-                     date_columns=date_columns, root=root, loaded_at=loaded_at)
+        # profiles computed at landing (bronze) spare a second read of the CSV bytes
+        prof = texts.select(*PROFILE_COLUMNS) if set(PROFILE_COLUMNS) <= set(texts.columns) \
+            and delimiter is None and encoding is None else None
+        r = read_csv(spark, texts if prof is None else texts.select("path"),
+                     delimiter=delimiter, encoding=encoding, date_columns=date_columns,
+                     root=root, loaded_at=loaded_at, profiles=prof)
         parts.append(r.data)
         rejects.append(r.rejects.select("source_file", "reason"))
     if not books.isEmpty():

@@ -62,14 +62,19 @@ def detect_delimiter(line: Column, candidates: list[str] = DELIMITERS) -> Column
     return out
 
 
-def profile_content(df: DataFrame, encoding: str | None = None, delimiter: str | None = None,
-                    fallback: str = FALLBACK_ENCODING) -> DataFrame:
-    """Profile rows with ``path`` and ``content`` (binaryFile shape, or a bronze table)."""
+PROFILE_COLUMNS = ["path", "size_bytes", "encoding", "has_bom", "header_line", "has_quote",
+                   "delimiter"]
+
+
+def with_profile(df: DataFrame, encoding: str | None = None, delimiter: str | None = None,
+                 fallback: str = FALLBACK_ENCODING) -> DataFrame:
+    """Add the profile columns to rows that carry ``content`` (kept alongside, so landing can
+    compute md5 and profile while the bytes are read once)."""
     head = F.substring("content", 1, HEAD_BYTES)
     enc = F.lit(encoding) if encoding else detect_encoding(head, F.length("content"), fallback)
-    out = df.select("path", F.length("content").cast("long").alias("size_bytes"),
-                    head.alias("_head"), enc.alias("encoding"),
-                    F.hex(F.substring(head, 1, 3)).startswith("EFBBBF").alias("has_bom"))
+    out = df.withColumn("size_bytes", F.length("content").cast("long")) \
+        .withColumn("_head", head).withColumn("encoding", enc) \
+        .withColumn("has_bom", F.hex(F.substring(head, 1, 3)).startswith("EFBBBF"))
     txt = _decoded_head(F.col("_head"), F.col("encoding"))
     line = F.regexp_extract(txt, r"^\x{FEFF}?([^\r\n]*)", 1)
     out = out.withColumn("header_line", line).withColumn("has_quote", F.contains(txt, F.lit('"')))
@@ -78,6 +83,13 @@ def profile_content(df: DataFrame, encoding: str | None = None, delimiter: str |
     return out.drop("_head")
 
 
+def profile_content(df: DataFrame, encoding: str | None = None, delimiter: str | None = None,
+                    fallback: str = FALLBACK_ENCODING) -> DataFrame:
+    """Profile rows with ``path`` and ``content`` (binaryFile shape, or a bronze table)."""
+    return with_profile(df.select("path", "content"), encoding, delimiter, fallback) \
+        .select(*PROFILE_COLUMNS)
+
+
 def profile(spark: SparkSession, paths: list[str], encoding: str | None = None,
             delimiter: str | None = None, fallback: str = FALLBACK_ENCODING) -> DataFrame:
     raw = spark.read.format("binaryFile").load(paths)
