@@ -43,9 +43,12 @@ class Lake:
 
     def bootstrap(self) -> list[str]:
         """Create the audit tables if absent; existing ones are left alone."""
+        if self._tables.get("_bootstrapped"):
+            return []
         made = []
         for name, schema in (("pipeline_run", PIPELINE_RUN), ("file_manifest", FILE_MANIFEST),
                              ("elt_data", ELT_DATA)):
             if self.table(name).create_if_absent(schema):
                 made.append(name)
+        self._tables["_bootstrapped"] = True
         return made
