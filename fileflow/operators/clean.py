@@ -68,6 +68,29 @@ def add_audit(df: DataFrame, source_file: Column | str | None = None,
     return df.withColumn("source_file", sf).withColumn("loaded_at", la)
 
 
+BROADCAST_MAX_SPLITS = 2_000_000
+
+
+def split_offsets(tagged: DataFrame, file_col: str = FILE_COL, block_col: str = BLOCK_COL,
+                  extra_aggs: list[Column] | None = None):
+    """Per-split statistics of ``tagged`` (rows carrying ``_mid``), cut from the lineage.
+
+    Returns (stats, offsets): stats has one row per input split (first id ``_m0``, row count
+    ``_n`` and any ``extra_aggs``); offsets adds the running row count of earlier splits of
+    the same file. Offsets come back broadcast-hinted when the split count (known exactly
+    from the checkpoint) is under ``BROADCAST_MAX_SPLITS``; otherwise Spark joins by shuffle.
+    """
+    aggs = [F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n")] + list(extra_aggs or [])
+    stats = tagged.groupBy(file_col, block_col).agg(*aggs).checkpoint(eager=True)
+    w = Window.partitionBy(file_col).orderBy(block_col) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offs = stats.select(file_col, block_col, "_m0",
+                        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    if stats.count() <= BROADCAST_MAX_SPLITS:
+        offs = F.broadcast(offs)
+    return stats, offs
+
+
 def with_row_ids(df: DataFrame, file_col: str = FILE_COL, block_col: str = BLOCK_COL,
                  name: str = "row_id") -> DataFrame:
     """Dense 0..n-1 per file, in file order, without sorting any file in one task.
@@ -76,18 +99,13 @@ def with_row_ids(df: DataFrame, file_col: str = FILE_COL, block_col: str = BLOCK
     from (``_metadata.file_path`` / ``_metadata.file_block_start``). Inside one split the rows
     arrive in file order, so ``monotonically_increasing_id`` minus its minimum over the split
     is the position in the split; a running sum of split sizes, ordered by split start within
-    each file, gives the split's offset. The split table has one row per input split; AQE
-    broadcasts it when it is small and shuffles otherwise. Skipped when ``row_id`` exists.
+    each file, gives the split's offset (see ``split_offsets``). Skipped when ``row_id``
+    exists.
     """
     if name in df.columns:
         return df
     tagged = df.withColumn("_mid", F.monotonically_increasing_id())
-    splits = tagged.groupBy(file_col, block_col).agg(F.min("_mid").alias("_m0"),
-                                                      F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(file_col).orderBy(block_col) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offs = splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))) \
-        .select(file_col, block_col, "_m0", "_off")
+    _, offs = split_offsets(tagged, file_col, block_col)
     out = tagged.join(offs, [file_col, block_col], "inner")
     return out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long")) \
         .drop("_mid", "_m0", "_off")

@@ -141,6 +141,10 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str],
     red = reduce_source(source, keys, order)
 
     if strategy == "auto":
+        # the reduced source is written once (reliable checkpoint under spark.checkpoint.dir):
+        # the size check and the join both read it, so the dedup aggregate runs once and the
+        # merge restarts from here if an executor is lost
+        red = red.checkpoint(eager=True)
         n, b = measure(red)
         strategy = "broadcast" if (n <= max_broadcast_rows and b <= max_broadcast_bytes) \
             else "shuffle"

@@ -42,8 +42,13 @@ def extract(spark: SparkSession, lake: Lake, source_root: str, run_date: str, ru
     n_found = files.count()
     if n_found == 0:
         return ExtractResult(0, 0, 0, 0)
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source_root)
-    incoming = raw.join(ok.select("path"), "path", "left_semi").select(
+    # only accepted files are opened: their paths (file metadata) go to one binaryFile load,
+    # so a file over the size limit is never read
+    accepted = [r.path for r in ok.select("path").collect()]
+    if not accepted:
+        return ExtractResult(n_found, rejected.count(), 0, 0)
+    raw = spark.read.format("binaryFile").load(accepted)
+    incoming = raw.select(
         "path", relative_path("path", source_root).alias("rel_path"),
         file_name("path").alias("file_name"), "content",
         F.md5("content").alias("checksum_md5"),

@@ -22,13 +22,14 @@ import io
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from fileflow.functions.paths import relative_path
 from fileflow.operators.clean import (BLOCK_COL, FILE_COL, add_audit, coerce_dates,
-                                      drop_empty_rows, null_na_tokens, strip_strings)
+                                      drop_empty_rows, null_na_tokens, split_offsets,
+                                      strip_strings)
 from fileflow.functions.strings import normalize_names
 from fileflow.sources.profile import FALLBACK_ENCODING, profile_content
 
@@ -119,9 +120,6 @@ def infer_types(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
                        if c in target else F.col(f"`{c}`") for c in df.columns])
 
 
-BROADCAST_MAX_SPLITS = 2_000_000
-
-
 def _row_ids_and_types(data: DataFrame, infer: bool = True) -> DataFrame:
     """Row ids per file (P7) and type inference (Q6) from ONE aggregate pass.
 
@@ -137,7 +135,7 @@ def _row_ids_and_types(data: DataFrame, infer: bool = True) -> DataFrame:
             if isinstance(f.dataType, StringType) and f.name not in (FILE_COL, BLOCK_COL)] \
         if infer else []
     tagged = data.withColumn("_mid", F.monotonically_increasing_id())
-    aggs = [F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n")]
+    aggs = []
     for i, c in enumerate(cols):
         v = F.trim(F.col(f"`{c}`"))
         nn = v.isNotNull()
@@ -146,7 +144,7 @@ def _row_ids_and_types(data: DataFrame, infer: bool = True) -> DataFrame:
                  F.bool_and(~nn | v.try_cast("double").isNotNull()).alias(f"d{i}"),
                  F.bool_and(~nn | F.lower(v).isin("true", "false")).alias(f"b{i}"),
                  F.count(v).alias(f"n{i}")]
-    stats = tagged.groupBy(FILE_COL, BLOCK_COL).agg(*aggs).checkpoint(eager=True)
+    stats, offs = split_offsets(tagged, FILE_COL, BLOCK_COL, aggs)
     target: dict[str, str] = {}
     if cols:
         r = stats.agg(*[F.bool_and(f"{k}{i}").alias(f"{k}{i}") for i in range(len(cols))
@@ -161,11 +159,6 @@ def _row_ids_and_types(data: DataFrame, infer: bool = True) -> DataFrame:
                 target[c] = "double"
             elif r[f"b{i}"]:
                 target[c] = "boolean"
-    w = Window.partitionBy(FILE_COL).orderBy(BLOCK_COL).rowsBetween(Window.unboundedPreceding, -1)
-    offs = stats.select(FILE_COL, BLOCK_COL, "_m0",
-                        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    if stats.count() <= BROADCAST_MAX_SPLITS:
-        offs = F.broadcast(offs)
     out = tagged.join(offs, [FILE_COL, BLOCK_COL], "inner")
     out = out.withColumn("row_id", (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long"))
     keep = [c for c in data.columns]

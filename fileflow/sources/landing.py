@@ -38,6 +38,14 @@ def read_bronze(spark: SparkSession, root: str, with_content: bool = True) -> Da
     return df.select(*cols)
 
 
+def bronze_object(bronze: DataFrame, storage_path: str) -> DataFrame:
+    """The latest landed bytes under one key (S13 ``download_raw``): a point filter plus a
+    bounded top-1 on upload time."""
+    return bronze.filter(F.col("storage_path") == storage_path) \
+        .orderBy(F.col("upload_timestamp").desc()).limit(1) \
+        .select("storage_path", "content", "checksum_md5")
+
+
 def incoming_files(spark: SparkSession, files: DataFrame, root: str, run_date: str) -> DataFrame:
     """Accepted discovered files with bytes, md5 and bronze key ``run_date/relative path``.
 
@@ -115,7 +123,13 @@ def read_manifest(spark: SparkSession, path: str, run_date: str | None = None) -
 
 def read_manifest_document(spark: SparkSession, path: str) -> DataFrame:
     """A single nested manifest document ``{run_date, created_at, file_count, files:[...]}``
-    exploded to one row per file; a missing ``files`` list gives no rows (S17)."""
+    exploded to one row per file; a missing ``files`` list gives no rows (S17).
+
+    ``path`` is the document, or a run folder holding ``manifest.json``. Spark hides every
+    file whose name starts with '_' or '.', even when named explicitly, so a document called
+    ``_manifest.json`` must be renamed before Spark can read it."""
+    if not path.endswith(".json"):
+        path = path.rstrip("/") + "/manifest.json"
     doc = spark.read.schema(MANIFEST).option("multiLine", "true").json(path)
     return doc.select("run_date", "created_at", F.explode_outer(
         F.coalesce(F.col("files"), F.array().cast(MANIFEST["files"].dataType))).alias("f")) \

@@ -74,3 +74,27 @@ def test_failed_load_records_failure(spark, scratch):
     r = lake.pipeline_run.read().first()
     assert r.status == "FAILED" and "Missing required column" in r.error_message
     assert r.end_time is not None
+
+
+def test_oversized_file_is_never_opened(spark, scratch):
+    src = f"{scratch}/src"
+    write(f"{src}/a.csv", "id\n1\n")
+    write(f"{src}/big.csv", "id\n" + "2\n" * 4000)
+    lake = Lake(spark, f"{scratch}/lake")
+    from fileflow.plans.extract import extract
+    r = extract(spark, lake, src, "2024-01-01", "r1", max_mb=1000 / (1024 * 1024))
+    assert (r.discovered, r.rejected, r.landed) == (2, 1, 1)
+    assert [x.rel_path for x in lake.bronze.read().collect()] == ["a.csv"]
+
+
+def test_upsert_plan_collapses_hot_key_before_shuffle(spark):
+    # one key holds a third of the source: the dedup must aggregate map-side first
+    from fileflow.operators.upsert import merge
+    src = spark.range(0, 30000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "id AS seq", "cast(id AS string) AS v")
+    tgt = spark.createDataFrame([(0, 0, "t")], "k long, seq long, v string")
+    m = merge(tgt, src, ["k"], order_by=["seq"], strategy="shuffle")
+    plan = m.result._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
+    row = m.result.filter("k = 0").first()
+    assert row.seq == 29997
