@@ -41,7 +41,8 @@ def list_datasets(spark: SparkSession, tables: dict[str, DataFrame] | None = Non
                              "last_loaded"))
     if not parts:
         return spark.createDataFrame([], "name string, row_count long, last_loaded timestamp")
-    return reduce(DataFrame.unionByName, parts).orderBy("name")
+    # identical shapes: a positional union avoids re-resolving columns by name per part
+    return reduce(DataFrame.union, parts).orderBy("name")
 
 
 def status_table(datasets: DataFrame) -> DataFrame:

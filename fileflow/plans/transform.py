@@ -56,9 +56,10 @@ def transform_load(spark: SparkSession, lake: Lake, run_date: str, run_id: str,
     record_run(lake, run_id, dag_id, "RUNNING", now=_now())
     try:
         files = run_files(lake, run_id)
-        roots = [r.source_root for r in files.select("source_root").distinct().collect()]
-        root = roots[0] if len(roots) == 1 else None
-        n_files = files.select("storage_path").distinct().count()
+        meta = files.agg(F.collect_set("source_root").alias("roots"),
+                         F.count_distinct("storage_path").alias("n")).first()
+        root = meta.roots[0] if len(meta.roots) == 1 else None
+        n_files = int(meta.n)
         from fileflow.sources.profile import PROFILE_COLUMNS
         res = read_files(spark, files.select(*PROFILE_COLUMNS, "content"), root=root,
                          date_columns=date_columns, sheet=sheet,

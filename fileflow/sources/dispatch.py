@@ -29,8 +29,9 @@ def read_files(spark: SparkSession, files: DataFrame, *, root: str | None = None
     ext = extension("path")
     books = files.filter(ext.isin(EXCEL_EXTENSIONS))
     texts = files.filter(~ext.isin(EXCEL_EXTENSIONS))
+    kinds = {r[0] for r in files.select(ext.isin(EXCEL_EXTENSIONS)).distinct().collect()}
     parts, rejects = [], []
-    if not texts.isEmpty():
+    if False in kinds:
         # profiles computed at landing (bronze) spare a second read of the CSV bytes
         prof = texts.select(*PROFILE_COLUMNS) if set(PROFILE_COLUMNS) <= set(texts.columns) \
             and delimiter is None and encoding is None else None
@@ -39,7 +40,7 @@ def read_files(spark: SparkSession, files: DataFrame, *, root: str | None = None
                      root=root, loaded_at=loaded_at, profiles=prof)
         parts.append(r.data)
         rejects.append(r.rejects.select("source_file", "reason"))
-    if not books.isEmpty():
+    if True in kinds:
         if "content" not in books.columns:
             plist = [x.path for x in books.select("path").collect()]
             books = spark.read.format("binaryFile").load(plist)
