@@ -9,6 +9,7 @@ from pyspark.sql.types import StringType
 
 from fileflow.functions.dates import parse_timestamp
 from fileflow.functions.strings import na_to_null, normalize_names, unicode_strip
+from fileflow.session import materialize
 
 FILE_COL = "_file"
 BLOCK_COL = "_block"
@@ -73,7 +74,8 @@ BROADCAST_MAX_SPLITS = 2_000_000
 
 def split_offsets(tagged: DataFrame, file_col: str = FILE_COL, block_col: str = BLOCK_COL,
                   extra_aggs: list[Column] | None = None):
-    """Per-split statistics of ``tagged`` (rows carrying ``_mid``), cut from the lineage.
+    """Per-split statistics of ``tagged`` (rows carrying ``_mid``), written once to the shared
+    folder (one row per split) so later uses do not re-read the input.
 
     Returns (stats, offsets): stats has one row per input split (first id ``_m0``, row count
     ``_n`` and any ``extra_aggs``); offsets adds the running row count of earlier splits of
@@ -81,7 +83,7 @@ def split_offsets(tagged: DataFrame, file_col: str = FILE_COL, block_col: str =
     from the checkpoint) is under ``BROADCAST_MAX_SPLITS``; otherwise Spark joins by shuffle.
     """
     aggs = [F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n")] + list(extra_aggs or [])
-    stats = tagged.groupBy(file_col, block_col).agg(*aggs).checkpoint(eager=True)
+    stats = materialize(tagged.groupBy(file_col, block_col).agg(*aggs), "split-stats")
     w = Window.partitionBy(file_col).orderBy(block_col) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offs = stats.select(file_col, block_col, "_m0",

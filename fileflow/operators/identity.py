@@ -1,10 +1,11 @@
-"""Dense 0..n-1 indexes without a single-task sort (W2 identities, P7 row ids).
-
-``monotonically_increasing_id`` packs (partition index << 33) + position-in-partition. Counting
-rows per partition gives a table with one row per partition — its size is bounded by the
-partition count, so broadcasting it is safe — whose prefix sum turns the packed id into a
-dense index. The lineage must replay identically, so inputs that come out of a shuffle are
-cut first with ``checkpoint()`` (stored under ``spark.checkpoint.dir``).
+"""Dense 0..n-1 indexes without a single-task sort (W2 identities).
+
+The input (sorted by ``order_by`` when given — a distributed range-partitioned sort, never
+one task) is written once as Parquet under the shared checkpoint folder. Spark names each
+output file after the task partition that wrote it (``part-<n>-...``), so partition order is
+file order, and Parquet's ``_metadata.row_index`` is the position inside a file. A row count
+per file (one row per file: size bounded by the file count, so broadcasting it is safe) and
+its running sum give every file's offset: index = offset + row_index.
 """
 
 from __future__ import annotations
@@ -12,29 +13,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_MASK = (1 << 33) - 1
+from fileflow.session import scratch_path
 
 
 def dense_index(df: DataFrame, name: str = "idx", start: int = 0,
-                order_by: list[str] | None = None, cut_lineage: bool = True) -> DataFrame:
-    """Add ``name`` = start, start+1, ... over ``df``.
-
-    With ``order_by`` the indexes follow that order (a distributed range-partitioned sort,
-    never one task); otherwise they follow the input's own order (file order for scans).
-    """
+                order_by: list[str] | None = None) -> DataFrame:
+    """Add ``name`` = start, start+1, ... over ``df`` (in ``order_by`` order when given,
+    else in the input's own order)."""
+    spark = df.sparkSession
     src = df.orderBy(*order_by) if order_by else df
-    if cut_lineage:
-        src = src.checkpoint(eager=True)
-    tagged = src.withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.withColumn("_part", F.shiftright(F.col("_mid"), 33)) \
-        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK)))
-    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    path = scratch_path(spark, "dense-index")
+    src.write.mode("overwrite").parquet(path)
+    back = spark.read.parquet(path)
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("long")
+    tagged = back.select("*", part.alias("_part"), F.col("_metadata.file_name").alias("_fname"),
+                         F.col("_metadata.row_index").alias("_pos"))
+    sizes = tagged.groupBy("_part", "_fname").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_part", "_fname").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))) \
-        .select("_part", "_off")
-    out = tagged.join(F.broadcast(offsets), "_part", "left") \
+        .select("_fname", "_off")
+    out = tagged.join(F.broadcast(offsets), "_fname", "left") \
         .withColumn(name, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("long"))
-    return out.drop("_mid", "_part", "_pos", "_off")
+    return out.drop("_part", "_fname", "_pos", "_off")
 
 
 def next_identity(current: DataFrame, col: str) -> int:

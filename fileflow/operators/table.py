@@ -22,7 +22,7 @@ import json
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -95,7 +95,8 @@ class SnapshotTable:
                 versions, schema.json(), rows, inserted, updated)]
         self.spark.createDataFrame(row, _LOG_SCHEMA).coalesce(1).write.mode("append") \
             .parquet(self.log_path)
-        self._latest = None
+        # this object just wrote the newest row: keep it instead of re-reading the log
+        self._latest = Row(**dict(zip([f.split()[0] for f in _LOG_SCHEMA.split(", ")], row[0])))
         return version
 
     def create_if_absent(self, schema: StructType) -> bool:
@@ -136,9 +137,10 @@ class SnapshotTable:
         h = self.head()
         target = self.read()
         # wide mode: the table evolves by name, new source columns start out NULL
-        for f in source.schema.fields:
-            if f.name not in target.columns:
-                target = target.withColumn(f.name, F.lit(None).cast(f.dataType))
+        missing = [f for f in source.schema.fields if f.name not in target.columns]
+        if missing:
+            target = target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name)
+                                          for f in missing])
         if source.isEmpty():
             return 0, 0
         m = merge(target, source, keys, order_by, strategy, keep_target=keep_target)

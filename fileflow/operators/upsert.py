@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, BinaryType
 
+from fileflow.session import materialize
+
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
@@ -141,10 +143,10 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str],
     red = reduce_source(source, keys, order)
 
     if strategy == "auto":
-        # the reduced source is written once (reliable checkpoint under spark.checkpoint.dir):
-        # the size check and the join both read it, so the dedup aggregate runs once and the
-        # merge restarts from here if an executor is lost
-        red = red.checkpoint(eager=True)
+        # the reduced source is written once to the shared checkpoint folder: the size check
+        # and the join both read it, so the dedup aggregate runs once and the merge restarts
+        # from here if an executor is lost
+        red = materialize(red, "merge-source")
         n, b = measure(red)
         strategy = "broadcast" if (n <= max_broadcast_rows and b <= max_broadcast_bytes) \
             else "shuffle"
@@ -160,11 +162,10 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str],
         upd = t.join(F.broadcast(s), keys, "left")
         existing = t.select(*keys).join(F.broadcast(s.select(*keys)), keys, "left_semi") \
             .distinct()
-        ins = s.join(F.broadcast(existing), keys, "left_anti").withColumn("_t", F.lit(None)
-                                                                           .cast("boolean"))
-        for c in t_cols:
-            if c not in keys:
-                ins = ins.withColumn(f"_t_{c}", F.lit(None).cast(target.schema[c].dataType))
+        ins = s.join(F.broadcast(existing), keys, "left_anti")
+        ins = ins.select("*", F.lit(None).cast("boolean").alias("_t"),
+                         *[F.lit(None).cast(target.schema[c].dataType).alias(f"_t_{c}")
+                           for c in t_cols if c not in keys])
         joined = upd.unionByName(ins, allowMissingColumns=True)
     else:
         joined = t.join(s, keys, "full_outer")

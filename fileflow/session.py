@@ -82,6 +82,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/fileflow-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, label: str = "cut"):
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint folder and reading
+    it back. Unlike an eager ``checkpoint()`` (which computes the plan once to count and
+    again to save), the plan runs once; the read-back is a columnar scan that survives the
+    loss of any executor."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python's os functions can use the path (tests only)."""
     return path[5:] if path.startswith("file:") else path
@@ -91,5 +102,5 @@ def is_local_fs(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["get_session", "apply_defaults", "checkpoint_dir", "scratch_path", "local_path",
-           "is_local_fs", "os"]
+__all__ = ["get_session", "apply_defaults", "checkpoint_dir", "scratch_path", "materialize",
+           "local_path", "is_local_fs", "os"]

@@ -29,6 +29,7 @@ from fileflow.functions.strings import normalize_names
 from fileflow.operators.clean import (add_audit, coerce_dates, drop_empty_rows, null_na_tokens,
                                       strip_strings)
 from fileflow.functions.paths import extension, relative_path
+from fileflow.session import materialize
 
 ROW_SCHEMA = ("path string, sheet_idx int, sheet string, row_idx long, "
               "cells array<string>, kinds array<string>")
@@ -196,9 +197,9 @@ def read_excel(spark: SparkSession, files: DataFrame | str | list[str], *,
     rejects = files.filter(~F.col("_ext").isin(READABLE)).select(
         F.col("path").alias("source_file"),
         F.lit("binary workbook format not supported").alias("reason"))
-    # parse once: the sheet rows are cut from their lineage (reliable checkpoint under
-    # spark.checkpoint.dir), so the header job and the main job do not parse twice
-    rows = sheet_rows(files.filter(F.col("_ext").isin(READABLE))).checkpoint(eager=True)
+    # parse once: the sheet rows are written to the shared checkpoint folder, so the header
+    # job and the main job do not parse twice
+    rows = materialize(sheet_rows(files.filter(F.col("_ext").isin(READABLE))), "sheet-rows")
     all_sheets = sheet is None
     if all_sheets:
         header_row, skip_rows, date_columns = 0, 0, ()
