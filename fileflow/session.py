@@ -90,7 +90,7 @@ def materialize(df, label: str = "cut"):
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_path(path: str) -> str:
