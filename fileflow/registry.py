@@ -160,7 +160,8 @@ _LIST_SQL = "\nUNION ALL ".join(
 
 @register("list_datasets", _LIST_SQL)
 def q_list_datasets(spark, sf):
-    return catalog.list_datasets(spark, {t: load(spark, sf, t) for t in TABLES})
+    ds = catalog.list_datasets(spark, {t: load(spark, sf, t) for t in TABLES})
+    return ds.withColumn("last_loaded", F.col("last_loaded").cast("timestamp_ntz"))
 
 
 @register("kpi_totals", f"""
@@ -1015,5 +1016,6 @@ def q_param_query(spark, sf):
     f"SELECT '{t}' AS \"Dataset\", count(*) AS \"Row Count\", "
     f"CAST(NULL AS TIMESTAMP) AS \"Last Loaded\" FROM {t}" for t in TABLES))
 def q_status_table(spark, sf):
-    return catalog.status_table(catalog.list_datasets(spark, {t: load(spark, sf, t)
-                                                              for t in TABLES}))
+    st = catalog.status_table(catalog.list_datasets(spark, {t: load(spark, sf, t)
+                                                            for t in TABLES}))
+    return st.withColumn("Last Loaded", F.col("Last Loaded").cast("timestamp_ntz"))
