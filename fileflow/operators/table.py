@@ -143,6 +143,8 @@ class SnapshotTable:
                                           for f in missing])
         if source.isEmpty():
             return 0, 0
+        if strategy == "auto" and h is not None and h.rows == 0:
+            strategy = "insert"      # the log says the table is empty: nothing to match
         m = merge(target, source, keys, order_by, strategy, keep_target=keep_target)
         # counts ride along the write through an Observation: the merge runs once
         obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")

@@ -142,7 +142,10 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str],
     nulls = source.filter(_null_key(keys))
     red = reduce_source(source, keys, order)
 
-    if strategy == "auto":
+    if strategy == "insert":
+        # the caller knows the target is empty: every reduced row is an insert, no join
+        pass
+    elif strategy == "auto":
         # the reduced source is written once to the shared checkpoint folder: the size check
         # and the join both read it, so the dedup aggregate runs once and the merge restarts
         # from here if an executor is lost
@@ -158,7 +161,11 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str],
                       F.lit(True).alias("_t"))
     matched = F.col("_m").isNotNull() & F.col("_t").isNotNull()
 
-    if strategy == "broadcast":
+    if strategy == "insert":
+        joined = s.select("*", F.lit(None).cast("boolean").alias("_t"),
+                          *[F.lit(None).cast(target.schema[c].dataType).alias(f"_t_{c}")
+                            for c in t_cols if c not in keys])
+    elif strategy == "broadcast":
         upd = t.join(F.broadcast(s), keys, "left")
         existing = t.select(*keys).join(F.broadcast(s.select(*keys)), keys, "left_semi") \
             .distinct()
