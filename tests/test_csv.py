@@ -122,3 +122,10 @@ def test_empty_folder(spark, scratch):
     write(f"{scratch}/empty/e.csv", "")
     r = read_csv(spark, f"{scratch}/empty")
     assert r.data.count() == 0
+
+
+def test_counts_work_on_rejects_and_declared_schema(spark, scratch):
+    from pyspark.sql.types import StructType
+    write(f"{scratch}/r.csv", "a,b\n1,2\n3,4,5\n6\n")
+    r = read_csv(spark, scratch, schema=StructType.fromDDL("a long, b long"))
+    assert r.data.count() == 2 and r.rejects.count() == 1
