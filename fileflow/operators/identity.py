@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 
 from fileflow.session import scratch_path
 
+BROADCAST_MAX_FILES = 1_000_000
+
 
 def dense_index(df: DataFrame, name: str = "idx", start: int = 0,
                 order_by: list[str] | None = None) -> DataFrame:
     """Add ``name`` = start, start+1, ... over ``df`` (in ``order_by`` order when given,
     else in the input's own order)."""
     spark = df.sparkSession
-    src = df.orderBy(*order_by) if order_by else df
+    src = df.orderBy(*order_by) if order_by else df   # names or Column sort orders
     path = scratch_path(spark, "dense-index")
     src.write.mode("overwrite").parquet(path)
     back = spark.read.parquet(path)
@@ -32,7 +34,10 @@ def dense_index(df: DataFrame, name: str = "idx", start: int = 0,
     w = Window.orderBy("_part", "_fname").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))) \
         .select("_fname", "_off")
-    out = tagged.join(F.broadcast(offsets), "_fname", "left") \
+    # one row per written file; check the file count before broadcasting it
+    if len(back.inputFiles()) <= BROADCAST_MAX_FILES:
+        offsets = F.broadcast(offsets)
+    out = tagged.join(offsets, "_fname", "left") \
         .withColumn(name, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("long"))
     return out.drop("_part", "_fname", "_pos", "_off")
 

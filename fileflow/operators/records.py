@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_PAGE = 5000
+TOPK_MAX = 100_000          # offset + limit above this: numbered by a distributed sort
 
 
 def _bound(df: DataFrame, time_col: str, day: str, plus_days: int = 0) -> Column:
@@ -58,7 +59,8 @@ def page(df: DataFrame, order_by: list[str] | None = None, limit: int = 100, off
     ``order_by`` defaults to all columns, which makes the order total (survey Q5). The top
     ``offset + limit`` rows are taken with a bounded top-k (TakeOrderedAndProject), so no
     global sort or single-partition window ever sees the whole table; ``rn`` is numbered
-    over those few rows only.
+    over those few rows only. Past ``TOPK_MAX`` rows the page comes from a distributed sort
+    with dense row numbers instead, so memory per task stays bounded at any depth.
     """
     if not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"limit must be within 1..{MAX_PAGE}")
@@ -66,6 +68,14 @@ def page(df: DataFrame, order_by: list[str] | None = None, limit: int = 100, off
         raise ValueError("offset must be >= 0")
     keys = list(order_by) if order_by else list(df.columns)
     ordered = [F.col(k).asc_nulls_last() for k in keys]
+    if offset + limit > TOPK_MAX:
+        # deep page: a top-k heap of offset+limit rows per task would not be bounded; number
+        # the rows with a distributed sort instead (written once, no single-task step)
+        from fileflow.operators.identity import dense_index
+        idx = dense_index(df, "_rn", start=1, order_by=ordered)
+        out = idx.filter((F.col("_rn") > offset) & (F.col("_rn") <= offset + limit))
+        out = out.orderBy("_rn")
+        return out.withColumnRenamed("_rn", "rn") if with_rn else out.drop("_rn")
     if not with_rn:
         return df.orderBy(*ordered).offset(offset).limit(limit)
     top = df.orderBy(*ordered).limit(offset + limit)

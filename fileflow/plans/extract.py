@@ -36,17 +36,15 @@ def extract(spark: SparkSession, lake: Lake, source_root: str, run_date: str, ru
     lake.bootstrap()
     when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     files = discover.scan(spark, source_root)
-    ok, rejected = discover.size_guard(files, max_mb)
     if strict:
-        discover.strict(rejected)
-    n_found = files.count()
-    if n_found == 0:
-        return ExtractResult(0, 0, 0, 0)
-    # only accepted files are opened: their paths (file metadata) go to one binaryFile load,
-    # so a file over the size limit is never read
-    accepted = [r.path for r in ok.select("path").collect()]
+        discover.strict(discover.size_guard(files, max_mb)[1])
+    # one job lists the accepted paths and counts the rest (file metadata only)
+    listing = files.select("path", discover.size_ok(max_mb).alias("_ok")).collect()
+    n_found = len(listing)
+    accepted = [r.path for r in listing if r._ok]
+    n_rejected = n_found - len(accepted)
     if not accepted:
-        return ExtractResult(n_found, rejected.count(), 0, 0)
+        return ExtractResult(n_found, n_rejected, 0, 0)
     raw = spark.read.format("binaryFile").load(accepted)
     incoming = raw.select(
         "path", relative_path("path", source_root).alias("rel_path"),
@@ -77,4 +75,4 @@ def extract(spark: SparkSession, lake: Lake, source_root: str, run_date: str, ru
                                      "size_bytes"),
                        lake.manifests, run_date,
                        F.lit(when.strftime("%Y-%m-%dT%H:%M:%S")))
-    return ExtractResult(n_found, rejected.count(), landed_n, skipped.count())
+    return ExtractResult(n_found, n_rejected, landed_n, len(accepted) - landed_n)

@@ -57,12 +57,18 @@ def scan(spark: SparkSession, root: str, extensions: list[str] | None = None,
     return out
 
 
+def size_ok(max_mb: float = MAX_FILE_SIZE_MB, max_bytes: int | None = None):
+    """The S2 predicate: size unknown or within the limit."""
+    limit = int(max_bytes if max_bytes is not None else max_mb * 1024 * 1024)
+    return F.col("size_bytes").isNull() | (F.col("size_bytes") <= F.lit(limit))
+
+
 def size_guard(files: DataFrame, max_mb: float = MAX_FILE_SIZE_MB,
                max_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected-with-reason) by size (S2). Use ``strict`` to raise instead."""
     limit = int(max_bytes if max_bytes is not None else max_mb * 1024 * 1024)
-    big = F.col("size_bytes") > F.lit(limit)
-    ok = files.filter(~big | F.col("size_bytes").isNull())
+    big = ~size_ok(max_bytes=limit)
+    ok = files.filter(~big)
     rej = files.filter(big).withColumn(
         "reason", F.concat(F.lit("file larger than "), F.lit(str(limit)), F.lit(" bytes")))
     return ok, rej

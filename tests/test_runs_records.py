@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from fileflow.operators import records, runs
 from fileflow.schemas import PIPELINE_RUN
 
@@ -63,3 +65,12 @@ def test_page_with_rn(spark):
     import pytest
     with pytest.raises(ValueError):
         records.page(df, ["k"], limit=5001)
+
+
+def test_deep_page_uses_distributed_numbering(spark):
+    from fileflow.operators.records import TOPK_MAX
+    df = spark.range(0, TOPK_MAX + 500).withColumnRenamed("id", "k")
+    p = records.page(df.orderBy(F.rand(7)), ["k"], limit=3, offset=TOPK_MAX, with_rn=True)
+    assert [(r.k, r.rn) for r in p.collect()] == [(TOPK_MAX, TOPK_MAX + 1),
+                                                  (TOPK_MAX + 1, TOPK_MAX + 2),
+                                                  (TOPK_MAX + 2, TOPK_MAX + 3)]
