@@ -37,10 +37,16 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
-def run_files(lake: Lake, run_id: str) -> DataFrame:
-    """Latest bronze copy of every file this run landed."""
-    man = lake.file_manifest.read().filter(F.col("run_id") == run_id).select("storage_path")
-    b = lake.bronze.read().join(man, "storage_path", "left_semi")
+def run_files(lake: Lake, run_id: str, run_date: str | None = None) -> DataFrame:
+    """Latest bronze copy of every file this run landed.
+
+    A filter on the run's partition (``run_date``, pruned) and ``dag_run_id`` (pushed down):
+    no join against the whole bronze history, and content bytes are read only for the rows
+    (and columns) that are used."""
+    b = lake.bronze.read()
+    if run_date is not None:
+        b = b.filter(F.col("run_date") == run_date)
+    b = b.filter(F.col("dag_run_id") == run_id)
     latest = b.groupBy("storage_path").agg(F.max("upload_timestamp").alias("upload_timestamp"))
     return b.join(latest, ["storage_path", "upload_timestamp"], "left_semi")
 
@@ -55,7 +61,7 @@ def transform_load(spark: SparkSession, lake: Lake, run_date: str, run_id: str,
     with an identity ``data_id`` (survey Q2)."""
     record_run(lake, run_id, dag_id, "RUNNING", now=_now())
     try:
-        files = run_files(lake, run_id)
+        files = run_files(lake, run_id, run_date)
         meta = files.agg(F.collect_set("source_root").alias("roots"),
                          F.count_distinct("storage_path").alias("n")).first()
         root = meta.roots[0] if len(meta.roots) == 1 else None
