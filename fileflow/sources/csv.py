@@ -222,14 +222,17 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
                            | F.col("has_quote"))
     # an empty file has no header and no rows: nothing to read
     prof = prof.filter(F.col("size_bytes") > 0)
-    groups = prof.groupBy("encoding", "delimiter", "header_line", "multi_line") \
-        .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    # file metadata only (one row per file, as Spark's own file index holds): grouped on the
+    # driver, so no group of paths ever becomes one giant row inside a task
+    groups: dict[tuple, list[str]] = {}
+    for r in prof.select("encoding", "delimiter", "header_line", "multi_line", "path").collect():
+        groups.setdefault((r.encoding, r.delimiter, r.header_line, bool(r.multi_line)),
+                          []).append(r.path)
     if not groups:
         return _empty(spark)
     parts, rejects = [], []
-    for g in groups:
-        good, rej = _read_group(spark, list(g.paths), g.encoding, g.delimiter,
-                                g.header_line, bool(g.multi_line))
+    for (enc, sep, header, multi), paths_ in sorted(groups.items(), key=lambda kv: kv[1][0]):
+        good, rej = _read_group(spark, sorted(paths_), enc, sep, header, multi)
         parts.append(good)
         rejects.append(rej)
     data = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
