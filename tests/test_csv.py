@@ -129,3 +129,11 @@ def test_counts_work_on_rejects_and_declared_schema(spark, scratch):
     write(f"{scratch}/r.csv", "a,b\n1,2\n3,4,5\n6\n")
     r = read_csv(spark, scratch, schema=StructType.fromDDL("a long, b long"))
     assert r.data.count() == 2 and r.rejects.count() == 1
+
+
+def test_nullable_integers_stay_bigint(spark, scratch):
+    # survey Q6: pandas would turn an int column with gaps into float; we keep bigint
+    write(f"{scratch}/n.csv", "id,qty\n1,5\n2,\n3,7\n")
+    r = read_csv(spark, scratch)
+    assert dict(r.data.dtypes)["qty"] == "bigint"
+    assert sorted((x.id, x.qty) for x in r.data.collect()) == [(1, 5), (2, None), (3, 7)]

@@ -97,3 +97,13 @@ def test_run_record_merge(spark):
     assert rows["r1"].status == "FAILED" and len(rows["r1"].error_message) == 4000
     assert rows["r2"].start_time == now and rows["r2"].end_time is None
     assert rows["r2"].error_message is None
+
+
+def test_natural_keys_must_be_a_list(spark):
+    # survey Q16: a key string must not be iterated character by character
+    import pytest
+    t = spark.createDataFrame([(1, 0, "a")], SCHEMA)
+    with pytest.raises(TypeError):
+        merge(t, t, "k")
+    with pytest.raises(ValueError):
+        merge(t, t, ["nope"])
