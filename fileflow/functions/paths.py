@@ -10,6 +10,15 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def metadata_path() -> Column:
+    """``_metadata.file_path`` decoded to the plain form ``binaryFile`` reports.
+
+    The metadata column is a percent-encoded URI ('a b.csv' -> 'a%20b.csv'); '+' is literal
+    in a URI path, so it is protected before URL-decoding (which would read it as a space)."""
+    raw = F.col("_metadata.file_path")
+    return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+
+
 def file_name(path: Column | str) -> Column:
     """Last path segment."""
     return F.element_at(F.split(_c(path), "/"), -1)

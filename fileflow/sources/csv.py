@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from fileflow.functions.paths import relative_path
+from fileflow.functions.paths import metadata_path, relative_path
 from fileflow.operators.clean import (BLOCK_COL, FILE_COL, add_audit, coerce_dates,
                                       drop_empty_rows, null_na_tokens, split_offsets,
                                       strip_strings)
@@ -64,7 +64,7 @@ def _read_group(spark: SparkSession, paths: list[str], encoding: str, delimiter:
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .option("enforceSchema", "true")
           .csv(paths))
-    df = df.select("*", F.col("_metadata.file_path").alias(FILE_COL),
+    df = df.select("*", metadata_path().alias(FILE_COL),
                    F.col("_metadata.file_block_start").alias(BLOCK_COL))
     # survey Q7b: a line with more fields than the header is dropped (to rejects); a short
     # line is kept and padded with NULLs.

@@ -137,3 +137,10 @@ def test_nullable_integers_stay_bigint(spark, scratch):
     r = read_csv(spark, scratch)
     assert dict(r.data.dtypes)["qty"] == "bigint"
     assert sorted((x.id, x.qty) for x in r.data.collect()) == [(1, 5), (2, None), (3, 7)]
+
+
+def test_source_file_keeps_plain_path(spark, scratch):
+    # _metadata.file_path is percent-encoded; source_file must match the listed path
+    write(f"{scratch}/a b/f ü%1+2.csv", "x\n1\n")
+    r = read_csv(spark, scratch, root=scratch)
+    assert [x.source_file for x in r.data.collect()] == ["a b/f ü%1+2.csv"]
