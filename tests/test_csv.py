@@ -144,3 +144,4 @@ def test_source_file_keeps_plain_path(spark, scratch):
     write(f"{scratch}/a b/f ü%1+2.csv", "x\n1\n")
     r = read_csv(spark, scratch, root=scratch)
     assert [x.source_file for x in r.data.collect()] == ["a b/f ü%1+2.csv"]
+
