@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, quality
+from . import bpe, decontam, minhash, pii, quality
 from .common import table
 
 QUERIES: dict = {}
@@ -28,6 +28,14 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return (found.select("doc_id", F.explode("leaks").alias("x"))
+            .select("doc_id", "x.item_id", "x.start", "x.end", "x.windows", "x.edits"))
+
+
 @query
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,3 +53,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.detect(docs)
+    kinds = [F.expr(f"size(filter(base_spans, s -> s.kind = '{k}'))").cast("long")
+             .alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *kinds, F.sha2(pii.written("base_spans"), 256)
+                        .alias("base_sha256"), pii.written("spans").alias("spans"))
