@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, minhash, pii, quality
+from . import bpe, decontam, minhash, nndescent, pii, quality
 from .common import table
 
 QUERIES: dict = {}
@@ -23,6 +23,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 @query
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
