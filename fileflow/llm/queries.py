@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, minhash, nndescent, pii, quality
+from . import bpe, decontam, minhash, nndescent, pii, quality, rlbwt
 from .common import table
 
 QUERIES: dict = {}
@@ -41,6 +41,16 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
             .select("doc_id", "x.item_id", "x.start", "x.end", "x.windows", "x.edits"))
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = rlbwt.dedup(docs)
+    return out.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.expr("aggregate(removed, 0L, (a, x) -> a + x.end - x.start)").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
