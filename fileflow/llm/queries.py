@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, minhash, nndescent, pii, quality, rlbwt
+from . import backoff, bpe, decontam, minhash, nndescent, pii, quality, rlbwt, unigram
 from .common import table
 
 QUERIES: dict = {}
@@ -33,6 +33,13 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return unigram.token_counts(docs, tokenizer_path("piece_bpe_32k.model")).select(
+        "doc_id", "n_tokens")
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -60,6 +67,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -162,7 +162,7 @@ class RunIndex:
         while width < depth and rank[order[-1]] + 1 < n:
             self.levels.append((width, rank))
             after = np.full(n, n, np.int64)       # past the end: last, like the cut byte
-            after[:n - width] = rank[width:]
+            after[:max(0, n - width)] = rank[width:]
             order, rank = self._ranks(rank * (n + 1) + after)
             width *= 2
         if not self.levels:
