@@ -36,7 +36,7 @@ CHUNKS, CHUNK = 14, 5
 SYMBOLS = CHUNKS * CHUNK
 #: Pairs of signatures that differ in at most so many symbols always become candidates.
 MAX_DISTANCE = 2 * CHUNKS - 1
-BLOCK = 1 << 18               # shingles (plus 256 a document) in a block of documents
+BLOCK = 1 << 19               # shingles (plus 256 a document) in a block of documents
 MATRIX = 1 << 23              # cells of a dense block matrix
 BROADCAST_IDS = 500_000       # ids that may be broadcast: 8 bytes each
 _MUL, _XOR = odd_constants(SYMBOLS, 101), odd_constants(SYMBOLS, 202)
