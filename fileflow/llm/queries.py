@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, bpe, decontam, minhash, nndescent, pii, quality, rlbwt, unigram
+from . import backoff, bpe, decontam, minhash, nndescent, pii, quality, rlbwt, toolcalls, unigram
 from .common import table
 
 QUERIES: dict = {}
@@ -28,6 +28,71 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nndescent.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+#: Schema of the tool that the derived messages call.
+REPLY = [("reply", "after", "string", False), ("reply", "text", "string", True),
+         ("reply", "turn", "integer", True), ("reply", "urgent", "boolean", False)]
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Tool messages derived from a chat: each user turn is a call of ``reply`` that refers to
+    the call two turns before it, each assistant turn is the result for the turn before it."""
+    call_id = F.concat(F.lit("call_"), "conv_id", F.lit("_"), "turn")
+    args = F.to_json(F.struct(
+        F.col("turn"), F.coalesce("text", F.lit("")).alias("text"),
+        F.when(F.col("turn") >= 2, F.concat(F.lit("$call_"), "conv_id", F.lit("_"),
+                                            F.col("turn") - 2)).alias("after")))
+    calls = conversations.where("role = 'user'").select(
+        "conv_id", "turn", F.lit("assistant").alias("role"),
+        F.concat(F.lit('{"tool_calls": [{"name": "reply", "id": "'), call_id,
+                 F.lit('", "arguments": '), args, F.lit("}]}")).alias("text"))
+    results = conversations.where("role = 'assistant'").select(
+        "conv_id", "turn", F.lit("tool").alias("role"),
+        F.concat(F.lit('{"tool_call_id": "call_'), "conv_id", F.lit("_"),
+                 F.col("turn") - 1, F.lit('", "content": {"chars": '),
+                 F.coalesce(F.length("text"), F.lit(0)), F.lit("}}")).alias("text"))
+    return calls.union(results)
+
+
+@query
+def op2_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schemas = spark.createDataFrame(REPLY, "name string, param string, type string, "
+                                           "required boolean")
+    return toolcalls.link(tool_messages(table(spark, sf_dir, "conversations")), schemas)
+
+
+ORACLE["op2_tool_call_linking"] = """
+with calls as (
+    select conv_id, turn, coalesce(text, '') as text,
+           'call_' || conv_id || '_' || turn as call_id,
+           row_number() over (partition by conv_id, turn % 2 order by turn) - 1 as level
+    from conversations where role = 'user'),
+results as (
+    select conv_id, turn, 'call_' || conv_id || '_' || (turn - 1) as call_id,
+           coalesce(length(text), 0) as chars
+    from conversations where role = 'assistant')
+select coalesce(c.conv_id, r.conv_id) as conv_id, coalesce(c.turn, r.turn) as turn,
+       cast(0 as integer) as idx, coalesce(c.call_id, r.call_id) as call_id,
+       case when c.call_id is not null then 'reply' end as name,
+       case when c.call_id is null then 'orphan_result'
+            when r.call_id is null then 'missing_result' else 'ok' end as status,
+       cast(case when c.call_id is not null then c.level end as integer) as level,
+       case when c.call_id is not null and c.turn >= 2 and p.call_id is null
+            then 'unresolved:call_' || c.conv_id || '_' || (c.turn - 2) else '' end as errors,
+       case when c.call_id is null
+            then '{"id":"' || r.call_id || '","result":{"chars":' || r.chars || '}}'
+            else '{"arguments":{' ||
+                 case when c.turn >= 2
+                      then '"after":"$call_' || c.conv_id || '_' || (c.turn - 2) || '",'
+                      else '' end ||
+                 '"text":' || cast(to_json(c.text) as varchar) || ',"turn":' || c.turn ||
+                 '},"id":"' || c.call_id || '","name":"reply","result":' ||
+                 case when r.call_id is null then 'null'
+                      else '{"chars":' || r.chars || '}' end || '}' end as json
+from calls c full outer join results r on r.call_id = c.call_id
+left join calls p on p.conv_id = c.conv_id and p.turn = c.turn - 2
+"""
+
+
 @query
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
