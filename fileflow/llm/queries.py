@@ -134,7 +134,78 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff.scores(table(spark, sf_dir, "documents"))
+    out = backoff.scores(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"))
+
+
+#: Words: runs of characters that are not ASCII white space, A-Z in lower case.
+_WORDS = r"""
+words as (
+    select doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+    from documents)"""
+
+ORACLE["op8_lm_scoring"] = f"""
+with {_WORDS},
+pos as (select doc_id, i, w[i] as c, case when i > 1 then w[i - 1] end as b,
+               case when i > 2 then w[i - 2] end as a
+        from (select doc_id, w, unnest(range(1, len(w) + 1)) as i from words)),
+uni as (select c, count(*) as n from pos group by 1),
+bi as (select b, c, count(*) as n from pos where b is not null group by 1, 2),
+tri as (select a, b, c, count(*) as n from pos where a is not null group by 1, 2, 3),
+scored as (
+    select p.doc_id,
+           case when t.n >= 2 then ln(t.n / x.n)
+                when y.n >= 2 then ln(y.n / v.n) + case when p.i > 2 then ln(0.4) else 0 end
+                else ln(u.n / (select sum(n) from uni)) + least(p.i - 1, 2) * ln(0.4) end as s
+    from pos p join uni u on u.c = p.c left join uni v on v.c = p.b
+    left join bi y on y.b = p.b and y.c = p.c left join bi x on x.b = p.a and x.c = p.b
+    left join tri t on t.a = p.a and t.b = p.b and t.c = p.c)
+select w.doc_id, cast(len(w.w) as bigint) as n_words,
+       round(coalesce(s.s, 0.0), 4) as log_score
+from words w left join (select doc_id, sum(s) as s from scored group by 1) s using (doc_id)
+"""
+
+_REACH = """
+reach(id, node) as (
+    select {id}, {id} from {nodes} union
+    select r.id, l.b from reach r join both_ways l on l.a = r.node),
+low as (select id, min(node) as component_id from reach group by 1)"""
+
+ORACLE["op1_embedding_near_dedup"] = f"""
+with recursive good as (
+    select vec_id, label, cast(embedding as double[]) as x from embeddings
+    where label is not null and embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0
+      and len(list_filter(embedding, lambda v: v <> 0)) > 0),
+both_ways as (
+    select p.vec_id as a, q.vec_id as b from good p join good q
+    on p.label = q.label and len(p.x) = len(q.x) and p.vec_id <> q.vec_id
+    and list_cosine_similarity(p.x, q.x) >= 0.93),
+{_REACH.format(id="vec_id", nodes="embeddings")}
+select e.vec_id, coalesce(n.n, 0) as n_links, l.component_id, e.vec_id = l.component_id as kept,
+       cast(1.0 as double) as recall
+from embeddings e join low l on l.id = e.vec_id
+left join (select a, count(*) as n from both_ways group by 1) n on n.a = e.vec_id
+"""
+
+ORACLE["op3_minhash_near_dedup"] = f"""
+with recursive {_WORDS},
+sets as (
+    select doc_id, case when len(w) >= 4 then list_distinct(list_transform(
+               range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+           when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from words),
+shingles as (select doc_id, len(s) as n, unnest(s) as x from sets),
+shared as (
+    select p.doc_id as a, q.doc_id as b, any_value(p.n) as n, any_value(q.n) as m, count(*) as k
+    from shingles p join shingles q on p.x = q.x and p.doc_id <> q.doc_id group by 1, 2),
+both_ways as (select a, b from shared where 100 * k >= 80 * (n + m - k)),
+{_REACH.format(id="doc_id", nodes="documents")}
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, l.component_id,
+       s.doc_id = l.component_id as kept
+from sets s join low l on l.id = s.doc_id
+"""
 
 
 @query
