@@ -8,7 +8,6 @@ local-test case.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -23,6 +22,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # single-byte fallback for CSV decoding may be windows-1252 (survey Q8)
     "spark.sql.legacy.javaCharsets": "true",
+    # bytes without a character in the file's charset become U+FFFD instead of failing the job
+    "spark.sql.legacy.codingErrorAction": "true",
 }
 
 
@@ -44,7 +45,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("FATAL")
+    spark.sparkContext.setLogLevel("ERROR")
     apply_defaults(spark)
     return spark
 
@@ -70,6 +71,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="fileflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -93,14 +96,4 @@ def materialize(df, label: str = "cut"):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python's os functions can use the path (tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def is_local_fs(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-__all__ = ["get_session", "apply_defaults", "checkpoint_dir", "scratch_path", "materialize",
-           "local_path", "is_local_fs", "os"]
+__all__ = ["get_session", "apply_defaults", "checkpoint_dir", "scratch_path", "materialize"]

@@ -3,16 +3,19 @@
 
 Plan
 ----
-1. ``profile`` job: one row per file (encoding, delimiter, header line, quotes seen).
-2. Files are grouped by (encoding, delimiter, header line, quoting). Only the group keys and
-   their path lists reach the driver (file metadata). Each group is one ``spark.read.csv``
-   over all its files with a declared all-string schema, so a file never borrows another
-   file's header (Spark's multi-file CSV read would apply one header by position).
-3. Groups are unioned by normalised column name; NA tokens become NULL; fully empty rows are
-   dropped; row ids are assigned per file without any single-task sort.
-4. Type inference is one aggregate pass over the union (bigint -> double -> boolean ->
-   string); pass ``schema`` to skip it.
-5. Strings are stripped, listed date columns coerced, audit columns added.
+1. ``profile`` job: one row per file (encoding, delimiter, header record, line breaks in quotes).
+2. The files' bytes, from the folder or from bronze, are decoded and written once as UTF-8 text
+   under the shared folder, partitioned by (layout, file). A layout is (delimiter, header,
+   multi_line); only the distinct layouts reach the driver. Each layout is one
+   ``spark.read.csv`` over its folder with a declared all-string schema, so a file never
+   borrows another file's header, and files without quoted line breaks are read split-wise
+   whatever their encoding was.
+3. Layouts are unioned by normalised column name; NA tokens become NULL; fully empty rows are
+   dropped. The parsed rows are written once; row ids (per file, no single-task sort) and type
+   inference (bigint -> double -> boolean -> string; ``schema`` skips it) both read them.
+4. Strings are stripped, listed date columns coerced, audit columns added.
+
+Quotes follow the usual rule: a doubled quote inside quotes is one quote; a backslash is text.
 """
 
 from __future__ import annotations
@@ -26,15 +29,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from fileflow.functions.paths import metadata_path, relative_path
+from fileflow.functions.paths import relative_path
 from fileflow.operators.clean import (BLOCK_COL, FILE_COL, add_audit, coerce_dates,
                                       drop_empty_rows, null_na_tokens, split_offsets,
                                       strip_strings)
 from fileflow.functions.strings import normalize_names
-from fileflow.sources.profile import FALLBACK_ENCODING, profile_content
+from fileflow.session import materialize, scratch_path
+from fileflow.sources.profile import FALLBACK_ENCODING, QUOTED, decoded, with_profile
 
 CORRUPT = "_corrupt_record"
+LAYOUT, SOURCE = "_g", "_src"
+MAX_BROADCAST_FILES = 500_000
 _INT_RE = r"^[+-]?[0-9]+$"
+# what a number looks like in text; a bare cast would also take Java suffixes (12D, 7F)
+_DOUBLE_RE = (r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+              r"|^[+-]?(?i:inf|infinity)$")
 
 
 @dataclass
@@ -51,64 +60,85 @@ def parse_header(line: str, delimiter: str) -> list[str]:
     return next(_pycsv.reader(io.StringIO(line), delimiter=delimiter))
 
 
-def _read_group(spark: SparkSession, paths: list[str], encoding: str, delimiter: str,
-                header_line: str, multi_line: bool):
+def stage_text(files: DataFrame, fallback: str = FALLBACK_ENCODING) -> str:
+    """Write the decoded text of every file (``path``, ``content``, profile columns) as UTF-8
+    under one scratch folder, in partitions (layout, file); returns the folder."""
+    path = scratch_path(files.sparkSession, "csv-text")
+    files.select(decoded(F.col("content"), F.col("encoding"), fallback).alias("value"),
+                 _layout_id().alias(LAYOUT), _source_id().alias(SOURCE)) \
+        .write.partitionBy(LAYOUT, SOURCE).text(path)
+    return path
+
+
+def _layout_id():
+    return F.concat(F.lit("g"), F.substring(F.sha2(F.concat_ws(
+        "\u0001", "delimiter", F.col("multi_line").cast("string"), "header_line"), 256), 1, 32))
+
+
+def _source_id():
+    # a hash, since an escaped path can be longer than a folder name may be
+    return F.concat(F.lit("f"), F.substring(F.sha2("path", 256), 1, 40))
+
+
+def too_long(whole, delimiter: str, n: int):
+    """More fields than ``n``: separators outside quoted fields are counted."""
+    sep = "\\" + delimiter if delimiter in "|" else delimiter
+    bare = F.regexp_replace(whole, rf"(?<=^|{sep}){QUOTED}(?={sep}|$)", "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1 > n
+
+
+def _read_layout(spark: SparkSession, stage: str, layout: str, delimiter: str, header_line: str,
+                 multi_line: bool):
     raw_names = parse_header(header_line, delimiter)
     n = max(len(raw_names), 1)
     raw_cols = [f"_c{i}" for i in range(n)]
-    schema = StructType([StructField(c, StringType(), True) for c in raw_cols]
-                        + [StructField(CORRUPT, StringType(), True)])
-    df = (spark.read.schema(schema)
-          .option("header", "true").option("sep", delimiter).option("encoding", encoding)
+    schema = StructType([StructField(c, StringType(), True) for c in
+                         [*raw_cols, CORRUPT, SOURCE]])
+    df = (spark.read.schema(schema).option("basePath", f"{stage}/{LAYOUT}={layout}")
+          .option("header", "true").option("sep", delimiter).option("encoding", "UTF-8")
+          .option("quote", '"').option("escape", '"').option("maxColumns", str(max(20480, 2 * n)))
           .option("multiLine", "true" if multi_line else "false")
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .option("enforceSchema", "true")
-          .csv(paths))
-    df = df.select("*", metadata_path().alias(FILE_COL),
+          .csv(f"{stage}/{LAYOUT}={layout}"))
+    df = df.select(*raw_cols, CORRUPT, F.col(SOURCE).alias(FILE_COL),
                    F.col("_metadata.file_block_start").alias(BLOCK_COL))
     # survey Q7b: a line with more fields than the header is dropped (to rejects); a short
-    # line is kept and padded with NULLs.
-    extra = StructType([StructField(f"x{i}", StringType(), True) for i in range(n + 1)])
-    # the test names every data column (coalesce with the joined row): with column pruning
-    # the parser would not flag long lines, and Spark refuses plans that read only the
-    # corrupt column (e.g. a bare count). ``And`` short-circuits, so only malformed rows
-    # are parsed a second time.
+    # line is kept and padded with NULLs. The test names every data column (coalesce with the
+    # joined row): with column pruning the parser would not flag long lines, and Spark refuses
+    # plans that read only the corrupt column (e.g. a bare count).
     whole = F.coalesce(F.col(CORRUPT), F.concat_ws(delimiter, *raw_cols))
-    parsed = F.from_csv(whole, extra.simpleString(), {"sep": delimiter})
-    too_long = F.col(CORRUPT).isNotNull() & parsed[f"x{n}"].isNotNull()
-    df = df.withColumn("_too_long", too_long)
-    rejects = df.filter("_too_long").select(F.col(FILE_COL).alias("source_file"),
-                                            # every data column stays in the plan: with column
-                                            # pruning the parser would not flag long lines, and
-                                            # Spark refuses plans reading only the corrupt column
-                                            F.coalesce(F.col(CORRUPT),
-                                                       F.concat_ws(delimiter, *raw_cols))
-                                            .alias("line"),
+    df = df.withColumn("_too_long", F.col(CORRUPT).isNotNull() & too_long(whole, delimiter, n))
+    rejects = df.filter("_too_long").select(F.col(FILE_COL), whole.alias("line"),
                                             F.lit("more fields than the header").alias("reason"))
     good = df.filter(~F.col("_too_long")).drop("_too_long", CORRUPT)
     names = normalize_names(raw_names) if raw_names else ["col_0"]
-    good = good.toDF(*names, FILE_COL, BLOCK_COL)
-    return good, rejects
+    return good.toDF(*names, FILE_COL, BLOCK_COL), rejects
 
 
-def infer_types(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """Narrowest type per string column in ONE aggregate pass (survey Q6):
-    bigint, else double, else boolean (true/false), else string. NULLs are ignored; an
-    all-NULL column stays string."""
-    cols = [f.name for f in df.schema.fields
-            if isinstance(f.dataType, StringType) and f.name not in exclude]
-    if not cols:
-        return df
+def _type_flags(cols: list[str]):
+    """Per column: do all values parse as bigint, double, boolean; how many are there."""
     aggs = []
     for i, c in enumerate(cols):
         v = F.trim(F.col(f"`{c}`"))
         nn = v.isNotNull()
         aggs += [F.bool_and(~nn | (v.rlike(_INT_RE) & v.try_cast("bigint").isNotNull()))
                  .alias(f"i{i}"),
-                 F.bool_and(~nn | v.try_cast("double").isNotNull()).alias(f"d{i}"),
+                 F.bool_and(~nn | v.rlike(_DOUBLE_RE)).alias(f"d{i}"),
                  F.bool_and(~nn | F.lower(v).isin("true", "false")).alias(f"b{i}"),
                  F.count(v).alias(f"n{i}")]
-    r = df.agg(*aggs).first()
+    return aggs
+
+
+def infer_types(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """Narrowest type per string column in ONE aggregate pass (survey Q6):
+    bigint, else double, else boolean (true/false), else string. NULLs are ignored; an
+    all-NULL column stays string."""
+    cols = [f.name for f in df.schema.fields
+            if isinstance(f.dataType, StringType) and f.name not in exclude]
+    if not cols:
+        return df
+    r = df.agg(*_type_flags(cols)).first()
     target = {}
     for i, c in enumerate(cols):
         if not r[f"n{i}"]:
@@ -128,28 +158,17 @@ def infer_types(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
 def _row_ids_and_types(data: DataFrame, infer: bool = True) -> DataFrame:
     """Row ids per file (P7) and type inference (Q6) from ONE aggregate pass.
 
-    The per-split aggregate (one row per input split: first id, row count, and per column
-    whether every value parses as bigint / double / boolean) is cut from its lineage with a
-    reliable ``checkpoint`` (it is small: one row per split). Global types are a second,
-    tiny aggregate over it; split offsets are a running sum over it. The main pass joins
-    the offsets back — broadcast, since the row count of the checkpointed table is known
-    and bounded by the number of splits. CSV text is therefore parsed twice in total (stats,
-    then the main pass), not three times.
+    The parsed rows are written once with their ids in task order, so the statistics and the
+    main pass see the same rows and the same splits, whatever settings change in between, and
+    CSV text is parsed once. The per-split aggregate (one row per input split: first id, row
+    count, and per column whether every value parses as bigint / double / boolean) is small;
+    global types are a second, tiny aggregate over it; split offsets are a running sum.
     """
     cols = [f.name for f in data.schema.fields
             if isinstance(f.dataType, StringType) and f.name not in (FILE_COL, BLOCK_COL)] \
         if infer else []
-    tagged = data.withColumn("_mid", F.monotonically_increasing_id())
-    aggs = []
-    for i, c in enumerate(cols):
-        v = F.trim(F.col(f"`{c}`"))
-        nn = v.isNotNull()
-        aggs += [F.bool_and(~nn | (v.rlike(_INT_RE) & v.try_cast("bigint").isNotNull()))
-                 .alias(f"i{i}"),
-                 F.bool_and(~nn | v.try_cast("double").isNotNull()).alias(f"d{i}"),
-                 F.bool_and(~nn | F.lower(v).isin("true", "false")).alias(f"b{i}"),
-                 F.count(v).alias(f"n{i}")]
-    stats, offs = split_offsets(tagged, FILE_COL, BLOCK_COL, aggs)
+    tagged = materialize(data.withColumn("_mid", F.monotonically_increasing_id()), "csv-rows")
+    stats, offs = split_offsets(tagged, FILE_COL, BLOCK_COL, _type_flags(cols))
     target: dict[str, str] = {}
     if cols:
         r = stats.agg(*[F.bool_and(f"{k}{i}").alias(f"{k}{i}") for i in range(len(cols))
@@ -191,48 +210,40 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
              na_tokens: list[str] | None = None, root: str | None = None,
              loaded_at=None, fallback_encoding: str = FALLBACK_ENCODING,
              date_formats: list[str] | None = None,
-             profiles: DataFrame | None = None) -> CsvResult:
+             profiles: bool = False) -> CsvResult:
     """Read, clean and type a set of CSV files into one DataFrame (plus a rejects DataFrame).
 
-    ``paths``: a folder, a list of files, or a DataFrame with ``path`` (and optionally
-    ``content``, e.g. a discovery result). ``source_file`` is the path relative to ``root``
-    when given, else the full path. ``profiles``: per-file profile rows computed earlier
-    (e.g. stored in bronze when the files were landed); then no file bytes are read here
-    except by the CSV parser itself.
+    ``paths``: a folder, a list of files, or a DataFrame with ``path`` and ``content`` (e.g. from
+    bronze; then those bytes are what is parsed). ``source_file`` is the path relative to
+    ``root`` when given, else the full path. ``profiles``: set when ``paths`` already carries
+    the profile columns computed at landing; then the bytes are read once, by the staging step.
     """
-    if profiles is not None:
-        prof = profiles
-    elif isinstance(paths, DataFrame):
+    if isinstance(paths, DataFrame):
         files = paths
         if "content" not in files.columns:
-            plist = [r.path for r in files.select("path").distinct().collect()]
-            if not plist:
-                return _empty(spark)
-            files = spark.read.format("binaryFile").load(plist)
+            raise ValueError("a DataFrame of files must carry their content")
     else:
         plist = [paths] if isinstance(paths, str) else list(paths)
         if not plist:
             return _empty(spark)
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
             .load(plist)
-    if profiles is None:
-        prof = profile_content(files.select("path", "content"), encoding, delimiter,
-                               fallback_encoding)
-    prof = prof.withColumn("multi_line", F.col("encoding").startswith("UTF-16")
-                           | F.col("has_quote"))
+    if not profiles:
+        files = with_profile(files.select("path", "content"), encoding, delimiter,
+                             fallback_encoding)
     # an empty file has no header and no rows: nothing to read
-    prof = prof.filter(F.col("size_bytes") > 0)
-    # file metadata only (one row per file, as Spark's own file index holds): grouped on the
-    # driver, so no group of paths ever becomes one giant row inside a task
-    groups: dict[tuple, list[str]] = {}
-    for r in prof.select("encoding", "delimiter", "header_line", "multi_line", "path").collect():
-        groups.setdefault((r.encoding, r.delimiter, r.header_line, bool(r.multi_line)),
-                          []).append(r.path)
-    if not groups:
+    files = files.filter(F.col("size_bytes") > 0)
+    layouts = files.groupBy(_layout_id().alias("id"), "delimiter", "header_line", "multi_line") \
+        .agg(F.min("path").alias("path")).orderBy("path").collect()
+    if not layouts:
         return _empty(spark)
+    names = materialize(files.select(_source_id().alias(FILE_COL), F.col("path").alias("_path")),
+                        "csv-names")
+    names = F.broadcast(names) if names.count() <= MAX_BROADCAST_FILES else names
+    stage = stage_text(files, encoding or fallback_encoding)
     parts, rejects = [], []
-    for (enc, sep, header, multi), paths_ in sorted(groups.items(), key=lambda kv: kv[1][0]):
-        good, rej = _read_group(spark, sorted(paths_), enc, sep, header, multi)
+    for g in layouts:
+        good, rej = _read_layout(spark, stage, g.id, g.delimiter, g.header_line, g.multi_line)
         parts.append(good)
         rejects.append(rej)
     data = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -243,12 +254,12 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
         data = apply_schema(data, schema)
     data = strip_strings(data, ignore=(FILE_COL, BLOCK_COL))
     data = coerce_dates(data, list(date_columns), date_formats)
-    src = relative_path(FILE_COL, root) if root else F.col(FILE_COL)
-    data = add_audit(data, src, loaded_at).drop(FILE_COL, BLOCK_COL)
-    rj = reduce(DataFrame.unionByName, rejects)
-    if root:
-        rj = rj.withColumn("source_file", relative_path("source_file", root))
-    return CsvResult(data, rj, len(groups))
+    src = relative_path("_path", root) if root else F.col("_path")
+    data = add_audit(data.join(names, FILE_COL), src, loaded_at) \
+        .drop(FILE_COL, BLOCK_COL, "_path")
+    rj = reduce(DataFrame.unionByName, rejects).join(names, FILE_COL) \
+        .select(src.alias("source_file"), "line", "reason")
+    return CsvResult(data, rj, len(layouts))
 
 
 def _empty(spark):
@@ -259,8 +270,10 @@ def _empty(spark):
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
-    """Write a (filtered) record set as CSV with a header row."""
-    w = df.write.mode(mode).option("header", "true")
+    """Write a (filtered) record set as CSV with a header row (S21): quotes are doubled, and
+    blanks around values are kept."""
+    w = df.write.mode(mode).option("header", "true").option("escape", '"') \
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
     for k, v in options.items():
         w = w.option(k, v)
     w.csv(path)

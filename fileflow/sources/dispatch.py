@@ -21,6 +21,14 @@ class ReadResult:
     rejects: DataFrame
 
 
+def _with_content(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Rows with ``content``; a bare listing is read from its paths."""
+    if "content" in files.columns:
+        return files
+    paths = [x.path for x in files.select("path").collect()]
+    return spark.read.format("binaryFile").load(paths).select("path", "content")
+
+
 def read_files(spark: SparkSession, files: DataFrame, *, root: str | None = None,
                date_columns: list[str] | tuple[str, ...] = (), delimiter: str | None = None,
                encoding: str | None = None, sheet: int | str | None = 0, header_row: int = 0,
@@ -33,18 +41,14 @@ def read_files(spark: SparkSession, files: DataFrame, *, root: str | None = None
     parts, rejects = [], []
     if False in kinds:
         # profiles computed at landing (bronze) spare a second read of the CSV bytes
-        prof = texts.select(*PROFILE_COLUMNS) if set(PROFILE_COLUMNS) <= set(texts.columns) \
-            and delimiter is None and encoding is None else None
-        r = read_csv(spark, texts if prof is None else texts.select("path"),
-                     delimiter=delimiter, encoding=encoding, date_columns=date_columns,
-                     root=root, loaded_at=loaded_at, profiles=prof)
+        known = set(PROFILE_COLUMNS) <= set(texts.columns) and delimiter is None \
+            and encoding is None
+        r = read_csv(spark, _with_content(spark, texts), delimiter=delimiter, encoding=encoding,
+                     date_columns=date_columns, root=root, loaded_at=loaded_at, profiles=known)
         parts.append(r.data)
         rejects.append(r.rejects.select("source_file", "reason"))
     if True in kinds:
-        if "content" not in books.columns:
-            plist = [x.path for x in books.select("path").collect()]
-            books = spark.read.format("binaryFile").load(plist)
-        r = read_excel(spark, books, sheet=sheet, header_row=header_row, skip_rows=skip_rows,
+        r = read_excel(spark, _with_content(spark, books), sheet=sheet, header_row=header_row, skip_rows=skip_rows,
                        date_columns=date_columns, root=root, loaded_at=loaded_at)
         parts.append(r.data)
         rejects.append(r.rejects)

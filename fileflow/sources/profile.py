@@ -1,7 +1,8 @@
 """Per-file profile: encoding (S5), delimiter (S6) and header line (survey Q7-Q9).
 
-One Spark job over ``binaryFile`` rows, built-in functions only. Only the first 64 KiB of
-each file are examined. The result has one row per file and is small (file metadata).
+One Spark job over rows that carry ``content``, built-in functions only. The whole content is
+examined: bytes far into a file decide its encoding, and a quoted line break anywhere decides
+that its records must be read across lines. The result has one row per file.
 """
 
 from __future__ import annotations
@@ -9,52 +10,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HEAD_BYTES = 65536
 # Delimiter candidates, in tie-break order.
 DELIMITERS = [",", ";", "\t", "|"]
 FALLBACK_ENCODING = "windows-1252"
+#: A quoted section; doubled quotes stand for one. Possessive: no recursion on long texts.
+QUOTED = r'"(?:[^"]++|"")*+"'
+_FIRST_RECORD = r'^((?:[^"\r\n]++|"(?:[^"]++|"")*+")*+)'
 
 
-def _valid_utf8(b: Column) -> Column:
-    return F.is_valid_utf8(b.cast("string"))
-
-
-def detect_encoding(head: Column, full_len: Column, fallback: str = FALLBACK_ENCODING) -> Column:
-    """BOM -> strict UTF-8 (a multi-byte character cut by the 64 KiB window is allowed)
-    -> ``fallback`` single-byte charset (survey Q8)."""
-    b3 = F.hex(F.substring(head, 1, 3))
-    b2 = F.hex(F.substring(head, 1, 2))
-    n = F.length(head)
-    cut = full_len > n
-    ok = _valid_utf8(head)
-    for k in (1, 2, 3):
-        ok = ok | (cut & (n > k) & _valid_utf8(F.substring(head, 1, n - k)))
+def detect_encoding(content: Column, fallback: str = FALLBACK_ENCODING) -> Column:
+    """BOM -> strict UTF-8 over all bytes -> ``fallback`` single-byte charset (survey Q8)."""
+    b3 = F.hex(F.substring(content, 1, 3))
+    b2 = F.hex(F.substring(content, 1, 2))
     return (F.when(b3 == "EFBBBF", F.lit("UTF-8"))
             .when(b2 == "FFFE", F.lit("UTF-16LE"))
             .when(b2 == "FEFF", F.lit("UTF-16BE"))
-            .when(ok, F.lit("UTF-8"))
+            .when(F.is_valid_utf8(content.cast("string")), F.lit("UTF-8"))
             .otherwise(F.lit(fallback)))
 
 
-def _decoded_head(head: Column, enc: Column) -> Column:
-    """Head text; never raises: UTF-8 is cut back to a valid prefix, UTF-16 to an even length,
-    other encodings are read as ISO-8859-1 (every byte valid; header names are ASCII-like)."""
-    n = F.length(head)
-    utf8 = F.when(_valid_utf8(head), head)
-    for k in (1, 2, 3):
-        utf8 = utf8.when(_valid_utf8(F.substring(head, 1, n - k)), F.substring(head, 1, n - k))
-    utf8_txt = F.decode(F.coalesce(utf8, F.lit(b"").cast("binary")), "UTF-8")
-    even = F.substring(head, 3, n - 2 - ((n - 2) % 2))
-    return (F.when(enc == "UTF-8", utf8_txt)
-            .when(enc == "UTF-16LE", F.decode(even, "UTF-16LE"))
-            .when(enc == "UTF-16BE", F.decode(even, "UTF-16BE"))
-            .otherwise(F.decode(head, "ISO-8859-1")))
+def decoded(content: Column, encoding: Column, fallback: str = FALLBACK_ENCODING) -> Column:
+    """The whole text without its byte order mark; broken bytes become U+FFFD."""
+    text = (F.when(encoding == "UTF-8", F.make_valid_utf8(content.cast("string")))
+            .when(encoding == "UTF-16LE", F.decode(content, "UTF-16LE"))
+            .when(encoding == "UTF-16BE", F.decode(content, "UTF-16BE")))
+    for name in dict.fromkeys([fallback, "ISO-8859-1"]):
+        text = text.when(encoding == name, F.decode(content, name))
+    return F.regexp_replace(text, r"^\x{FEFF}", "")
 
 
 def detect_delimiter(line: Column, candidates: list[str] = DELIMITERS) -> Column:
-    """Candidate occurring most often in the header line; ties -> list order; none -> ','
-    (survey Q9: a single-column file keeps its header intact)."""
-    counts = [(F.length(line) - F.length(F.replace(line, F.lit(d), F.lit("")))) for d in candidates]
+    """Candidate occurring most often in the header outside quotes; ties -> list order; none ->
+    ',' (survey Q9: a single-column file keeps its header intact)."""
+    bare = F.regexp_replace(line, QUOTED, "")
+    counts = [(F.length(bare) - F.length(F.replace(bare, F.lit(d), F.lit("")))) for d in candidates]
     best = F.greatest(*counts)
     out = F.lit(",")
     for d, c in reversed(list(zip(candidates, counts))):
@@ -62,25 +51,27 @@ def detect_delimiter(line: Column, candidates: list[str] = DELIMITERS) -> Column
     return out
 
 
-PROFILE_COLUMNS = ["path", "size_bytes", "encoding", "has_bom", "header_line", "has_quote",
+PROFILE_COLUMNS = ["path", "size_bytes", "encoding", "has_bom", "header_line", "multi_line",
                    "delimiter"]
 
 
 def with_profile(df: DataFrame, encoding: str | None = None, delimiter: str | None = None,
                  fallback: str = FALLBACK_ENCODING) -> DataFrame:
     """Add the profile columns to rows that carry ``content`` (kept alongside, so landing can
-    compute md5 and profile while the bytes are read once)."""
-    head = F.substring("content", 1, HEAD_BYTES)
-    enc = F.lit(encoding) if encoding else detect_encoding(head, F.length("content"), fallback)
-    out = df.withColumn("size_bytes", F.length("content").cast("long")) \
-        .withColumn("_head", head).withColumn("encoding", enc) \
-        .withColumn("has_bom", F.hex(F.substring(head, 1, 3)).startswith("EFBBBF"))
-    txt = _decoded_head(F.col("_head"), F.col("encoding"))
-    line = F.regexp_extract(txt, r"^\x{FEFF}?([^\r\n]*)", 1)
-    out = out.withColumn("header_line", line).withColumn("has_quote", F.contains(txt, F.lit('"')))
-    out = out.withColumn("delimiter", F.lit(delimiter) if delimiter else
-                         detect_delimiter(F.col("header_line")))
-    return out.drop("_head")
+    compute md5 and profile while the bytes are read once).
+
+    ``multi_line``: after taking out quoted sections without line breaks a quote is left."""
+    enc = F.lit(encoding) if encoding else detect_encoding(F.col("content"), fallback)
+    out = df.select("*", F.length("content").cast("long").alias("size_bytes"),
+                    enc.alias("encoding"),
+                    F.hex(F.substring("content", 1, 3)).startswith("EFBBBF").alias("has_bom"))
+    out = out.withColumn("_text", decoded(F.col("content"), F.col("encoding"),
+                                          encoding or fallback))
+    out = out.select("*", F.regexp_extract("_text", _FIRST_RECORD, 1).alias("header_line"),
+                     F.contains(F.regexp_replace("_text", r'"[^"\r\n]*+"', ""), F.lit('"'))
+                     .alias("multi_line")).drop("_text")
+    return out.withColumn("delimiter", F.lit(delimiter) if delimiter else
+                          detect_delimiter(F.col("header_line")))
 
 
 def profile_content(df: DataFrame, encoding: str | None = None, delimiter: str | None = None,
