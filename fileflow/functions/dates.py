@@ -9,22 +9,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, LongType,
                                ShortType, StringType)
 
-# Accepted text layouts, tried in this order (ISO first, then month-first,
-# then day-first with dots). Fractions of a second are optional.
+# Accepted text layouts, tried in this order after ISO text (month-first, then
+# day-first with dots, then month names). One letter takes one or two digits.
 DATE_FORMATS = [
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy",
-    "dd.MM.yyyy HH:mm:ss",
-    "dd.MM.yyyy",
+    "yyyy/M/d[ H:m[:s[.SSSSSSSSS]]]",
+    "M/d/yyyy[ H:m[:s[.SSSSSSSSS]]]",
+    "M/d/yyyy h:m[:s] a",
+    "d.M.yyyy[ H:m[:s]]",
+    "d MMM yyyy[ H:m[:s]]",
+    "d MMMM yyyy[ H:m[:s]]",
+    "d-MMM-yyyy[ H:m[:s]]",
+    "MMM d, yyyy[ H:m[:s]]",
+    "MMMM d, yyyy[ H:m[:s]]",
     "yyyyMMdd",
 ]
+# ISO text: one- or two-digit parts, any fraction, an optional zone (Z, +02:00, +0200)
+_ISO = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}([.]\d+)?)? ?(Z|UTC|[+-]\d{2}:?\d{2})?)?$"
+
+
+def _iso(txt: Column) -> Column:
+    """ISO text, else NULL; a zone without a colon gets one, a missing zone is the session's."""
+    t = F.regexp_replace(txt, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    zoned = F.when(F.contains(txt, F.lit(":")), t).otherwise(txt)
+    return F.when(txt.rlike(_ISO), zoned.try_cast("timestamp"))
 
 
 def parse_timestamp(c: Column | str, formats: list[str] | None = None,
@@ -42,8 +49,8 @@ def parse_timestamp(c: Column | str, formats: list[str] | None = None,
     if dtype is not None and not isinstance(dtype, StringType):
         return F.try_to_timestamp(col.cast("string"))
     txt = F.trim(col.cast("string"))
-    fmts = formats or DATE_FORMATS
-    return F.coalesce(*[F.try_to_timestamp(txt, F.lit(f)) for f in fmts])
+    tried = [F.try_to_timestamp(txt, F.lit(f)) for f in formats or DATE_FORMATS]
+    return F.coalesce(*([] if formats else [_iso(txt)]), *tried)
 
 
 def day_start(value: str | _dt.date | _dt.datetime) -> Column:

@@ -101,12 +101,12 @@ def with_row_ids(df: DataFrame, file_col: str = FILE_COL, block_col: str = BLOCK
     from (``_metadata.file_path`` / ``_metadata.file_block_start``). Inside one split the rows
     arrive in file order, so ``monotonically_increasing_id`` minus its minimum over the split
     is the position in the split; a running sum of split sizes, ordered by split start within
-    each file, gives the split's offset (see ``split_offsets``). Skipped when ``row_id``
-    exists.
+    each file, gives the split's offset (see ``split_offsets``). The tagged rows are written
+    once, so both uses see the same splits. Skipped when ``row_id`` exists.
     """
     if name in df.columns:
         return df
-    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
+    tagged = materialize(df.withColumn("_mid", F.monotonically_increasing_id()), "row-ids")
     _, offs = split_offsets(tagged, file_col, block_col)
     out = tagged.join(offs, [file_col, block_col], "inner")
     return out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long")) \

@@ -2,17 +2,18 @@
 
 Layout under ``root``::
 
-    root/_log/             one small Parquet file appended per commit
-    root/data/_v=<n>/...   Parquet written by commit n (plus any partition columns)
-
-A commit first writes its data under ``_v=<n>``, then appends one log row
-``(version, committed_at, operation, versions, schema_json, rows, inserted, updated)``. The
-current table is the data of the ``versions`` listed by the highest log row: an overwrite
-lists only itself, an append lists the previous versions plus itself. All versions share one
-base path, so a read is a single scan with partition pruning on ``_v``. Readers never see a
-half-written version (the log row appears only after the data is complete), old versions
-stay readable, and no job reads and overwrites the same path. One writer per table at a time
-is assumed, as with the reference's single MERGE transaction.
+    root/_log/                  one small Parquet file appended per commit
+    root/data/_v=<attempt>/...  Parquet written by one attempt (plus any partition columns)
+
+Every attempt to commit writes its data under a folder of its own (a random number), then
+appends one log row ``(version, committed_at, operation, versions, schema_json, rows, inserted,
+updated, partition_by)``. The current table is the data of the attempt folders listed in
+``versions`` by the highest log row: an overwrite lists only its own, an append lists the
+earlier ones plus its own. A writer that dies before its log row leaves a folder that no row
+names, so nothing of it is ever read; a version number that is already in the log is refused.
+Only the live folders are listed by a read. The log is read anew by every call, so commits of
+other processes are seen. One writer per table at a time is assumed, as with the reference's
+single MERGE transaction; two that race are told apart by the refused version.
 """
 
 from __future__ import annotations
@@ -22,12 +23,15 @@ import json
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import (ByteType, DataType, DateType, DoubleType, IntegerType, LongType,
+                               NullType, NumericType, ShortType, StringType, StructType,
+                               TimestampType)
 
 _LOG_SCHEMA = ("version long, committed_at timestamp, operation string, versions array<long>, "
-               "schema_json string, rows long, inserted long, updated long")
+               "schema_json string, rows long, inserted long, updated long, "
+               "partition_by array<string>")
 
 
 class SnapshotTable:
@@ -36,29 +40,23 @@ class SnapshotTable:
         self.root = root.rstrip("/")
         self.log_path = f"{self.root}/_log"
         self.data_path = f"{self.root}/data"
-        self._latest = None          # cached newest log row; this object is the only writer
 
     # -- metadata ------------------------------------------------------------------------
     def log(self) -> DataFrame:
         try:
             return self.spark.read.schema(_LOG_SCHEMA).parquet(self.log_path)
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], _LOG_SCHEMA)
 
-    def head(self, version: int | None = None, refresh: bool = False):
-        """The log row of ``version`` (default: latest), or None. One row reaches the driver.
-
-        The latest row is cached between commits made through this object."""
-        if version is None and self._latest is not None and not refresh:
-            return self._latest
+    def head(self, version: int | None = None):
+        """The log row of ``version`` (default: latest), or None. One row reaches the driver."""
         lg = self.log()
         if version is not None:
             lg = lg.filter(F.col("version") == version)
         rows = lg.orderBy(F.col("version").desc()).limit(1).collect()
-        row = rows[0] if rows else None
-        if version is None:
-            self._latest = row
-        return row
+        return rows[0] if rows else None
 
     def exists(self) -> bool:
         return self.head() is not None
@@ -72,31 +70,36 @@ class SnapshotTable:
         h = self.head(version)
         if h is None:
             raise FileNotFoundError(f"no table at {self.root}")
+        return self._read(h)
+
+    def _read(self, h) -> DataFrame:
         schema = StructType.fromJson(json.loads(h.schema_json))
-        if not h.versions:
+        if not h.rows:
             return self.spark.createDataFrame([], schema)
-        full = StructType(schema.fields + [StructField("_v", LongType(), True)])
-        return self.spark.read.schema(full).parquet(self.data_path) \
-            .filter(F.col("_v").isin([int(v) for v in h.versions])) \
+        return self.spark.read.schema(schema).option("basePath", self.data_path) \
+            .parquet(*[f"{self.data_path}/_v={v}" for v in h.versions]) \
             .select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
 
     # -- writes --------------------------------------------------------------------------
-    def _write(self, df: DataFrame, version: int, partition_by: list[str] | None):
+    def _write(self, df: DataFrame, partition_by: list[str] | None):
+        """Write one attempt; (its folder number, rows)."""
+        attempt = uuid.uuid4().int >> 66
         obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-        out = df.withColumn("_v", F.lit(version).cast("long"))
-        w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append") \
-            .partitionBy("_v", *(partition_by or []))
-        w.parquet(self.data_path)
-        return version, int(obs.get.get("rows", 0))
+        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(f"{self.data_path}/_v={attempt}")
+        return attempt, int(obs.get.get("rows", 0))
 
     def _commit(self, version: int, operation: str, versions: list[int], schema: StructType,
-                rows: int, inserted: int | None = None, updated: int | None = None) -> int:
+                rows: int, inserted: int | None = None, updated: int | None = None,
+                partition_by: list[str] | None = None) -> int:
+        if self.version() >= version:
+            raise RuntimeError(f"version {version} of {self.root} is already taken")
         row = [(version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), operation,
-                versions, schema.json(), rows, inserted, updated)]
+                versions, schema.json(), rows, inserted, updated, partition_by)]
         self.spark.createDataFrame(row, _LOG_SCHEMA).coalesce(1).write.mode("append") \
             .parquet(self.log_path)
-        # this object just wrote the newest row: keep it instead of re-reading the log
-        self._latest = Row(**dict(zip([f.split()[0] for f in _LOG_SCHEMA.split(", ")], row[0])))
         return version
 
     def create_if_absent(self, schema: StructType) -> bool:
@@ -109,9 +112,11 @@ class SnapshotTable:
     def overwrite(self, df: DataFrame, operation: str = "overwrite",
                   partition_by: list[str] | None = None, inserted: int | None = None,
                   updated: int | None = None) -> int:
-        v = self.version() + 1
-        path, rows = self._write(df, v, partition_by)
-        return self._commit(v, operation, [path], df.schema, rows, inserted, updated)
+        h = self.head()
+        v = int(h.version) + 1 if h else 1
+        parts = partition_by or (h.partition_by if h else None)
+        attempt, rows = self._write(df, parts)
+        return self._commit(v, operation, [attempt], df.schema, rows, inserted, updated, parts)
 
     def append(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
         """Bulk insert (S18): new files only, earlier files are referenced, not rewritten.
@@ -119,13 +124,17 @@ class SnapshotTable:
         Returns the number of rows appended (0 for empty input)."""
         h = self.head()
         v = (int(h.version) if h else 0) + 1
+        parts = partition_by or (h.partition_by if h else None)
         old_paths = list(h.versions) if h else []
         if h is not None:
-            old = StructType.fromJson(json.loads(h.schema_json))
-            df = _align(df, old)
-        path, rows = self._write(df, v, partition_by)
-        self._commit(v, "append", old_paths + [path], df.schema, (h.rows if h else 0) + rows,
-                     rows, 0)
+            old, df = align(self._read(h), df)
+            if old is not None and h.rows:      # a type widened: earlier files are rewritten
+                attempt, rows = self._write(old.unionByName(df), parts)
+                self._commit(v, "append", [attempt], df.schema, rows, rows - h.rows, 0, parts)
+                return rows - h.rows
+        attempt, rows = self._write(df, parts)
+        self._commit(v, "append", old_paths + [attempt], df.schema,
+                     (h.rows if h else 0) + rows, rows, 0, parts)
         return rows
 
     def upsert(self, source: DataFrame, keys: list[str], order_by: list[str] | None = None,
@@ -135,8 +144,11 @@ class SnapshotTable:
         if not self.exists():
             self.create_if_absent(source.schema)
         h = self.head()
-        target = self.read()
-        # wide mode: the table evolves by name, new source columns start out NULL
+        target = self._read(h)
+        # wide mode: the table evolves by name (new source columns start out NULL) and by type
+        # (a column whose type differs from the table's is widened on both sides)
+        wide, source = align(target, source, fill=False)
+        target = wide if wide is not None else target
         missing = [f for f in source.schema.fields if f.name not in target.columns]
         if missing:
             target = target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name)
@@ -150,20 +162,52 @@ class SnapshotTable:
         obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
         out = m.flagged.observe(obs, *count_exprs()).drop("_kind", "_n")
         v = int(h.version) + 1
-        path, rows = self._write(out, v, None)
+        attempt, rows = self._write(out, h.partition_by)
         got = obs.get
         ins, upd = int(got.get("inserted", 0)), int(got.get("updated", 0))
-        self._commit(v, "merge", [path], out.schema, rows, ins, upd)
+        self._commit(v, "merge", [attempt], out.schema, rows, ins, upd, h.partition_by)
         return ins, upd
 
 
-def _align(df: DataFrame, schema: StructType) -> DataFrame:
-    """Order/cast ``df`` to ``schema`` by name; new columns are kept at the end."""
-    cols = []
-    for f in schema.fields:
-        if f.name in df.columns:
-            cols.append(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    cols += [F.col(f"`{c}`") for c in df.columns if c not in schema.fieldNames()]
-    return df.select(*cols)
+_WHOLE = (ByteType, ShortType, IntegerType, LongType)
+
+
+def wider(a: DataType, b: DataType) -> DataType:
+    """The type that holds values of both: whole numbers -> bigint, numbers -> double, dates
+    and times -> timestamp, NULLs -> the other, anything else -> string."""
+    if a == b or isinstance(b, NullType):
+        return a
+    if isinstance(a, NullType):
+        return b
+    if isinstance(a, _WHOLE) and isinstance(b, _WHOLE):
+        return LongType()
+    if isinstance(a, NumericType) and isinstance(b, NumericType):
+        return DoubleType()
+    if isinstance(a, (DateType, TimestampType)) and isinstance(b, (DateType, TimestampType)):
+        return TimestampType()
+    return StringType()
+
+
+def align(table: DataFrame, df: DataFrame, fill: bool = True):
+    """(the table with widened types, or None if no type changes; ``df`` in the same types).
+
+    ``fill``: ``df`` gets the table's column order and NULLs for columns that it lacks; new
+    columns are kept at the end."""
+    types = {f.name: f.dataType for f in table.schema.fields}
+    new = {f.name: wider(types[f.name], f.dataType) for f in df.schema.fields if f.name in types}
+    changed = any(new.get(c, t) != t for c, t in types.items()) \
+        or fill and any(c not in types for c in df.columns)
+
+    def cast(c: str):
+        return F.col(f"`{c}`").cast(new[c]).alias(c) if c in new else F.col(f"`{c}`")
+
+    if fill:
+        cols = [cast(c) if c in df.columns else F.lit(None).cast(t).alias(c)
+                for c, t in types.items()]
+        cols += [F.col(f"`{c}`") for c in df.columns if c not in types]
+    else:
+        cols = [cast(c) for c in df.columns]
+    wide = table.select(*[cast(c) for c in types],
+                        *[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields
+                          if fill and f.name not in types]) if changed else None
+    return wide, df.select(*cols)

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, BinaryType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from fileflow.session import materialize
 
@@ -87,13 +87,17 @@ def reduce_source(source: DataFrame, keys: list[str], order_by: list[str] | None
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
-    """(rows, approximate bytes) of ``df`` in one aggregate pass; strings/binaries by length."""
+    """(rows, approximate bytes) of ``df`` in one aggregate pass; strings and binaries by length,
+    nested values by the length of their JSON text."""
     size: Column = F.lit(0)
     for f in df.schema.fields:
         if isinstance(f.dataType, (StringType, BinaryType)):
             size = size + F.coalesce(F.octet_length(_q(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            text = F.to_json(F.struct(_q(f.name)))
+            size = size + F.coalesce(F.octet_length(text), F.lit(0))
         else:
-            size = size + F.lit(8)
+            size = size + F.lit(16)
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
     return int(r.n), int(r.b or 0)
 

@@ -2,8 +2,11 @@
 
 Bronze is an append-only Parquet table of raw bytes (path, relative path, md5, size, run
 date, run id, upload time) partitioned by run_date — Spark has no raw-object writer, and a
-table keeps every version of a changed file. The file manifest (FILE_MANIFEST) is upserted on
-``storage_path``; the run manifest lists the run's files.
+table keeps every version of a changed file. Checksums are computed without carrying bytes
+through a join; only new and changed files are read again to be landed. The file manifest
+(FILE_MANIFEST) is upserted on ``storage_path`` and drives the load: a file stays PENDING until a
+load has taken it. The run manifest lists every accepted file of the run, unchanged ones too,
+and exists for a run without files as well. Files over a size limit go to the rejects table.
 """
 
 from __future__ import annotations
@@ -11,12 +14,14 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from fileflow.functions.paths import bronze_key, file_name, relative_path
+from fileflow.functions.paths import bronze_key, extension, file_name, relative_path
 from fileflow.operators.identity import assign_identity
 from fileflow.plans.lake import Lake
+from fileflow.session import materialize
 from fileflow.sources import discover
 from fileflow.sources.landing import manifest_rows, split_by_checksum, write_manifest
 from fileflow.sources.profile import with_profile
@@ -30,40 +35,57 @@ class ExtractResult:
     skipped: int
 
 
+#: So many new files are read by their paths; more by one scan of the folder and a semi join.
+PATHS = 10_000
+
+
 def extract(spark: SparkSession, lake: Lake, source_root: str, run_date: str, run_id: str,
-            max_mb: float = discover.MAX_FILE_SIZE_MB, strict: bool = False,
+            max_mb: float | None = discover.MAX_FILE_SIZE_MB, strict: bool = False,
             now: _dt.datetime | None = None) -> ExtractResult:
     lake.bootstrap()
     when = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    files = discover.scan(spark, source_root)
+    files, rejected = discover.size_guard(discover.scan(spark, source_root), max_mb)
     if strict:
-        discover.strict(discover.size_guard(files, max_mb)[1])
-    # one job lists the accepted paths and counts the rest (file metadata only)
-    listing = files.select("path", discover.size_ok(max_mb).alias("_ok")).collect()
-    n_found = len(listing)
-    accepted = [r.path for r in listing if r._ok]
-    n_rejected = n_found - len(accepted)
-    if not accepted:
-        return ExtractResult(n_found, n_rejected, 0, 0)
-    raw = spark.read.format("binaryFile").load(accepted)
-    incoming = raw.select(
-        "path", relative_path("path", source_root).alias("rel_path"),
-        file_name("path").alias("file_name"), "content",
-        F.md5("content").alias("checksum_md5"),
-        bronze_key(F.lit(run_date), relative_path("path", source_root)).alias("storage_path"))
-    # the CSV profile (encoding, delimiter, header) is computed while the bytes are in memory
-    # for the md5, and kept in bronze: the load step never re-reads bytes to profile
-    incoming = with_profile(incoming)
+        discover.strict(rejected)
+    n_rejected = 0
+    if max_mb is not None:
+        n_rejected = lake.rejects.append(rejected.select(
+            F.lit(run_id).alias("run_id"), F.lit(run_date).alias("run_date"),
+            F.col("file_id").alias("source_file"), F.lit(None).cast("string").alias("line"),
+            "reason"))
+    raw = _contents(spark, source_root)
+    key = bronze_key(F.lit(run_date), relative_path("path", source_root))
+    if raw is None:
+        sums = spark.createDataFrame([], "path string, file_name string, size_bytes long, "
+                                         "storage_path string, checksum_md5 string")
+    else:
+        # one row per file: the bytes are read for their md5 and not carried on. The size
+        # filter is on the file length, so larger files are not opened.
+        sums = (raw.filter(extension("path").isin(discover.SUPPORTED_EXTENSIONS))
+                .filter(discover.size_ok(max_mb))
+                .select("path", file_name("path").alias("file_name"), "size_bytes",
+                        key.alias("storage_path"), F.md5("content").alias("checksum_md5")))
+    sums = materialize(sums, "landing-sums")
     # survey S10: the key is run_date/relative path; the same bytes under the same key are
     # skipped (a re-run of a day lands nothing twice), anything else lands
-    new, skipped = split_by_checksum(incoming, lake.file_manifest.read())
-    landed_n = lake.bronze.append(
-        new.withColumn("source_root", F.lit(source_root))
-        .withColumn("run_date", F.lit(run_date)).withColumn("dag_run_id", F.lit(run_id))
-        .withColumn("upload_timestamp", F.lit(when)), partition_by=["run_date"])
-    if landed_n:
+    new = materialize(split_by_checksum(sums, lake.file_manifest.read())[0], "landing-new")
+    n_all, n_new = sums.count(), new.count()
+    if n_new:
+        if n_new <= PATHS:
+            fresh = _contents(spark, [r.path for r in new.select("path").collect()])
+        else:
+            fresh = raw.join(new.select("path"), "path", "left_semi")
+        # md5 and CSV profile belong to the very bytes that land, whatever happens to the file
+        fresh = with_profile(fresh.select("path", "content")).select(
+            "*", relative_path("path", source_root).alias("rel_path"),
+            file_name("path").alias("file_name"), F.md5("content").alias("checksum_md5"),
+            key.alias("storage_path"), F.lit(source_root).alias("source_root"),
+            F.lit(run_date).alias("run_date"), F.lit(run_id).alias("dag_run_id"),
+            F.lit(when).alias("upload_timestamp"))
+        lake.bronze.append(fresh, partition_by=["run_date"])
         landed = lake.bronze.read().filter((F.col("run_date") == run_date)
-                                           & (F.col("dag_run_id") == run_id)) \
+                                           & (F.col("dag_run_id") == run_id)
+                                           & (F.col("upload_timestamp") == F.lit(when))) \
             .select("storage_path", "file_name", "checksum_md5", "size_bytes", "rel_path")
         rows = manifest_rows(landed.withColumn("file_id", F.col("rel_path")), run_id, "PENDING",
                              F.lit(when))
@@ -71,8 +93,18 @@ def extract(spark: SparkSession, lake: Lake, source_root: str, run_date: str, ru
                                "manifest_id", order_by=["storage_path"])
         lake.file_manifest.upsert(rows.select(*lake.file_manifest.read().columns),
                                   ["storage_path"], keep_target=("manifest_id",))
-        write_manifest(landed.select("file_name", F.col("storage_path").alias("minio_key"),
-                                     "size_bytes"),
-                       lake.manifests, run_date,
-                       F.lit(when.strftime("%Y-%m-%dT%H:%M:%S")))
-    return ExtractResult(n_found, n_rejected, landed_n, len(accepted) - landed_n)
+    write_manifest(sums.select("file_name", F.col("storage_path").alias("minio_key"),
+                               "size_bytes"),
+                   lake.manifests, run_date, F.lit(when.strftime("%Y-%m-%dT%H:%M:%S")))
+    return ExtractResult(n_all + n_rejected, n_rejected, n_new, n_all - n_new)
+
+
+def _contents(spark: SparkSession, where: str | list[str]):
+    """path, size_bytes and content of the files, or None where there is no folder."""
+    try:
+        raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(where)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return raw.select("path", F.col("length").alias("size_bytes"), "content")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fileflow.operators import quality, runs
 from fileflow.plans.extract import ExtractResult, extract
 from fileflow.plans.lake import Lake
-from fileflow.plans.transform import LoadResult, transform_load
+from fileflow.plans.transform import LoadResult, pending_files, transform_load
 
 
 @dataclass
@@ -24,6 +24,10 @@ class FullRunResult:
 def quality_gate(lake: Lake, target: str, keys: list[str], as_of, dag_id: str) -> DataFrame:
     """Checks after a load: rows loaded since day start, no all-NULL column, no duplicate
     natural key, the dag's latest run today succeeded."""
+    if not lake.table(target or "records").exists():
+        return lake.spark.createDataFrame(
+            [("table_exists", False, 0, target or "records")],
+            "check string, ok boolean, observed long, detail string")
     t = lake.table(target or "records").read()
     last = runs.last_run_of_day(lake.pipeline_run.read(), dag_id, as_of)
     last_ok = last.agg(F.max(F.col("status") == "SUCCESS").alias("ok"),
@@ -42,7 +46,8 @@ def full_run(spark: SparkSession, lake: Lake, source_root: str, run_date: str, r
              as_of: str | _dt.date | None = None, dag_id: str = "full_pipeline") -> FullRunResult:
     ex = extract(spark, lake, source_root, run_date, run_id)
     load = None
-    if ex.landed:
+    # driven by the manifest, not by what this run landed: a failed load is tried again
+    if not pending_files(lake, run_date).isEmpty():
         load = transform_load(spark, lake, run_date, run_id, target=target,
                               natural_keys=natural_keys, date_columns=date_columns, specs=specs,
                               dag_id=dag_id)

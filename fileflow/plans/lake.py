@@ -33,6 +33,11 @@ class Lake:
     def bronze(self) -> SnapshotTable:
         return self.table("bronze")
 
+    @property
+    def rejects(self) -> SnapshotTable:
+        """Files and lines that a run left out: run_id, run_date, source_file, line, reason."""
+        return self.table("rejects")
+
     @property
     def silver_root(self) -> str:
         return f"{self.root.rstrip('/')}/silver"

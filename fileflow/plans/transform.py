@@ -1,6 +1,11 @@
-"""E2 transform + load: the run's landed files -> read / clean -> validate -> silver ->
+"""E2 transform + load: landed files not loaded yet -> read / clean -> validate -> silver ->
 upsert into the target table -> file manifest update -> run record.
 
+The file manifest says what to load: every file of the day whose status is not LOADED, from
+whatever run it landed in, so a failed load is taken up by the next run. The bytes are those
+in bronze. Silver holds one copy per day and file. Lines that were left out are stored in the
+rejects table, and the target's keys are checked before it is published.
+
 The run record is written RUNNING at the start and SUCCESS / FAILED at the end (survey Q15),
 so run analytics (durations, status counts) are meaningful. The upsert reads the silver rows
 just written, so the cleaning plan runs once and no job reads and overwrites one path.
@@ -11,16 +16,21 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fileflow.operators import contracts
 from fileflow.operators.clean import pack_json
 from fileflow.operators.identity import assign_identity
+from fileflow.operators.table import align
 from fileflow.plans.lake import Lake
 from fileflow.plans.runlog import record_run
 from fileflow.schemas import ColumnSpec
+from fileflow.session import materialize
 from fileflow.sources.dispatch import read_files
+from fileflow.sources.landing import bronze_files
+from fileflow.sources.profile import PROFILE_COLUMNS
 from fileflow.sources.silver import read_silver, write_silver
 
 
@@ -37,18 +47,18 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
-def run_files(lake: Lake, run_id: str, run_date: str | None = None) -> DataFrame:
-    """Latest bronze copy of every file this run landed.
+def pending_files(lake: Lake, run_date: str) -> DataFrame:
+    """Manifest rows of the day's files that no load has taken yet."""
+    return lake.file_manifest.read().filter(
+        F.startswith("storage_path", F.lit(f"{run_date}/"))
+        & (F.coalesce("status", F.lit("")) != "LOADED"))
+
 
-    A filter on the run's partition (``run_date``, pruned) and ``dag_run_id`` (pushed down):
-    no join against the whole bronze history, and content bytes are read only for the rows
-    (and columns) that are used."""
-    b = lake.bronze.read()
-    if run_date is not None:
-        b = b.filter(F.col("run_date") == run_date)
-    b = b.filter(F.col("dag_run_id") == run_id)
-    latest = b.groupBy("storage_path").agg(F.max("upload_timestamp").alias("upload_timestamp"))
-    return b.join(latest, ["storage_path", "upload_timestamp"], "left_semi")
+def check_keys(data: DataFrame, keys: list[str]) -> None:
+    """Constraints of the target before it is published (W5): every key column is there."""
+    missing = [k for k in keys if k not in data.columns]
+    if missing:
+        raise ValueError(f"no column {missing} for the natural key {keys}")
 
 
 def transform_load(spark: SparkSession, lake: Lake, run_date: str, run_id: str, *,
@@ -61,25 +71,28 @@ def transform_load(spark: SparkSession, lake: Lake, run_date: str, run_id: str,
     with an identity ``data_id`` (survey Q2)."""
     record_run(lake, run_id, dag_id, "RUNNING", now=_now())
     try:
-        files = run_files(lake, run_id, run_date)
-        meta = files.agg(F.collect_set("source_root").alias("roots"),
-                         F.count_distinct("storage_path").alias("n")).first()
-        root = meta.roots[0] if len(meta.roots) == 1 else None
-        n_files = int(meta.n)
-        from fileflow.sources.profile import PROFILE_COLUMNS
+        todo = materialize(pending_files(lake, run_date), "load-files")
+        n_files = todo.count()
+        files = bronze_files(lake.bronze.read().filter(F.col("run_date") == run_date), todo)
+        roots = [r[0] for r in files.select("source_root").distinct().limit(2).collect()]
+        root = roots[0] if len(roots) == 1 else None
         res = read_files(spark, files.select(*PROFILE_COLUMNS, "content"), root=root,
                          date_columns=date_columns, sheet=sheet,
                          loaded_at=loaded_at if loaded_at is not None
                          else F.lit(_now()).cast("timestamp"))
-        data = res.data
+        data = materialize(res.data, "load-data")
         if specs:
             contracts.raise_on_error(data, specs)
-        silver_n = write_silver(data.withColumn("run_id", F.lit(run_id)),
-                                f"{lake.silver_root}/run_id={run_id}", run_date)
-        silver = read_silver(spark, f"{lake.silver_root}/run_id={run_id}", run_date) \
-            .drop("run_date", "run_id")
-        tbl = lake.table(target or ("elt_data" if mode == "packed" else "records"))
         keys = natural_keys or ["source_file", "row_id"]
+        check_keys(data, keys)
+        rejects = res.rejects.select(
+            F.lit(run_id).alias("run_id"), F.lit(run_date).alias("run_date"), "source_file",
+            "line", "reason")
+        lake.rejects.append(rejects)
+        silver_n = _write_day(spark, lake, data.withColumn("run_id", F.lit(run_id)), run_date)
+        silver = read_silver(spark, lake.silver_root, run_date) \
+            .filter(F.col("run_id") == run_id).select(*data.columns)
+        tbl = lake.table(target or ("elt_data" if mode == "packed" else "records"))
         if mode == "packed":
             packed = pack_json(silver, ["source_file", "row_id", "loaded_at"])
             if not tbl.exists():
@@ -93,17 +106,35 @@ def transform_load(spark: SparkSession, lake: Lake, run_date: str, run_id: str,
             ins, upd = tbl.upsert(silver, keys, order_by=[c for c in ("source_file", "row_id")
                                                           if c in silver.columns])
         counts = silver.groupBy("source_file").agg(F.count(F.lit(1)).alias("_cnt"))
-        man = lake.file_manifest.read().filter(F.col("run_id") == run_id)
         rel = F.regexp_replace("storage_path", r"^[^/]*/", "")
-        upd_rows = man.withColumn("_rel", rel).join(
+        upd_rows = todo.withColumn("_rel", rel).join(
             counts.withColumnRenamed("source_file", "_rel"), "_rel", "left") \
             .select(*[F.coalesce("_cnt", F.lit(0)).cast("long").alias(c) if c == "row_count"
                       else (F.lit("LOADED").alias(c) if c == "status" else F.col(c))
-                      for c in man.columns])
+                      for c in todo.columns])
         lake.file_manifest.upsert(upd_rows, ["storage_path"], keep_target=("manifest_id",))
         record_run(lake, run_id, dag_id, "SUCCESS", n_files, ins, upd, now=_now())
-        return LoadResult(n_files, ins, upd, silver_n, res.rejects)
+        return LoadResult(n_files, ins, upd, silver_n, rejects)
     except Exception as e:
         record_run(lake, run_id, dag_id, "FAILED", error_message=f"{type(e).__name__}: {e}",
                    now=_now())
         raise
+
+
+def _write_day(spark: SparkSession, lake: Lake, data: DataFrame, run_date: str) -> int:
+    """Silver of the day: the rows of these files replace earlier ones, other files stay."""
+    try:
+        day = read_silver(spark, lake.silver_root, run_date).drop("run_date")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        day = None
+    n = data.count()
+    if day is not None:
+        names = data.select("source_file").distinct()
+        wide, fresh = align(day, data, fill=False)
+        rest = (day if wide is None else wide).join(names, "source_file", "left_anti")
+        # the day's folder is both read and replaced: the kept rows are written aside first
+        data = fresh.unionByName(materialize(rest, "silver-day"), allowMissingColumns=True)
+    write_silver(data, lake.silver_root, run_date)
+    return n

@@ -7,6 +7,7 @@ distributed by Spark (parallel partition discovery) for large trees.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,8 @@ from fileflow.schemas import FILES
 # Extensions the scanner accepts (compared lower-cased).
 SUPPORTED_EXTENSIONS = [".xlsx", ".xls", ".csv", ".xlsm", ".xlsb"]
 EXCEL_EXTENSIONS = [".xlsx", ".xls", ".xlsm", ".xlsb"]
-MAX_FILE_SIZE_MB = 500
+#: No limit unless a caller sets one: CSV is read split-wise, and no file is left out silently.
+MAX_FILE_SIZE_MB: float | None = None
 
 # MIME types reported per extension.
 MIME_TYPES = {
@@ -38,7 +40,9 @@ def scan(spark: SparkSession, root: str, extensions: list[str] | None = None,
     exts = [e.lower() for e in (extensions or SUPPORTED_EXTENSIONS)]
     try:
         raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    except Exception:  # noqa: BLE001 - missing / empty folder
+    except AnalysisException as e:      # a missing folder; any other fault is the caller's
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], FILES)
     listed = raw.select("path", "length", "modificationTime")
     mime = F.create_map(*[x for k, v in MIME_TYPES.items() for x in (F.lit(k), F.lit(v))])
@@ -57,21 +61,28 @@ def scan(spark: SparkSession, root: str, extensions: list[str] | None = None,
     return out
 
 
-def size_ok(max_mb: float = MAX_FILE_SIZE_MB, max_bytes: int | None = None):
-    """The S2 predicate: size unknown or within the limit."""
-    limit = int(max_bytes if max_bytes is not None else max_mb * 1024 * 1024)
+def _limit(max_mb: float | None, max_bytes: int | None) -> int | None:
+    if max_bytes is not None:
+        return int(max_bytes)
+    return None if max_mb is None else int(max_mb * 1024 * 1024)
+
+
+def size_ok(max_mb: float | None = MAX_FILE_SIZE_MB, max_bytes: int | None = None):
+    """The S2 predicate: no limit, size unknown, or within the limit."""
+    limit = _limit(max_mb, max_bytes)
+    if limit is None:
+        return F.lit(True)
     return F.col("size_bytes").isNull() | (F.col("size_bytes") <= F.lit(limit))
 
 
-def size_guard(files: DataFrame, max_mb: float = MAX_FILE_SIZE_MB,
+def size_guard(files: DataFrame, max_mb: float | None = MAX_FILE_SIZE_MB,
                max_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected-with-reason) by size (S2). Use ``strict`` to raise instead."""
-    limit = int(max_bytes if max_bytes is not None else max_mb * 1024 * 1024)
-    big = ~size_ok(max_bytes=limit)
-    ok = files.filter(~big)
-    rej = files.filter(big).withColumn(
-        "reason", F.concat(F.lit("file larger than "), F.lit(str(limit)), F.lit(" bytes")))
-    return ok, rej
+    ok = size_ok(max_mb, max_bytes)
+    rej = files.filter(~ok).withColumn(
+        "reason", F.concat(F.lit("file larger than "), F.lit(str(_limit(max_mb, max_bytes))),
+                           F.lit(" bytes")))
+    return files.filter(ok), rej
 
 
 def strict(rejected: DataFrame) -> None:

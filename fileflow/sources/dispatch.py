@@ -46,15 +46,17 @@ def read_files(spark: SparkSession, files: DataFrame, *, root: str | None = None
         r = read_csv(spark, _with_content(spark, texts), delimiter=delimiter, encoding=encoding,
                      date_columns=date_columns, root=root, loaded_at=loaded_at, profiles=known)
         parts.append(r.data)
-        rejects.append(r.rejects.select("source_file", "reason"))
+        rejects.append(r.rejects.select("source_file", "line", "reason"))
     if True in kinds:
         r = read_excel(spark, _with_content(spark, books), sheet=sheet, header_row=header_row, skip_rows=skip_rows,
                        date_columns=date_columns, root=root, loaded_at=loaded_at)
         parts.append(r.data)
-        rejects.append(r.rejects)
+        rejects.append(r.rejects.select("source_file", F.lit(None).cast("string").alias("line"),
+                                        "reason"))
     if not parts:
         empty = spark.createDataFrame([], "source_file string, row_id long, loaded_at timestamp")
-        return ReadResult(empty, spark.createDataFrame([], "source_file string, reason string"))
+        return ReadResult(empty, spark.createDataFrame(
+            [], "source_file string, line string, reason string"))
     data = parts[0]
     for p in parts[1:]:
         data = data.unionByName(p, allowMissingColumns=True)

@@ -6,12 +6,14 @@ write / read, W6 file-manifest rows.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fileflow.functions.paths import bronze_key, file_name, relative_path
 from fileflow.schemas import FILE_MANIFEST, MANIFEST
 
+MAX_BROADCAST_FILES = 500_000
+
 
 def split_by_checksum(incoming: DataFrame, known: DataFrame,
                       key: str = "storage_path", checksum: str = "checksum_md5"
@@ -27,15 +29,15 @@ def split_by_checksum(incoming: DataFrame, known: DataFrame,
     return incoming.join(k, cond, "left_anti"), incoming.join(k, cond, "left_semi")
 
 
-def read_bronze(spark: SparkSession, root: str, with_content: bool = True) -> DataFrame:
-    """Raw files under ``root`` with md5 of their bytes (S13; S3 fail-fast by default)."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    cols = [F.col("path"), F.col("length").alias("size_bytes"),
-            F.col("modificationTime").alias("modified_at"),
-            F.md5("content").alias("checksum_md5")]
-    if with_content:
-        cols.append(F.col("content"))
-    return df.select(*cols)
+def bronze_files(bronze: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The landed bytes of the wanted (storage_path, checksum_md5): one row per key, the latest
+    upload (S13). Bytes are joined to the small key table, never grouped."""
+    keys = wanted.select("storage_path", "checksum_md5").distinct()
+    latest = bronze.join(keys, ["storage_path", "checksum_md5"], "left_semi") \
+        .groupBy("storage_path", "checksum_md5") \
+        .agg(F.max("upload_timestamp").alias("upload_timestamp"))
+    return bronze.join(F.broadcast(latest) if latest.count() <= MAX_BROADCAST_FILES else latest,
+                       ["storage_path", "checksum_md5", "upload_timestamp"], "left_semi")
 
 
 def bronze_object(bronze: DataFrame, storage_path: str) -> DataFrame:
@@ -46,20 +48,6 @@ def bronze_object(bronze: DataFrame, storage_path: str) -> DataFrame:
         .select("storage_path", "content", "checksum_md5")
 
 
-def incoming_files(spark: SparkSession, files: DataFrame, root: str, run_date: str) -> DataFrame:
-    """Accepted discovered files with bytes, md5 and bronze key ``run_date/relative path``.
-
-    One distributed ``binaryFile`` read; a failing file fails the job (S3 fail-fast).
-    """
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    raw = raw.join(files.select("path", "file_id"), "path", "left_semi")
-    return raw.select(
-        "path", F.col("length").alias("size_bytes"), "content",
-        F.md5("content").alias("checksum_md5"),
-        file_name("path").alias("file_name"),
-        bronze_key(F.lit(run_date), relative_path("path", root)).alias("storage_path"))
-
-
 def manifest_rows(landed: DataFrame, run_id: str | Column, status: str = "PENDING",
                   processed_at: Column | None = None) -> DataFrame:
     """FILE_MANIFEST rows for landed files."""
@@ -96,29 +84,53 @@ def metadata(manifest: DataFrame, keys: DataFrame, key: str = "storage_path") ->
 
 def write_manifest(files: DataFrame, path: str, run_date: Column | str,
                    created_at: Column | None = None) -> None:
-    """``files`` has file_name, minio_key, size_bytes."""
-    rd = F.col(run_date) if isinstance(run_date, str) and run_date in files.columns \
-        else (run_date if isinstance(run_date, Column) else F.lit(run_date))
+    """``files`` has file_name, minio_key, size_bytes.
+
+    A run without files still gets a manifest when ``run_date`` is a value: one line that names
+    no file."""
     ca = created_at if created_at is not None else F.date_format(F.current_timestamp(),
                                                                  "yyyy-MM-dd'T'HH:mm:ss")
-    files.select(rd.cast("string").alias("run_date"), ca.cast("string").alias("created_at"),
-                 F.col("file_name").cast("string"), F.col("minio_key").cast("string"),
-                 F.col("size_bytes").cast("long")) \
-        .write.mode("overwrite").partitionBy("run_date").json(path)
+    named = isinstance(run_date, str) and run_date in files.columns
+    rd = F.col(run_date) if named else (run_date if isinstance(run_date, Column)
+                                        else F.lit(run_date))
+    lines = files.select(rd.cast("string").alias("run_date"),
+                         F.col("file_name").cast("string"), F.col("minio_key").cast("string"),
+                         F.col("size_bytes").cast("long"))
+    if isinstance(run_date, str) and not named:
+        lines = lines.union(files.sparkSession.range(1).select(
+            rd.alias("run_date"), F.lit(None).cast("string").alias("file_name"),
+            F.lit(None).cast("string").alias("minio_key"),
+            F.lit(None).cast("long").alias("size_bytes")))
+    lines.select("run_date", ca.cast("string").alias("created_at"), "file_name", "minio_key",
+                 "size_bytes").write.mode("overwrite").partitionBy("run_date").json(path)
+
+
+def _manifest_lines(spark: SparkSession, path: str) -> DataFrame:
+    schema = ("created_at string, file_name string, minio_key string, size_bytes long, "
+              "run_date string")
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as e:      # no manifest written yet; other faults are raised
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_manifest(spark: SparkSession, path: str, run_date: str | None = None) -> DataFrame:
     """Files of a run (or all runs) with the run's file count (S17). A missing run -> empty."""
-    schema = ("created_at string, file_name string, minio_key string, size_bytes long, "
-              "run_date string")
-    try:
-        df = spark.read.schema(schema).json(path)
-    except Exception:  # noqa: BLE001 - no manifest written yet
-        return spark.createDataFrame([], schema + ", file_count long")
+    df = _manifest_lines(spark, path).filter(F.col("minio_key").isNotNull()
+                                             | F.col("file_name").isNotNull())
     if run_date is not None:
         df = df.filter(F.col("run_date") == run_date)
     counts = df.groupBy("run_date").agg(F.count(F.lit(1)).alias("file_count"))
-    return df.join(counts, "run_date")
+    return df.join(F.broadcast(counts), "run_date")          # one row per day
+
+
+def manifest_runs(spark: SparkSession, path: str) -> DataFrame:
+    """(run_date, created_at, file_count) of every run with a manifest, empty ones too."""
+    return _manifest_lines(spark, path).groupBy("run_date").agg(
+        F.max("created_at").alias("created_at"),
+        F.count(F.coalesce("minio_key", "file_name")).alias("file_count"))
 
 
 def read_manifest_document(spark: SparkSession, path: str) -> DataFrame:

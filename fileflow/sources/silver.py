@@ -33,10 +33,10 @@ def write_silver(df: DataFrame, root: str, run_date: str | None = None,
 def read_silver(spark: SparkSession, root: str, run_date: str | None = None,
                 source_file: str | None = None) -> DataFrame:
     """One day (partition pruning) and optionally one file (pushed filter)."""
-    df = spark.read.option("basePath", root).parquet(root) \
-        .withColumn("run_date", F.col("run_date").cast("string"))
-    if run_date is not None:
-        df = df.filter(F.col("run_date") == run_date)
+    # a day is written in one piece, so its files share one schema; days may differ
+    path = root if run_date is None else f"{root}/run_date={run_date}"
+    df = spark.read.option("basePath", root).option("mergeSchema", str(run_date is None).lower()) \
+        .parquet(path).withColumn("run_date", F.col("run_date").cast("string"))
     if source_file is not None:
         df = df.filter(F.col("source_file") == source_file)
     return df

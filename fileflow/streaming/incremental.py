@@ -18,15 +18,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fileflow.functions.paths import extension
 from fileflow.operators.table import SnapshotTable
+from fileflow.session import materialize
 from fileflow.sources.discover import SUPPORTED_EXTENSIONS
+from fileflow.sources.profile import with_profile
 
+#: Files of one micro-batch, so that a backlog is worked off in bounded steps.
+MAX_FILES_PER_TRIGGER = 10_000
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def ingest_stream(spark: SparkSession, source_root: str, table: SnapshotTable,
                   checkpoint: str, natural_keys: list[str] | None = None,
                   date_columns: list[str] | tuple[str, ...] = (), available_now: bool = True,
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+                  max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
     from fileflow.sources.dispatch import read_files
 
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA) \
@@ -36,14 +40,16 @@ def ingest_stream(spark: SparkSession, source_root: str, table: SnapshotTable,
     stream = reader.load(source_root)
 
     def batch(files: DataFrame, epoch_id: int) -> None:
-        ok = files.filter(extension("path").isin(SUPPORTED_EXTENSIONS)) \
-            .select("path", "content")
+        # the batch's bytes and profiles are written once; later steps read that copy
+        ok = materialize(with_profile(files.filter(extension("path").isin(SUPPORTED_EXTENSIONS))
+                                      .select("path", "content")), "stream-batch")
         if ok.isEmpty():
             return
         res = read_files(files.sparkSession, ok, root=source_root, date_columns=date_columns)
+        data = materialize(res.data, "stream-rows")
         keys = natural_keys or ["source_file", "row_id"]
-        table.upsert(res.data, keys,
-                     order_by=[c for c in ("source_file", "row_id") if c in res.data.columns])
+        table.upsert(data, keys,
+                     order_by=[c for c in ("source_file", "row_id") if c in data.columns])
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
