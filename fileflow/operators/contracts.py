@@ -15,6 +15,17 @@ _INT_TYPES = (ByteType, ShortType, IntegerType, LongType)
 _FLOAT_TYPES = (FloatType, DoubleType)
 SAMPLE_SIZE = 5
 
+# The texts that users of the checks see.
+MESSAGES = {
+    "missing": "Missing required column: '{column}'",
+    "not_null": "Column '{column}' has {n} null values (not allowed)",
+    "int_type": "Column '{column}' expected integer, got {got}",
+    "float_type": "Column '{column}' expected float, got {got}",
+    "max_length": "Column '{column}' has {n} values exceeding max length {limit}",
+    "allowed_values": "Column '{column}' has invalid values: {samples}. Allowed: {allowed}",
+    "summary": "Schema validation failed with {n} error(s):",
+}
+
 
 class SchemaValidationError(Exception):
     """Raised by ``raise_on_error`` when any rule fails."""
@@ -45,20 +56,18 @@ def rule_exprs(df: DataFrame, specs: list[ColumnSpec]):
         if spec.name not in fields:
             if not spec.nullable:
                 static.append(Violation(spec.name, "missing", 1, [],
-                                        f"Missing required column: '{spec.name}'"))
+                                        MESSAGES["missing"].format(column=spec.name)))
             continue
         c = F.col(_q(spec.name))
         dt = fields[spec.name].dataType
         if not spec.nullable:
             dyn.append((spec.name, "not_null", F.count_if(c.isNull()), spec))
         if spec.dtype.startswith("int") and not isinstance(dt, _INT_TYPES):
-            static.append(Violation(spec.name, "int_type", 1, [],
-                                    f"Column '{spec.name}' expected integer, got "
-                                    f"{dt.simpleString()}"))
+            static.append(Violation(spec.name, "int_type", 1, [], MESSAGES["int_type"].format(
+                column=spec.name, got=dt.simpleString())))
         if spec.dtype.startswith("float") and not isinstance(dt, _FLOAT_TYPES):
-            static.append(Violation(spec.name, "float_type", 1, [],
-                                    f"Column '{spec.name}' expected float, got "
-                                    f"{dt.simpleString()}"))
+            static.append(Violation(spec.name, "float_type", 1, [], MESSAGES["float_type"].format(
+                column=spec.name, got=dt.simpleString())))
         if spec.max_length and isinstance(dt, StringType):
             # survey Q12: non-null strings are always checked
             dyn.append((spec.name, "max_length",
@@ -70,11 +79,8 @@ def rule_exprs(df: DataFrame, specs: list[ColumnSpec]):
 
 
 def _message(col: str, rule: str, n: int, spec: ColumnSpec, samples: list[str]) -> str:
-    if rule == "not_null":
-        return f"Column '{col}' has {n} null values (not allowed)"
-    if rule == "max_length":
-        return f"Column '{col}' has {n} values exceeding max length {spec.max_length}"
-    return f"Column '{col}' has invalid values: {samples}. Allowed: {spec.allowed_values}"
+    return MESSAGES[rule].format(column=col, n=n, limit=spec.max_length, samples=samples,
+                                 allowed=spec.allowed_values)
 
 
 def counts(df: DataFrame, specs: list[ColumnSpec]) -> DataFrame:
@@ -135,7 +141,7 @@ def report(df: DataFrame, specs: list[ColumnSpec]) -> DataFrame:
 def raise_on_error(df: DataFrame, specs: list[ColumnSpec]) -> None:
     vs = validate(df, specs)
     if vs:
-        msg = f"Schema validation failed with {len(vs)} error(s):\n" + "\n".join(
+        msg = MESSAGES["summary"].format(n=len(vs)) + "\n" + "\n".join(
             f"  - {v.message}" for v in vs)
         raise SchemaValidationError(msg)
 
@@ -184,3 +190,15 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
                     for i, c in enumerate(columns)])
     pairs = ", ".join(f"'{c}', n{i}" for i, c in enumerate(columns))
     return wide.selectExpr(f"stack({len(columns)}, {pairs}) as (column, n_null)")
+
+
+def enforce(df: DataFrame, not_null: list[str] = (), unique: list[str] = ()) -> None:
+    """Raise unless the NOT NULL and UNIQUE constraints hold; called before a publish."""
+    if not_null:
+        bad = [r.column for r in null_counts(df, list(not_null)).collect() if r.n_null]
+        if bad:
+            raise SchemaValidationError(f"null values in {bad}")
+    if unique:
+        r = duplicate_summary(df, list(unique)).first()
+        if r.dup_groups:
+            raise SchemaValidationError(f"{r.surplus_rows} repeated rows for the key {unique}")

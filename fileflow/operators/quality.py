@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fileflow.operators.contracts import duplicate_keys
-from fileflow.operators.records import since_day_start
+from fileflow.operators.records import _bound, since_day_start
 
 
 def rows_loaded_since(df: DataFrame, as_of, time_col: str = "loaded_at",
@@ -35,6 +35,21 @@ def all_null_columns(df: DataFrame, name: str = "no_all_null_columns") -> DataFr
                        F.lit("non-null values").alias("detail"))
 
 
+def loaded_and_filled(df: DataFrame, as_of, columns: list[str] | None = None,
+                      time_col: str = "loaded_at") -> DataFrame:
+    """A11 and A13 from one scan: the rows of ``rows_loaded_since`` and ``all_null_columns``."""
+    cols = list(df.columns if columns is None else columns)
+    bound = F.col(time_col) >= _bound(df, time_col, str(as_of)[:10])
+    wide = df.agg(F.count_if(bound).alias("n"),
+                  *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(cols)])
+    rows = [f"'rows_loaded_today', n, '{time_col} >= day start'"]
+    rows += ["'no_all_null_columns:" + c.replace("'", "\\'") + f"', c{i}, 'non-null values'"
+             for i, c in enumerate(cols)]
+    long = wide.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (check, observed, detail)")
+    return long.select("check", (F.col("observed") > 0).alias("ok"),
+                       F.col("observed").cast("long").alias("observed"), "detail")
+
+
 def no_duplicates(df: DataFrame, keys: list[str], name: str = "no_duplicate_keys") -> DataFrame:
     """Surplus rows over the natural key must be 0."""
     d = duplicate_keys(df, keys).agg(

@@ -84,6 +84,28 @@ def page(df: DataFrame, order_by: list[str] | None = None, limit: int = 100, off
         .filter(F.col("rn") > offset)
 
 
+def page_after(df: DataFrame, order_by: list[str], after: list | None = None,
+               limit: int = 100) -> DataFrame:
+    """The page that follows a known row (L2 by key): ``after`` holds that row's values of the
+    ``order_by`` columns (non-null, together unique); None gives the first page.
+
+    The bound on the first column is a plain comparison with a literal, so Parquet skips what
+    lies before it; the rest is one bounded top-k, whatever the depth of the page.
+    """
+    if not 1 <= limit <= MAX_PAGE:
+        raise ValueError(f"limit must be within 1..{MAX_PAGE}")
+    out = df
+    if after is not None:
+        if len(after) != len(order_by) or any(v is None for v in after):
+            raise ValueError("after needs one non-null value for each order_by column")
+        lits = [F.lit(v).cast(df.schema[c].dataType) for c, v in zip(order_by, after)]
+        later = F.lit(False)
+        for c, v in reversed(list(zip(order_by, lits))):
+            later = (F.col(c) > v) | ((F.col(c) == v) & later)
+        out = out.filter(F.col(order_by[0]) >= lits[0]).filter(later)
+    return out.orderBy(*[F.col(c).asc() for c in order_by]).limit(limit)
+
+
 def total(df: DataFrame) -> DataFrame:
     """Row count as a one-row DataFrame (A1); pairs with ``page`` for the response total."""
     return df.agg(F.count(F.lit(1)).alias("total"))

@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from fileflow.functions.paths import bronze_key, extension, file_name, relative_path
+from fileflow.operators import contracts
 from fileflow.operators.identity import assign_identity
 from fileflow.plans.lake import Lake
 from fileflow.session import materialize
@@ -91,6 +92,9 @@ def extract(spark: SparkSession, lake: Lake, source_root: str, run_date: str, ru
                              F.lit(when))
         rows = assign_identity(lake.file_manifest.read(), rows.drop("manifest_id"),
                                "manifest_id", order_by=["storage_path"])
+        rows = materialize(rows, "manifest-rows")
+        contracts.enforce(rows, not_null=["manifest_id", "run_id", "storage_path"],
+                          unique=["storage_path"])
         lake.file_manifest.upsert(rows.select(*lake.file_manifest.read().columns),
                                   ["storage_path"], keep_target=("manifest_id",))
     write_manifest(sums.select("file_name", F.col("storage_path").alias("minio_key"),

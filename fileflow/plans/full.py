@@ -35,8 +35,7 @@ def quality_gate(lake: Lake, target: str, keys: list[str], as_of, dag_id: str) -
         F.lit("latest_run_succeeded").alias("check"), F.coalesce("ok", F.lit(False)).alias("ok"),
         F.col("observed").cast("long").alias("observed"), F.lit(dag_id).alias("detail"))
     data_cols = [c for c in t.columns if c not in ("source_file", "row_id", "loaded_at")]
-    return quality.suite(quality.rows_loaded_since(t, as_of),
-                         quality.all_null_columns(t.select(*data_cols)),
+    return quality.suite(quality.loaded_and_filled(t, as_of, data_cols),
                          quality.no_duplicates(t, keys), last_ok)
 
 

@@ -99,6 +99,9 @@ def transform_load(spark: SparkSession, lake: Lake, run_date: str, run_id: str,
                 lake.bootstrap()
             packed = assign_identity(tbl.read(), packed, "data_id",
                                      order_by=["source_file", "row_id"])
+            packed = materialize(packed, "load-packed")
+            contracts.enforce(packed, not_null=["source_file", "row_id"],
+                              unique=["source_file", "row_id"])
             ins, upd = tbl.upsert(packed.select("data_id", "source_file", "row_id", "loaded_at",
                                                 "data_json"),
                                   ["source_file", "row_id"], keep_target=("data_id",))

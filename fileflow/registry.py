@@ -464,23 +464,24 @@ _PAD_L = " \t "
 _PAD_R = "　 \n"
 
 
-@register("clean_strings", """
-SELECT regexp_replace(t, '^[\\s\\p{Z}\\x0b\\x{85}\\x1c-\\x1f]+|[\\s\\p{Z}\\x0b\\x{85}\\x1c-\\x1f]+$', '', 'g')
-         AS text,
-       regexp_replace(s, '^[\\s\\p{Z}\\x0b\\x{85}\\x1c-\\x1f]+|[\\s\\p{Z}\\x0b\\x{85}\\x1c-\\x1f]+$', '', 'g')
-         AS source
-FROM (SELECT CASE WHEN lang = 'de' THEN NULL ELSE ' ' || chr(9) || chr(160) || text || chr(12288) || ' ' || chr(10) END AS t,
-             CASE WHEN lang = 'de' THEN NULL ELSE '  ' || source END AS s
-      FROM documents)
+_STRIP_SQL = ("regexp_replace({}, '^[\\s\\p{{Z}}\\x0b\\x{{85}}\\x1c-\\x1f]+|"
+              "[\\s\\p{{Z}}\\x0b\\x{{85}}\\x1c-\\x1f]+$', '', 'g')")
+
+
+@register("clean_strings", f"""
+SELECT {_STRIP_SQL.format('t')} AS text, {_STRIP_SQL.format('s')} AS source
+FROM (SELECT ' ' || chr(9) || chr(160) || text || chr(12288) || ' ' || chr(10) AS t,
+             '  ' || source AS s FROM documents)
 WHERE t IS NOT NULL OR s IS NOT NULL""")
 def q_clean_strings(spark, sf):
     from fileflow.operators.clean import drop_empty_rows, strip_strings
     d = load(spark, sf, "documents")
-    de = F.col("lang") == "de"
-    df = d.select(F.when(de, F.lit(None)).otherwise(F.concat(F.lit(_PAD_L), "text", F.lit(_PAD_R)))
-                  .alias("text"),
-                  F.when(de, F.lit(None)).otherwise(F.concat(F.lit("  "), "source")).alias("source"))
-    return strip_strings(drop_empty_rows(df))
+    df = d.select(F.concat(F.lit(_PAD_L), "text", F.lit(_PAD_R)).alias("text"),
+                  F.concat(F.lit("  "), "source").alias("source"))
+    # one empty row for each document; all of them are dropped again
+    empty = d.select(F.lit(None).cast("string").alias("text"),
+                     F.lit(None).cast("string").alias("source"))
+    return strip_strings(drop_empty_rows(df.unionByName(empty)))
 
 
 _DATE_TEXT_SQL = """
@@ -744,8 +745,7 @@ FROM (SELECT user_id, event_type, count(*) AS n FROM e GROUP BY 1, 2 HAVING coun
 def _checks(spark, sf):
     e = load(spark, sf, "events").withColumn("note", F.lit(None).cast("string"))
     return quality.suite(
-        quality.rows_loaded_since(e, "2024-01-30", time_col="ts"),
-        quality.all_null_columns(e),
+        quality.loaded_and_filled(e, "2024-01-30", time_col="ts"),
         quality.no_duplicates(e, ["event_id"]),
         quality.no_duplicates(e, ["user_id", "event_type"], name="no_duplicate_user_type"))
 
@@ -1019,3 +1019,318 @@ def q_status_table(spark, sf):
     st = catalog.status_table(catalog.list_datasets(spark, {t: load(spark, sf, t)
                                                             for t in TABLES}))
     return st.withColumn("Last Loaded", F.col("Last Loaded").cast("timestamp_ntz"))
+
+
+# --- cases that files, tables and runs meet in practice ----------------------------------------
+
+_NA_SQL = "('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', " \
+          "'1.#QNAN', '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null')"
+
+
+@register("csv_quoted", f"""
+SELECT src, id, turn, CASE WHEN text IN {_NA_SQL} THEN NULL ELSE {_STRIP_SQL.format('text')} END
+       AS text
+FROM (SELECT 'documents' AS src, doc_id AS id, CAST(0 AS BIGINT) AS turn, text FROM documents
+      UNION ALL SELECT 'conversations', conv_id, turn, text FROM conversations)""")
+def q_csv_quoted(spark, sf):
+    from fileflow.sources.csv import export_csv, read_csv
+    root = _scratch(spark, "csv_quoted")
+    export_csv(load(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), F.lit(0).alias("turn"), "text"), f"{root}/documents")
+    export_csv(load(spark, sf, "conversations").select(F.col("conv_id").alias("id"), "turn", "text"),
+               f"{root}/conversations")
+    return read_csv(spark, root, root=root).data.select(
+        F.regexp_extract("source_file", "^([^/]+)/", 1).alias("src"), "id", "turn", "text")
+
+
+def _one_file(df, key):
+    """All rows in one task, sorted: the file that a single program would have written."""
+    return df.repartition(1).sortWithinPartitions(key)
+
+
+_LATE = "o_orderkey > (SELECT max(o_orderkey) * 0.9 FROM orders)"
+
+
+@register("csv_late_quote", f"""
+SELECT o_orderkey, CASE WHEN {_LATE} THEN 'two' || chr(10) || 'lines, "quoted"' ELSE 'plain' END
+       AS note FROM orders""")
+def q_csv_late_quote(spark, sf):
+    from fileflow.sources.csv import export_csv, read_csv
+    o = load(spark, sf, "orders").select("o_orderkey")
+    top = o.agg(F.max("o_orderkey")).first()[0] * 0.9
+    note = F.when(F.col("o_orderkey") > top, F.lit('two\nlines, "quoted"')).otherwise("plain")
+    path = _scratch(spark, "late_quote")
+    export_csv(_one_file(o.withColumn("note", note), "o_orderkey"), path)
+    return read_csv(spark, path).data.select("o_orderkey", "note")
+
+
+@register("csv_late_encoding", f"""
+SELECT o_orderkey, CASE WHEN {_LATE} THEN 'café €' ELSE 'plain' END AS note FROM orders""")
+def q_csv_late_encoding(spark, sf):
+    from fileflow.sources.csv import export_csv, read_csv
+    o = load(spark, sf, "orders").select("o_orderkey")
+    top = o.agg(F.max("o_orderkey")).first()[0] * 0.9
+    note = F.when(F.col("o_orderkey") > top, F.lit("café €")).otherwise("plain")
+    path = _scratch(spark, "late_encoding")
+    export_csv(_one_file(o.withColumn("note", note), "o_orderkey"), path, encoding="windows-1252")
+    return read_csv(spark, path).data.select("o_orderkey", "note")
+
+
+_WIDE = [f"column_{i:04d}_" + "x" * 90 for i in range(700)]
+
+
+@register("csv_wide_header", f"""
+SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey,
+       CAST({len(_WIDE)} * n_nationkey + {sum(range(len(_WIDE)))} AS BIGINT) AS total FROM nation""")
+def q_csv_wide_header(spark, sf):
+    from pyspark.sql.types import LongType, StructField, StructType
+    from fileflow.sources.csv import export_csv, read_csv
+    n = load(spark, sf, "nation")
+    path = _scratch(spark, "wide_header")
+    export_csv(n.select("n_nationkey", *[(F.col("n_nationkey") + i).alias(c)
+                                         for i, c in enumerate(_WIDE)]), path)
+    schema = StructType([StructField(c, LongType()) for c in ["n_nationkey", *_WIDE]])
+    data = read_csv(spark, path, schema=schema).data
+    return data.select("n_nationkey", F.aggregate(F.array(*_WIDE), F.lit(0).cast("long"),
+                                                  lambda a, x: a + x).alias("total"))
+
+
+@register("csv_code_columns", """
+SELECT c_custkey, CAST(c_custkey AS VARCHAR) || CASE WHEN c_custkey % 2 = 0 THEN 'D' ELSE 'F' END
+       AS code, CAST(c_custkey AS DOUBLE) / 2 AS half FROM customer""")
+def q_csv_code_columns(spark, sf):
+    from fileflow.sources.csv import export_csv, read_csv
+    c = load(spark, sf, "customer").select(
+        "c_custkey", F.concat(F.col("c_custkey").cast("string"), F.when(
+            F.col("c_custkey") % 2 == 0, "D").otherwise("F")).alias("code"),
+        (F.col("c_custkey") / 2).alias("half"))
+    path = _scratch(spark, "code_columns")
+    export_csv(c, path)
+    return read_csv(spark, path).data.select("c_custkey", "code", "half")
+
+
+@register("coerce_dates_forms", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 6 THEN NULL ELSE o_orderdate END AS parsed FROM orders""")
+def q_coerce_dates_forms(spark, sf):
+    from fileflow.operators.clean import coerce_dates
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 7
+    text = (F.when(k == 0, F.date_format(d, "M/d/yyyy"))
+            .when(k == 1, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .when(k == 2, F.date_format(F.timestamp_add("HOUR", F.lit(2), d),
+                                        "yyyy-MM-dd HH:mm:ss'+02:00'"))
+            .when(k == 3, F.date_format(d, "yyyy-M-d")).when(k == 4, F.date_format(d, "d MMM yyyy"))
+            .when(k == 5, F.date_format(d, "yyyy-MM-dd HH:mm:ss'.000000000'"))
+            .otherwise(F.date_format(d, "'week' D 'of' yyyy")))
+    o = load(spark, sf, "orders").select("o_orderkey", text.alias("parsed"))
+    return coerce_dates(o, ["parsed"]).withColumn("parsed", F.col("parsed").cast("timestamp_ntz"))
+
+
+@register("upsert_type_drift", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'c-' || CAST(o_custkey AS VARCHAR)
+       ELSE CAST(o_custkey AS VARCHAR) END AS buyer FROM orders""")
+def q_upsert_type_drift(spark, sf):
+    from fileflow.operators.table import SnapshotTable
+    o = load(spark, sf, "orders")
+    t = SnapshotTable(spark, _scratch(spark, "type_drift"))
+    t.append(o.select("o_orderkey", F.col("o_custkey").alias("buyer")))
+    t.upsert(o.filter("o_orderstatus = 'F'").select(
+        "o_orderkey", F.concat(F.lit("c-"), F.col("o_custkey").cast("string")).alias("buyer")),
+        ["o_orderkey"])
+    return t.read()
+
+
+@register("upsert_composite_key", """
+SELECT l_orderkey, l_linenumber,
+       coalesce(max(l_quantity) FILTER (WHERE l_returnflag = 'R') * 2, sum(l_quantity)) AS qty
+FROM lineitem GROUP BY ALL""")
+def q_upsert_composite_key(spark, sf):
+    from fileflow.operators.table import SnapshotTable
+    li, keys = load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]
+    t = SnapshotTable(spark, _scratch(spark, "composite"))
+    t.append(li.groupBy(*keys).agg(F.sum("l_quantity").alias("qty")))
+    t.upsert(li.filter("l_returnflag = 'R'").groupBy(*keys)
+             .agg((F.max("l_quantity") * 2).alias("qty")), keys)
+    return t.read()
+
+
+@register("incremental_replay", "SELECT * FROM orders")
+def q_incremental_replay(spark, sf):
+    """A writer dies after its data is written and before its log row; its batch is replayed."""
+    from fileflow.operators.table import SnapshotTable
+    o, t = load(spark, sf, "orders"), SnapshotTable(spark, _scratch(spark, "replay"))
+    t.append(o.filter("o_orderstatus = 'F'"))
+    rest = o.filter("o_orderstatus <> 'F'")
+    t._write(rest, None)
+    for _ in range(2):
+        t.upsert(rest, ["o_orderkey"])
+    return _orders_out(t.read())
+
+
+def _runs_twice(spark, sf, name):
+    from fileflow.plans.lake import Lake
+    from fileflow.sources.csv import export_csv
+    import datetime as dt
+    root = _scratch(spark, name)
+    today = dt.datetime.now(dt.timezone.utc).date()
+    args = {"natural_keys": ["o_orderkey"], "date_columns": ["o_orderdate"], "as_of": today}
+    return load(spark, sf, "orders"), f"{root}/source", Lake(spark, f"{root}/lake"), \
+        today.isoformat(), args, export_csv
+
+
+@register("full_run_retry", "SELECT * FROM orders")
+def q_full_run_retry(spark, sf):
+    """The first load fails after landing; the next run lands nothing and loads everything."""
+    from fileflow.operators.contracts import SchemaValidationError
+    from fileflow.plans.full import full_run
+    from fileflow.schemas import ColumnSpec
+    o, src, lake, day, args, export_csv = _runs_twice(spark, sf, "run_retry")
+    export_csv(o, src, maxRecordsPerFile=4000)
+    try:
+        full_run(spark, lake, src, day, "run-1", specs=[ColumnSpec("absent", nullable=False)], **args)
+    except SchemaValidationError:
+        pass
+    full_run(spark, lake, src, day, "run-2", **args)
+    return _orders_out(lake.table("records").read())
+
+
+@register("full_run_second", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS price,
+       'records' AS src FROM orders
+UNION ALL SELECT count(*), CAST(NULL AS DOUBLE), 'silver' FROM orders
+UNION ALL SELECT CAST(1 AS BIGINT), CAST(NULL AS DOUBLE), 'day manifests'""")
+def q_full_run_second(spark, sf):
+    """Second run of a day: unchanged files are skipped, a changed folder and a new one load,
+    and silver keeps one copy of every file."""
+    from fileflow.plans.full import full_run
+    from fileflow.sources.landing import manifest_runs
+    from fileflow.sources.silver import read_silver
+    o, src, lake, day, args, export_csv = _runs_twice(spark, sf, "run_second")
+    args = {"natural_keys": ["o_orderkey"], "as_of": args["as_of"]}
+    o = o.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    status = F.col("o_orderstatus")
+    export_csv(_one_file(o.filter(status == "F"), "o_orderkey"), f"{src}/done")
+    export_csv(_one_file(o.filter(status == "P"), "o_orderkey"), f"{src}/part")
+    full_run(spark, lake, src, day, "run-1", **args)
+    _replace_text(spark, f"{src}/part", o.filter(status == "P").withColumn(
+        "o_totalprice", F.col("o_totalprice") + 1))
+    export_csv(_one_file(o.filter(status == "O"), "o_orderkey"), f"{src}/open")
+    full_run(spark, lake, src, day, "run-2", **args)
+    silver = read_silver(spark, lake.silver_root, day)
+    days = manifest_runs(spark, lake.manifests)
+    one = F.lit(None).cast("double").alias("price")
+    return (lake.table("records").read().select("o_orderkey", F.col("o_totalprice").alias("price"),
+                                                F.lit("records").alias("src"))
+            .union(silver.dropDuplicates(["o_orderkey"]).agg(F.count("*")).select(
+                "*", one, F.lit("silver")))
+            .union(days.agg(F.count("*")).select("*", one, F.lit("day manifests"))))
+
+
+def _replace_text(spark, path, df):
+    """New files in place of the folder's old ones, as an outside program would leave them."""
+    from fileflow.sources.csv import export_csv
+    export_csv(_one_file(df, "o_orderkey"), path)
+
+
+@register("constraint_not_null", """
+SELECT 'o_orderkey' AS "column", CAST(count(*) FILTER (WHERE o_orderkey IS NULL) AS BIGINT) AS n_null
+FROM orders
+UNION ALL SELECT 'o_clerk', count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders""")
+def q_constraint_not_null(spark, sf):
+    o = load(spark, sf, "orders").withColumn(
+        "o_clerk", F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority")))
+    return contracts.null_counts(o, ["o_orderkey", "o_clerk"])
+
+
+@register("prefix_listing", "SELECT DISTINCT 'docs/lang=de/source=' || source AS folder "
+                            "FROM documents WHERE lang = 'de'")
+def q_prefix_listing(spark, sf):
+    from fileflow.sources import discover
+    root = _scratch(spark, "prefix")
+    load(spark, sf, "documents").select("doc_id", "lang", "source").repartition("lang", "source") \
+        .write.partitionBy("lang", "source").option("header", "true").csv(f"{root}/docs")
+    return discover.scan(spark, root, prefix="docs/lang=de/") \
+        .select(F.regexp_replace("file_id", "/[^/]*$", "").alias("folder")).distinct()
+
+
+@register("null_rate_map", "\nUNION ALL ".join(
+    f"SELECT 'events' AS dataset, count(*) AS row_count, '{c}' AS \"column\", "
+    f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS null_rate FROM "
+    "(SELECT *, CASE WHEN event_type = 'click' THEN value END AS click_value FROM events)"
+    for c in ("event_id", "props", "click_value")))
+def q_null_rate_map(spark, sf):
+    e = load(spark, sf, "events").withColumn(
+        "click_value", F.when(F.col("event_type") == "click", F.col("value")))
+    s = catalog.stats(e.select("event_id", "props", "click_value"), "events")
+    return s.select("dataset", "row_count", F.explode("null_rates").alias("column", "null_rate"))
+
+
+@register("manifest_update", f"""
+SELECT {_DOC_KEY_SQL} AS storage_path, CASE WHEN lang = 'fr' THEN 'LOADED' ELSE 'PENDING' END AS status,
+       CASE WHEN lang = 'fr' THEN n_chars END AS row_count FROM documents""")
+def q_manifest_update(spark, sf):
+    from fileflow.operators.table import SnapshotTable
+    from fileflow.sources.landing import manifest_rows
+    name = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".csv"))
+    d = load(spark, sf, "documents").select(
+        "lang", "n_chars", name.alias("file_name"), F.md5("text").alias("checksum_md5"),
+        F.concat_ws("/", "lang", "source", name).alias("storage_path"))
+    t = SnapshotTable(spark, _scratch(spark, "manifest_update"))
+    t.append(manifest_rows(d, "run-1"))
+    t.upsert(manifest_rows(d.filter("lang = 'fr'").withColumn("row_count", F.col("n_chars")),
+                           "run-1", "LOADED"), ["storage_path"])
+    return t.read().select("storage_path", "status", "row_count")
+
+
+@register("packed_load", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def q_packed_load(spark, sf):
+    from fileflow.plans.extract import extract
+    from fileflow.plans.transform import transform_load
+    o, src, lake, day, _, export_csv = _runs_twice(spark, sf, "packed")
+    export_csv(o.select("o_orderkey", "o_custkey", "o_orderstatus"), src, maxRecordsPerFile=4000)
+    extract(spark, lake, src, day, "run-1")
+    transform_load(spark, lake, day, "run-1", mode="packed")
+    row = F.from_json("data_json", "o_orderkey long, o_custkey long, o_orderstatus string")
+    return lake.table("elt_data").read().select(row.alias("r")).select("r.*")
+
+
+@register("catalog_listing", """
+SELECT 'fileflow_customer' AS name, count(*) AS row_count FROM customer
+UNION ALL SELECT 'fileflow_orders', count(*) FROM orders""")
+def q_catalog_listing(spark, sf):
+    for t in ("orders", "customer"):
+        load(spark, sf, t).createOrReplaceTempView(f"fileflow_{t}")
+    return catalog.list_datasets(spark).filter(F.startswith("name", F.lit("fileflow_"))) \
+        .select("name", "row_count")
+
+
+@register("xlsx_missing_sheet", """
+SELECT DISTINCT 'wb/nation-' || c_nationkey || '-' || CAST(floor(c_custkey / 5000) AS BIGINT) || '.xlsx'
+       AS source_file, 'no rows in sheet ' || chr(39) || 'Nowhere' || chr(39) AS reason FROM customer""")
+def q_xlsx_missing_sheet(spark, sf):
+    from fileflow.sources.excel import read_excel
+    return read_excel(spark, _workbooks(spark, sf), sheet="Nowhere").rejects
+
+
+@register("dispatch_mixed", """
+SELECT c_custkey AS customer_key, c_name AS name, c_nationkey < 10 AS from_csv FROM customer""")
+def q_dispatch_mixed(spark, sf):
+    from fileflow.sources.csv import export_csv
+    from fileflow.sources.dispatch import read_files
+    path = _scratch(spark, "mixed")
+    export_csv(load(spark, sf, "customer").filter("c_nationkey < 10").select(
+        F.col("c_custkey").alias("Customer Key"), F.col("c_name").alias("Name")), path)
+    books = _workbooks(spark, sf).filter(
+        F.regexp_extract("path", r"nation-(\d+)-", 1).cast("int") >= 10)
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = files.filter(F.endswith("path", F.lit(".csv"))).unionByName(books)
+    data = read_files(spark, files, sheet="Customers").data
+    return data.select("customer_key", "name",
+                       F.endswith("source_file", F.lit(".csv")).alias("from_csv"))
+
+
+@register("records_page_after", """
+SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-10'
+   OR (ts = TIMESTAMP '2024-01-10' AND event_id > 0) ORDER BY ts, event_id LIMIT 100""")
+def q_records_page_after(spark, sf):
+    return records.page_after(load(spark, sf, "events"), ["ts", "event_id"],
+                              ["2024-01-10 00:00:00", 0], limit=100)

@@ -51,21 +51,6 @@ ELT_DATA = StructType([
     StructField("data_json", StringType(), True),
 ])
 
-DATASET_INFO = StructType([
-    StructField("name", StringType(), False),
-    StructField("row_count", LongType(), True),
-    StructField("last_loaded", TimestampType(), True),
-    StructField("columns", ArrayType(StringType()), True),
-])
-
-DATASET_STATS = StructType([
-    StructField("dataset", StringType(), False),
-    StructField("row_count", LongType(), True),
-    StructField("null_rates", MapType(StringType(), DoubleType()), True),
-    StructField("min_loaded_at", TimestampType(), True),
-    StructField("max_loaded_at", TimestampType(), True),
-])
-
 VIOLATION = StructType([
     StructField("column", StringType(), False),
     StructField("rule", StringType(), False),
@@ -94,14 +79,6 @@ CHECK = StructType([
     StructField("detail", StringType(), True),
 ])
 
-# Declared lengths of the audit tables' text columns.
-MAX_LENGTHS = {
-    "run_id": 128, "dag_id": 128, "status": 32, "error_message": 4000,
-    "file_name": 512, "file_id": 256, "checksum_md5": 64, "storage_path": 1024,
-    "source_file": 512,
-}
-
-
 @dataclass
 class ColumnSpec:
     """A column rule: name, expected type family, nullability, max length, allowed values."""

@@ -207,6 +207,13 @@ def read_excel(spark: SparkSession, files: DataFrame | str | list[str], *,
         rows = rows.filter(F.col("sheet_idx") == sheet)
     else:
         rows = rows.filter(F.col("sheet") == sheet)
+    if not all_sheets:
+        # a workbook without that sheet, or with nothing in it, is reported
+        rejects = rejects.unionByName(
+            files.filter(F.col("_ext").isin(READABLE)).select("path")
+            .join(rows.select("path").distinct(), "path", "left_anti")
+            .select(F.col("path").alias("source_file"),
+                    F.lit(f"no rows in sheet {sheet!r}").alias("reason")))
     # header = first non-empty row at or after the header position in each sheet
     hdr_pos = skip_rows + header_row
     rows = rows.filter(F.col("row_idx") >= hdr_pos)
@@ -222,7 +229,7 @@ def read_excel(spark: SparkSession, files: DataFrame | str | list[str], *,
     layouts = headers.select("_layout", "_header").distinct().collect()
     if not layouts:
         empty = spark.createDataFrame([], "source_file string, row_id long, loaded_at timestamp")
-        return ExcelResult(empty, rejects)
+        return ExcelResult(empty, _named(rejects, root))
     positions: dict[str, dict[str, int]] = {}
     for lay in layouts:
         for i, n in enumerate(normalize_names(list(lay._header))):
@@ -250,7 +257,13 @@ def read_excel(spark: SparkSession, files: DataFrame | str | list[str], *,
     body = add_audit(body, src, loaded_at)
     if all_sheets:
         body = body.withColumnRenamed("_sheet", "sheet")
-    return ExcelResult(body.drop("_file", "_sheet", "_row"), rejects)
+    return ExcelResult(body.drop("_file", "_sheet", "_row"), _named(rejects, root))
+
+
+def _named(rejects: DataFrame, root: str | None) -> DataFrame:
+    if root is None:
+        return rejects
+    return rejects.withColumn("source_file", relative_path("source_file", root))
 
 
 def _column_kinds(kinds_df: DataFrame, cols: list[str]) -> dict[str, str]:
