@@ -38,7 +38,6 @@ LENGTH, GRAM = 200, 64
 CHUNK = 1 << 20               # bytes of text hashed at a time
 INDEX = 1 << 20               # bytes of text in one index, at least one h
 HOT = 4000                    # different runs of one h that one task may get
-BROADCAST_ROWS = 500_000      # rows that may be broadcast (bounded lists of longs)
 _CODE = odd_constants(256, 77)
 _BASE = int(odd_constants(1, 78)[0])
 _BACK = pow(_BASE, -1, 1 << 64)
@@ -312,10 +311,6 @@ def counted(rims: DataFrame, length: int) -> DataFrame:
     return rows.join(again, "key").select("c", "lo", (F.col("lo") + length).alias("hi"))
 
 
-def _small(df: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
-
-
 def intervals(docs: DataFrame, length: int) -> DataFrame:
     """(c, spans): merged byte intervals to remove from each text; docs: (c, text)."""
     one = Window.partitionBy("h", "g").orderBy("c", "lo")
@@ -335,8 +330,7 @@ def intervals(docs: DataFrame, length: int) -> DataFrame:
     whole = rows.where("whole").select("c", "lo", (F.col("lo") + F.col("n") + length - 1).alias("hi"))
     want = (rows.where("sent").groupBy("c")
             .agg(F.collect_list(F.struct("h", "lo", "n", "hot")).alias("want")))
-    n_sent = rows.where("sent").count()
-    found = docs.join(_small(want, n_sent), "c").select("c", "text", "want")
+    found = docs.join(want, "c").select("c", "text", "want")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -385,8 +379,7 @@ def dedup(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> Data
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     found = materialize(intervals(docs.select(F.xxhash64(text).alias("c"), text.alias("text")),
                                   length), "bwt-span")
-    rows = docs.join(_small(found.withColumnRenamed("spans", "bwt__spans")
-                            .withColumnRenamed("c", "bwt__c"), found.count()),
+    rows = docs.join(found.toDF("bwt__c", "bwt__spans"),
                      F.xxhash64(text) == F.col("bwt__c"), "left").drop("bwt__c")
 
     def run(b: pa.RecordBatch):
