@@ -22,13 +22,14 @@ import datetime as _dt
 import json
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DataType, DateType, DoubleType, IntegerType, LongType,
                                NullType, NumericType, ShortType, StringType, StructType,
                                TimestampType)
 
+from fileflow.session import path_exists
+
 _LOG_SCHEMA = ("version long, committed_at timestamp, operation string, versions array<long>, "
                "schema_json string, rows long, inserted long, updated long, "
                "partition_by array<string>")
@@ -43,12 +44,9 @@ class SnapshotTable:
 
     # -- metadata ------------------------------------------------------------------------
     def log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_LOG_SCHEMA).parquet(self.log_path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, self.log_path):
             return self.spark.createDataFrame([], _LOG_SCHEMA)
+        return self.spark.read.schema(_LOG_SCHEMA).parquet(self.log_path)
 
     def head(self, version: int | None = None):
         """The log row of ``version`` (default: latest), or None. One row reaches the driver."""

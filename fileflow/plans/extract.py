@@ -14,7 +14,6 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +21,7 @@ from fileflow.functions.paths import bronze_key, extension, file_name, relative_
 from fileflow.operators import contracts
 from fileflow.operators.identity import assign_identity
 from fileflow.plans.lake import Lake
-from fileflow.session import materialize
+from fileflow.session import materialize, path_exists
 from fileflow.sources import discover
 from fileflow.sources.landing import manifest_rows, split_by_checksum, write_manifest
 from fileflow.sources.profile import with_profile
@@ -105,10 +104,7 @@ def extract(spark: SparkSession, lake: Lake, source_root: str, run_date: str, ru
 
 def _contents(spark: SparkSession, where: str | list[str]):
     """path, size_bytes and content of the files, or None where there is no folder."""
-    try:
-        raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(where)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if isinstance(where, str) and not path_exists(spark, where):
         return None
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(where)
     return raw.select("path", F.col("length").alias("size_bytes"), "content")

@@ -16,7 +16,6 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +26,7 @@ from fileflow.operators.table import align
 from fileflow.plans.lake import Lake
 from fileflow.plans.runlog import record_run
 from fileflow.schemas import ColumnSpec
-from fileflow.session import materialize
+from fileflow.session import materialize, path_exists
 from fileflow.sources.dispatch import read_files
 from fileflow.sources.landing import bronze_files
 from fileflow.sources.profile import PROFILE_COLUMNS
@@ -126,12 +125,9 @@ def transform_load(spark: SparkSession, lake: Lake, run_date: str, run_id: str,
 
 def _write_day(spark: SparkSession, lake: Lake, data: DataFrame, run_date: str) -> int:
     """Silver of the day: the rows of these files replace earlier ones, other files stay."""
-    try:
+    day = None
+    if path_exists(spark, f"{lake.silver_root}/run_date={run_date}"):
         day = read_silver(spark, lake.silver_root, run_date).drop("run_date")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        day = None
     n = data.count()
     if day is not None:
         names = data.select("source_file").distinct()

@@ -85,6 +85,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/fileflow-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, on whatever file system it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
 def materialize(df, label: str = "cut"):
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint folder and reading
     it back. Unlike an eager ``checkpoint()`` (which computes the plan once to count and
@@ -96,4 +102,5 @@ def materialize(df, label: str = "cut"):
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["get_session", "apply_defaults", "checkpoint_dir", "scratch_path", "materialize"]
+__all__ = ["get_session", "apply_defaults", "checkpoint_dir", "path_exists", "scratch_path",
+           "materialize"]

@@ -7,12 +7,12 @@ distributed by Spark (parallel partition discovery) for large trees.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fileflow.functions.paths import extension, file_name, parent_path, relative_path
 from fileflow.schemas import FILES
+from fileflow.session import path_exists
 
 # Extensions the scanner accepts (compared lower-cased).
 SUPPORTED_EXTENSIONS = [".xlsx", ".xls", ".csv", ".xlsm", ".xlsb"]
@@ -38,12 +38,9 @@ def scan(spark: SparkSession, root: str, extensions: list[str] | None = None,
     case-insensitive (``pathGlobFilter`` would not be).
     """
     exts = [e.lower() for e in (extensions or SUPPORTED_EXTENSIONS)]
-    try:
-        raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    except AnalysisException as e:      # a missing folder; any other fault is the caller's
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, root):        # any other fault is the caller's
         return spark.createDataFrame([], FILES)
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     listed = raw.select("path", "length", "modificationTime")
     mime = F.create_map(*[x for k, v in MIME_TYPES.items() for x in (F.lit(k), F.lit(v))])
     out = listed.select(

@@ -6,11 +6,11 @@ write / read, W6 file-manifest rows.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fileflow.schemas import FILE_MANIFEST, MANIFEST
+from fileflow.session import path_exists
 
 MAX_BROADCAST_FILES = 500_000
 
@@ -108,12 +108,9 @@ def write_manifest(files: DataFrame, path: str, run_date: Column | str,
 def _manifest_lines(spark: SparkSession, path: str) -> DataFrame:
     schema = ("created_at string, file_name string, minio_key string, size_bytes long, "
               "run_date string")
-    try:
-        return spark.read.schema(schema).json(path)
-    except AnalysisException as e:      # no manifest written yet; other faults are raised
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):        # no manifest written yet; other faults are raised
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(path)
 
 
 def read_manifest(spark: SparkSession, path: str, run_date: str | None = None) -> DataFrame:
