@@ -11,8 +11,12 @@ document:
 
 The second word of a text starts at the bigram (0.4 c / N if that fails), the first is c / N.
 The last case is charged by the record of w3, which knows c(w2 w3) and c(w3); so one exchange
-is enough. Words with more than HOT records are not given to one partition: their n-grams are
-counted by plain aggregates and joined, with the same result.
+is enough. A word with more than HOT records is not given to one partition: its records go out
+twice, by a hash of (left, word) and by a hash of (word, right). Either copy knows the trigram
+and one of the bigrams, and the word's own count is broadcast, so each copy charges its part of
+the same score. Bigrams with more than HOT records are not given to one partition either: their
+counts, and those of the trigrams made of two of them, are broadcast. There are at most N / HOT
+hot words, and as many hot bigrams.
 
 Records travel as compressed arrays for each lot of documents. Words are lower-cased runs
 between ASCII white space, named by 64-bit hashes.
@@ -37,8 +41,8 @@ from .common import materialize, mix64, odd_constants, small_batches, text_bytes
 from .shingles import words
 
 MIN, BACK = 2, 0.4
-HOT, PART = 1_000_000, 500_000          # records of a word / of a partition
-MAX_HOT = 100_000                       # hot words that may be sent to every task
+HOT, PART = 1_000_000, 500_000          # records of a word or bigram / of a partition
+MAX_HOT = 100_000                       # hot words and bigrams that may be sent to every task
 LOT_WORDS, LOT_DOCS = 1_000_000, 4000
 _BOS, _EOS = np.uint64(0), np.uint64(1)
 _A = odd_constants(4, 61)
@@ -92,17 +96,59 @@ def _small(n: int):
     return np.uint16 if n < 1 << 16 else np.uint32
 
 
-def _scores(left, right, mark, total, u, b1, b2, t):
-    """Log score charged by each record, given its counts."""
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix64(a * _A[0] + b * _A[1])
+
+
+def _triple(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return mix64(_pair(a, b) + c * _A[2])
+
+
+class Hot:
+    """Exact counts of the hot words, bigrams and trigrams."""
+
+    def __init__(self, total: int, tables: list[dict[int, int]]):
+        self.total = total
+        self.keys = [np.array(sorted(t), dtype=np.uint64) for t in tables]
+        self.counts = [np.array([t[k] for k in sorted(t)], dtype=np.int64) for t in tables]
+
+    def has(self, order: int, key: np.ndarray) -> np.ndarray:
+        return np.isin(key, self.keys[order - 1])
+
+    def count(self, order: int, key: np.ndarray) -> np.ndarray:
+        """Counts of the keys, 0 for those that are not hot."""
+        k = self.keys[order - 1]
+        if not len(k):
+            return np.zeros(len(key), np.int64)
+        at = np.minimum(np.searchsorted(k, key), len(k) - 1)
+        return np.where(k[at] == key, self.counts[order - 1][at], 0)
+
+
+#: What a record's copy charges: everything, or only what its own bigram decides.
+ALL, LEFT, RIGHT = 0, 1, 2
+
+
+def _scores(kind, other, left, right, second, total, u, b1, b2, t):
+    """Log score charged by each record, given its counts.
+
+    ``kind``: ALL for whole records, LEFT / RIGHT for the copies of a hot word's records;
+    ``other``: there is no copy for the other side, so this one charges for both.
+    """
     first, last = left == _BOS, right == _EOS
+    charge_l, charge_r = (kind != RIGHT) | other, (kind != LEFT) | other
     out = np.zeros(len(left))
     tri = ~last & ~first & (t >= MIN)
-    bi = ~last & ~tri & (b2 >= MIN)
-    out[tri] += np.log(t[tri] / b1[tri])
-    out[bi] += np.log(b2[bi] / u[bi]) + np.where(first[bi], 0.0, math.log(BACK))
-    uni = first | (b1 < MIN)
-    level = np.where(first, 0, np.where(mark % 2 == 1, 1, 2))
-    out[uni] += np.log(u[uni] / total) + level[uni] * math.log(BACK)
+    x = tri & charge_r
+    out[x] += np.log(t[x])
+    x = tri & charge_l
+    out[x] -= np.log(b1[x])
+    x = ~last & ~tri & charge_r
+    x[x] = b2[x] >= MIN
+    out[x] += np.log(b2[x] / u[x]) + np.where(first[x], 0.0, math.log(BACK))
+    x = charge_l & (kind != RIGHT)
+    x[x] = first[x] | (b1[x] < MIN)
+    level = np.where(first, 0, np.where(second, 1, 2))
+    out[x] += np.log(u[x] / total) + level[x] * math.log(BACK)
     return out
 
 
@@ -111,79 +157,154 @@ def _count(key: np.ndarray) -> np.ndarray:
     return n[inverse]
 
 
-def _hot_words(docs: DataFrame) -> tuple[int, np.ndarray]:
-    """Number of words, and the words whose records no partition should hold alone.
-
-    Where a word goes changes no result, so words that are rare in every lot may be left out.
-    """
+def _sums(docs: DataFrame, fn) -> list:
+    """(k, x, n) rows summed over all lots; ``fn(left, word, right)`` gives k, x, n arrays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, w, _ in _lots(batches):
-            word, n = np.unique(w, return_counts=True)
-            top = n * 2000 >= len(w)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(word[top].view(np.int64), 0)),
-                 pa.array(np.append(n[top], len(w)).astype(np.int64))], ["w", "n"])
+        for _, _, w, doc in _lots(batches):
+            left, right, _ = _records(w, doc)
+            for k, x, n in fn(left, w, right):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(x), k)), pa.array(x.view(np.int64)),
+                     pa.array(n.astype(np.int64))], ["k", "x", "n"])
+
+    return (docs.mapInArrow(run, "k long, x long, n long").groupBy("k", "x")
+            .agg(F.sum("n").alias("n")))
 
-    got = docs.mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    got = materialize(got, "lm-word")
-    total = got.where("w = 0").agg(F.sum("n")).first()[0] or 0
-    bound = max(HOT, total // MAX_HOT)
-    hot = got.where((F.col("w") != 0) & (F.col("n") >= bound)).collect()
-    return total, np.sort(np.array([r.w for r in hot], dtype=np.int64).view(np.uint64))
 
+def hot_ngrams(docs: DataFrame) -> Hot:
+    """The number of words, and the words and bigrams that no partition should hold alone.
 
-def _cold(docs: DataFrame, total: int, hot: np.ndarray) -> DataFrame:
-    """(lot, ids, n, s): scores of the records of ordinary words, as arrays of each lot."""
-    parts = max(1, math.ceil(total / PART))
+    Where a record goes changes no result, so what is rare in every lot may be left out of the
+    first look; the counts of what was found are exact.
+    """
+    def look(left, w, right):
+        yield 0, np.zeros(1, np.uint64), np.array([len(w)])
+        for k, key in ((1, w), (2, _pair(left, w)), (2, _pair(w, right)[right == _EOS])):
+            x, n = np.unique(key, return_counts=True)
+            yield k, x[n * 2000 >= len(w)], n[n * 2000 >= len(w)]
+
+    got = materialize(_sums(docs, look), "lm-look")
+    total = got.where("k = 0").agg(F.sum("n")).first()[0] or 0
+    rows = got.where((F.col("k") > 0) & (F.col("n") >= max(HOT, total // MAX_HOT))).collect()
+    found = [np.sort(np.array([r.x for r in rows if r.k == k], np.int64).view(np.uint64))
+             for k in (1, 2)]
+    if not rows:
+        return Hot(total, [{}, {}, {}])
+
+    def exact(left, w, right):
+        one, two = _pair(left, w), _pair(w, right)
+        both = np.isin(one, found[1]) & np.isin(two, found[1])
+        end = right == _EOS
+        for k, key in ((1, w[np.isin(w, found[0])]), (2, one[np.isin(one, found[1])]),
+                       (2, two[end & np.isin(two, found[1])]),
+                       (3, _triple(left[both], w[both], right[both]))):
+            yield k, *np.unique(key, return_counts=True)
+
+    tables: list[dict[int, int]] = [{}, {}, {}]
+    for r in _sums(docs, exact).collect():
+        tables[r.k - 1][r.x % (1 << 64)] = r.n
+    return Hot(total, tables)
+
+
+def _copies(hot: Hot, left, w, right):
+    """Index, kind, other-flag and routing key of every record's copies, and the records whose
+    bigrams are both hot, which need no routing."""
+    is_hot = hot.has(1, w)
+    hot_l, hot_r = hot.has(2, _pair(left, w)), hot.has(2, _pair(w, right))
+    plain, at = np.flatnonzero(~is_hot), np.flatnonzero(is_hot)
+    one, two = at[~hot_l[at]], at[~hot_r[at] & (right[at] != _EOS)]
+    index = np.concatenate((plain, one, two))
+    kind = np.repeat(np.array([ALL, LEFT, RIGHT]), (len(plain), len(one), len(two)))
+    other = np.concatenate((np.zeros(len(plain), bool), hot_r[one], hot_l[two]))
+    key = np.concatenate((mix64(w[plain]), mix64(_pair(left[one], w[one])),
+                          mix64(_pair(w[two], right[two]))))
+    direct = at[hot_l[at] & (hot_r[at] | (right[at] == _EOS))]
+    return index, kind, other, key, direct
+
+
+def partial_scores(docs: DataFrame, hot: Hot) -> DataFrame:
+    """(lot, ids, n, s): for each lot of documents one row with ids and word counts, and any
+    number of rows with parts of the scores, as arrays."""
+    parts = max(1, math.ceil(hot.total / PART))
+    sent = docs.sparkSession.sparkContext.broadcast(hot)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = sent.value
         for lot, ids, w, doc in _lots(batches):
             left, right, mark = _records(w, doc)
+            index, kind, other, key, direct = _copies(table, left, w, right)
             names, code = np.unique(np.concatenate((w, left, right)), return_inverse=True)
             code = code.astype(np.int32).reshape(3, -1)
-            part = (mix64(w) % np.uint64(parts)).astype(np.int64)
-            part[np.isin(w, hot)] = parts
-            order = np.lexsort((code[0], part))
+            tag = mark[index] * 8 + kind * 2 + other
+            part = (key % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((code[0][index], part))
             cuts = np.searchsorted(part[order], np.arange(parts + 1))
-            rows = []
+            d = direct
+            s = _scores(np.full(len(d), ALL), np.ones(len(d), bool), left[d], right[d],
+                        mark[d] % 2 == 1, table.total, table.count(1, w[d]),
+                        table.count(2, _pair(left[d], w[d])),
+                        table.count(2, _pair(w[d], right[d])),
+                        table.count(3, _triple(left[d], w[d], right[d])))
+            s = np.bincount(mark[d] // 2, s, minlength=len(ids))
+            n = np.bincount(doc, minlength=len(ids)).astype(np.int64)
+            rows = [(-1 - lot % parts, lot, len(ids), _pack(n), _pack(s),
+                     _pack(np.array([i is not None for i in ids])) ,
+                     _pack(np.array([i or 0 for i in ids], np.int64)))]
             for p in range(parts):
                 at = order[cuts[p]:cuts[p + 1]]
                 if len(at):
-                    used, c = np.unique(code[:, at], return_inverse=True)
+                    used, c = np.unique(code[:, index[at]], return_inverse=True)
                     rows.append((p, lot, len(ids), _pack(names[used]),
                                  _pack(c.astype(_small(len(used)))),
-                                 _pack(mark[at].astype(_small(2 * len(ids))))))
+                                 _pack(tag[at].astype(_small(16 * len(ids)))), None))
             for i in range(0, len(rows), 64):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[j] for r in rows[i:i + 64]], t) for j, t in enumerate(
                         (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(),
-                         pa.binary()))], ["p", "lot", "docs", "names", "code", "mark"])
+                         pa.binary(), pa.binary()))],
+                    ["p", "lot", "docs", "names", "code", "mark", "ids"])
 
     def close(rows):
-        mid, left, right, mark, sizes = [], [], [], [], []
-        for _, docs_n, names, code, m in rows:
+        table = sent.value
+        mid, left, right, tag, sizes = [], [], [], [], []
+        for _, docs_n, names, code, m, _ in rows:
             names = _unpack(names, np.uint64)
             code = _unpack(code, _small(len(names))).reshape(3, -1)
             mid.append(names[code[0]])
             left.append(names[code[1]])
             right.append(names[code[2]])
-            mark.append(_unpack(m, _small(2 * docs_n)).astype(np.int64))
+            tag.append(_unpack(m, _small(16 * docs_n)).astype(np.int64))
             sizes.append(code.shape[1])
-        mid, left, right, mark = map(np.concatenate, (mid, left, right, mark))
-        one = mid * _A[0] + left * _A[1]
-        s = _scores(left, right, mark, total, _count(mid), _count(one),
-                    _count(mid * _A[0] + right * _A[2]), _count(mix64(one) + right * _A[2]))
+        mid, left, right, tag = map(np.concatenate, (mid, left, right, tag))
+        kind, other, mark = tag // 2 % 4, tag % 2 == 1, tag // 8
+        one, two, three = _pair(left, mid), _pair(mid, right), _triple(left, mid, right)
+        u, b1, b2 = table.count(1, mid), table.count(2, one), table.count(2, two)
+        t = np.zeros(len(mid), np.int64)
+        for k in (ALL, LEFT, RIGHT):
+            at = np.flatnonzero(kind == k)
+            t[at] = _count(three[at])
+            if k == ALL:
+                u[at] = _count(mid[at])
+            if k != RIGHT:
+                b1[at] = _count(one[at])
+            if k != LEFT:
+                b2[at] = _count(two[at])
+        s = _scores(kind, other, left, right, mark % 2 == 1, table.total, u, b1, b2, t)
         ends = np.cumsum(sizes)
-        out = [np.bincount(mark[a:b] // 2, s[a:b], minlength=r[1])
-               for r, a, b in zip(rows, [0, *ends], ends)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()),
-             pa.array([x.tobytes() for x in out], pa.binary())], ["lot", "s"])
+        return _lot_rows([(r[0], None, None, np.bincount(mark[a:b] // 2, s[a:b], minlength=r[1]))
+                          for r, a, b in zip(rows, [0, *ends], ends)])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
         for b in batches:
             for p, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if p < 0:                                    # the head of a lot
+                    lot, _, n, s, known, ids = row
+                    known = _unpack(known, bool)
+                    ids = [i if k else None for i, k in
+                           zip(_unpack(ids, np.int64).tolist(), known.tolist())]
+                    yield _lot_rows([(lot, ids, _unpack(n, np.int64), _unpack(s, np.float64))])
+                    continue
                 if p != at and held:
                     yield close(held)
                     held = []
@@ -192,47 +313,18 @@ def _cold(docs: DataFrame, total: int, hot: np.ndarray) -> DataFrame:
         if held:
             yield close(held)
 
-    sent = docs.mapInArrow(split, "p long, lot long, docs long, names binary, code binary, "
-                                  "mark binary")
-    return (sent.repartition(parts, "p").sortWithinPartitions("p")
-            .mapInArrow(score, "lot long, s binary"))
+    out = docs.mapInArrow(split, "p long, lot long, docs long, names binary, code binary, "
+                                 "mark binary, ids binary")
+    return (out.repartition(parts, "p").sortWithinPartitions("p")
+            .mapInArrow(score, "lot long, ids array<long>, n array<long>, s binary"))
 
 
-def _hot(docs: DataFrame, total: int, hot: np.ndarray) -> DataFrame:
-    """(lot, place, s) of the records of hot words, by aggregates and joins."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lot, _, w, doc in _lots(batches):
-            left, right, mark = _records(w, doc)
-            at = np.flatnonzero(np.isin(w, hot))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), lot)), pa.array(mark[at])]
-                + [pa.array(x[at].view(np.int64)) for x in (left, w, right)],
-                ["lot", "mark", "l", "w", "r"])
-
-    rows = (docs.mapInArrow(run, "lot long, mark long, l long, w long, r long")
-            .groupBy("lot", "mark", "l", "w", "r").agg(F.count("*").alias("n")))
-    rows = materialize(rows, "lm-hot")
-    t = rows.groupBy("l", "w", "r").agg(F.sum("n").alias("t"))
-    t = materialize(t, "lm-tri")
-    b1 = t.groupBy("l", "w").agg(F.sum("t").alias("b1"))
-    b2 = t.groupBy("w", "r").agg(F.sum("t").alias("b2"))
-    u = t.groupBy("w").agg(F.sum("t").alias("u"))           # at most MAX_HOT rows
-    first, last = F.col("l") == 0, F.col("r") == 1
-    tri = ~last & ~first & (F.col("t") >= MIN)
-    bi = ~last & ~tri & (F.col("b2") >= MIN)
-    after = (F.when(tri, F.log(F.col("t") / F.col("b1")))
-             .when(bi, F.log(F.col("b2") / F.col("u")) + F.when(first, 0.0).otherwise(math.log(BACK)))
-             .otherwise(0.0))
-    own = F.log(F.col("u") / F.lit(float(total)))
-    table = (t.join(b1, ["l", "w"]).join(b2, ["w", "r"]).join(F.broadcast(u), "w")
-             .select("l", "w", "r", after.alias("after"),
-                     F.when(first | (F.col("b1") < MIN), own).alias("own"), first.alias("first")))
-    level = F.when(F.col("first"), 0).when(F.col("mark") % 2 == 1, 1).otherwise(2)
-    s = F.col("after") + F.when(F.col("own").isNull(), 0.0).otherwise(
-        F.col("own") + level * math.log(BACK))
-    return (rows.join(table, ["l", "w", "r"])
-            .groupBy("lot", F.floor(F.col("mark") / 2).alias("place"))
-            .agg(F.sum(F.col("n") * s).alias("s")))
+def _lot_rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int64()),
+         pa.array([r[1] for r in rows], pa.list_(pa.int64())),
+         pa.array([None if r[2] is None else r[2].tolist() for r in rows], pa.list_(pa.int64())),
+         pa.array([r[3].tobytes() for r in rows], pa.binary())], ["lot", "ids", "n", "s"])
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,33 +332,22 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    total, hot = _hot_words(docs)
 
-    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lot, ids, _, doc in _lots(batches):
-            n = np.bincount(doc, minlength=len(ids))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), lot)), pa.array(np.arange(len(ids))),
-                 pa.array(ids, pa.int64()), pa.array(n.astype(np.int64))],
-                ["lot", "place", "id", "n"])
-
-    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
+        heads: dict[int, tuple] = {}
         for b in batches:
-            for lot, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for lot, ids, n, s in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 x = np.frombuffer(s, np.float64)
                 sums[lot] = sums[lot] + x if lot in sums else x
-        for lot, x in sums.items():
+                if ids is not None:
+                    heads[lot] = (ids, n)
+        for lot, (ids, n) in heads.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(x), lot)), pa.array(np.arange(len(x))), pa.array(x)],
-                ["lot", "place", "s"])
-
-    head = docs.mapInArrow(heads, "lot long, place long, id long, n long")
-    parts = _cold(docs, total, hot).repartition("lot").mapInArrow(
-        unfold, "lot long, place long, s double")
-    if len(hot):
-        parts = parts.union(_hot(docs, total, hot))
-    parts = parts.groupBy("lot", "place").agg(F.sum("s").alias("s"))
-    return head.join(parts, ["lot", "place"], "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_words"),
-        F.coalesce("s", F.lit(0.0)).alias("log_score"))
+                [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(sums[lot])],
+                ["id", "n", "s"])
+
+    return (partial_scores(docs, hot_ngrams(docs)).repartition("lot")
+            .mapInArrow(gather, "id long, n long, s double")
+            .select(F.col("id").alias(id_col), F.col("n").alias("n_words"),
+                    F.col("s").alias("log_score")))
