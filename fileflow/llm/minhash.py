@@ -238,10 +238,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = materialize(confirm(groups, sets, percent), "mh-link")
     comp = components(links.union(more))
 
-    d = d.join(comp.withColumnRenamed("id", "node"), F.col("k") == F.col("node"), "left")
-    d = d.select("id", "n_shingles", F.coalesce("component", "k").alias("c"))
-    first = d.where("c is not null and id is not null").groupBy("c").agg(F.min("id").alias("low"))
-    out = d.join(first, "c", "left")
+    # the smallest id is found per class, so rows meet it by their own class, never all the rows
+    # of a component at one place
+    info = classes.select("k", "cid").join(comp, F.col("k") == F.col("id"), "left").select(
+        "k", "cid", F.coalesce("component", "k").alias("c"))
+    low = info.groupBy("c").agg(F.min("cid").alias("low"))
+    out = d.join(info.join(low, "c").select("k", "low"), "k", "left")
     cid = F.when(F.col("id").isNotNull(), F.coalesce("low", "id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", cid.alias("component_id"),
                       F.coalesce(F.col("id") == cid, F.lit(True)).alias("kept"))
