@@ -268,6 +268,17 @@ def audit(nodes: DataFrame, threshold: float, seed: int) -> DataFrame:
     return nodes.select("k", "grp", "vec").mapInArrow(run, "k long, nbr long")
 
 
+def _settle(close: DataFrame, extra: list[DataFrame], nodes: DataFrame, threshold: float):
+    """Links among the candidates, their components, and the components with a list that holds
+    nothing but links."""
+    links = exact(reduce(DataFrame.union, extra, close.select("k", "nbr")), nodes, threshold)
+    links = materialize(links, "nn-link")
+    comp = components(links)
+    full = (close.groupBy("k").count().where(F.col("count") >= K)
+            .join(comp, F.col("k") == F.col("id")).select("component").distinct())
+    return links, comp, full
+
+
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     label_col: str = "label", threshold: float = 0.93) -> DataFrame:
     """(id_col, n_links, component_id, kept, recall), one row per input row; recall is that of
@@ -289,11 +300,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
             if changed <= 0.01 * K * n:
                 break
         close = graph.where(F.col("sim") >= threshold - SLACK)
-        links = exact(reduce(DataFrame.union, extra, close.select("k", "nbr")), nodes, threshold)
-        links = materialize(links, "nn-link")
-        comp = components(links)
-        full = (close.groupBy("k").count().where(F.col("count") >= K)
-                .join(comp, F.col("k") == F.col("id")).select("component").distinct())
+        links, comp, full = _settle(close, extra, nodes, threshold)
         dense = materialize(comp.join(full, "component")
                             .select(F.col("id").alias("k"), F.col("component").alias("comp")),
                             "nn-dense")
@@ -307,11 +314,9 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
         if got[1] == got[0]:
             break
         extra.append(truth)
-        if recall >= RECALL and attempt + 1 < TRIES:
-            # few links are missing: take those of the audit and settle the components again
-            links = materialize(exact(reduce(DataFrame.union, extra, close.select("k", "nbr")),
-                                      nodes, threshold), "nn-link")
-            comp = components(links)
+        if recall >= RECALL or attempt + 1 == TRIES:
+            # take what the audit found as well, and settle the components again
+            links, comp, full = _settle(close, extra, nodes, threshold)
             break
     mult = nodes.select(F.col("k").alias("nbr"), F.col("mult").alias("m"))
     loose = (links.union(links.select("b", "a")).toDF("k", "nbr").distinct().join(mult, "nbr")
