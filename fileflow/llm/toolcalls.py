@@ -34,8 +34,6 @@ _MESSAGE = ("tool_calls array<struct<id: string, name: string, arguments: varian
 #: JSON types that fit each schema type, as variant type names.
 _FITS = {"string": "STRING", "integer": "BIGINT", "number": "(BIGINT|DOUBLE|DECIMAL.*)",
          "boolean": "BOOLEAN", "array": "ARRAY<.*", "object": "OBJECT<.*"}
-#: Schemas are broadcast up to this many tools; beyond it they are joined by shuffle.
-BROADCAST_TOOLS = 10_000
 
 
 def parse(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -53,29 +51,27 @@ def parse(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
-def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def levels(nodes: DataFrame, waiting: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of all calls that no cycle holds back.
 
-    ``edges``: (conv_id, call_id, needs) between nodes. One round for each level; a round joins
-    only the edges of calls still without a level.
+    ``waiting``: (conv_id, call_id, needs) of the calls that refer to others. Each round takes
+    the calls of the last level out of the lists of those that wait for them; a call whose list
+    is then empty is on the next level. One small table is written for each level.
     """
-    done = materialize(nodes.join(edges, ["conv_id", "call_id"], "left_anti")
-                       .select("conv_id", "call_id", F.lit(0).alias("level")), "tc-level")
-    parts, left = [done], materialize(edges.distinct(), "tc-edge")
-    while not left.isEmpty():
-        known = reduce(DataFrame.union, parts)
-        seen = left.join(known.select("conv_id", F.col("call_id").alias("needs"), "level"),
-                         ["conv_id", "needs"], "left")
-        new = materialize(seen.groupBy("conv_id", "call_id")
-                          .agg(F.max("level").alias("top"),
-                               F.count(F.when(F.col("level").isNull(), 1)).alias("open"))
-                          .where("open = 0").select("conv_id", "call_id",
-                                                    (F.col("top") + 1).alias("level")), "tc-level")
-        if new.isEmpty():
-            break
-        parts.append(new)
-        left = materialize(left.join(new, ["conv_id", "call_id"], "left_anti"), "tc-edge")
-    return reduce(DataFrame.union, parts)
+    key = ["conv_id", "call_id"]
+    front = materialize(nodes.select(*key).join(waiting, key, "left_anti"), "tc-level")
+    parts = [front.select(*key, F.lit(0).alias("level"))]
+    while True:
+        got = front.select("conv_id", F.col("call_id").alias("need"), F.lit(1).alias("got"))
+        step = materialize(
+            waiting.select(*key, F.explode("needs").alias("need"))
+            .join(got, ["conv_id", "need"], "left").groupBy(*key)
+            .agg(F.collect_set(F.when(F.col("got").isNull(), F.col("need"))).alias("needs")),
+            "tc-level")
+        front, waiting = step.where("size(needs) = 0"), step.where("size(needs) > 0")
+        if front.isEmpty():
+            return reduce(DataFrame.union, parts)
+        parts.append(front.select(*key, F.lit(len(parts)).alias("level")))
 
 
 def _errors() -> str:
@@ -104,9 +100,6 @@ def link(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     tools = (schemas.groupBy("name").agg(F.array_sort(F.collect_set(
         F.struct("param", "type", F.coalesce("required", F.lit(False)).alias("required"))))
         .alias("params")))
-    tools = materialize(tools, "tc-tool")
-    if tools.count() <= BROADCAST_TOOLS:
-        tools = F.broadcast(tools)
 
     first = (calls.where("conv_id is not null and call_id is not null")
              .groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "idx")).alias("first")))
@@ -128,17 +121,18 @@ def link(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     rows = rows.withColumn("errors", F.expr(_errors())).withColumn("needs", needs)
     rows = materialize(rows.drop("params", "args", "first"), "tc-row")
 
-    nodes = rows.where("chosen").select("conv_id", "call_id").distinct()
-    asked = rows.where("chosen").select("conv_id", "call_id", F.explode("needs").alias("needs"))
-    asked = asked.distinct()
-    there = nodes.select("conv_id", F.col("call_id").alias("needs"))
-    edges = asked.join(there, ["conv_id", "needs"]).select("conv_id", "call_id", "needs")
-    lost = (asked.join(there, ["conv_id", "needs"], "left_anti").groupBy("conv_id", "call_id")
-            .agg(F.array_sort(F.collect_set(F.concat(F.lit("unresolved:"), "needs")))
-                 .alias("lost")))
-    level = levels(nodes, edges).withColumn("chosen", F.lit(True))
-    rows = (rows.join(level, ["conv_id", "call_id", "chosen"], "left")
-            .join(lost.withColumn("chosen", F.lit(True)), ["conv_id", "call_id", "chosen"],
+    key = ["conv_id", "call_id"]
+    nodes = rows.where("chosen").select(*key, "needs")
+    there = nodes.select("conv_id", F.col("call_id").alias("need"), F.lit(1).alias("there"))
+    asked = materialize(
+        nodes.select(*key, F.explode("needs").alias("need"))
+        .join(there, ["conv_id", "need"], "left").groupBy(*key)
+        .agg(F.collect_set(F.when(F.col("there") == 1, F.col("need"))).alias("needs"),
+             F.array_sort(F.collect_set(F.when(F.col("there").isNull(), F.concat(
+                 F.lit("unresolved:"), "need")))).alias("lost")), "tc-need")
+    level = levels(nodes, asked.where("size(needs) > 0").select(*key, "needs"))
+    rows = (rows.join(level.withColumn("chosen", F.lit(True)), [*key, "chosen"], "left")
+            .join(asked.select(*key, "lost", F.lit(True).alias("chosen")), [*key, "chosen"],
                   "left"))
     status = (F.when(F.col("conv_id").isNull() | F.col("call_id").isNull(), "no_id")
               .when(~F.col("chosen"), "duplicate_id").when(F.col("r").isNull(), "missing_result")
