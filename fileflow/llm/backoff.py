@@ -41,9 +41,9 @@ from .common import materialize, mix64, odd_constants, small_batches, text_bytes
 from .shingles import words
 
 MIN, BACK = 2, 0.4
-HOT, PART = 1_000_000, 500_000          # records of a word or bigram / of a partition
+HOT, PART = 1_000_000, 2_000_000        # records of a word or bigram / of a partition
 MAX_HOT = 100_000                       # hot words and bigrams that may be sent to every task
-LOT_WORDS, LOT_DOCS = 1_000_000, 4000
+LOT_WORDS, LOT_DOCS = 2_000_000, 4000
 _BOS, _EOS = np.uint64(0), np.uint64(1)
 _A = odd_constants(4, 61)
 
