@@ -206,6 +206,17 @@ def hot_ngrams(docs: DataFrame) -> Hot:
     return Hot(total, tables)
 
 
+def _codes(w: np.ndarray, left: np.ndarray, right: np.ndarray):
+    """Sorted names, and each record's (word, left, right) as places in them. The neighbours'
+    places are those of the words, moved by one."""
+    names, place = np.unique(w, return_inverse=True)
+    code = np.empty((3, len(w)), dtype=np.int32)
+    code[0] = place + 2
+    code[1, 1:], code[2, :-1] = code[0, :-1], code[0, 1:]
+    code[1][left == _BOS], code[2][right == _EOS] = 0, 1
+    return np.concatenate((np.array([_BOS, _EOS]), names)), code
+
+
 def _copies(hot: Hot, left, w, right):
     """Index, kind, other-flag and routing key of every record's copies, and the records whose
     bigrams are both hot, which need no routing."""
@@ -233,8 +244,7 @@ def partial_scores(docs: DataFrame, hot: Hot) -> DataFrame:
         for lot, ids, w, doc in _lots(batches):
             left, right, mark = _records(w, doc)
             index, kind, other, key, direct = _copies(table, left, w, right)
-            names, code = np.unique(np.concatenate((w, left, right)), return_inverse=True)
-            code = code.astype(np.int32).reshape(3, -1)
+            names, code = _codes(w, left, right)
             tag = mark[index] * 8 + kind * 2 + other
             part = (key % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((code[0][index], part))
