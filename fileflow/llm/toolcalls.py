@@ -51,27 +51,65 @@ def parse(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
+def chains(waiting: DataFrame) -> DataFrame:
+    """(conv_id, call_id, anc, dist, open) of the calls that refer to exactly one other: the
+    first call up the chain that does not, and the steps to it, by pointer doubling (rounds
+    grow with the logarithm of a chain's length). ``open``: the chain ends in a cycle."""
+    key = ["conv_id", "call_id"]
+    jump = materialize(waiting.where("size(needs) = 1").select(
+        *key, F.col("needs")[0].alias("anc"), F.lit(1).alias("dist"), F.lit(True).alias("open")),
+        "tc-chain")
+    last = None
+    while True:
+        up = jump.select("conv_id", F.col("call_id").alias("anc"), F.col("anc").alias("anc2"),
+                         F.col("dist").alias("dist2"))
+        jump = materialize(jump.join(up, ["conv_id", "anc"], "left").select(
+            *key, F.coalesce("anc2", "anc").alias("anc"),
+            (F.col("dist") + F.coalesce("dist2", F.lit(0))).alias("dist"),
+            F.col("anc2").isNotNull().alias("open")), "tc-chain")
+        left = jump.where("open").count()
+        if left in (0, last):            # each round settles some, unless all are in cycles
+            return jump
+        last = left
+
+
 def levels(nodes: DataFrame, waiting: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of all calls that no cycle holds back.
 
-    ``waiting``: (conv_id, call_id, needs) of the calls that refer to others. Each round takes
-    the calls of the last level out of the lists of those that wait for them; a call whose list
-    is then empty is on the next level. One small table is written for each level.
+    ``waiting``: (conv_id, call_id, needs) of the calls that refer to others. Chains of calls
+    with one reference each are first jumped over. Then each round takes the calls that have
+    got their level out of the lists of those with several references that wait for them; so
+    there is one small table for each such call on the longest path, not for each call.
     """
     key = ["conv_id", "call_id"]
-    front = materialize(nodes.select(*key).join(waiting, key, "left_anti"), "tc-level")
-    parts = [front.select(*key, F.lit(0).alias("level"))]
-    while True:
-        got = front.select("conv_id", F.col("call_id").alias("need"), F.lit(1).alias("got"))
+    chain = chains(waiting)
+    roots = nodes.select(*key).join(waiting, key, "left_anti").select(*key, F.lit(0).alias("level"))
+    front = materialize(roots, "tc-level")
+    parts = [front]
+    link = chain.where("not open").select("conv_id", F.col("call_id").alias("need"), "anc", "dist")
+    many = (waiting.where("size(needs) > 1").select(*key, F.explode("needs").alias("need"))
+            .join(link, ["conv_id", "need"], "left").groupBy(*key)
+            .agg(F.collect_set(F.struct(F.coalesce("anc", "need").alias("anc"), (
+                F.coalesce("dist", F.lit(0)) + 1).alias("dist"))).alias("needs"))
+            .select(*key, "needs", F.lit(0).alias("top")))
+    many = materialize(many, "tc-level")
+    while not many.isEmpty() and not front.isEmpty():
+        got = front.select("conv_id", F.col("call_id").alias("anc"), "level")
         step = materialize(
-            waiting.select(*key, F.explode("needs").alias("need"))
-            .join(got, ["conv_id", "need"], "left").groupBy(*key)
-            .agg(F.collect_set(F.when(F.col("got").isNull(), F.col("need"))).alias("needs")),
+            many.select(*key, "top", F.explode("needs").alias("n"))
+            .select(*key, "top", "n", F.col("n.anc").alias("anc"))
+            .join(got, ["conv_id", "anc"], "left").groupBy(*key)
+            .agg(F.collect_set(F.when(F.col("level").isNull(), F.col("n"))).alias("needs"),
+                 F.greatest(F.max("top"), F.max(F.col("level") + F.col("n.dist"))).alias("top")),
             "tc-level")
-        front, waiting = step.where("size(needs) = 0"), step.where("size(needs) > 0")
-        if front.isEmpty():
-            return reduce(DataFrame.union, parts)
-        parts.append(front.select(*key, F.lit(len(parts)).alias("level")))
+        front = step.where("size(needs) = 0").select(*key, F.col("top").alias("level"))
+        many = step.where("size(needs) > 0")
+        parts.append(front)
+    known = materialize(reduce(DataFrame.union, parts), "tc-level")
+    tail = (chain.where("not open")
+            .join(known.select("conv_id", F.col("call_id").alias("anc"), "level"),
+                  ["conv_id", "anc"]).select(*key, (F.col("level") + F.col("dist")).alias("level")))
+    return known.union(tail)
 
 
 def _errors() -> str:

@@ -67,3 +67,32 @@ def test_faults(rows):
 def test_empty(spark):
     tools = spark.createDataFrame([], "name string, param string, type string, required boolean")
     assert toolcalls.link(spark.createDataFrame([], SCHEMA), tools).count() == 0
+
+
+def test_levels_of_long_chains_and_forks(spark):
+    import random
+    r, needs = random.Random(6), {}
+    for c in range(4):
+        for k in range(120):
+            old = [f"n{j}" for j in range(k)]
+            if c == 0:
+                needs[c, f"n{k}"] = old[-1:]                       # one chain
+            else:
+                needs[c, f"n{k}"] = r.sample(old, min(k, r.choice([0, 1, 1, 1, 2, 3])))
+    for k in range(5):                                             # a cycle with a tail
+        needs[9, f"n{k}"] = [f"n{(k + 1) % 4}"]
+    want = {}
+
+    def level(c, i):
+        if (c, i) not in want:
+            want[c, i] = 1 + max((level(c, x) for x in needs[c, i]), default=-1)
+        return want[c, i]
+
+    for c, i in needs:
+        if c != 9:
+            level(c, i)
+    nodes = spark.createDataFrame([(c, i) for c, i in needs], "conv_id long, call_id string")
+    waiting = spark.createDataFrame([(c, i, n) for (c, i), n in needs.items() if n],
+                                    "conv_id long, call_id string, needs array<string>")
+    got = toolcalls.levels(nodes, waiting).collect()
+    assert {(x.conv_id, x.call_id): x.level for x in got} == want and len(got) == len(want)
