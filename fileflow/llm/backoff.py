@@ -41,7 +41,7 @@ from .common import materialize, mix64, odd_constants, small_batches, text_bytes
 from .shingles import words
 
 MIN, BACK = 2, 0.4
-HOT, PART = 1_000_000, 2_000_000        # records of a word or bigram / of a partition
+HOT, PART = 2_000_000, 1_000_000        # records of a word or bigram / of a partition
 MAX_HOT = 100_000                       # hot words and bigrams that may be sent to every task
 LOT_WORDS, LOT_DOCS = 2_000_000, 4000
 _BOS, _EOS = np.uint64(0), np.uint64(1)
@@ -283,22 +283,27 @@ def partial_scores(docs: DataFrame, hot: Hot) -> DataFrame:
             mid.append(names[code[0]])
             left.append(names[code[1]])
             right.append(names[code[2]])
-            tag.append(_unpack(m, _small(16 * docs_n)).astype(np.int64))
+            tag.append(_unpack(m, _small(16 * docs_n)).astype(np.int32))
             sizes.append(code.shape[1])
         mid, left, right, tag = map(np.concatenate, (mid, left, right, tag))
-        kind, other, mark = tag // 2 % 4, tag % 2 == 1, tag // 8
-        one, two, three = _pair(left, mid), _pair(mid, right), _triple(left, mid, right)
-        u, b1, b2 = table.count(1, mid), table.count(2, one), table.count(2, two)
+        kind, other, mark = (tag // 2 % 4).astype(np.int8), tag % 2 == 1, tag // 8
+        u = table.count(1, mid)
+        b1 = table.count(2, _pair(left, mid))
+        b2 = table.count(2, _pair(mid, right))
         t = np.zeros(len(mid), np.int64)
         for k in (ALL, LEFT, RIGHT):
             at = np.flatnonzero(kind == k)
-            t[at] = _count(three[at])
+            if not len(at):
+                continue
+            x, y, z = left[at], mid[at], right[at]
+            t[at] = _count(_triple(x, y, z))
             if k == ALL:
-                u[at] = _count(mid[at])
+                u[at] = _count(y)
             if k != RIGHT:
-                b1[at] = _count(one[at])
+                b1[at] = _count(_pair(x, y))
             if k != LEFT:
-                b2[at] = _count(two[at])
+                b2[at] = _count(_pair(y, z))
+            del x, y, z
         s = _scores(kind, other, left, right, mark % 2 == 1, table.total, u, b1, b2, t)
         ends = np.cumsum(sizes)
         return _lot_rows([(r[0], None, None, np.bincount(mark[a:b] // 2, s[a:b], minlength=r[1]))
