@@ -8,8 +8,8 @@ Vectors of one label are compared by cosine. Equal vectors are one node with a m
    than a list's last entry replace it. Repeated until few lists change.
 3. Threshold: entries near the threshold are recomputed in double precision; those at or above
    it are links.
-4. Saturation: if every entry of a node's list is a link, the list may hide more links. Such a
-   list is enlarged to the node's whole component (links cannot leave it), compared in blocks.
+4. Saturation: if every entry of a node's list is a link, the list may hide more links, also to
+   nodes that no list names. Such a node is compared with its whole label, in blocks.
 5. Audit: a bounded sample of nodes (AUDIT) is compared with all nodes of their labels. Links
    it finds are kept; while recall is under RECALL, fresh trees start another descent.
 
@@ -37,7 +37,7 @@ from .common import append_arrow, components, materialize, small_batches
 
 K, LEAF, TREES, ROUNDS, TRIES = 12, 64, 3, 6, 3
 AUDIT, RECALL, SLACK = 256, 0.995, 0.005
-BLOCK = 1024                   # nodes of one block of a saturated component
+BLOCK = 1024                   # nodes compared at a time
 
 
 def _nodes(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
@@ -190,55 +190,105 @@ def exact(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def enlarge(dense: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """(k, n): linked rows of each node of (k, comp), all pairs of a component in blocks."""
-    w = Window.partitionBy("comp").orderBy("k")
-    rows = (dense.withColumn("blk", F.floor((F.row_number().over(w) - 1) / BLOCK).cast("int"))
-            .withColumn("top", F.max("blk").over(Window.partitionBy("comp")))
-            .withColumn("other", F.explode(F.expr("sequence(0, top)")))
-            .select("comp", F.least("blk", "other").alias("i"),
-                    F.greatest("blk", "other").alias("j"), "blk", "k"))
-    rows = (rows.join(nodes.select("k", "vec", "mult"), "k")
-            .select("comp", "i", "j", "blk", "k", "vec", "mult")
-            .repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j"))
+def compare(some: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """The nodes of (k) against all nodes of their labels, in blocks of bounded size. Rows
+    (k, own, n, d, nbr): own, n and d are the linked rows and nodes of a compared node; not own,
+    those that a node has among the compared ones; with nbr, a link. The links given are not all,
+    but connect what all of them connect."""
+    q = some.select("k").join(nodes.select("k", "grp", "vec", "mult"), "k")
+    sizes = (nodes.groupBy("grp").agg(F.count("*").alias("n2"))
+             .join(q.groupBy("grp").agg(F.count("*").alias("n1")), "grp")
+             .select("grp", *[F.ceil(F.col(n) / (4.0 * BLOCK)).cast("int").alias(f"b{n[1]}")
+                              for n in ("n1", "n2")]))
+
+    def side(rows: DataFrame, at: int, own: str, other: str) -> DataFrame:
+        mine, all_ = F.pmod(F.xxhash64("k"), F.col(own)), F.expr(f"sequence(0, {other} - 1)")
+        rows = rows.join(sizes, "grp").withColumn("mine", mine.cast("int"))
+        rows = rows.withColumn("other", F.explode(all_))
+        i, j = ("mine", "other") if at == 0 else ("other", "mine")
+        return rows.select("grp", F.col(i).alias("i"), F.col(j).alias("j"),
+                           F.lit(at).alias("at"), "k", "vec", "mult")
+
+    rows = (side(q, 0, "b1", "b2")
+            .union(side(nodes.select("k", "grp", "vec", "mult"), 1, "b2", "b1"))
+            .repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "at"))
+    size = BLOCK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close():
-            if not held:
-                return
-            x = _unit([r[2] for r in held])
-            side = np.array([r[0] for r in held])
-            ids = np.array([r[1] for r in held])
-            mult = np.array([r[3] for r in held])
-            one, two = side == at[1], side == at[2]
-            hit = x[one] @ x[two].T >= threshold
-            if at[1] == at[2]:
-                np.fill_diagonal(hit, False)
-                got.append((ids[one], hit @ mult[two]))
-            else:
-                got.append((ids[one], hit @ mult[two]))
-                got.append((ids[two], hit.T @ mult[one]))
+        block, one, two, out = None, [], [], []
+        x = ids = mult = n = d = low = None
+
+        def meet():
+            """The nodes held against the block's compared nodes."""
+            nonlocal x, ids, mult, n, d, low
+            if one and x is None:
+                x, ids = _unit([r[1] for r in one]), np.array([r[0] for r in one])
+                mult = np.array([r[2] for r in one])
+                n, d, low = (np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64),
+                             np.arange(len(ids)))
+            if one and two:
+                k, m = np.array([r[0] for r in two]), np.array([r[2] for r in two])
+                hit = x @ _unit([r[1] for r in two]).T >= threshold
+                a, b = np.nonzero(hit & (ids[:, None] != k[None, :]))
+                np.add.at(n, a, m[b])
+                np.add.at(d, a, 1)
+                rows, links = np.zeros(len(k), np.int64), np.bincount(b, minlength=len(k))
+                np.add.at(rows, b, mult[a])
+                got = np.flatnonzero(links)
+                out.append(_compared(k[got], False, rows[got], links[got], None))
+                before, last = low.copy(), None
+                while last is None or (last != low).any():      # smallest name that is met
+                    last, name = low.copy(), np.full(len(k), len(ids))
+                    np.minimum.at(name, b, low[a])
+                    np.minimum.at(low, a, name[b])
+                new = np.flatnonzero(low != before)
+                out.append(_compared(np.concatenate([k[got], ids[new]]), None, None, None,
+                                     ids[np.concatenate([name[got], low[new]])]))
+            two.clear()
 
-        at, held, got = None, [], []
-        for b in batches:
-            for comp, i, j, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if (comp, i, j) != at:
+        def close():
+            nonlocal x
+            meet()
+            if one:
+                out.append(_compared(ids, True, n, d, None))
+            one.clear()
+            x = None
+
+        for batch in batches:
+            for g, i, j, at, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (g, i, j) != block:
                     close()
-                    at, held = (comp, i, j), []
-                held.append(row)
-            yield from _counts(got)
-            got = []
+                    block = (g, i, j)
+                (one if at == 0 else two).append(row)
+                if len(two) == size:
+                    meet()
+            yield from out
+            out.clear()
         close()
-        yield from _counts(got)
+        yield from out
 
-    return (rows.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")))
+    return rows.mapInArrow(run, "k long, own boolean, n long, d long, nbr long")
 
 
-def _counts(got: list) -> Iterator[pa.RecordBatch]:
-    if got:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([g[0] for g in got]), pa.int64()),
-             pa.array(np.concatenate([g[1] for g in got]), pa.int64())], ["k", "n"])
+def _compared(k, own, n, d, nbr) -> pa.RecordBatch:
+    size = len(k)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(k, pa.int64()), pa.array([own] * size, pa.bool_()),
+         *[pa.nulls(size, pa.int64()) if c is None else pa.array(c, pa.int64())
+           for c in (n, d, nbr)]], ["k", "own", "n", "d", "nbr"])
+
+
+def counted(links: DataFrame, met: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(k, n, d): linked rows and nodes. Of a compared node all of them; of another node its
+    links, and what the comparisons met."""
+    sure = met.where("own").select("k").distinct()
+    mult = nodes.select(F.col("k").alias("nbr"), F.col("mult").alias("m"))
+    loose = (links.union(links.select("b", "a")).toDF("k", "nbr").distinct()
+             .join(sure.toDF("nbr"), "nbr", "left_anti").join(mult, "nbr")
+             .select("k", F.col("m").alias("n"), F.lit(1).cast("long").alias("d"))
+             .union(met.where("not own").select("k", "n", "d")).join(sure, "k", "left_anti"))
+    return (loose.union(met.where("own").select("k", "n", "d")).groupBy("k")
+            .agg(F.sum("n").alias("n"), F.sum("d").alias("d")))
 
 
 def audit(nodes: DataFrame, threshold: float, seed: int) -> DataFrame:
@@ -268,17 +318,6 @@ def audit(nodes: DataFrame, threshold: float, seed: int) -> DataFrame:
     return nodes.select("k", "grp", "vec").mapInArrow(run, "k long, nbr long")
 
 
-def _settle(close: DataFrame, extra: list[DataFrame], nodes: DataFrame, threshold: float):
-    """Links among the candidates, their components, and the components with a list that holds
-    nothing but links."""
-    links = exact(reduce(DataFrame.union, extra, close.select("k", "nbr")), nodes, threshold)
-    links = materialize(links, "nn-link")
-    comp = components(links)
-    full = (close.groupBy("k").count().where(F.col("count") >= K)
-            .join(comp, F.col("k") == F.col("id")).select("component").distinct())
-    return links, comp, full
-
-
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     label_col: str = "label", threshold: float = 0.93) -> DataFrame:
     """(id_col, n_links, component_id, kept, recall), one row per input row; recall is that of
@@ -300,33 +339,28 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
             if changed <= 0.01 * K * n:
                 break
         close = graph.where(F.col("sim") >= threshold - SLACK)
-        links, comp, full = _settle(close, extra, nodes, threshold)
-        dense = materialize(comp.join(full, "component")
-                            .select(F.col("id").alias("k"), F.col("component").alias("comp")),
-                            "nn-dense")
+        links = materialize(exact(reduce(DataFrame.union, extra, close.select("k", "nbr")), nodes,
+                                  threshold), "nn-link")
+        full = close.groupBy("k").count().where(F.col("count") >= K)
+        met = materialize(compare(full, nodes, threshold), "nn-met")
+        sure = met.where("own").select("k").distinct().withColumn("s", F.lit(1))
         truth = materialize(audit(nodes, threshold, attempt), "nn-audit")
         both = links.union(links.select("b", "a")).toDF("k", "nbr").withColumn("seen", F.lit(1))
-        one, two = dense.toDF("k", "c1"), dense.toDF("nbr", "c2")
-        got = (truth.join(both, ["k", "nbr"], "left").join(one, "k", "left")
-               .join(two, "nbr", "left")
-               .agg(F.count("*"), F.count(F.when(F.expr("seen = 1 or c1 = c2"), 1))).first())
+        got = (truth.join(both, ["k", "nbr"], "left").join(sure.toDF("k", "s1"), "k", "left")
+               .join(sure.toDF("nbr", "s2"), "nbr", "left")
+               .agg(F.count("*"), F.count(F.coalesce("seen", "s1", "s2"))).first())
         recall = got[1] / got[0] if got[0] else 1.0
         if got[1] == got[0]:
             break
         extra.append(truth)
         if recall >= RECALL or attempt + 1 == TRIES:
-            # take what the audit found as well, and settle the components again
-            links, comp, full = _settle(close, extra, nodes, threshold)
+            # take what the audit found as well
+            links = materialize(links.union(exact(truth, nodes, threshold)).distinct(), "nn-link")
             break
-    mult = nodes.select(F.col("k").alias("nbr"), F.col("mult").alias("m"))
-    loose = (links.union(links.select("b", "a")).toDF("k", "nbr").distinct().join(mult, "nbr")
-             .groupBy("k").agg(F.sum("m").alias("n1")))
-    dense = comp.join(full, "component").select(F.col("id").alias("k"),
-                                                F.col("component").alias("comp"))
-    many = enlarge(dense, nodes, threshold).withColumnRenamed("n", "n2")
-    info = (nodes.select("k", "mult").join(loose, "k", "left").join(many, "k", "left")
+    comp = components(links.union(met.where("nbr is not null").select("k", "nbr")))
+    info = (nodes.select("k", "mult").join(counted(links, met, nodes), "k", "left")
             .join(comp.withColumnRenamed("id", "k"), "k", "left")
-            .select("k", (F.coalesce("n2", "n1", F.lit(0)) + F.col("mult") - 1).alias("links"),
+            .select("k", (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("links"),
                     F.coalesce("component", "k").alias("c")))
     out = rows.select("id", "k").join(info, "k", "left")
     low = out.where("c is not null and id is not null").groupBy("c").agg(F.min("id").alias("low"))

@@ -121,6 +121,25 @@ def test_embeddings_equal_brute_force(spark, monkeypatch):
     assert all(got[i].n_links == 0 and got[i].kept for i in range(n, n + 8))
 
 
+def test_embeddings_full_lists_of_two_groups(spark, monkeypatch):
+    """Lists filled by their own group hide the links to the other group."""
+    monkeypatch.setattr(nndescent, "AUDIT", 0)
+    monkeypatch.setattr(nndescent, "BLOCK", 3)
+    r = np.random.default_rng(8)
+    centre = np.zeros((2, 32))
+    centre[:, 0], centre[1, 1] = 1, 0.36                                  # 0.94 apart
+    x = np.repeat(centre, 20, axis=0) + 0.004 * r.standard_normal((40, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = x @ x.T >= 0.93
+    np.fill_diagonal(want, False)
+    assert want[:20, 20:].any() and (x[:20] @ x[:20].T).min() > (x[:20] @ x[20:].T).max()
+    got = sorted(nndescent.near_duplicates(spark.createDataFrame(
+        [(k, v.tolist(), 1) for k, v in enumerate(x)],
+        "vec_id long, embedding array<double>, label int")).collect())
+    assert [g.n_links for g in got] == want.sum(axis=1).tolist()
+    assert {g.component_id for g in got} == {0}
+
+
 def test_embeddings_odd_rows(spark):
     schema = "vec_id long, embedding array<float>, label int, k string, n_links string"
     rows = [(None, [1.0, 0.0], 1, "a", "b"), (1, [1.0, 0.0], 1, "a", "b"),
