@@ -2,16 +2,19 @@
 
 Vectors of one label are compared by cosine. Equal vectors are one node with a multiplicity.
 
-1. Start: random hyperplane trees put each node into small leaves (a leaf that is too large is
-   split by a hash of the node); neighbours inside a leaf start the K-neighbour graph.
+1. Start: random hyperplane trees put each node into small leaves; planes lie at the median
+   projection of the label (a leaf that is too large is split by a hash of the node). Neighbours
+   inside a leaf start the K-neighbour graph.
 2. Descent: each node joins its neighbours, forward and reverse, with one another; pairs closer
    than a list's last entry replace it. Repeated until few lists change.
 3. Threshold: entries near the threshold are recomputed in double precision; those at or above
    it are links.
 4. Saturation: if every entry of a node's list is a link, the list may hide more links, also to
    nodes that no list names. Such a node is compared with its whole label, in blocks.
-5. Audit: a bounded sample of nodes (AUDIT) is compared with all nodes of their labels. Links
-   it finds are kept; while recall is under RECALL, fresh trees start another descent.
+5. Audit: a sample of each label's other nodes is compared with the whole label, and enlarged
+   until it has seen LINKS links or holds the label. What it finds is kept. While a label's recall
+   is under RECALL, fresh trees start another descent; a label still short after TRIES is compared
+   whole, in blocks.
 
 The search uses half-precision copies; no link is reported without double precision.
 
@@ -23,7 +26,6 @@ not compared. A null id has a null component and is kept. Repeated rows link wit
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -36,8 +38,11 @@ from pyspark.sql import types as T
 from .common import append_arrow, components, materialize, small_batches
 
 K, LEAF, TREES, ROUNDS, TRIES = 12, 64, 3, 6, 3
+BITS = 20                      # planes of a tree
 AUDIT, RECALL, SLACK = 256, 0.995, 0.005
+LINKS, RAISE = 64, 8           # links that an audit has to see; growth of its sample until then
 BLOCK = 1024                   # nodes compared at a time
+MET = "k long, own boolean, n long, d long, nbr long"
 
 
 def _nodes(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
@@ -105,22 +110,30 @@ def _best(ids: list[int], half: list[bytes], keep: int, floor: np.ndarray | None
 def start(nodes: DataFrame, seed: int) -> DataFrame:
     """(k, nbr, sim) inside the leaves of TREES random hyperplane trees."""
     sizes = nodes.groupBy("grp").agg(F.count("*").alias("n"))
-    rows = nodes.join(sizes, "grp").select("k", "grp", "n", "half")
+    rows = nodes.select("k", "grp", "half")
     trees = range(TREES)
 
-    def leaves(b: pa.RecordBatch):
-        out = [[] for _ in trees]
-        for raw, n in zip(b.column(3).to_pylist(), b.column(2).to_pylist(), strict=True):
+    def project(b: pa.RecordBatch):
+        out = []
+        for raw in b.column(2).to_pylist():
             x = np.frombuffer(raw, dtype=np.float16).astype(np.float32)
-            bits = min(20, max(0, math.ceil(math.log2(n / LEAF))))
-            for t in trees:
-                p = planes.setdefault((len(x), t), np.random.default_rng(
-                    [seed, t, len(x)]).standard_normal((20, len(x)), dtype=np.float32))
-                out[t].append("".join("1" if y > 0 else "0" for y in p[:bits] @ x))
-        return [pa.array(o, pa.string()) for o in out]
+            if len(x) not in planes:
+                planes[len(x)] = np.concatenate([np.random.default_rng(
+                    [seed, t, len(x)]).standard_normal((BITS, len(x)), dtype=np.float32)
+                    for t in trees])
+            out.append(planes[len(x)] @ x)
+        return [pa.array(out, pa.list_(pa.float32()))]
 
     planes: dict = {}
-    rows = append_arrow(rows, [(f"t{t}", T.StringType()) for t in trees], leaves)
+    rows = append_arrow(rows, [("p", T.ArrayType(T.FloatType()))], project)
+    middle = rows.groupBy("grp").agg(F.array(*[
+        F.percentile_approx(F.col("p")[i], 0.5, 200) for i in range(BITS * TREES)]).alias("mid"))
+    rows = (rows.join(middle, "grp").join(sizes, "grp")
+            .withColumn("bits", F.least(F.lit(BITS), F.greatest(F.lit(0), F.ceil(
+                F.log2(F.col("n") / LEAF)))).cast("int"))
+            .withColumn("p", F.expr("transform(p, (x, i) -> if(x > mid[i], '1', '0'))")))
+    for t in trees:
+        rows = rows.withColumn(f"t{t}", F.expr(f"concat_ws('', slice(p, {BITS * t + 1}, bits))"))
     rows = rows.select("k", "half", F.explode(F.array(*[
         F.concat_ws("|", "grp", F.lit(str(t)), f"t{t}") for t in trees])).alias("leaf"))
     rows = materialize(rows, "nn-leaf")
@@ -267,7 +280,7 @@ def compare(some: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
         close()
         yield from out
 
-    return rows.mapInArrow(run, "k long, own boolean, n long, d long, nbr long")
+    return rows.mapInArrow(run, MET)
 
 
 def _compared(k, own, n, d, nbr) -> pa.RecordBatch:
@@ -291,44 +304,47 @@ def counted(links: DataFrame, met: DataFrame, nodes: DataFrame) -> DataFrame:
             .agg(F.sum("n").alias("n"), F.sum("d").alias("d")))
 
 
-def audit(nodes: DataFrame, threshold: float, seed: int) -> DataFrame:
-    """(k, nbr) links of a bounded sample of nodes, by comparing them with all nodes."""
-    some = (nodes.orderBy(F.xxhash64("k", F.lit(seed))).limit(AUDIT)
-            .select("k", "grp", "vec").collect())
-    by: dict = {}
-    for r in some:
-        by.setdefault(r.grp, []).append((r.k, bytes(r.vec)))
-    sent = nodes.sparkSession.sparkContext.broadcast(
-        {g: (np.array([x[0] for x in v]), _unit([x[1] for x in v])) for g, v in by.items()})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            k, grp = b.column(0).to_numpy(), np.array(b.column(1).to_pylist(), dtype=object)
-            vec = b.column(2).to_pylist()
-            for g, (ids, q) in sent.value.items():
-                mine = np.flatnonzero(grp == g)
-                if not len(mine):
-                    continue
-                hit = q @ _unit([vec[i] for i in mine]).T >= threshold
-                x, y = np.nonzero(hit & (ids[:, None] != k[mine][None, :]))
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(k[mine][y])],
-                                                     ["k", "nbr"])
-
-    return nodes.select("k", "grp", "vec").mapInArrow(run, "k long, nbr long")
+def audit(labels: DataFrame, nodes: DataFrame, found: DataFrame, met: DataFrame,
+          threshold: float, seed: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Labels (grp, links, got: what comparing saw, and how many of it ``found`` has) and the
+    comparisons made: of a sample of each label's nodes that are not compared yet, enlarged until
+    LINKS links are seen or the whole label is in it."""
+    spot = F.pmod(F.xxhash64("k", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    rest = (nodes.select("k", "grp", spot.alias("spot"))
+            .join(met.where("own").select("k").distinct(), "k", "left_anti"))
+    zero = F.lit(0).cast("long")
+    share = rest.join(labels.select("grp"), "grp").groupBy("grp").agg(
+        F.lit(0.0).alias("lo"), F.least(F.lit(1.0), F.lit(float(AUDIT)) / F.count("*")).alias("hi"),
+        zero.alias("links"), zero.alias("got"))
+    share, made = materialize(share, "nn-share"), []
+    while share.where("hi > lo").count():
+        some = rest.join(share, "grp").where("spot >= lo and spot < hi").select("k")
+        made.append(materialize(compare(some, nodes, threshold), "nn-met"))
+        seen = (made[-1].where("own").groupBy("k").agg(F.sum("d").alias("t"))
+                .join(found.select("k", "d"), "k", "left").join(nodes.select("k", "grp"), "k")
+                .groupBy("grp").agg(F.sum("t").alias("t"), F.sum("d").alias("f")))
+        share = (share.join(seen, "grp", "left")
+                 .withColumn("links", F.col("links") + F.coalesce("t", zero))
+                 .withColumn("got", F.col("got") + F.coalesce("f", zero))
+                 .select("grp", F.col("hi").alias("lo"), F.when(
+                     F.col("links") < LINKS, F.least(F.lit(1.0), F.col("hi") * RAISE))
+                     .otherwise(F.col("hi")).alias("hi"), "links", "got"))
+        share = materialize(share, "nn-share")
+    return share, made
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     label_col: str = "label", threshold: float = 0.93) -> DataFrame:
     """(id_col, n_links, component_id, kept, recall), one row per input row; recall is that of
-    the audit, before the links that it found were added."""
+    the last audit, before the links that it found were added."""
     small_batches(df.sparkSession)
     rows = materialize(_nodes(df, id_col, vec_col, label_col), "nn-row")
     nodes = materialize(rows.where("k is not null").groupBy("k").agg(
         F.first("grp").alias("grp"), F.first("vec").alias("vec"), F.first("half").alias("half"),
         F.count("*").alias("mult")), "nn-node")
     n = nodes.count()
-    graph, extra, recall = None, [], 1.0
+    graph, recall, labels = None, 1.0, nodes.select("grp").distinct()
+    met = df.sparkSession.createDataFrame([], MET)
     for attempt in range(TRIES):
         fresh = start(nodes, attempt)
         fresh = fresh if graph is None else graph.select("k", "nbr", "sim").union(fresh)
@@ -339,24 +355,23 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
             if changed <= 0.01 * K * n:
                 break
         close = graph.where(F.col("sim") >= threshold - SLACK)
-        links = materialize(exact(reduce(DataFrame.union, extra, close.select("k", "nbr")), nodes,
-                                  threshold), "nn-link")
-        full = close.groupBy("k").count().where(F.col("count") >= K)
-        met = materialize(compare(full, nodes, threshold), "nn-met")
-        sure = met.where("own").select("k").distinct().withColumn("s", F.lit(1))
-        truth = materialize(audit(nodes, threshold, attempt), "nn-audit")
-        both = links.union(links.select("b", "a")).toDF("k", "nbr").withColumn("seen", F.lit(1))
-        got = (truth.join(both, ["k", "nbr"], "left").join(sure.toDF("k", "s1"), "k", "left")
-               .join(sure.toDF("nbr", "s2"), "nbr", "left")
-               .agg(F.count("*"), F.count(F.coalesce("seen", "s1", "s2"))).first())
-        recall = got[1] / got[0] if got[0] else 1.0
-        if got[1] == got[0]:
-            break
-        extra.append(truth)
-        if recall >= RECALL or attempt + 1 == TRIES:
-            # take what the audit found as well
-            links = materialize(links.union(exact(truth, nodes, threshold)).distinct(), "nn-link")
+        links = materialize(exact(close.select("k", "nbr"), nodes, threshold), "nn-link")
+        full = (close.groupBy("k").count().where(F.col("count") >= K)
+                .join(met.where("own").select("k").distinct(), "k", "left_anti"))
+        met = met.union(materialize(compare(full, nodes, threshold), "nn-met"))
+        found = materialize(counted(links, met, nodes), "nn-found")
+        share, made = audit(labels, nodes, found, met, threshold, attempt)
+        met = reduce(DataFrame.union, made, met)
+        t, f = share.agg(F.sum("links"), F.sum("got")).first()
+        recall = f / t if t else 1.0
+        labels = materialize(share.where(F.col("got") < RECALL * F.col("links")).select("grp"),
+                             "nn-short")
+        if not labels.count():
             break
+    else:
+        short = (nodes.join(labels, "grp").select("k")
+                 .join(met.where("own").select("k").distinct(), "k", "left_anti"))
+        met = met.union(materialize(compare(short, nodes, threshold), "nn-met"))
     comp = components(links.union(met.where("nbr is not null").select("k", "nbr")))
     info = (nodes.select("k", "mult").join(counted(links, met, nodes), "k", "left")
             .join(comp.withColumnRenamed("id", "k"), "k", "left")

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fileflow.llm import minhash, nndescent
 from fileflow.llm.common import components
@@ -140,6 +141,41 @@ def test_embeddings_full_lists_of_two_groups(spark, monkeypatch):
     assert {g.component_id for g in got} == {0}
 
 
+def test_embeddings_rare_pairs_after_a_bad_search(spark, monkeypatch):
+    """A search that finds nothing, and an audit whose first sample sees hardly a link."""
+    monkeypatch.setattr(nndescent, "AUDIT", 2)
+    monkeypatch.setattr(nndescent, "TRIES", 1)
+    monkeypatch.setattr(nndescent, "start", lambda nodes, seed: nodes.sparkSession.createDataFrame(
+        [], "k long, nbr long, sim double"))
+    r = np.random.default_rng(9)
+    x = r.standard_normal((300, 32))
+    x[150:153] = x[:3] + 0.01 * r.standard_normal((3, 32))
+    got = sorted(nndescent.near_duplicates(spark.createDataFrame(
+        [(k, v.tolist(), k < 200) for k, v in enumerate(x)],
+        "vec_id long, embedding array<double>, label boolean")).collect())
+    assert {g.vec_id: g.component_id for g in got if g.n_links} == {
+        0: 0, 1: 1, 2: 2, 150: 0, 151: 1, 152: 2}
+
+
+def test_embeddings_start_with_a_common_offset(spark):
+    """Planes at the median part vectors that all lie on one side of the origin."""
+    r = np.random.default_rng(10)
+    x = 1 + 0.05 * r.standard_normal((2000, 16))
+    rows = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)],
+                                 "vec_id long, embedding array<double>, label int")
+    nodes = nndescent._nodes(rows, "vec_id", "embedding", "label").withColumn(
+        "mult", F.lit(1)).cache()
+    near = {}
+    for e in nndescent.start(nodes, 0).collect():
+        near.setdefault(e.k, []).append((e.sim, e.nbr))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    s = x @ x.T
+    np.fill_diagonal(s, -2)
+    name = [n.k for n in sorted(nodes.select("id", "k").collect())]
+    hit = [name[b] in {k for _, k in near.get(name[a], [])} for a, b in enumerate(s.argmax(axis=1))]
+    assert np.mean(hit) > 0.35                      # planes through the origin: 0.16
+
+
 def test_embeddings_odd_rows(spark):
     schema = "vec_id long, embedding array<float>, label int, k string, n_links string"
     rows = [(None, [1.0, 0.0], 1, "a", "b"), (1, [1.0, 0.0], 1, "a", "b"),
