@@ -32,6 +32,9 @@ MEMO_WORDS = 300_000
 TREE_CELLS = 1 << 20          # cells of one block of trees
 LONG_WORD = 2048              # longer words get a tree of their own, in plain lists
 _NONE = np.int64(1 << 62)
+#: White space of the pattern besides space and line feed, and a space that touches any.
+_BLANKS = regex.findall(r"[^\S \n]", "".join(map(chr, range(0x3001))))
+_TOUCH = regex.compile(r"[^\S ] | [^\S ]")
 
 
 def byte_letters() -> dict[int, str]:
@@ -184,8 +187,10 @@ class Codec:
         return tuple(s for s in sym if s >= 0)
 
     def chunks(self, text: str) -> list[str]:
-        """Pieces that no pre-token crosses: cut before each single space between words."""
-        if "  " in text:
+        """Pieces that no pre-token crosses: cut before each single space between words. Where a
+        space touches other white space, a pre-token can hold both: the pattern decides."""
+        if ("  " in text or " \n" in text or "\n " in text
+                or any(c in text for c in _BLANKS) and _TOUCH.search(text)):
             return self.words.findall(text)
         head, *rest = text.split(" ")
         return [head, *[" " + x for x in rest]] if head else [" " + x for x in rest]

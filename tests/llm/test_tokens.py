@@ -26,6 +26,17 @@ def test_bpe_equals_library():
     assert [c.decode_ids(x) for x in got] == [t.decode(x, skip_special_tokens=False) for x in got]
 
 
+def test_bpe_other_white_space_beside_spaces():
+    c, t = bpe.Codec(PATH), Tokenizer.from_file(PATH)
+    r = random.Random(2)
+    blanks = "\t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u1680\u2003\u2009\u2028\u2029\u202f\u205f\u3000\u200b"
+    xs = ["Home \xa0 \xa0 News", "x \xa0 \xa0 \xa0 \xa0 y", "a \xa0b", "a\xa0 b", "\xa0 ", " \xa0",
+          *[f"a {b} {b} b{b} {b}c {b}" for b in blanks]]
+    xs += ["".join(r.choice("  ab1," + r.choice(blanks)) for _ in range(r.randrange(30)))
+           for _ in range(1000)]
+    assert c.encode_texts(xs) == [e.ids for e in t.encode_batch(xs, add_special_tokens=False)]
+
+
 def test_bpe_long_word_tree(monkeypatch):
     monkeypatch.setattr(bpe, "LONG_WORD", 4)
     c, t = bpe.Codec(PATH), Tokenizer.from_file(PATH)
