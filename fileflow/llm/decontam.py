@@ -1,9 +1,9 @@
 """Benchmark decontamination by the q-gram lemma (operator 5).
 
 Texts are compared lower-cased, every run of characters that are neither ASCII letters, digits
-nor non-ASCII written as one space. Each item is covered by windows of at most WINDOW bytes,
-half overlapping. A document leaks an item if some region of it is within ``e`` edits of one of
-the item's windows, e = floor(RATE * window length).
+nor non-ASCII written as one space. The windows of an item are its passages of WINDOW bytes, one
+at each byte (a shorter item is one window). A document leaks an item if some region of it is
+within ``e`` edits of one of the item's windows, e = floor(RATE * window length).
 
 1. Pigeonhole: a window cut into pieces of PIECE bytes has more pieces than e edits can touch,
    so one piece occurs unchanged. Pieces are looked up at every byte of every document.
@@ -12,7 +12,9 @@ the item's windows, e = floor(RATE * window length).
    window's q-grams inside the band. Bands under that bound are dropped.
 3. The rest is verified by banded alignment (free start and end in the document).
 
-All three steps are exact: no region within the budget is missed. The items are broadcast in
+All three steps are exact: no region within the budget is missed. (Windows that start at multiples
+of WINDOW / 2 bytes go first and give the places; the others are verified for the items that a
+document does not show by those.) The items are broadcast in
 blocks of bounded bytes, one pass over the documents for each block.
 
 Defined cases: null or empty texts and items leak nothing; items under MIN_ITEM compared bytes
@@ -81,7 +83,9 @@ class Index:
 
     def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE):
         self.ids: list[int | None] = []
-        win, pieces = [], []
+        self.text: list | np.ndarray = []
+        held, hashes, places = [], [], []
+        at = 0
         for item_id, text in items:
             b, _ = normalise(np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8))
             b = b[:-1] if len(b) and b[-1] == 32 else b
@@ -89,43 +93,74 @@ class Index:
             if len(b) < MIN_ITEM:
                 continue
             size = min(WINDOW, len(b))
-            starts = sorted({*range(0, len(b) - size + 1, WINDOW // 2), len(b) - size})
-            for s in starts:
-                w = b[s:s + size]
-                e = min(int(rate * size), size // PIECE - 1, (size - Q) // Q)
-                for p in range(e + 1):
-                    pieces.append((w[p * PIECE:(p + 1) * PIECE], len(win), p * PIECE))
-                win.append((len(self.ids), w, e))
+            e = min(int(rate * size), size // PIECE - 1, (size - Q) // Q)
+            h = grams(b, PIECE)
+            p = np.arange(len(h)) if len(b) > size else np.arange(e + 1) * PIECE
+            hashes.append(h[p])
+            places.append((at + p).astype(np.int32))
+            held.append((at, len(b), size, e))
             self.ids.append(item_id)
-        self.item = np.array([x[0] for x in win], dtype=np.int64)
-        self.win, self.edits = [x[1] for x in win], np.array([x[2] for x in win], dtype=np.int64)
-        self.size = np.array([len(w) for w in self.win], dtype=np.int64)
-        h = np.array([grams(p, PIECE)[0] for p, _, _ in pieces], dtype=np.uint64)
+            self.text.append(b)
+            at += len(b)
+        self.first, length, self.size, self.edits = np.array(
+            held, dtype=np.int64).reshape(-1, 4).T
+        self.last = self.first + length - self.size          # start of an item's last window
+        self.text = np.concatenate([*self.text, np.zeros(0, np.uint8)])
+        h = np.concatenate([*hashes, np.zeros(0, np.uint64)])
         order = np.argsort(h, kind="stable")
         self.hash = h[order]
-        self.piece_win = np.array([p[1] for p in pieces], dtype=np.int64)[order]
-        self.piece_at = np.array([p[2] for p in pieces], dtype=np.int64)[order]
+        self.place = np.concatenate([*places, np.zeros(0, np.int32)])[order]
         self.table = np.zeros(1 << _BITS, dtype=bool)
         self.table[mix64(self.hash) >> np.uint64(64 - _BITS)] = True
 
-    def seeds(self, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, diagonal) of every piece that occurs in the compared bytes."""
+    def item(self, win: np.ndarray) -> np.ndarray:
+        """Number of the item of each window."""
+        return np.searchsorted(self.first, win, side="right") - 1
+
+    def seeds(self, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, diagonal, place) of every piece that occurs in the compared bytes: a piece
+        belongs to each window that starts a multiple of PIECE bytes before it. A window is named
+        by its place in the text of the items."""
         h = grams(b, PIECE)
         at = np.flatnonzero(self.table[mix64(h) >> np.uint64(64 - _BITS)])
         lo = np.searchsorted(self.hash, h[at], side="left")
         n = np.searchsorted(self.hash, h[at], side="right") - lo
         at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
         k = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        return self.piece_win[k], np.repeat(at, n) - self.piece_at[k]
+        place, at = self.place[k].astype(np.int64), np.repeat(at, n)
+        item = self.item(place)
+        win, diag, spot = [], [], []
+        for back in range(0, WINDOW, PIECE):
+            w = place - back
+            good = ((w >= self.first[item]) & (w <= self.last[item])
+                    & (back <= self.edits[item] * PIECE))
+            win.append(w[good])
+            diag.append(at[good] - back)
+            spot.append(at[good])
+        return np.concatenate(win), np.concatenate(diag), np.concatenate(spot)
 
     def matches(self, b: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Rows (window, first, last, edits) of verified regions of the compared bytes ``b``;
         ``doc`` numbers the document of each byte, regions never cross documents."""
-        win, diag = self.seeds(b)
+        win, diag, at = self.seeds(b)
+        if not len(win):
+            return np.zeros((0, 4), np.int64)
+        # half overlapping windows first; the others where these do not show the item
+        item = self.item(win)
+        pair = doc[at] * len(self.ids) + item
+        grid = ((win - self.first[item]) % (WINDOW // 2) == 0) | (win == self.last[item])
+        rows = self._candidates(win[grid], diag[grid], b, doc)
+        middle = (np.maximum(rows[:, 1], 0) + np.minimum(rows[:, 2], len(b))) // 2
+        known = doc[middle] * len(self.ids) + self.item(rows[:, 0])
+        rest = ~grid & ~np.isin(pair, known)
+        return np.concatenate([rows, self._candidates(win[rest], diag[rest], b, doc)])
+
+    def _candidates(self, win, diag, b, doc):
         out = []
-        for size in np.unique(self.size[win]) if len(win) else ():
-            mine = self.size[win] == size
-            e = int(self.edits[win[mine][0]])
+        item = self.item(win)
+        for size in np.unique(self.size[item]):
+            mine = self.size[item] == size
+            e = int(self.edits[item[mine][0]])
             both = np.unique(np.stack([win[mine], diag[mine] // (e + 1)], axis=1), axis=0)
             for k in range(0, len(both), 2048):
                 out.append(self._verify(both[k:k + 2048, 0], both[k:k + 2048, 1] * (e + 1) - e,
@@ -141,7 +176,7 @@ class Index:
         middle = np.clip(low + width // 2 + size // 2, 0, len(b) - 1)
         inside &= doc[col] == doc[middle][:, None]
         text = np.where(inside, b[col], 0)
-        item = np.stack([self.win[w] for w in win])
+        item = self.text[win[:, None] + np.arange(size)[None, :]]
 
         def packed(x):                              # six bytes as one number
             y = x.astype(np.int64)
@@ -199,9 +234,10 @@ def find(index: Index, texts: list[str]) -> list[list[dict]]:
     if not len(index.hash) or not len(b):
         return out
     got: dict[tuple[int, int], list] = {}
-    for w, s, t, e in index.matches(b, doc).tolist():
+    rows = index.matches(b, doc)
+    for (w, s, t, e), item in zip(rows.tolist(), index.item(rows[:, 0]).tolist(), strict=True):
         s, t = max(s, 0), min(t, len(b))
-        got.setdefault((int(doc[(s + t) // 2]), int(index.item[w])), []).append((s, t, w, e))
+        got.setdefault((int(doc[(s + t) // 2]), item), []).append((s, t, w, e))
     places: dict[int, np.ndarray] = {}
     for (d, item), rows in sorted(got.items()):
         if d not in places:

@@ -28,6 +28,17 @@ def test_leaks_are_found_within_the_budget():
         assert [m["item_id"] for m in found[0]] == [i] and found[1:] == [[], []]
 
 
+def test_passages_are_found_at_every_offset():
+    item = prose(120, 60)
+    index = decontam.Index([(1, item), (2, prose(121, 60))])
+    docs = [f"{prose(5, 40)} ## {item[s:s + 98].strip()} ## {prose(6, 40)}"
+            for s in range(len(item) - 98)]
+    edited = [d.replace(item[s + 40:s + 43], "#") for s, d in enumerate(docs)]
+    assert all([m["item_id"] for m in found] == [1] for found in decontam.find(index, docs))
+    assert all([m["item_id"] for m in found] == [1] for s, found in enumerate(
+        decontam.find(index, edited)) if edited[s].count("#") == 5)
+
+
 def test_leak_places_and_blocks(spark, odd_docs, no_docs, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_BYTES", 100)
     bench = spark.createDataFrame([(1, prose(2, 60)), (2, None), (None, prose(3, 80)), (4, "é")],
