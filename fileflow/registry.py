@@ -1043,6 +1043,37 @@ def q_csv_quoted(spark, sf):
         F.regexp_extract("source_file", "^([^/]+)/", 1).alias("src"), "id", "turn", "text")
 
 
+@register("csv_ranges", f"""
+SELECT doc_id, CASE WHEN text IN {_NA_SQL} THEN NULL ELSE {_STRIP_SQL.format('text')} END AS text
+FROM documents WHERE doc_id IS NOT NULL OR text NOT IN {_NA_SQL}""")
+def q_csv_ranges(spark, sf):
+    """Files with quoted line breaks, each parsed by many tasks in ranges of 64 KiB."""
+    from fileflow.sources.chunks import read_chunks
+    from fileflow.sources.csv import export_csv, read_csv
+    path = _scratch(spark, "csv_ranges")
+    export_csv(load(spark, sf, "documents").select("doc_id", "text"), path)
+    return read_csv(spark, read_chunks(spark, path, 1 << 16)).data.select("doc_id", "text")
+
+
+@register("chunk_digests", """
+WITH parts AS (
+  SELECT doc_id, text, unnest(range(0, octet_length(encode(text)), 1024)) AS a,
+         hex(encode(text)) AS x FROM documents WHERE text <> ''),
+nodes AS (
+  SELECT doc_id, any_value(text) AS text, count(*) AS n_chunks,
+         list(sha256(unhex(substr(x, 2 * a + 1, 2048))) ORDER BY a) AS d FROM parts GROUP BY 1)
+SELECT doc_id, md5(text) AS checksum_md5, n_chunks,
+       CASE WHEN n_chunks = 1 THEN d[1] ELSE sha256(array_to_string(d, '')) END AS digest
+FROM nodes""")
+def q_chunk_digests(spark, sf):
+    """Every text as a file in chunks of 1 KiB: md5 over the chunks, and the tree over them."""
+    from fileflow.sources.chunks import chunked, digests
+    files = load(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content"))
+    return digests(chunked(files, 1024)).select(
+        F.col("path").cast("long").alias("doc_id"), "checksum_md5", "n_chunks", "digest")
+
+
 def _one_file(df, key):
     """All rows in one task, sorted: the file that a single program would have written."""
     return df.repartition(1).sortWithinPartitions(key)

@@ -15,6 +15,9 @@ Plan
    inference (bigint -> double -> boolean -> string; ``schema`` skips it) both read them.
 4. Strings are stripped, listed date columns coerced, audit columns added.
 
+Files given in chunks skip step 2: ``sources.ranges`` finds their records (quoted line breaks
+included) by a scan of quote states, and ``from_csv`` parses them, so no row holds a file.
+
 Quotes follow the usual rule: a doubled quote inside quotes is one quote; a backslash is text.
 """
 
@@ -35,11 +38,15 @@ from fileflow.operators.clean import (BLOCK_COL, FILE_COL, add_audit, coerce_dat
                                       strip_strings)
 from fileflow.functions.strings import normalize_names
 from fileflow.session import materialize, scratch_path
+from fileflow.sources.chunks import chunked, read_chunks
 from fileflow.sources.profile import FALLBACK_ENCODING, QUOTED, decoded, with_profile
+from fileflow.sources.ranges import profile_chunks, records
 
 CORRUPT = "_corrupt_record"
 LAYOUT, SOURCE = "_g", "_src"
 MAX_BROADCAST_FILES = 500_000
+#: A folder with a larger file is read in ranges; up to here a file is one row.
+WHOLE_MAX = 256 << 20
 _INT_RE = r"^[+-]?[0-9]+$"
 # what a number looks like in text; a bare cast would also take Java suffixes (12D, 7F)
 _DOUBLE_RE = (r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
@@ -53,6 +60,14 @@ class CsvResult:
     groups: int
 
 
+def as_utf8(content):
+    """UTF-16 contents (by byte order mark) as UTF-8; others as they are."""
+    mark = F.hex(F.substring(content, 1, 2))
+    return F.when(mark == "FFFE", F.encode(decoded(content, F.lit("UTF-16LE")), "UTF-8")) \
+        .when(mark == "FEFF", F.encode(decoded(content, F.lit("UTF-16BE")), "UTF-8")) \
+        .otherwise(content)
+
+
 def parse_header(line: str, delimiter: str) -> list[str]:
     """Header fields of one line (quote-aware); runs on the driver over header text only."""
     if line is None or line == "":
@@ -87,28 +102,50 @@ def too_long(whole, delimiter: str, n: int):
     return F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1 > n
 
 
+#: Options of both readers: quotes are doubled, a backslash is text.
+_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def _columns(header_line: str, delimiter: str) -> tuple[list[str], list[str]]:
+    """(raw names, column names of the all-string schema)."""
+    raw_names = parse_header(header_line, delimiter)
+    return raw_names, [f"_c{i}" for i in range(max(len(raw_names), 1))]
+
+
 def _read_layout(spark: SparkSession, stage: str, layout: str, delimiter: str, header_line: str,
                  multi_line: bool):
-    raw_names = parse_header(header_line, delimiter)
-    n = max(len(raw_names), 1)
-    raw_cols = [f"_c{i}" for i in range(n)]
+    raw_names, raw_cols = _columns(header_line, delimiter)
     schema = StructType([StructField(c, StringType(), True) for c in
                          [*raw_cols, CORRUPT, SOURCE]])
     df = (spark.read.schema(schema).option("basePath", f"{stage}/{LAYOUT}={layout}")
-          .option("header", "true").option("sep", delimiter).option("encoding", "UTF-8")
-          .option("quote", '"').option("escape", '"').option("maxColumns", str(max(20480, 2 * n)))
+          .options(**_OPTIONS).option("header", "true").option("sep", delimiter)
+          .option("encoding", "UTF-8").option("maxColumns", str(max(20480, 2 * len(raw_cols))))
           .option("multiLine", "true" if multi_line else "false")
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .option("enforceSchema", "true")
           .csv(f"{stage}/{LAYOUT}={layout}"))
     df = df.select(*raw_cols, CORRUPT, F.col(SOURCE).alias(FILE_COL),
                    F.col("_metadata.file_block_start").alias(BLOCK_COL))
+    return _good_and_rejects(df, raw_names, raw_cols, delimiter)
+
+
+def _read_records(records: DataFrame, delimiter: str, header_line: str):
+    """The same from rows (path, block, record): one text per record."""
+    raw_names, raw_cols = _columns(header_line, delimiter)
+    schema = ", ".join(f"`{c}` string" for c in [*raw_cols, CORRUPT])
+    options = {**_OPTIONS, "sep": delimiter, "maxColumns": str(max(20480, 2 * len(raw_cols)))}
+    df = records.select(F.from_csv("record", schema, options).alias("r"),
+                        _source_id().alias(FILE_COL), F.col("block").alias(BLOCK_COL))
+    return _good_and_rejects(df.select("r.*", FILE_COL, BLOCK_COL), raw_names, raw_cols, delimiter)
+
+
+def _good_and_rejects(df: DataFrame, raw_names: list[str], raw_cols: list[str], delimiter: str):
     # survey Q7b: a line with more fields than the header is dropped (to rejects); a short
     # line is kept and padded with NULLs. The test names every data column (coalesce with the
     # joined row): with column pruning the parser would not flag long lines, and Spark refuses
     # plans that read only the corrupt column (e.g. a bare count).
     whole = F.coalesce(F.col(CORRUPT), F.concat_ws(delimiter, *raw_cols))
-    df = df.withColumn("_too_long", F.col(CORRUPT).isNotNull() & too_long(whole, delimiter, n))
+    df = df.withColumn("_too_long", F.col(CORRUPT).isNotNull()
+                       & too_long(whole, delimiter, len(raw_cols)))
     rejects = df.filter("_too_long").select(F.col(FILE_COL), whole.alias("line"),
                                             F.lit("more fields than the header").alias("reason"))
     good = df.filter(~F.col("_too_long")).drop("_too_long", CORRUPT)
@@ -214,7 +251,8 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
     """Read, clean and type a set of CSV files into one DataFrame (plus a rejects DataFrame).
 
     ``paths``: a folder, a list of files, or a DataFrame with ``path`` and ``content`` (e.g. from
-    bronze; then those bytes are what is parsed). ``source_file`` is the path relative to
+    bronze; then those bytes are what is parsed). A DataFrame of chunks (``sources.chunks``: also
+    ``size_bytes`` and ``offset``) is parsed in ranges, one file by many tasks. ``source_file`` is the path relative to
     ``root`` when given, else the full path. ``profiles``: set when ``paths`` already carries
     the profile columns computed at landing; then the bytes are read once, by the staging step.
     """
@@ -228,24 +266,51 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
             return _empty(spark)
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
             .load(plist)
-    if not profiles:
-        files = with_profile(files.select("path", "content"), encoding, delimiter,
-                             fallback_encoding)
+        # only the listing is read here; one large file and all of them go by ranges
+        if isinstance(paths, str) and (files.agg(F.max("length")).first()[0] or 0) > WHOLE_MAX:
+            small = files.where(F.col("length") <= WHOLE_MAX).withColumn("content", as_utf8(
+                F.col("content")))
+            files = read_chunks(spark, paths, min_bytes=WHOLE_MAX).unionByName(chunked(small))
+    fallback = encoding or fallback_encoding
+    in_ranges = "offset" in files.columns
+    states = None
+    if in_ranges:
+        chunks = files.select("path", "size_bytes", "offset", "content")
+        files, states = profile_chunks(chunks, encoding, delimiter, fallback_encoding)
+        files = materialize(files, "csv-files")
+    else:
+        if not profiles:
+            files = with_profile(files.select("path", "content"), encoding, delimiter,
+                                 fallback_encoding)
+        files = files.withColumn("reason", F.lit(None).cast("string"))
     # an empty file has no header and no rows: nothing to read
     files = files.filter(F.col("size_bytes") > 0)
-    layouts = files.groupBy(_layout_id().alias("id"), "delimiter", "header_line", "multi_line") \
-        .agg(F.min("path").alias("path")).orderBy("path").collect()
-    if not layouts:
-        return _empty(spark)
     names = materialize(files.select(_source_id().alias(FILE_COL), F.col("path").alias("_path")),
                         "csv-names")
     names = F.broadcast(names) if names.count() <= MAX_BROADCAST_FILES else names
-    stage = stage_text(files, encoding or fallback_encoding)
-    parts, rejects = [], []
+    bad = files.filter("reason is not null").select(
+        _source_id().alias(FILE_COL), F.lit(None).cast("string").alias("line"), "reason")
+    layouts = files.filter("reason is null").groupBy(
+        _layout_id().alias("id"), "delimiter", "header_line", "multi_line") \
+        .agg(F.min("path").alias("path")).orderBy("path").collect()
+    stage = stage_text(files, fallback) if layouts and not in_ranges else None
+    parts, rejects = [], [bad] if in_ranges else []
     for g in layouts:
-        good, rej = _read_layout(spark, stage, g.id, g.delimiter, g.header_line, g.multi_line)
+        if in_ranges:
+            mine = files.filter((_layout_id() == g.id) & F.col("reason").isNull())
+            good, rej = _read_records(records(chunks, mine, states, fallback), g.delimiter,
+                                      g.header_line)
+        else:
+            good, rej = _read_layout(spark, stage, g.id, g.delimiter, g.header_line, g.multi_line)
         parts.append(good)
         rejects.append(rej)
+    src = relative_path("_path", root) if root else F.col("_path")
+    rj = _empty(spark).rejects
+    if rejects:
+        rj = reduce(DataFrame.unionByName, rejects).join(names, FILE_COL) \
+            .select(src.alias("source_file"), "line", "reason")
+    if not parts:
+        return CsvResult(_empty(spark).data, rj, 0)
     data = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     data = null_na_tokens(data, na_tokens)
     data = drop_empty_rows(data)
@@ -254,11 +319,8 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
         data = apply_schema(data, schema)
     data = strip_strings(data, ignore=(FILE_COL, BLOCK_COL))
     data = coerce_dates(data, list(date_columns), date_formats)
-    src = relative_path("_path", root) if root else F.col("_path")
     data = add_audit(data.join(names, FILE_COL), src, loaded_at) \
         .drop(FILE_COL, BLOCK_COL, "_path")
-    rj = reduce(DataFrame.unionByName, rejects).join(names, FILE_COL) \
-        .select(src.alias("source_file"), "line", "reason")
     return CsvResult(data, rj, len(layouts))
 
 

@@ -15,7 +15,7 @@ DELIMITERS = [",", ";", "\t", "|"]
 FALLBACK_ENCODING = "windows-1252"
 #: A quoted section; doubled quotes stand for one. Possessive: no recursion on long texts.
 QUOTED = r'"(?:[^"]++|"")*+"'
-_FIRST_RECORD = r'^((?:[^"\r\n]++|"(?:[^"]++|"")*+")*+)'
+FIRST_RECORD = r'^((?:[^"\r\n]++|"(?:[^"]++|"")*+")*+)'
 
 
 def detect_encoding(content: Column, fallback: str = FALLBACK_ENCODING) -> Column:
@@ -67,7 +67,7 @@ def with_profile(df: DataFrame, encoding: str | None = None, delimiter: str | No
                     F.hex(F.substring("content", 1, 3)).startswith("EFBBBF").alias("has_bom"))
     out = out.withColumn("_text", decoded(F.col("content"), F.col("encoding"),
                                           encoding or fallback))
-    out = out.select("*", F.regexp_extract("_text", _FIRST_RECORD, 1).alias("header_line"),
+    out = out.select("*", F.regexp_extract("_text", FIRST_RECORD, 1).alias("header_line"),
                      F.contains(F.regexp_replace("_text", r'"[^"\r\n]*+"', ""), F.lit('"'))
                      .alias("multi_line")).drop("_text")
     return out.withColumn("delimiter", F.lit(delimiter) if delimiter else
