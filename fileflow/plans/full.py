@@ -42,8 +42,10 @@ def quality_gate(lake: Lake, target: str, keys: list[str], as_of, dag_id: str) -
 def full_run(spark: SparkSession, lake: Lake, source_root: str, run_date: str, run_id: str, *,
              target: str | None = None, natural_keys: list[str] | None = None,
              date_columns=(), specs=None, strict: bool = False,
-             as_of: str | _dt.date | None = None, dag_id: str = "full_pipeline") -> FullRunResult:
-    ex = extract(spark, lake, source_root, run_date, run_id)
+             as_of: str | _dt.date | None = None, dag_id: str = "full_pipeline",
+             **landing) -> FullRunResult:
+    """``landing``: options of ``extract``, such as ``row_bytes``."""
+    ex = extract(spark, lake, source_root, run_date, run_id, **landing)
     load = None
     # driven by the manifest, not by what this run landed: a failed load is tried again
     if not pending_files(lake, run_date).isEmpty():

@@ -33,6 +33,11 @@ class Lake:
     def bronze(self) -> SnapshotTable:
         return self.table("bronze")
 
+    @property
+    def bronze_chunks(self) -> SnapshotTable:
+        """Files too large for a row: one row per chunk."""
+        return self.table("bronze_chunks")
+
     @property
     def rejects(self) -> SnapshotTable:
         """Files and lines that a run left out: run_id, run_date, source_file, line, reason."""

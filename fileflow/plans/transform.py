@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from fileflow.plans.runlog import record_run
 from fileflow.schemas import ColumnSpec
 from fileflow.session import materialize, path_exists
 from fileflow.sources.dispatch import read_files
-from fileflow.sources.landing import bronze_files
+from fileflow.sources.landing import bronze_files, landed_chunks
 from fileflow.sources.profile import PROFILE_COLUMNS
 from fileflow.sources.silver import read_silver, write_silver
 
@@ -72,10 +73,20 @@ def transform_load(spark: SparkSession, lake: Lake, run_date: str, run_id: str,
     try:
         todo = materialize(pending_files(lake, run_date), "load-files")
         n_files = todo.count()
-        files = bronze_files(lake.bronze.read().filter(F.col("run_date") == run_date), todo)
-        roots = [r[0] for r in files.select("source_root").distinct().limit(2).collect()]
+        day = F.col("run_date") == run_date
+        bronze, files, chunks = lake.bronze, None, None
+        roots = []
+        if bronze.exists():
+            files = bronze_files(bronze.read().filter(day), todo)
+            roots.append(files.select("source_root"))
+            files = files.select(*PROFILE_COLUMNS, "content")
+        if lake.bronze_chunks.exists():
+            chunks = materialize(landed_chunks(lake.bronze_chunks.read().filter(day), todo),
+                                 "load-chunks")
+            roots.append(chunks.select("source_root"))
+        roots = [r[0] for r in reduce(DataFrame.union, roots).distinct().limit(2).collect()]
         root = roots[0] if len(roots) == 1 else None
-        res = read_files(spark, files.select(*PROFILE_COLUMNS, "content"), root=root,
+        res = read_files(spark, files, chunks=chunks, root=root,
                          date_columns=date_columns, sheet=sheet,
                          loaded_at=loaded_at if loaded_at is not None
                          else F.lit(_now()).cast("timestamp"))

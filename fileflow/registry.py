@@ -1055,6 +1055,26 @@ def q_csv_ranges(spark, sf):
     return read_csv(spark, read_chunks(spark, path, 1 << 16)).data.select("doc_id", "text")
 
 
+@register("full_run_chunks", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS price,
+       'two' || chr(10) || 'lines' AS note FROM orders""")
+def q_full_run_chunks(spark, sf):
+    """A day of files that land in chunks; in its second run one folder has changed."""
+    from fileflow.plans.full import full_run
+    o, src, lake, day, args, export_csv = _runs_twice(spark, sf, "run_chunks")
+    args = {"natural_keys": ["o_orderkey"], "as_of": args["as_of"], "row_bytes": 4096,
+            "chunk_bytes": 1 << 15}
+    o = o.select("o_orderkey", F.col("o_totalprice").alias("price"), "o_orderstatus",
+                 F.lit("two\nlines").alias("note"))
+    done = F.col("o_orderstatus") != "P"
+    export_csv(o.filter(done), f"{src}/done")
+    export_csv(o.filter(~done), f"{src}/part")
+    full_run(spark, lake, src, day, "run-1", **args)
+    export_csv(o.filter(~done).withColumn("price", F.col("price") + 1), f"{src}/part")
+    full_run(spark, lake, src, day, "run-2", **args)
+    return lake.table("records").read().select("o_orderkey", "price", "note")
+
+
 @register("chunk_digests", """
 WITH parts AS (
   SELECT doc_id, text, unnest(range(0, octet_length(encode(text)), 1024)) AS a,

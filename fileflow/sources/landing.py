@@ -40,6 +40,16 @@ def bronze_files(bronze: DataFrame, wanted: DataFrame) -> DataFrame:
                        ["storage_path", "checksum_md5", "upload_timestamp"], "left_semi")
 
 
+def landed_chunks(chunks: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Chunk rows of the wanted files (``storage_path``), each file's latest upload only. The
+    manifest holds one row per path, for the bytes that landed last, so no checksum is compared."""
+    mine = chunks.join(wanted.select("storage_path").distinct(), "storage_path", "left_semi")
+    latest = mine.filter("offset = 0").groupBy("storage_path").agg(
+        F.max("upload_timestamp").alias("upload_timestamp"))
+    return mine.join(F.broadcast(latest) if latest.count() <= MAX_BROADCAST_FILES else latest,
+                     ["storage_path", "upload_timestamp"], "left_semi")
+
+
 def bronze_object(bronze: DataFrame, storage_path: str) -> DataFrame:
     """The latest landed bytes under one key (S13 ``download_raw``): a point filter plus a
     bounded top-1 on upload time."""

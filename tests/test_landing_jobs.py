@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 
 from pyspark.sql import functions as F
 
@@ -98,3 +99,30 @@ def test_upsert_plan_collapses_hot_key_before_shuffle(spark):
     assert "partial_max_by" in plan
     row = m.result.filter("k = 0").first()
     assert row.seq == 29997
+
+
+def test_files_over_a_row_land_in_chunks(spark, scratch):
+    src = f"{scratch}/src"
+    big = "id,note\n" + "".join(f'{i},"a\n{i}"\n' for i in range(400))
+    write(f"{src}/big.csv", big)
+    write(f"{src}/sub/small.csv", "id,note\n9001,x\n")
+    write(f"{src}/book.xlsx", workbook_bytes([("S", [["id", "note"]] + [[i, "w" * 50 + str(i)]
+                                                                        for i in range(90)])]))
+    lake = Lake(spark, f"{scratch}/lake")
+    today = dt.datetime.now(dt.timezone.utc).date()
+    args = dict(natural_keys=["id"], as_of=today, row_bytes=1500, chunk_bytes=256)
+    r1 = full_run(spark, lake, src, today.isoformat(), "r1", **args)
+    assert (r1.extract.landed, r1.extract.rejected) == (2, 1)
+    rows = lake.bronze_chunks.read()
+    assert rows.agg(F.max(F.length("content"))).first()[0] == 256
+    got = {x.file_name: x for x in lake.file_manifest.read().collect()}
+    assert got["big.csv"].checksum_md5 == hashlib.md5(big.encode()).hexdigest()
+    assert (got["big.csv"].row_count, got["big.csv"].status) == (400, "LOADED")
+    assert lake.table("records").read().count() == 401
+    r2 = full_run(spark, lake, src, today.isoformat(), "r2", **args)
+    assert (r2.extract.landed, r2.extract.skipped) == (0, 2) and r2.load is None
+    write(f"{src}/big.csv", big.replace('"a\n7"', "changed"))
+    r3 = full_run(spark, lake, src, today.isoformat(), "r3", **args)
+    assert (r3.extract.landed, r3.load.rows_inserted, r3.load.rows_updated) == (1, 0, 400)
+    assert lake.table("records").read().where("note = 'changed'").count() == 1
+    assert [x.reason for x in lake.rejects.read().distinct().collect()][0].startswith("workbook")
