@@ -24,10 +24,11 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DataType, DateType, DoubleType, IntegerType, LongType,
-                               NullType, NumericType, ShortType, StringType, StructType,
-                               TimestampType)
+from pyspark.sql.types import (ByteType, DataType, DateType, DecimalType, DoubleType, FloatType,
+                               IntegerType, LongType, NullType, NumericType, ShortType,
+                               StringType, StructType, TimestampType)
 
+from fileflow.operators.lattice import number_type
 from fileflow.session import path_exists
 
 _LOG_SCHEMA = ("version long, committed_at timestamp, operation string, versions array<long>, "
@@ -168,19 +169,27 @@ class SnapshotTable:
 
 
 _WHOLE = (ByteType, ShortType, IntegerType, LongType)
+_FLOAT = (FloatType, DoubleType)
 
 
-def wider(a: DataType, b: DataType) -> DataType:
-    """The type that holds values of both: whole numbers -> bigint, numbers -> double, dates
-    and times -> timestamp, NULLs -> the other, anything else -> string."""
+def wider(a: DataType, b: DataType) -> DataType | None:
+    """The type that holds values of both: whole numbers -> bigint or decimal, dates and times ->
+    timestamp, NULLs -> the other, anything else -> string. None where the values decide
+    (``lattice.number_type``): whole or decimal numbers that meet doubles."""
     if a == b or isinstance(b, NullType):
         return a
     if isinstance(a, NullType):
         return b
     if isinstance(a, _WHOLE) and isinstance(b, _WHOLE):
         return LongType()
-    if isinstance(a, NumericType) and isinstance(b, NumericType):
+    if isinstance(a, _FLOAT) and isinstance(b, _FLOAT):
         return DoubleType()
+    if isinstance(a, NumericType) and isinstance(b, NumericType):
+        if isinstance(a, _FLOAT) or isinstance(b, _FLOAT):
+            return None
+        digits, scale = (max(x) for x in zip(*((t.precision - t.scale, t.scale) if isinstance(
+            t, DecimalType) else (19, 0) for t in (a, b))))
+        return DecimalType(38, scale) if digits + scale <= 38 else StringType()
     if isinstance(a, (DateType, TimestampType)) and isinstance(b, (DateType, TimestampType)):
         return TimestampType()
     return StringType()
@@ -192,7 +201,8 @@ def align(table: DataFrame, df: DataFrame, fill: bool = True):
     ``fill``: ``df`` gets the table's column order and NULLs for columns that it lacks; new
     columns are kept at the end."""
     types = {f.name: f.dataType for f in table.schema.fields}
-    new = {f.name: wider(types[f.name], f.dataType) for f in df.schema.fields if f.name in types}
+    new = {f.name: wider(types[f.name], f.dataType) or number_type(table, df, f.name)
+           for f in df.schema.fields if f.name in types}
     changed = any(new.get(c, t) != t for c, t in types.items()) \
         or fill and any(c not in types for c in df.columns)
 

@@ -12,7 +12,7 @@ Plan
    whatever their encoding was.
 3. Layouts are unioned by normalised column name; NA tokens become NULL; fully empty rows are
    dropped. The parsed rows are written once; row ids (per file, no single-task sort) and type
-   inference (bigint -> double -> boolean -> string; ``schema`` skips it) both read them.
+   inference (``operators.lattice``; ``schema`` skips it) both read them.
 4. Strings are stripped, listed date columns coerced, audit columns added.
 
 Files given in chunks skip step 2: ``sources.ranges`` finds their records (quoted line breaks
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from fileflow.functions.paths import relative_path
+from fileflow.operators import lattice
 from fileflow.operators.clean import (BLOCK_COL, FILE_COL, add_audit, coerce_dates,
                                       drop_empty_rows, null_na_tokens, split_offsets,
                                       strip_strings)
@@ -47,10 +48,6 @@ LAYOUT, SOURCE = "_g", "_src"
 MAX_BROADCAST_FILES = 500_000
 #: A folder with a larger file is read in ranges; up to here a file is one row.
 WHOLE_MAX = 256 << 20
-_INT_RE = r"^[+-]?[0-9]+$"
-# what a number looks like in text; a bare cast would also take Java suffixes (12D, 7F)
-_DOUBLE_RE = (r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
-              r"|^[+-]?(?i:inf|infinity)$")
 
 
 @dataclass
@@ -153,43 +150,15 @@ def _good_and_rejects(df: DataFrame, raw_names: list[str], raw_cols: list[str],
     return good.toDF(*names, FILE_COL, BLOCK_COL), rejects
 
 
-def _type_flags(cols: list[str]):
-    """Per column: do all values parse as bigint, double, boolean; how many are there."""
-    aggs = []
-    for i, c in enumerate(cols):
-        v = F.trim(F.col(f"`{c}`"))
-        nn = v.isNotNull()
-        aggs += [F.bool_and(~nn | (v.rlike(_INT_RE) & v.try_cast("bigint").isNotNull()))
-                 .alias(f"i{i}"),
-                 F.bool_and(~nn | v.rlike(_DOUBLE_RE)).alias(f"d{i}"),
-                 F.bool_and(~nn | F.lower(v).isin("true", "false")).alias(f"b{i}"),
-                 F.count(v).alias(f"n{i}")]
-    return aggs
-
-
 def infer_types(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """Narrowest type per string column in ONE aggregate pass (survey Q6):
-    bigint, else double, else boolean (true/false), else string. NULLs are ignored; an
-    all-NULL column stays string."""
+    """Narrowest type per string column that keeps every value, in ONE aggregate pass (survey
+    Q6; ``operators.lattice``). NULLs are ignored; an all-NULL column stays string."""
     cols = [f.name for f in df.schema.fields
             if isinstance(f.dataType, StringType) and f.name not in exclude]
     if not cols:
         return df
-    r = df.agg(*_type_flags(cols)).first()
-    target = {}
-    for i, c in enumerate(cols):
-        if not r[f"n{i}"]:
-            continue
-        if r[f"i{i}"]:
-            target[c] = "bigint"
-        elif r[f"d{i}"]:
-            target[c] = "double"
-        elif r[f"b{i}"]:
-            target[c] = "boolean"
-    if not target:
-        return df
-    return df.select(*[F.trim(F.col(f"`{c}`")).try_cast(target[c]).alias(c)
-                       if c in target else F.col(f"`{c}`") for c in df.columns])
+    r = df.agg(*lattice.state(cols)).first()
+    return lattice.typed(df, {c: lattice.resolve(r, i) for i, c in enumerate(cols)})
 
 
 def _row_ids_and_types(data: DataFrame, infer: bool = True) -> DataFrame:
@@ -198,33 +167,21 @@ def _row_ids_and_types(data: DataFrame, infer: bool = True) -> DataFrame:
     The parsed rows are written once with their ids in task order, so the statistics and the
     main pass see the same rows and the same splits, whatever settings change in between, and
     CSV text is parsed once. The per-split aggregate (one row per input split: first id, row
-    count, and per column whether every value parses as bigint / double / boolean) is small;
-    global types are a second, tiny aggregate over it; split offsets are a running sum.
+    count, and per column the state of ``operators.lattice``) is small; global types are the
+    states merged; split offsets are a running sum.
     """
     cols = [f.name for f in data.schema.fields
             if isinstance(f.dataType, StringType) and f.name not in (FILE_COL, BLOCK_COL)] \
         if infer else []
     tagged = materialize(data.withColumn("_mid", F.monotonically_increasing_id()), "csv-rows")
-    stats, offs = split_offsets(tagged, FILE_COL, BLOCK_COL, _type_flags(cols))
-    target: dict[str, str] = {}
+    stats, offs = split_offsets(tagged, FILE_COL, BLOCK_COL, lattice.state(cols))
+    types: dict[str, str | None] = {}
     if cols:
-        r = stats.agg(*[F.bool_and(f"{k}{i}").alias(f"{k}{i}") for i in range(len(cols))
-                        for k in "idb"],
-                      *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(cols))]).first()
-        for i, c in enumerate(cols):
-            if not r[f"n{i}"]:
-                continue
-            if r[f"i{i}"]:
-                target[c] = "bigint"
-            elif r[f"d{i}"]:
-                target[c] = "double"
-            elif r[f"b{i}"]:
-                target[c] = "boolean"
+        r = stats.agg(*lattice.merged(len(cols))).first()
+        types = {c: lattice.resolve(r, i) for i, c in enumerate(cols)}
     out = tagged.join(offs, [FILE_COL, BLOCK_COL], "inner")
     out = out.withColumn("row_id", (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long"))
-    keep = [c for c in data.columns]
-    return out.select(*[F.trim(F.col(f"`{c}`")).try_cast(target[c]).alias(c) if c in target
-                        else F.col(f"`{c}`") for c in keep], "row_id")
+    return lattice.typed(out.select(*[F.col(f"`{c}`") for c in data.columns], "row_id"), types)
 
 
 def apply_schema(df: DataFrame, schema: StructType) -> DataFrame:
