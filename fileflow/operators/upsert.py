@@ -62,7 +62,7 @@ def _null_key(keys: list[str]) -> Column:
     return e
 
 
-def _check_keys(df: DataFrame, keys, what: str) -> None:
+def check_keys(df: DataFrame, keys, what: str) -> None:
     if isinstance(keys, str) or not keys:
         raise TypeError("natural keys must be a non-empty list of column names (survey Q16)")
     missing = [k for k in keys if k not in df.columns]
@@ -136,8 +136,8 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str],
     ``order_by`` names source columns giving input order (last wins), e.g.
     ``["source_file", "row_id"]``. If every column is a key, this is insert-if-absent.
     """
-    _check_keys(target, keys, "target")
-    _check_keys(source, keys, "source")
+    check_keys(target, keys, "target")
+    check_keys(source, keys, "source")
     order = order_by
     if order is None:
         order = [c for c in ("source_file", "row_id") if c in source.columns]

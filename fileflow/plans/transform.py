@@ -34,6 +34,10 @@ from fileflow.sources.profile import PROFILE_COLUMNS
 from fileflow.sources.silver import read_silver, write_silver
 
 
+#: Buckets of a new target table; a large one deserves more.
+TARGET_BUCKETS = 16
+
+
 @dataclass
 class LoadResult:
     files_processed: int
@@ -65,10 +69,12 @@ def transform_load(spark: SparkSession, lake: Lake, run_date: str, run_id: str,
                    target: str | None = None, natural_keys: list[str] | None = None,
                    mode: str = "wide", date_columns: list[str] | tuple[str, ...] = (),
                    specs: list[ColumnSpec] | None = None, dag_id: str = "transform_to_table",
-                   sheet: int | str | None = 0, loaded_at=None) -> LoadResult:
+                   sheet: int | str | None = 0, loaded_at=None,
+                   buckets: int | None = TARGET_BUCKETS) -> LoadResult:
     """``mode='wide'``: the target takes the files' own columns (evolving by name);
     ``mode='packed'``: the target is ELT_DATA (source_file, row_id, loaded_at, data_json)
-    with an identity ``data_id`` (survey Q2)."""
+    with an identity ``data_id`` (survey Q2). A wide target that does not exist yet is made in
+    ``buckets`` by its keys, so later loads rewrite only what they touch."""
     record_run(lake, run_id, dag_id, "RUNNING", now=_now())
     try:
         todo = materialize(pending_files(lake, run_date), "load-files")
@@ -117,7 +123,8 @@ def transform_load(spark: SparkSession, lake: Lake, run_date: str, run_id: str,
                                   ["source_file", "row_id"], keep_target=("data_id",))
         else:
             ins, upd = tbl.upsert(silver, keys, order_by=[c for c in ("source_file", "row_id")
-                                                          if c in silver.columns])
+                                                          if c in silver.columns],
+                                  buckets=buckets)
         counts = silver.groupBy("source_file").agg(F.count(F.lit(1)).alias("_cnt"))
         rel = F.regexp_replace("storage_path", r"^[^/]*/", "")
         upd_rows = todo.withColumn("_rel", rel).join(

@@ -1043,6 +1043,56 @@ def q_csv_quoted(spark, sf):
         F.regexp_extract("source_file", "^([^/]+)/", 1).alias("src"), "id", "turn", "text")
 
 
+@register("csv_long_digits", """
+SELECT c_custkey, CAST('9007199254740993' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS VARCHAR) AS account,
+       CAST(c_custkey AS VARCHAR) || '.123456789012345678' AS ratio,
+       repeat('8', 40) || CAST(c_custkey AS VARCHAR) AS card FROM customer""")
+def q_csv_long_digits(spark, sf):
+    """Numbers that neither bigint nor double holds: every digit comes back."""
+    from fileflow.sources.csv import export_csv, read_csv
+    key = F.col("c_custkey").cast("string")
+    c = load(spark, sf, "customer").select(
+        "c_custkey", F.concat(F.lit("9007199254740993"), F.lpad(key, 9, "0")).alias("account"),
+        F.concat(key, F.lit(".123456789012345678")).alias("ratio"),
+        F.concat(F.lit("8" * 40), key).alias("card"))
+    path = _scratch(spark, "long_digits")
+    export_csv(c, path)
+    return read_csv(spark, path).data.select(
+        "c_custkey", F.col("account").cast("string"), F.col("ratio").cast("string"), "card")
+
+
+@register("upsert_long_keys", """
+SELECT CAST(9007199254740000 + o_orderkey AS VARCHAR) AS key, o_orderstatus AS status FROM orders
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR) || '.5', 'half' FROM orders""")
+def q_upsert_long_keys(spark, sf):
+    """Whole keys beyond a double's digits meet a source whose keys are doubles."""
+    from fileflow.operators.table import SnapshotTable
+    o = load(spark, sf, "orders")
+    t = SnapshotTable(spark, _scratch(spark, "long_keys"))
+    t.append(o.select((F.col("o_orderkey") + 9007199254740000).alias("key"),
+                      F.col("o_orderstatus").alias("status")))
+    t.upsert(o.select((F.col("o_orderkey") + 0.5).cast("double").alias("key"),
+                      F.lit("half").alias("status")), ["key"])
+    text = F.regexp_replace(F.col("key").cast("string"), r"\.0+$|(?<=\.5)0+$", "")
+    return t.read().select(text.alias("key"), "status")
+
+
+@register("upsert_buckets", """
+SELECT o_orderkey, CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN o_totalprice + 1
+       ELSE o_totalprice END AS price, CAST(15 AS BIGINT) AS folders_kept FROM orders""")
+def q_upsert_buckets(spark, sf):
+    """A delta on one key rewrites one bucket of 16: the folders of the others stay live."""
+    from fileflow.operators.table import SnapshotTable
+    o = load(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    t = SnapshotTable(spark, _scratch(spark, "buckets"))
+    t.upsert(o, ["o_orderkey"], buckets=16)
+    before = set(t.head().folders)
+    last = o.agg(F.max_by(F.struct("o_orderkey", "price"), "o_orderkey").alias("x")).select("x.*")
+    t.upsert(last.withColumn("price", F.col("price") + 1), ["o_orderkey"])
+    kept = len(before & set(t.head().folders))
+    return t.read().withColumn("folders_kept", F.lit(kept).cast("long"))
+
+
 @register("csv_ranges", f"""
 SELECT doc_id, CASE WHEN text IN {_NA_SQL} THEN NULL ELSE {_STRIP_SQL.format('text')} END AS text
 FROM documents WHERE doc_id IS NOT NULL OR text NOT IN {_NA_SQL}""")

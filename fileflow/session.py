@@ -91,6 +91,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return sorted(f.getPath().getName() for f in found if f.isDirectory())
+
+
 def materialize(df, label: str = "cut"):
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint folder and reading
     it back. Unlike an eager ``checkpoint()`` (which computes the plan once to count and
@@ -102,5 +109,5 @@ def materialize(df, label: str = "cut"):
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["get_session", "apply_defaults", "checkpoint_dir", "path_exists", "scratch_path",
+__all__ = ["get_session", "apply_defaults", "checkpoint_dir", "folders", "path_exists", "scratch_path",
            "materialize"]

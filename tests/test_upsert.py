@@ -107,3 +107,47 @@ def test_natural_keys_must_be_a_list(spark):
         merge(t, t, "k")
     with pytest.raises(ValueError):
         merge(t, t, ["nope"])
+
+
+def files_of(table):
+    return {r[0] for r in table.read().select("_metadata.file_path").distinct().collect()}
+
+
+def test_buckets_that_no_row_touches_keep_their_files(spark, scratch):
+    t = SnapshotTable(spark, f"{scratch}/t")
+    rows = [(i, 0, f"v{i}") for i in range(200)] + [(None, 0, "n"), (None, 1, "m")]
+    src = spark.createDataFrame(rows, SCHEMA)
+    assert t.upsert(src, ["k"], order_by=["seq"], buckets=8) == (202, 0)
+    before = {f for f in t.head().folders}
+    assert len(before) == 9
+    delta = spark.createDataFrame([(7, 1, "x"), (7, 2, "y"), (None, 5, "o")], SCHEMA)
+    assert t.upsert(delta, ["k"], order_by=["seq"]) == (1, 2)
+    after = set(t.head().folders)
+    assert len(before & after) == 8 and len(after - before) == 2    # one bucket, one null file
+    want = {(i, 0, f"v{i}") for i in range(200)} - {(7, 0, "v7")} | {(7, 2, "y")}
+    got = [tuple(r) for r in t.read().collect()]
+    assert {r for r in got if r[0] is not None} == want and len(got) == 203 == t.head().rows
+    assert sorted(r[2] for r in got if r[0] is None) == ["m", "n", "o"]
+    assert len([tuple(r) for r in t.read(version=2).collect()]) == 202
+
+
+def test_buckets_equal_the_plain_table(spark, scratch):
+    import random
+    r = random.Random(3)
+    plain, table = SnapshotTable(spark, f"{scratch}/p"), SnapshotTable(spark, f"{scratch}/b")
+    for step in range(3):
+        rows = [(r.choice([None, *range(60)]), r.randrange(9), f"{step}{i}") for i in range(70)]
+        df = spark.createDataFrame(rows, SCHEMA)
+        assert plain.upsert(df, ["k"], ["seq"]) == table.upsert(df, ["k"], ["seq"], buckets=5)
+    df = spark.createDataFrame([("7", 1, "text", 2.5), ("a", 1, "new", 1.5)],
+                               "k string, seq int, v string, extra double")
+    assert plain.upsert(df, ["k"]) == table.upsert(df, ["k"])        # types and columns change
+    more = spark.createDataFrame([("b", 3, "w")], SCHEMA.replace("k long", "k string")
+                                 .replace("k int", "k string"))
+    assert plain.append(more) == table.append(more) == 1
+    assert plain.upsert(df, ["v"]) == table.upsert(df, ["v"])        # other keys than the buckets'
+    key = lambda x: str(tuple(x))                                    # noqa: E731
+    assert sorted(map(key, plain.read().collect())) == sorted(map(key, table.read().collect()))
+    assert plain.head().rows == table.head().rows == table.read().count()
+    table.overwrite(df.limit(1))
+    assert table.read().count() == 1 and table.head().buckets == 5
