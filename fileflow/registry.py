@@ -951,6 +951,43 @@ def q_incremental_ingest(spark, sf):
     return _orders_out(tbl.read())
 
 
+@register("incremental_changes", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS price
+FROM orders""")
+def q_incremental_changes(spark, sf):
+    """Files of one folder are rewritten under their paths between two runs of the stream."""
+    from fileflow.operators.table import SnapshotTable
+    from fileflow.sources.csv import export_csv
+    from fileflow.streaming.incremental import run_available
+    o = load(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"),
+                                         "o_orderstatus")
+    root = _scratch(spark, "changes")
+    src, cp, args = f"{root}/source", f"{root}/checkpoint", {"natural_keys": ["o_orderkey"]}
+    tbl = SnapshotTable(spark, f"{root}/table")
+    part = F.col("o_orderstatus") == "P"
+    export_csv(o.filter(~part), f"{src}/done")
+    _fixed_names(spark, o.filter(part), f"{src}/part")
+    run_available(spark, src, tbl, cp, changed=True, chunk_bytes=1 << 16, **args)
+    _fixed_names(spark, o.filter(part).withColumn("price", F.col("price") + 1), f"{src}/part")
+    run_available(spark, src, tbl, cp, changed=True, chunk_bytes=1 << 16, **args)
+    return tbl.read().select("o_orderkey", "price")
+
+
+def _fixed_names(spark, df, folder, files=4):
+    """``df`` as CSV files whose names are the same each time: <folder>/<k>.csv, by key."""
+    from fileflow.sources.csv import export_csv
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(fs_path(folder))
+    for k in range(files):
+        aside = _scratch(spark, "aside")
+        export_csv(df.filter(F.pmod(F.col("o_orderkey"), F.lit(files)) == k).coalesce(1), aside)
+        made = [f.getPath() for f in fs.listStatus(fs_path(aside))
+                if f.getPath().getName().endswith(".csv")]
+        fs.delete(fs_path(f"{folder}/{k}.csv"), False)
+        fs.rename(made[0], fs_path(f"{folder}/{k}.csv"))
+
+
 def _full_run(spark, sf):
     from fileflow.plans.full import full_run
     from fileflow.plans.lake import Lake
@@ -1144,36 +1181,53 @@ def q_chunk_digests(spark, sf):
         F.col("path").cast("long").alias("doc_id"), "checksum_md5", "n_chunks", "digest")
 
 
-def _one_file(df, key):
-    """All rows in one task, sorted: the file that a single program would have written."""
-    return df.repartition(1).sortWithinPartitions(key)
+#: Files of the late-quote and late-byte queries, by ranges of the key.
+_LATE_FILES = 8
+
 
+def _by_key(df, key):
+    """Rows in files by key range, sorted, as one program after the other would write them."""
+    return df.repartitionByRange(_LATE_FILES, key).sortWithinPartitions(key)
 
-_LATE = "o_orderkey > (SELECT max(o_orderkey) * 0.9 FROM orders)"
+
+def _late(orders):
+    """The last tenth of each of _LATE_FILES key ranges."""
+    top = orders.agg(F.max("o_orderkey")).first()[0] + 1
+    x = F.col("o_orderkey") * F.lit(float(_LATE_FILES)) / F.lit(float(top))
+    return orders.withColumn("part", F.floor(x).cast("int")), x - F.floor(x) > 0.9
+
+
+def _late_files(df, path, **options):
+    """One file per range, the late rows at its end."""
+    from fileflow.sources.csv import export_csv
+    export_csv(df.repartition(_LATE_FILES, "part").sortWithinPartitions("part", "o_orderkey")
+               .drop("part"), path, **options)
+
+
+_X = f"o_orderkey * CAST({_LATE_FILES} AS DOUBLE) / (SELECT CAST(max(o_orderkey) + 1 AS DOUBLE) FROM orders)"
+_LATE = f"{_X} - floor({_X}) > CAST(0.9 AS DOUBLE)"
 
 
 @register("csv_late_quote", f"""
 SELECT o_orderkey, CASE WHEN {_LATE} THEN 'two' || chr(10) || 'lines, "quoted"' ELSE 'plain' END
        AS note FROM orders""")
 def q_csv_late_quote(spark, sf):
-    from fileflow.sources.csv import export_csv, read_csv
-    o = load(spark, sf, "orders").select("o_orderkey")
-    top = o.agg(F.max("o_orderkey")).first()[0] * 0.9
-    note = F.when(F.col("o_orderkey") > top, F.lit('two\nlines, "quoted"')).otherwise("plain")
+    from fileflow.sources.csv import read_csv
+    o, late = _late(load(spark, sf, "orders").select("o_orderkey"))
     path = _scratch(spark, "late_quote")
-    export_csv(_one_file(o.withColumn("note", note), "o_orderkey"), path)
+    _late_files(o.withColumn("note", F.when(late, F.lit('two\nlines, "quoted"'))
+                             .otherwise("plain")), path)
     return read_csv(spark, path).data.select("o_orderkey", "note")
 
 
 @register("csv_late_encoding", f"""
 SELECT o_orderkey, CASE WHEN {_LATE} THEN 'café €' ELSE 'plain' END AS note FROM orders""")
 def q_csv_late_encoding(spark, sf):
-    from fileflow.sources.csv import export_csv, read_csv
-    o = load(spark, sf, "orders").select("o_orderkey")
-    top = o.agg(F.max("o_orderkey")).first()[0] * 0.9
-    note = F.when(F.col("o_orderkey") > top, F.lit("café €")).otherwise("plain")
+    from fileflow.sources.csv import read_csv
+    o, late = _late(load(spark, sf, "orders").select("o_orderkey"))
     path = _scratch(spark, "late_encoding")
-    export_csv(_one_file(o.withColumn("note", note), "o_orderkey"), path, encoding="windows-1252")
+    _late_files(o.withColumn("note", F.when(late, F.lit("café €")).otherwise("plain")), path,
+                encoding="windows-1252")
     return read_csv(spark, path).data.select("o_orderkey", "note")
 
 
@@ -1309,12 +1363,12 @@ def q_full_run_second(spark, sf):
     args = {"natural_keys": ["o_orderkey"], "as_of": args["as_of"]}
     o = o.select("o_orderkey", "o_totalprice", "o_orderstatus")
     status = F.col("o_orderstatus")
-    export_csv(_one_file(o.filter(status == "F"), "o_orderkey"), f"{src}/done")
-    export_csv(_one_file(o.filter(status == "P"), "o_orderkey"), f"{src}/part")
+    export_csv(_by_key(o.filter(status == "F"), "o_orderkey"), f"{src}/done")
+    export_csv(_by_key(o.filter(status == "P"), "o_orderkey"), f"{src}/part")
     full_run(spark, lake, src, day, "run-1", **args)
     _replace_text(spark, f"{src}/part", o.filter(status == "P").withColumn(
         "o_totalprice", F.col("o_totalprice") + 1))
-    export_csv(_one_file(o.filter(status == "O"), "o_orderkey"), f"{src}/open")
+    export_csv(_by_key(o.filter(status == "O"), "o_orderkey"), f"{src}/open")
     full_run(spark, lake, src, day, "run-2", **args)
     silver = read_silver(spark, lake.silver_root, day)
     days = manifest_runs(spark, lake.manifests)
@@ -1329,7 +1383,7 @@ def q_full_run_second(spark, sf):
 def _replace_text(spark, path, df):
     """New files in place of the folder's old ones, as an outside program would leave them."""
     from fileflow.sources.csv import export_csv
-    export_csv(_one_file(df, "o_orderkey"), path)
+    export_csv(_by_key(df, "o_orderkey"), path)
 
 
 @register("constraint_not_null", """

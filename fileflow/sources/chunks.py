@@ -74,6 +74,32 @@ class Ranges(InputPartition):
         self.ranges = ranges          # (path, size, modified, offset, length)
 
 
+def deal(files: list[tuple], chunk: int) -> list[Ranges]:
+    """Byte ranges of (path, size, modified) files, packed into tasks."""
+    out, task, held = [], [], 0
+    for path, size, modified in files:
+        for at in range(0, size, chunk):
+            n = min(chunk, size - at)
+            if task and held + n > max(TASK_BYTES, chunk):
+                out.append(Ranges(task))
+                task, held = [], 0
+            task.append((path, size, modified, at, n))
+            held += n
+    return out + [Ranges(task)] if task else out
+
+
+def chunk_row(*values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, _ARROW.types)],
+                                      schema=_ARROW)
+
+
+def reassembled(chunks: DataFrame) -> DataFrame:
+    """(path, content) of files that fit a row."""
+    return chunks.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("offset", "content")))
+                                      .alias("parts")).select("path", F.aggregate(
+        "parts", F.lit(b""), lambda acc, x: F.concat(acc, x["content"])).alias("content"))
+
+
 class ChunkReader(DataSourceReader):
     def __init__(self, options: dict):
         self.uri = options["path"]
@@ -83,18 +109,8 @@ class ChunkReader(DataSourceReader):
             raise ValueError("chunkBytes must be 16 or more")
 
     def partitions(self) -> list[Ranges]:
-        out, task, held = [], [], 0
-        for f in list_files(self.uri):
-            if f.size <= self.least:
-                continue
-            for at in range(0, f.size, self.chunk):
-                n = min(self.chunk, f.size - at)
-                if task and held + n > max(TASK_BYTES, self.chunk):
-                    out.append(Ranges(task))
-                    task, held = [], 0
-                task.append((f.path, f.size, f.mtime_ns // 1000, at, n))
-                held += n
-        return out + [Ranges(task)] if task or not out else out
+        return deal([(f.path, f.size, f.mtime_ns // 1000) for f in list_files(self.uri)
+                     if f.size > self.least], self.chunk) or [Ranges([])]
 
     def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         system, _ = open_fs(self.uri)
@@ -103,10 +119,7 @@ class ChunkReader(DataSourceReader):
                 data = fh.read_at(n, at)
             if len(data) != n:
                 raise OSError(f"{path} changed while it was read")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x], t) for x, t in zip(
-                    (shown(self.uri, path), size, modified, at, data), _ARROW.types)],
-                schema=_ARROW)
+            yield chunk_row(shown(self.uri, path), size, modified, at, data)
 
 
 class ChunkSource(DataSource):
