@@ -16,8 +16,11 @@ unresolved:<id>, cycle.
 
 Defined cases: null or malformed texts and other roles hold no calls; null conversation or call
 identifiers never link; of repeated results for one call the first by turn counts (ties: the
-smaller content); calls on or behind a cycle have a null level and the error ``cycle``;
-other input columns are dropped; a call without schema row gets unknown_tool.
+smaller content); rows that repeat a message (same conversation, turn and place) are one call, give
+a row each and are linked alike (if their arguments differ, by the references of all); calls on or behind a cycle have a null level and the error ``cycle``;
+other input columns are dropped; a call without schema row gets unknown_tool. Numbers are those of
+Spark's variant: up to 38 digits are kept, longer ones become the nearest double, one beyond its
+range the string "Infinity". A text with a key twice in one object is malformed.
 """
 
 from __future__ import annotations
@@ -160,7 +163,9 @@ def link(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     rows = materialize(rows.drop("params", "args", "first"), "tc-row")
 
     key = ["conv_id", "call_id"]
-    nodes = rows.where("chosen").select(*key, "needs")
+    # copies of a row are one call
+    nodes = rows.where("chosen").groupBy(*key).agg(
+        F.array_distinct(F.flatten(F.collect_set("needs"))).alias("needs"))
     there = nodes.select("conv_id", F.col("call_id").alias("need"), F.lit(1).alias("there"))
     asked = materialize(
         nodes.select(*key, F.explode("needs").alias("need"))

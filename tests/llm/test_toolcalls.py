@@ -96,3 +96,29 @@ def test_levels_of_long_chains_and_forks(spark):
                                     "conv_id long, call_id string, needs array<string>")
     got = toolcalls.levels(nodes, waiting).collect()
     assert {(x.conv_id, x.call_id): x.level for x in got} == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("copies", [2, 3])
+def test_repeated_rows_stay_as_many(spark, copies):
+    msgs = [(1, 0, "assistant", call(("x", "find", {"q": "a"}))),
+            (1, 1, "assistant", call(("y", "find", {"q": "$x"}))),
+            (1, 2, "assistant", call(("z", "find", {"q": "$y", "opts": {"p": "$x"}, "tags": []}))),
+            (1, 3, "tool", result("x", 1)), (1, 4, "tool", result("gone", 2))]
+    rows = [(*m, "own", "own") for m in msgs for _ in range(copies)]
+    tools = spark.createDataFrame(TOOLS, "name string, param string, type string, required boolean")
+    got = toolcalls.link(spark.createDataFrame(rows, SCHEMA), tools).collect()
+    assert sorted((r.call_id, r.status, r.level) for r in got if r.level is not None) == sorted(
+        [("x", "ok", 0), ("y", "missing_result", 1), ("z", "missing_result", 2)] * copies)
+    assert [r.status for r in got if r.level is None] == ["orphan_result"] * copies
+
+
+def test_numbers_and_repeated_keys(spark):
+    text = '{"tool_calls": [{"id": "a", "name": "add", "arguments": {"a": %s, "b": 1}}]}'
+    rows = [(i, 0, "assistant", text % x, "", "") for i, x in enumerate(
+        ["1E400", "1" * 45, "1" * 38, '1, "a": 2'])]
+    tools = spark.createDataFrame(TOOLS, "name string, param string, type string, required boolean")
+    got = {r.conv_id: r for r in toolcalls.link(spark.createDataFrame(rows, SCHEMA), tools).collect()}
+    assert '"a":"Infinity"' in got[0].json
+    assert '"a":1.1111111111111112E44' in got[1].json or '"a":1.111111111111111E44' in got[1].json
+    assert '"a":' + "1" * 38 in got[2].json
+    assert 3 not in got or '"arguments":null' in got[3].json
