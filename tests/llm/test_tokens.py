@@ -44,6 +44,27 @@ def test_bpe_long_word_tree(monkeypatch):
     assert c.encode_texts(xs) == [e.ids for e in t.encode_batch(xs, add_special_tokens=False)]
 
 
+def test_bpe_text_without_spaces():
+    c, t = bpe.Codec(PATH), Tokenizer.from_file(PATH)
+    r = random.Random(4)
+    xs = ["".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(100_000)),
+          "".join(r.choice("abcdeü1-") for _ in range(20_000)), "the" * 3000, "=" * 5000]
+    assert c.encode_texts(xs) == [e.ids for e in t.encode_batch(xs, add_special_tokens=False)]
+    assert len(c.cuts(xs[0].encode())) > 1000
+
+
+def test_bpe_lines_and_columns(spark):
+    c, t = bpe.Codec(PATH), Tokenizer.from_file(PATH)
+    r = random.Random(5)
+    xs = ["".join(r.choice(["a", "B.", "\n", "\n", " ", "\n\n", "\t", "\r\n", "é", "’", "'s", "1",
+                            "<|endoftext|>"]) for _ in range(r.randrange(40))) for _ in range(2000)]
+    xs += ["a\nb", "a\n\n\nb", "\n", "\n\n", "end\n", "end ", "a\tb\nc"]
+    assert c.encode_texts(xs) == [e.ids for e in t.encode_batch(xs, add_special_tokens=False)]
+    ids = spark.createDataFrame([(None,), ([],), ([None, 1, 10 ** 8, -1],), ([128], )], "ids array<int>")
+    got = [x.decoded for x in bpe.decode(ids, PATH).collect()]
+    assert got[:2] == ["", ""] and got[2] == t.decode([1]) and len(got[3]) == 1
+
+
 def test_bpe_memo_does_not_change_results(monkeypatch):
     monkeypatch.setattr(bpe, "MEMO_WORDS", 3)
     c, d = bpe.Codec(PATH), bpe.Codec(PATH)
