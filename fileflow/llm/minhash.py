@@ -38,7 +38,7 @@ SYMBOLS = CHUNKS * CHUNK
 MAX_DISTANCE = 2 * CHUNKS - 1
 BLOCK = 1 << 19               # shingles (plus 256 a document) in a block of documents
 MATRIX = 1 << 23              # cells of a dense block matrix
-BROADCAST_IDS = 500_000       # ids that may be broadcast: 8 bytes each
+BROADCAST_IDS = 500_000       # rows that may be broadcast: 48 bytes each
 _MUL, _XOR = odd_constants(SYMBOLS, 101), odd_constants(SYMBOLS, 202)
 
 
@@ -160,7 +160,10 @@ def confirm(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .withColumn("other", F.explode(F.expr("sequence(0, top)")))
             .select("g", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"),
                     "blk", "comp", "k"))
-    rows = (rows.join(sets, "k").select("g", "i", "j", "blk", "comp", "k", "s")
+    rows = materialize(rows, "mh-block")     # where to send each set; the sets move once if it
+    if rows.count() <= BROADCAST_IDS:        # can be broadcast, else also to meet it
+        rows = F.broadcast(rows)
+    rows = (sets.join(rows, "k").select("g", "i", "j", "blk", "comp", "k", "s")
             .repartition("g", "i", "j").sortWithinPartitions("g", "i", "j"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,12 +206,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = materialize(buckets, "mh-bucket")
     members = buckets.groupBy("k").agg(F.first("n").alias("n"), F.min("m").alias("rep"))
     members = materialize(members, "mh-member")
-    wanted = members.join(classes.select("k", "cid"), "k").select(F.col("cid").alias("id"))
-    wanted = materialize(wanted.distinct(), "mh-wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
+    # one document stands for each class; its set is made again from its text
+    wanted = materialize(members.join(classes.select("k", "cid"), "k").select(
+        F.col("cid").alias("id"), F.col("k").alias("want")), "mh-wanted")
+    n_wanted = wanted.count()
     texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-             .join(wanted, "id", "left_semi"))
+             .join(F.broadcast(wanted) if n_wanted <= BROADCAST_IDS else wanted, "id"))
 
     def with_set(b: pa.RecordBatch):
         sets = _sets_of(b, "text", words)
@@ -216,8 +219,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 pa.array([s.tobytes() for s in sets], pa.binary())]
 
     sets = append_arrow(texts, [("k", T.LongType()), ("s", T.BinaryType())], with_set)
-    sets = materialize(sets.select("k", "s").join(members.select("k"), "k", "left_semi")
-                       .groupBy("k").agg(F.first("s").alias("s")), "mh-set")
+    sets = materialize(sets.where("k = want").select("k", "s"), "mh-set")
+    if sets.count() > n_wanted:              # rows that repeat an id
+        sets = materialize(sets.groupBy("k").agg(F.first("s").alias("s")), "mh-set")
 
     star = members.where("rep < k")
     star = _with_centres(star, members)

@@ -56,6 +56,6 @@ def test_repeated_rows_of_a_kept_id(spark, folder):
 
 def test_registered():
     assert [n for n in QUERIES if n.startswith("op")] and {int(n[2:].split("_")[0]) for n in QUERIES} \
-        == set(range(1, 11))
+        == set(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
     assert minhash.MAX_DISTANCE == 27 and quality.SAMPLE == 3000
