@@ -7,11 +7,12 @@ most one error (pigeonhole: 14 chunks with two errors each would be 28), so the
 every pair within distance 27 meets under one of them. At similarity 0.8 a signature differs
 in 14 symbols on average, so a true pair lies beyond 27 with a chance of 3e-5.
 
-Candidates are confirmed on full sets in bounded blocks of documents. Equal sets are one class
+Pairs that meet and are within distance 27 are confirmed on full sets, in bounded blocks of
+documents; a set is sent only where its signature has such a partner. Equal sets are one class
 from the start. First each class meets the smallest class of its buckets; then only buckets
 whose members are still in different components are compared, all pairs in blocks, and a block
-returns a spanning forest of the links found. No pair of different components that shares a
-key is left out, and no list of all pairs of a bucket is ever written.
+returns a spanning forest of the links found. No pair of different components within the distance
+is left out, and no list of all pairs of a bucket is ever written.
 
 Defined cases: null or blank texts have no shingles, form their own component and are kept;
 rows with a null id are counted, link with nothing, have a null component and are kept;
@@ -150,46 +151,105 @@ def forest(ids: np.ndarray, side: np.ndarray, comp: np.ndarray, sets: list[np.nd
     return links
 
 
-def confirm(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) links inside the groups (g, k, n, comp), compared in blocks of bounded size."""
+def blocks(groups: DataFrame) -> DataFrame:
+    """(g, i, j, blk, comp, k): a group's rows dealt to pairs of blocks of bounded size."""
     w = Window.partitionBy("g").orderBy("k")
     weight = F.col("n") + 256
-    rows = (groups
+    return (groups
             .withColumn("blk", F.floor((F.sum(weight).over(w) - weight) / BLOCK).cast("int"))
             .withColumn("top", F.max("blk").over(Window.partitionBy("g")))
             .withColumn("other", F.explode(F.expr("sequence(0, top)")))
             .select("g", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"),
                     "blk", "comp", "k"))
-    rows = materialize(rows, "mh-block")     # where to send each set; the sets move once if it
-    if rows.count() <= BROADCAST_IDS:        # can be broadcast, else also to meet it
-        rows = F.broadcast(rows)
-    rows = (sets.join(rows, "k").select("g", "i", "j", "blk", "comp", "k", "s")
-            .repartition("g", "i", "j").sortWithinPartitions("g", "i", "j"))
 
+
+def _per_block(fn, names: list[str]):
+    """Batches of rows (g, i, j, blk, comp, k, bytes) sorted by (g, i, j) -> rows of
+    ``fn(g, side, comp, k, bytes)`` for each block pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close():
             if at is None or not held:
                 return []
-            side = np.array([x[0] != at[1] for x in held])
-            return forest(np.array([x[2] for x in held]), side, np.array([x[1] for x in held]),
-                          [np.frombuffer(x[3], dtype=np.uint64) for x in held], percent)
+            return fn(at[0], np.array([x[0] != at[1] for x in held]),
+                      np.array([x[1] for x in held]), np.array([x[2] for x in held]),
+                      [x[3] for x in held])
+
+        def rows(found):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names)
 
-        at, held, links = None, [], []
+        at, held, found = None, [], []
         for b in batches:
             for g, i, j, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if (g, i, j) != at:
-                    links += close()
+                    found += close()
                     at, held = (g, i, j), []
                 held.append(row)
-            if links:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
-                links = []
-        links = close()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+            if found:
+                yield rows(found)
+                found = []
+        yield rows(close())
+    return run
+
+
+def near_members(side: np.ndarray, comp: np.ndarray, sigs: list[bytes]) -> np.ndarray:
+    """Rows with a partner of another component within MAX_DISTANCE."""
+    sig = np.frombuffer(b"".join(sigs), dtype=np.uint8).reshape(-1, SYMBOLS)
+    across, near = side.any() and not side.all(), np.zeros(len(sig), dtype=bool)
+    step = max(1, MATRIX // (len(sig) * SYMBOLS))
+    for a in range(0, len(sig), step):
+        hit = (sig[a:a + step, None, :] != sig[None, :, :]).sum(axis=2) <= MAX_DISTANCE
+        hit &= comp[a:a + step, None] != comp[None, :]
+        if across:
+            hit &= side[a:a + step, None] != side[None, :]
+        near[a:a + step] |= hit.any(axis=1)
+    return near
+
+
+def close_by(groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows (g, k) of groups (g, k, n, comp) that have a partner of another component within
+    MAX_DISTANCE in their group: only their full sets need to be sent."""
+    rows = (blocks(groups).join(classes.select("k", "sig"), "k")
+            .select("g", "i", "j", "blk", "comp", "k", "sig")
+            .repartition("g", "i", "j").sortWithinPartitions("g", "i", "j"))
+
+    def fn(g, side, comp, k, sigs):
+        return [(g, x) for x in k[near_members(side, comp, sigs)].tolist()]
+
+    return rows.mapInArrow(_per_block(fn, ["g", "k"]), "g long, k long").distinct()
+
+
+def confirm(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) links inside the groups (g, k, n, comp), compared in blocks of bounded size."""
+    rows = materialize(blocks(groups), "mh-block")     # where to send each set; the sets move
+    if rows.count() <= BROADCAST_IDS:                  # once if it can be broadcast, else also
+        rows = F.broadcast(rows)                       # to meet it
+    rows = (sets.join(rows, "k").select("g", "i", "j", "blk", "comp", "k", "s")
+            .repartition("g", "i", "j").sortWithinPartitions("g", "i", "j"))
+
+    def fn(g, side, comp, k, s):
+        return forest(k, side, comp, [np.frombuffer(x, dtype=np.uint64) for x in s], percent)
+
+    return rows.mapInArrow(_per_block(fn, ["a", "b"]), "a long, b long")
+
+
+def near_pairs(star: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of (k, n, rep) whose signatures are within MAX_DISTANCE."""
+    centre = materialize(star.select("rep").distinct().join(
+        classes.select(F.col("k").alias("rep"), F.col("sig").alias("mid")), "rep"), "mh-centre")
+    if centre.count() <= BROADCAST_IDS:
+        centre = F.broadcast(centre)
+    rows = star.join(classes.select("k", "sig"), "k").join(centre, "rep")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8)
+                    .reshape(-1, SYMBOLS) for c in (3, 4))
+            near = (x != y).sum(axis=1) <= MAX_DISTANCE
+            yield pa.RecordBatch.from_arrays(b.columns[:3], ["k", "n", "rep"]).filter(
+                pa.array(near))
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.select("k", "n", "rep", "sig", "mid").mapInArrow(run, "k long, n long, rep long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -206,6 +266,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = materialize(buckets, "mh-bucket")
     members = buckets.groupBy("k").agg(F.first("n").alias("n"), F.min("m").alias("rep"))
     members = materialize(members, "mh-member")
+    star = materialize(near_pairs(members.where("rep < k").select("k", "n", "rep"), classes),
+                       "mh-star")
     # one document stands for each class; its set is made again from its text
     wanted = materialize(members.join(classes.select("k", "cid"), "k").select(
         F.col("cid").alias("id"), F.col("k").alias("want")), "mh-wanted")
@@ -223,7 +285,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if sets.count() > n_wanted:              # rows that repeat an id
         sets = materialize(sets.groupBy("k").agg(F.first("s").alias("s")), "mh-set")
 
-    star = members.where("rep < k")
     star = _with_centres(star, members)
     links = materialize(confirm(star, sets, percent), "mh-link")
     comp = components(links)
@@ -238,7 +299,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("k").alias("k0"), F.max(F.struct("k", "rep")).alias("k1"))
         .where("c0 < c1 and not (size = 2 and k1.rep = k0)")
         .groupBy("size", "f1", "f2").agg(F.min("key").alias("key")))
-    groups = rest.join(mixed.select("key"), "key").select(F.col("key").alias("g"), "k", "n", "comp")
+    groups = materialize(rest.join(mixed.select("key"), "key").select(
+        F.col("key").alias("g"), "k", "n", "comp"), "mh-group")
+    groups = groups.join(close_by(groups, classes), ["g", "k"])
     more = materialize(confirm(groups, sets, percent), "mh-link")
     comp = components(links.union(more))
 
