@@ -293,10 +293,16 @@ _WHOLE = (ByteType, ShortType, IntegerType, LongType)
 _FLOAT = (FloatType, DoubleType)
 
 
-def wider(a: DataType, b: DataType) -> DataType | None:
-    """The type that holds values of both: whole numbers -> bigint or decimal, dates and times ->
-    timestamp, NULLs -> the other, anything else -> string. None where the values decide
-    (``lattice.number_type``): whole or decimal numbers that meet doubles."""
+def _values_decide(a: DataType, b: DataType) -> bool:
+    """Whole or decimal numbers meet doubles: whether a double holds them is up to the values."""
+    return isinstance(a, NumericType) and isinstance(b, NumericType) \
+        and isinstance(a, _FLOAT) != isinstance(b, _FLOAT)
+
+
+def wider(a: DataType, b: DataType) -> DataType:
+    """The type that holds values of both: whole numbers -> bigint or decimal, numbers -> double
+    (``align`` looks at the values first), dates and times -> timestamp, NULLs -> the other,
+    anything else -> string."""
     if a == b or isinstance(b, NullType):
         return a
     if isinstance(a, NullType):
@@ -306,8 +312,8 @@ def wider(a: DataType, b: DataType) -> DataType | None:
     if isinstance(a, _FLOAT) and isinstance(b, _FLOAT):
         return DoubleType()
     if isinstance(a, NumericType) and isinstance(b, NumericType):
-        if isinstance(a, _FLOAT) or isinstance(b, _FLOAT):
-            return None
+        if _values_decide(a, b):
+            return DoubleType()
         digits, scale = (max(x) for x in zip(*((t.precision - t.scale, t.scale) if isinstance(
             t, DecimalType) else (19, 0) for t in (a, b))))
         return DecimalType(38, scale) if digits + scale <= 38 else StringType()
@@ -322,8 +328,8 @@ def align(table: DataFrame, df: DataFrame, fill: bool = True):
     ``fill``: ``df`` gets the table's column order and NULLs for columns that it lacks; new
     columns are kept at the end."""
     types = {f.name: f.dataType for f in table.schema.fields}
-    new = {f.name: wider(types[f.name], f.dataType) or number_type(table, df, f.name)
-           for f in df.schema.fields if f.name in types}
+    new = {f.name: number_type(table, df, f.name) if _values_decide(types[f.name], f.dataType)
+           else wider(types[f.name], f.dataType) for f in df.schema.fields if f.name in types}
     changed = any(new.get(c, t) != t for c, t in types.items()) \
         or fill and any(c not in types for c in df.columns)
 
