@@ -1489,3 +1489,16 @@ SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-10'
 def q_records_page_after(spark, sf):
     return records.page_after(load(spark, sf, "events"), ["ts", "event_id"],
                               ["2024-01-10 00:00:00", 0], limit=100)
+
+
+@register("records_page_deep", """
+SELECT * FROM (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS rn FROM events)
+WHERE rn > (SELECT count(*) * 9 // 10 FROM events)
+  AND rn <= (SELECT count(*) * 9 // 10 FROM events) + 100""")
+def q_records_page_deep(spark, sf):
+    from fileflow.operators.rankindex import of_table
+    from fileflow.operators.table import SnapshotTable
+    t = SnapshotTable(spark, _scratch(spark, "page_deep"))
+    t.append(load(spark, sf, "events"))
+    index = of_table(t, ["ts", "event_id"], rows_per_range=400)
+    return index.page(limit=100, offset=index.rows * 9 // 10, with_rn=True)
