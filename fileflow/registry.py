@@ -1502,3 +1502,52 @@ def q_records_page_deep(spark, sf):
     t.append(load(spark, sf, "events"))
     index = of_table(t, ["ts", "event_id"], rows_per_range=400)
     return index.page(limit=100, offset=index.rows * 9 // 10, with_rn=True)
+
+
+def _catalog_tables(spark, sf, tag, names):
+    """Tables of a database of their own, over copies of the given ones."""
+    import uuid
+
+    from fileflow.operators import tablestats
+    base = _scratch(spark, tag)
+    db = f"{tag}_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{base}/db'")
+    out = []
+    for n in names:
+        df = load(spark, sf, n)
+        df.write.parquet(f"{base}/{n}")
+        tablestats.register(spark, f"{db}.{n}", df.schema, f"{base}/{n}")
+        out.append(f"{db}.{n}")
+    return out, base
+
+
+@register("catalog_kept_counts", """
+SELECT 'customer' AS name, (SELECT count(*) FROM customer) AS row_count, 'fresh' AS status
+UNION ALL SELECT 'events', (SELECT count(*) FROM events), 'stale'
+UNION ALL SELECT 'orders', NULL, 'none'""")
+def q_catalog_kept_counts(spark, sf):
+    from fileflow.operators import tablestats
+    names, base = _catalog_tables(spark, sf, "kept_counts", ["customer", "events", "orders"])
+    for n in names[:2]:
+        tablestats.analyze(spark, n)
+    load(spark, sf, "events").write.mode("append").parquet(f"{base}/events")
+    return tablestats.list_datasets(spark, names).select(
+        F.element_at(F.split("name", r"\."), -1).alias("name"), "row_count", "status")
+
+
+@register("catalog_kept_columns", """
+SELECT 'o_custkey' AS column_name, count(*) AS row_count,
+       count(*) - count(o_custkey) AS null_count,
+       CAST(min(o_custkey) AS VARCHAR) AS min_value, CAST(max(o_custkey) AS VARCHAR) AS max_value
+FROM orders
+UNION ALL SELECT 'o_orderkey', count(*), count(*) - count(o_orderkey),
+       CAST(min(o_orderkey) AS VARCHAR), CAST(max(o_orderkey) AS VARCHAR) FROM orders
+UNION ALL SELECT 'o_orderstatus', count(*), count(*) - count(o_orderstatus), NULL, NULL
+FROM orders""")
+def q_catalog_kept_columns(spark, sf):
+    from fileflow.operators import tablestats
+    names, _ = _catalog_tables(spark, sf, "kept_columns", ["orders"])
+    tablestats.refresh(spark, names)
+    return tablestats.column_stats(spark, names[0]).filter(
+        F.col("column_name").isin("o_orderkey", "o_custkey", "o_orderstatus")).select(
+        "column_name", "row_count", "null_count", "min_value", "max_value")
