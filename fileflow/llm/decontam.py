@@ -5,25 +5,29 @@ nor non-ASCII written as one space. The windows of an item are its passages of W
 at each byte (a shorter item is one window). A document leaks an item if some region of it is
 within ``e`` edits of one of the item's windows, e = floor(RATE * window length).
 
-1. Pigeonhole: a window cut into pieces of PIECE bytes has more pieces than e edits can touch,
-   so one piece occurs unchanged. Pieces are looked up at every byte of every document.
+1. Pigeonhole: a window is cut into e + 1 pieces of equal size (the rest belongs to none), one more
+   than e edits can touch, so one piece occurs unchanged. Pieces are looked up at every byte of
+   every document.
 2. q-gram lemma: each hit names a diagonal (document minus item position). Diagonals fall into
    overlapping bands of 3e + 1; a region within e edits keeps at least L + 1 - q - e*q of the
    window's q-grams inside the band. Bands under that bound are dropped.
 3. The rest is verified by banded alignment (free start and end in the document).
 
 All three steps are exact: no region within the budget is missed. (Windows that start at multiples
-of WINDOW / 2 bytes go first and give the places; the others are verified for the items that a
-document does not show by those.) The items are broadcast in
-blocks of bounded bytes, one pass over the documents for each block.
-
-Defined cases: null or empty texts and items leak nothing; items under MIN_ITEM compared bytes
-are too short to be evidence and are not searched; repeated items and documents each report
-their own rows; a null item id is reported as null.
+of WINDOW / 2 bytes, and the last one, go first and give the places; the others are verified for the
+items that a document does not show by those.) Hits are expanded in slices of SLICE pairs, and of
+what a slice shows one row per document, item and window is kept, so memory does not grow with the
+number of hits: one letter a million times against an item of that letter takes time, not memory.
+The items are broadcast in blocks of bounded bytes, one pass over the documents for each block.
+
+Defined cases: null or empty texts and items leak nothing; an item under MIN_ITEM compared bytes
+has no budget and counts where it occurs whole, between spaces or ends; repeated items and
+documents each report their own rows; a null item id is reported as null.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -34,7 +38,9 @@ from pyspark.sql import types as T
 
 from .common import append_arrow, mix64, odd_constants, small_batches
 
-WINDOW, PIECE, Q, RATE, MIN_ITEM = 96, 12, 6, 0.08, 24
+WINDOW, Q, RATE, MIN_ITEM = 96, 6, 0.08, 24
+WHOLE = 12                    # bytes of the piece by which a shorter item is looked up
+SLICE = 1 << 19               # pairs of a place in a document and a place in an item at a time
 BLOCK_BYTES = 8 << 20         # benchmark text broadcast at a time
 _BITS = 22
 _BASE = np.uint64(int(odd_constants(1, 31)[0]))
@@ -59,7 +65,7 @@ def normalise(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grams(b: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the ``size`` bytes that start at each position (size 6 or 12)."""
+    """Hash of the ``size`` bytes that start at each position."""
     n = len(b) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
@@ -78,82 +84,147 @@ def grams(b: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _least(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows (document, item, window, first, last, edits): for each of the first three the smallest
+    first, the largest last and the fewest edits."""
+    x = np.concatenate([*parts, np.zeros((0, 6), np.int64)])
+    x = x[np.lexsort((x[:, 2], x[:, 1], x[:, 0]))]
+    new = np.flatnonzero(np.concatenate(([True], (x[1:, :3] != x[:-1, :3]).any(axis=1)))
+                         ) if len(x) else np.zeros(0, np.int64)
+    return x if not len(x) else np.concatenate([x[new, :3], np.stack([
+        np.minimum.reduceat(x[:, 3], new), np.maximum.reduceat(x[:, 4], new),
+        np.minimum.reduceat(x[:, 5], new)], axis=1)], axis=1)
+
+
+class Lookup:
+    """Pieces of ``size`` bytes by hash; each entry carries numbers (columns of ``data``)."""
+
+    def __init__(self, size: int, hashes: np.ndarray, data: np.ndarray):
+        order = np.argsort(hashes, kind="stable")
+        self.size, self.hash, self.data = size, hashes[order], data[order]
+        self.table = np.zeros(1 << _BITS, dtype=bool)
+        self.table[mix64(self.hash) >> np.uint64(64 - _BITS)] = True
+
+    def hits(self, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in the compared bytes, first entry, entries) of every piece that occurs."""
+        h = grams(b, self.size)
+        at = np.flatnonzero(self.table[mix64(h) >> np.uint64(64 - _BITS)])
+        lo = np.searchsorted(self.hash, h[at], side="left")
+        n = np.searchsorted(self.hash, h[at], side="right") - lo
+        return at[n > 0], lo[n > 0], n[n > 0]
+
+
+def slices(lo: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, entry) for the entries lo .. lo + n - 1 of each row, at most SLICE at a time."""
+    end = np.cumsum(n)
+    for k in range(0, int(end[-1]) if len(end) else 0, SLICE):
+        x = np.arange(k, min(k + SLICE, int(end[-1])))
+        row = np.searchsorted(end, x, side="right")
+        yield row, lo[row] + x - (end[row] - n[row])
+
+
 class Index:
     """Windows and pieces of a block of items; built once and sent to the tasks."""
 
     def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE):
         self.ids: list[int | None] = []
-        self.text: list | np.ndarray = []
-        held, hashes, places = [], [], []
-        at = 0
-        for item_id, text in items:
-            b, _ = normalise(np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8))
+        held, text, at = [], [], 0
+        for item_id, raw in items:
+            b, _ = normalise(np.frombuffer(raw.lower().encode("utf-8", "replace"), np.uint8))
             b = b[:-1] if len(b) and b[-1] == 32 else b
             b = b[1:] if len(b) and b[0] == 32 else b
-            if len(b) < MIN_ITEM:
+            if not len(b):
                 continue
             size = min(WINDOW, len(b))
-            e = min(int(rate * size), size // PIECE - 1, (size - Q) // Q)
-            h = grams(b, PIECE)
-            p = np.arange(len(h)) if len(b) > size else np.arange(e + 1) * PIECE
-            hashes.append(h[p])
-            places.append((at + p).astype(np.int32))
-            held.append((at, len(b), size, e))
+            # an item under MIN_ITEM bytes counts where it occurs whole
+            e = int(rate * size + 1e-9) if size >= MIN_ITEM else 0
+            held.append((at, len(b), size, e, size // (e + 1) if size >= MIN_ITEM
+                         else min(size, WHOLE)))
             self.ids.append(item_id)
-            self.text.append(b)
+            text.append(b)
             at += len(b)
-        self.first, length, self.size, self.edits = np.array(
-            held, dtype=np.int64).reshape(-1, 4).T
+        self.first, length, self.size, self.edits, self.piece = np.array(
+            held, dtype=np.int64).reshape(-1, 5).T
         self.last = self.first + length - self.size          # start of an item's last window
-        self.text = np.concatenate([*self.text, np.zeros(0, np.uint8)])
-        h = np.concatenate([*hashes, np.zeros(0, np.uint64)])
-        order = np.argsort(h, kind="stable")
-        self.hash = h[order]
-        self.place = np.concatenate([*places, np.zeros(0, np.int32)])[order]
-        self.table = np.zeros(1 << _BITS, dtype=bool)
-        self.table[mix64(self.hash) >> np.uint64(64 - _BITS)] = True
+        self.text = np.concatenate([*text, np.zeros(0, np.uint8)])
+        self.near, self.all = self._grid(), self._places()
+
+    def _grid(self) -> list[Lookup]:
+        """(window, bytes before the piece) of the pieces of half overlapping windows."""
+        out = []
+        for piece in np.unique(self.piece):
+            win, back = [], []
+            for k in np.flatnonzero(self.piece == piece):
+                w = np.unique(np.append(np.arange(self.first[k], self.last[k], WINDOW // 2),
+                                        self.last[k]))
+                p = np.arange(self.edits[k] + 1) * piece
+                win.append(np.repeat(w, len(p)))
+                back.append(np.tile(p, len(w)))
+            win, back = np.concatenate(win), np.concatenate(back)
+            out.append(Lookup(int(piece), grams(self.text, int(piece))[win + back],
+                              np.stack([win, back], axis=1).astype(np.int32)))
+        return out
+
+    def _places(self) -> list[Lookup]:
+        """Every place of the items of more than one window; ``groups`` are the places of one
+        piece in one item."""
+        out = []
+        several = self.last > self.first
+        for piece in np.unique(self.piece[several]):
+            p = [np.arange(self.first[k], self.last[k] + self.size[k] - piece + 1)
+                 for k in np.flatnonzero(several & (self.piece == piece))]
+            p = np.concatenate(p)
+            x = Lookup(int(piece), grams(self.text, int(piece))[p],
+                       np.stack([p, self.item(p)], axis=1).astype(np.int32))
+            # the sort by hash is stable, so the places of one item stand together
+            new = np.concatenate(([True], (x.hash[1:] != x.hash[:-1])
+                                  | (x.data[1:, 1] != x.data[:-1, 1])))
+            start = np.flatnonzero(new)
+            places = x.data[:, 0]
+            groups = Lookup(int(piece), x.hash[start], np.stack([
+                start, np.diff(np.append(start, len(places))), x.data[start, 1]], axis=1))
+            groups.places = places
+            out.append(groups)
+        return out
 
     def item(self, win: np.ndarray) -> np.ndarray:
         """Number of the item of each window."""
         return np.searchsorted(self.first, win, side="right") - 1
 
-    def seeds(self, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window, diagonal, place) of every piece that occurs in the compared bytes: a piece
-        belongs to each window that starts a multiple of PIECE bytes before it. A window is named
-        by its place in the text of the items."""
-        h = grams(b, PIECE)
-        at = np.flatnonzero(self.table[mix64(h) >> np.uint64(64 - _BITS)])
-        lo = np.searchsorted(self.hash, h[at], side="left")
-        n = np.searchsorted(self.hash, h[at], side="right") - lo
-        at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
-        k = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        place, at = self.place[k].astype(np.int64), np.repeat(at, n)
-        item = self.item(place)
-        win, diag, spot = [], [], []
-        for back in range(0, WINDOW, PIECE):
-            w = place - back
-            good = ((w >= self.first[item]) & (w <= self.last[item])
-                    & (back <= self.edits[item] * PIECE))
-            win.append(w[good])
-            diag.append(at[good] - back)
-            spot.append(at[good])
-        return np.concatenate(win), np.concatenate(diag), np.concatenate(spot)
-
     def matches(self, b: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        """Rows (window, first, last, edits) of verified regions of the compared bytes ``b``;
-        ``doc`` numbers the document of each byte, regions never cross documents."""
-        win, diag, at = self.seeds(b)
-        if not len(win):
-            return np.zeros((0, 4), np.int64)
-        # half overlapping windows first; the others where these do not show the item
-        item = self.item(win)
-        pair = doc[at] * len(self.ids) + item
-        grid = ((win - self.first[item]) % (WINDOW // 2) == 0) | (win == self.last[item])
-        rows = self._candidates(win[grid], diag[grid], b, doc)
-        middle = (np.maximum(rows[:, 1], 0) + np.minimum(rows[:, 2], len(b))) // 2
-        known = doc[middle] * len(self.ids) + self.item(rows[:, 0])
-        rest = ~grid & ~np.isin(pair, known)
-        return np.concatenate([rows, self._candidates(win[rest], diag[rest], b, doc)])
+        """Rows (document, item, window, first, last, edits), one for each window that a document
+        shows, of verified regions of the compared bytes ``b``; ``doc`` numbers the document of
+        each byte, regions never cross documents."""
+        found = _least([self._candidates(win, diag, b, doc) for win, diag in self._near(b)])
+        known = np.unique(found[:, 0] * len(self.ids) + found[:, 1])
+        return _least([found] + [self._candidates(win, diag, b, doc)
+                                 for win, diag in self._rest(b, doc, known)])
+
+    def _near(self, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, diagonal) of the pieces of half overlapping windows, in slices."""
+        for x in self.near:
+            at, lo, n = x.hits(b)
+            for row, entry in slices(lo, n):
+                win, back = x.data[entry].astype(np.int64).T
+                yield win, at[row] - back
+
+    def _rest(self, b, doc, known) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same of all other windows, for items that a document has not shown yet."""
+        for x in self.all:
+            at, lo, n = x.hits(b)
+            for row, group in slices(lo, n):
+                pair = doc[at[row]] * len(self.ids) + x.data[group, 2]
+                new = ~np.isin(pair, known)
+                spot, group = at[row[new]], group[new]
+                for r, entry in slices(x.data[group, 0], x.data[group, 1]):
+                    place, item = x.places[entry].astype(np.int64), x.data[group[r], 2]
+                    for back in range(0, WINDOW - x.size + 1, x.size):
+                        w = place - back
+                        good = ((w >= self.first[item]) & (w < self.last[item])
+                                & ((w - self.first[item]) % (WINDOW // 2) > 0)
+                                & (back <= self.edits[item] * x.size))
+                        if good.any():
+                            yield w[good], spot[r[good]] - back
 
     def _candidates(self, win, diag, b, doc):
         out = []
@@ -161,11 +232,30 @@ class Index:
         for size in np.unique(self.size[item]):
             mine = self.size[item] == size
             e = int(self.edits[item[mine][0]])
-            both = np.unique(np.stack([win[mine], diag[mine] // (e + 1)], axis=1), axis=0)
+            band = diag[mine] // (e + 1)
+            both = np.unique((win[mine] << 32) + (band + (1 << 31)))
+            win_, low = both >> 32, ((both & 0xFFFFFFFF) - (1 << 31)) * (e + 1) - e
             for k in range(0, len(both), 2048):
-                out.append(self._verify(both[k:k + 2048, 0], both[k:k + 2048, 1] * (e + 1) - e,
-                                        int(size), e, b, doc))
-        return np.concatenate(out) if out else np.zeros((0, 4), np.int64)
+                part = slice(k, k + 2048)
+                rows = self._whole(win_[part], low[part], int(size), b, doc) \
+                    if size < MIN_ITEM else self._verify(
+                        win_[part], low[part], int(size), e, b, doc)
+                if len(rows):
+                    s, t = np.maximum(rows[:, 1], 0), np.minimum(rows[:, 2], len(b))
+                    out.append(_least([np.stack([doc[(s + t) // 2], self.item(rows[:, 0]),
+                                                 rows[:, 0], s, t, rows[:, 3]], axis=1)]))
+        return _least(out)
+
+    def _whole(self, win, low, size, b, doc):
+        """Rows of short items that occur whole, as words."""
+        good = (low >= 0) & (low + size <= len(b))
+        win, low = win[good], low[good]
+        span = np.arange(size)[None, :]
+        good = (b[low[:, None] + span] == self.text[win[:, None] + span]).all(axis=1)
+        end = low + size
+        good &= (doc[low] == doc[end - 1]) & ((low == 0) | (b[low - 1] == 32))
+        good &= (end == len(b)) | (b[np.minimum(end, len(b) - 1)] == 32)
+        return np.stack([win, low, end, np.zeros_like(win)], axis=1)[good]
 
     def _verify(self, win, low, size, e, b, doc):
         """Band of diagonals low .. low + 3e for each candidate window."""
@@ -187,7 +277,7 @@ class Index:
         found = np.zeros(wq.shape, dtype=bool)
         for k in range(width):
             found |= wq == tq[:, k:k + wq.shape[1]]
-        keep = np.flatnonzero(found.sum(axis=1) >= size + 1 - Q - e * Q)
+        keep = np.flatnonzero(found.sum(axis=1) >= max(0, size + 1 - Q - e * Q))
         item, text = item[keep], text[keep]
         if not len(keep):
             return np.zeros((0, 4), np.int64)
@@ -231,23 +321,21 @@ def find(index: Index, texts: list[str]) -> list[list[dict]]:
     b, at = normalise(np.frombuffer(b"".join(raw), np.uint8))
     doc = np.searchsorted(off, at, side="right") - 1
     out: list[list[dict]] = [[] for _ in texts]
-    if not len(index.hash) or not len(b):
+    if not index.ids or not len(b):
         return out
-    got: dict[tuple[int, int], list] = {}
     rows = index.matches(b, doc)
-    for (w, s, t, e), item in zip(rows.tolist(), index.item(rows[:, 0]).tolist(), strict=True):
-        s, t = max(s, 0), min(t, len(b))
-        got.setdefault((int(doc[(s + t) // 2]), item), []).append((s, t, w, e))
     places: dict[int, np.ndarray] = {}
-    for (d, item), rows in sorted(got.items()):
+    new = np.flatnonzero(np.concatenate(([True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)))
+                         ) if len(rows) else np.zeros(0, np.int64)
+    for r in np.split(rows, new[1:]) if len(rows) else []:
+        d, item = int(r[0, 0]), int(r[0, 1])
         if d not in places:
             places = {d: _places(texts[d])}
         p = places[d]
-        s, t = (int(at[min(x[0] for x in rows)] - off[d]),
-                int(at[max(x[1] for x in rows) - 1] - off[d]))
+        s, t = int(at[r[:, 3].min()] - off[d]), int(at[r[:, 4].max() - 1] - off[d])
         s, t = max(0, min(s, len(p) - 1)), max(0, min(t, len(p) - 1))
         out[d].append({"item_id": index.ids[item], "start": int(p[s]), "end": int(p[t]) + 1,
-                       "windows": len({x[2] for x in rows}), "edits": min(x[3] for x in rows)})
+                       "windows": len(r), "edits": int(r[:, 5].min())})
     return out
 
 

@@ -57,10 +57,99 @@ def test_leak_places_and_blocks(spark, odd_docs, no_docs, monkeypatch):
     assert decontam.leaks(odd_docs, bench.limit(0)).where(F.size("leaks") > 0).count() == 0
 
 
+def compared(text):
+    import numpy as np
+    b, _ = decontam.normalise(np.frombuffer(text.lower().encode(), np.uint8))
+    return b.tobytes().decode().strip()
+
+
+def fewest_edits(window, text):
+    """Edits of the window's best place in the text, over all places (no bands, no q-grams)."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(window, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return min(row)
+
+
+def brute_leaks(items, text):
+    """{item id: (windows, edits)} by comparing every window with every place."""
+    out, text = {}, compared(text)
+    for i, item in items:
+        item = compared(item)
+        size = min(96, len(item))
+        if size < 24:
+            if size and f" {item} " in f" {text} ":
+                out[i] = 0
+            continue
+        last = len(item) - size
+        near = sorted({*range(0, last, 48), last})
+        for starts in (near, [s for s in range(last) if s % 48]):
+            cost = {s: fewest_edits(item[s:s + size], text) for s in starts}
+            cost = [c for c in cost.values() if c <= size * 8 // 100]
+            if cost and i not in out:
+                out[i] = len(cost), min(cost)
+    return {i: x or (1, 0) for i, x in out.items()}
+
+
+def test_leaks_equal_brute_force():
+    r = random.Random(8)
+    sizes = [3, 11, 17, 24, 30, 39, 50, 63, 79, 95, 96, 100, 112]
+    items = [(n, (prose(300 + n, 40)[:n - 1] + "q").replace(" q", "qq")) for n in sizes]
+    items += [(200, "ab " * 40), (201, "c" * 110)]
+    seen = 0
+    for k in range(30):
+        i, item = items[k % len(items)]
+        t = list(item if len(item) < 100 else item[r.randrange(4):])
+        budget = min(96, len(compared(item))) * 8 // 100
+        for _ in range(max(0, budget + k % 4 - 2)):
+            p = r.randrange(len(t))
+            t[p:p + r.randrange(2)] = r.choice(["x", "", "y"])
+        doc = prose(k, 8) + " " + "".join(t) + (" " if k % 3 else "") + prose(k + 1, 5)
+        got = {m["item_id"]: (m["windows"], m["edits"]) for m in decontam.find(
+            decontam.Index(items), [doc])[0]}
+        assert got == brute_leaks(items, doc), (k, i)
+        seen += len(got)
+    assert seen > 12
+
+
+def test_the_whole_budget_is_allowed_at_every_size():
+    for size in (25, 30, 38, 39, 50, 75, 79, 95, 96):
+        item = (prose(500 + size, 40)[:size - 1] + "q").replace(" q", "qq")
+        budget = size * 8 // 100
+        for n in (budget, budget + 1):
+            t = list(item)
+            for k in range(n):                    # spread as evenly as it goes
+                t[(2 * k + 1) * size // (2 * n)] = "0"
+            found = decontam.find(decontam.Index([(1, item)]), ["".join(t)])[0]
+            assert [m["edits"] for m in found] == ([n] if n == budget else []), (size, n)
+
+
+def test_short_items_count_where_they_occur_whole():
+    index = decontam.Index([(1, "Yes, sir"), (2, "a"), (3, "x")])
+    docs = ["well yes  sir!", "yes sire", "ayes sir", "yes", "sir", "A.", "bad", ""]
+    assert [[m["item_id"] for m in f] for f in decontam.find(index, docs)] == [
+        [1], [], [], [], [], [2], [], []]
+
+
+def test_one_letter_takes_bounded_memory(monkeypatch):
+    import tracemalloc
+    monkeypatch.setattr(decontam, "SLICE", 1 << 15)
+    index = decontam.Index([(1, "a" * 300)])
+    tracemalloc.start()
+    found = decontam.find(index, ["a" * 40_000])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(m["item_id"], m["start"], m["end"], m["edits"]) for m in found] == [(1, 0, 40_000, 0)]
+    assert peak < 150 << 20
+
+
 def test_grams_name_equal_strings():
     import numpy as np
     b = np.frombuffer(b"abcabcabcabcabcabcx", np.uint8)
-    for size in (6, 12):
+    for size in range(1, 13):
         h = decontam.grams(b, size)
         raw = b.tobytes()
         same = {raw[i:i + size]: h[i] for i in range(len(h))}
