@@ -11,10 +11,13 @@ Vectors of one label are compared by cosine. Equal vectors are one node with a m
    it are links.
 4. Saturation: if every entry of a node's list is a link, the list may hide more links, also to
    nodes that no list names. Such a node is compared with its whole label, in blocks.
-5. Audit: a sample of each label's other nodes is compared with the whole label, and enlarged
-   until it has seen LINKS links or holds the label. What it finds is kept. While a label's recall
-   is under RECALL, fresh trees start another descent; a label still short after TRIES is compared
-   whole, in blocks.
+5. Audit: before the search, probes are planted: copies of up to PROBES nodes of each label, turned
+   to a cosine between the threshold and NEAR above it. A label is searched well if the lists name
+   RECALL of its probes beside their nodes; otherwise fresh trees and another descent enlarge its
+   lists. Probes leave no trace in the result. Beside them AUDIT nodes of each label (a fixed number)
+   are compared with the label exactly: what that finds is kept, and counts for the recall too.
+   A label still short after TRIES descents is compared whole, in blocks: so a search that cannot
+   find what was planted loses nothing. Hardly any links in a label are no reason for that.
 
 The search uses half-precision copies; no link is reported without double precision.
 
@@ -37,10 +40,11 @@ from pyspark.sql import types as T
 
 from .common import append_arrow, components, materialize, small_batches
 
-K, LEAF, TREES, ROUNDS, TRIES = 12, 64, 3, 6, 3
+K, LEAF, TREES, ROUNDS, TRIES = 12, 64, 3, 6, 12
 BITS = 20                      # planes of a tree
-AUDIT, RECALL, SLACK = 256, 0.995, 0.005
-LINKS, RAISE = 64, 8           # links that an audit has to see; growth of its sample until then
+AUDIT, RECALL, SLACK = 128, 0.99, 0.005
+PROBES, NEAR = 256, 0.04       # planted copies of a label, and how far above the threshold
+SEEN = 100                     # links that the exact sample must have seen to speak of recall
 BLOCK = 1024                   # nodes compared at a time
 MET = "k long, own boolean, n long, d long, nbr long"
 
@@ -304,74 +308,120 @@ def counted(links: DataFrame, met: DataFrame, nodes: DataFrame) -> DataFrame:
             .agg(F.sum("n").alias("n"), F.sum("d").alias("d")))
 
 
-def audit(labels: DataFrame, nodes: DataFrame, found: DataFrame, met: DataFrame,
-          threshold: float, seed: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Labels (grp, links, got: what comparing saw, and how many of it ``found`` has) and the
-    comparisons made: of a sample of each label's nodes that are not compared yet, enlarged until
-    LINKS links are seen or the whole label is in it."""
-    spot = F.pmod(F.xxhash64("k", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    rest = (nodes.select("k", "grp", spot.alias("spot"))
+def plant(nodes: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """(k, grp, half, of): probes, each a copy of the node ``of`` turned to a cosine from
+    ``threshold`` to ``threshold`` + NEAR; at most PROBES and about half of a label's nodes."""
+    sizes = nodes.groupBy("grp").agg(F.least(F.lit(0.5), F.lit(float(PROBES)) / F.count("*"))
+                                     .alias("share"))
+    some = nodes.join(sizes, "grp").where(_spot(seed) < F.col("share")).select("k", "grp", "vec")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for k, grp, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                v = _unit([raw])[0]
+                r = np.random.default_rng([seed, k & 0xFFFFFFFFFFFFFFFF])
+                side = r.standard_normal(len(v))
+                side -= (side @ v) * v
+                norm = np.linalg.norm(side)
+                if len(v) > 1 and norm > 1e-6:
+                    c = min(1.0, threshold + NEAR * r.random())
+                    turned = c * v + np.sqrt(1 - c * c) * side / norm
+                    name = hashlib.blake2b(k.to_bytes(8, "little", signed=True) + b"probe",
+                                           digest_size=8).digest()
+                    out.append((int.from_bytes(name, "little", signed=True), grp,
+                                turned.astype(np.float16).tobytes(), k))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in out], t) for i, t in enumerate(
+                    (pa.int64(), pa.string(), pa.binary(), pa.int64()))],
+                ["k", "grp", "half", "of"])
+
+    return some.mapInArrow(run, "k long, grp string, half binary, of long")
+
+
+def _spot(seed: int):
+    """A number from 0 to 1 by the hash of a node."""
+    return F.pmod(F.xxhash64("k", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+
+
+def planted(graph: DataFrame, probes: DataFrame, threshold: float) -> DataFrame:
+    """(grp, t, f): probes of each label, and how many the graph names beside their nodes. Where
+    a list of the two is full of links the probe counts as found, as such a node is compared with
+    its whole label."""
+    both = graph.select("k", "nbr").union(graph.select("nbr", "k"))
+    full = (graph.where(F.col("sim") >= threshold - SLACK).groupBy("k").count()
+            .where(F.col("count") >= K).select("k"))
+    found = (probes.select("k", F.col("of").alias("nbr")).join(both, ["k", "nbr"], "left_semi")
+             .select("k").union(probes.join(full, "k", "left_semi").select("k"))
+             .union(probes.join(full.toDF("of"), "of", "left_semi").select("k")).distinct())
+    return (probes.join(found.withColumn("hit", F.lit(1)), "k", "left").groupBy("grp")
+            .agg(F.count("*").alias("t"), F.count("hit").alias("f")))
+
+
+def sample(labels: DataFrame, nodes: DataFrame, met: DataFrame, seed: int) -> DataFrame:
+    """About AUDIT nodes (k) of each label that are not compared yet."""
+    rest = (nodes.select("k", "grp").join(labels, "grp", "left_semi")
             .join(met.where("own").select("k").distinct(), "k", "left_anti"))
-    zero = F.lit(0).cast("long")
-    share = rest.join(labels.select("grp"), "grp").groupBy("grp").agg(
-        F.lit(0.0).alias("lo"), F.least(F.lit(1.0), F.lit(float(AUDIT)) / F.count("*")).alias("hi"),
-        zero.alias("links"), zero.alias("got"))
-    share, made = materialize(share, "nn-share"), []
-    while share.where("hi > lo").count():
-        some = rest.join(share, "grp").where("spot >= lo and spot < hi").select("k")
-        made.append(materialize(compare(some, nodes, threshold), "nn-met"))
-        seen = (made[-1].where("own").groupBy("k").agg(F.sum("d").alias("t"))
-                .join(found.select("k", "d"), "k", "left").join(nodes.select("k", "grp"), "k")
-                .groupBy("grp").agg(F.sum("t").alias("t"), F.sum("d").alias("f")))
-        share = (share.join(seen, "grp", "left")
-                 .withColumn("links", F.col("links") + F.coalesce("t", zero))
-                 .withColumn("got", F.col("got") + F.coalesce("f", zero))
-                 .select("grp", F.col("hi").alias("lo"), F.when(
-                     F.col("links") < LINKS, F.least(F.lit(1.0), F.col("hi") * RAISE))
-                     .otherwise(F.col("hi")).alias("hi"), "links", "got"))
-        share = materialize(share, "nn-share")
-    return share, made
+    share = rest.groupBy("grp").agg((F.lit(float(AUDIT)) / F.count("*")).alias("share"))
+    return rest.join(share, "grp").where(_spot(seed) < F.col("share")).select("k")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     label_col: str = "label", threshold: float = 0.93) -> DataFrame:
-    """(id_col, n_links, component_id, kept, recall), one row per input row; recall is that of
-    the last audit, before the links that it found were added."""
+    """(id_col, n_links, component_id, kept, recall), one row per input row; recall is the
+    share of the planted probes that the search found."""
     small_batches(df.sparkSession)
     rows = materialize(_nodes(df, id_col, vec_col, label_col), "nn-row")
     nodes = materialize(rows.where("k is not null").groupBy("k").agg(
         F.first("grp").alias("grp"), F.first("vec").alias("vec"), F.first("half").alias("half"),
         F.count("*").alias("mult")), "nn-node")
-    n = nodes.count()
-    graph, recall, labels = None, 1.0, nodes.select("grp").distinct()
-    met = df.sparkSession.createDataFrame([], MET)
+    probes = materialize(plant(nodes, threshold, 77), "nn-probe")
+    search = materialize(nodes.select("k", "grp", "half").union(
+        probes.select("k", "grp", "half")), "nn-search")
+    graph, links, labels = None, None, materialize(nodes.select("grp").distinct(), "nn-label")
+    met, shares = df.sparkSession.createDataFrame([], MET), []
+    names = probes.select("k")
     for attempt in range(TRIES):
-        fresh = start(nodes, attempt)
+        if attempt:                                # only the labels that are short
+            search = materialize(search.join(labels, "grp", "left_semi"), "nn-search")
+            graph = graph.join(search.select("k"), "k", "left_semi")
+        n = search.count()
+        fresh = start(search, attempt)
         fresh = fresh if graph is None else graph.select("k", "nbr", "sim").union(fresh)
         graph = materialize(_top(fresh.groupBy("k", "nbr").agg(F.max("sim").alias("sim")), K)
                             .drop("place"), "nn-graph")
         for _ in range(ROUNDS):
-            graph, changed = descend(graph, nodes)
+            graph, changed = descend(graph, search)
             if changed <= 0.01 * K * n:
                 break
-        close = graph.where(F.col("sim") >= threshold - SLACK)
-        links = materialize(exact(close.select("k", "nbr"), nodes, threshold), "nn-link")
+        close = graph.where(F.col("sim") >= threshold - SLACK).join(names, "k", "left_anti")
+        new = exact(close.join(names.toDF("nbr"), "nbr", "left_anti").select("k", "nbr"), nodes,
+                    threshold)
+        links = materialize(new if links is None else links.union(new).distinct(), "nn-link")
         full = (close.groupBy("k").count().where(F.col("count") >= K)
                 .join(met.where("own").select("k").distinct(), "k", "left_anti"))
         met = met.union(materialize(compare(full, nodes, threshold), "nn-met"))
         found = materialize(counted(links, met, nodes), "nn-found")
-        share, made = audit(labels, nodes, found, met, threshold, attempt)
-        met = reduce(DataFrame.union, made, met)
-        t, f = share.agg(F.sum("links"), F.sum("got")).first()
-        recall = f / t if t else 1.0
-        labels = materialize(share.where(F.col("got") < RECALL * F.col("links")).select("grp"),
-                             "nn-short")
+        some = sample(labels, nodes, met, attempt)
+        seen = materialize(compare(some, nodes, threshold), "nn-met")
+        met = met.union(seen)
+        exactly = (seen.where("own").groupBy("k").agg(F.sum("d").alias("t"))
+                   .join(found.select("k", "d"), "k", "left").join(nodes.select("k", "grp"), "k")
+                   .groupBy("grp").agg(F.sum("t").alias("t2"), F.sum("d").alias("f2")))
+        share = (labels.join(planted(graph, probes, threshold), "grp", "left")
+                 .join(exactly, "grp", "left").na.fill(0))
+        shares.append(materialize(share.withColumn("short", F.expr(
+            f"f < {RECALL} * t or t2 >= {SEEN} and f2 < {RECALL} * t2")), "nn-share"))
+        labels = materialize(shares[-1].where("short").select("grp"), "nn-short")
         if not labels.count():
             break
     else:
-        short = (nodes.join(labels, "grp").select("k")
+        short = (nodes.join(labels, "grp", "left_semi").select("k")
                  .join(met.where("own").select("k").distinct(), "k", "left_anti"))
         met = met.union(materialize(compare(short, nodes, threshold), "nn-met"))
+    settled = [x if x is shares[-1] else x.where("not short") for x in shares]
+    t, f = reduce(DataFrame.union, settled).agg(F.sum("t"), F.sum("f")).first()
+    recall = f / t if t else 1.0
     comp = components(links.union(met.where("nbr is not null").select("k", "nbr")))
     info = (nodes.select("k", "mult").join(counted(links, met, nodes), "k", "left")
             .join(comp.withColumnRenamed("id", "k"), "k", "left")

@@ -157,6 +157,35 @@ def test_embeddings_rare_pairs_after_a_bad_search(spark, monkeypatch):
         0: 0, 1: 1, 2: 2, 150: 0, 151: 1, 152: 2}
 
 
+@pytest.mark.parametrize("planted", [0, 300])
+def test_embeddings_links_by_the_descent_alone(spark, monkeypatch, planted):
+    """No sample, and no node that is compared with its label: the lists deliver the links."""
+    monkeypatch.setattr(nndescent, "AUDIT", 0)
+    compare, compared = nndescent.compare, []
+
+    def counting(some, nodes, threshold):
+        compared.append(some.count())
+        return compare(some, nodes, threshold)
+
+    monkeypatch.setattr(nndescent, "compare", counting)
+    r = np.random.default_rng(11)
+    x = r.standard_normal((3000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = r.standard_normal((planted, 32))
+    side -= (side * x[:planted]).sum(axis=1, keepdims=True) * x[:planted]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    c = r.uniform(0.932, 0.98, (planted, 1))
+    x = np.concatenate([x, c * x[:planted] + np.sqrt(1 - c * c) * side])
+    got = nndescent.near_duplicates(spark.createDataFrame(
+        [(k, v.tolist(), 1) for k, v in enumerate(x)],
+        "vec_id long, embedding array<double>, label int")).collect()
+    hit = x @ x.T >= 0.93
+    np.fill_diagonal(hit, False)
+    found = sum(g.n_links for g in got)
+    assert 0.99 * hit.sum() <= found <= hit.sum() and hit.sum() >= 2 * planted
+    assert not any(compared) and len(got) == len(x) and got[0].recall >= 0.99
+
+
 def test_embeddings_start_with_a_common_offset(spark):
     """Planes at the median part vectors that all lie on one side of the origin."""
     r = np.random.default_rng(10)
