@@ -8,8 +8,8 @@ every pair within distance 27 meets under one of them. At similarity 0.8 a signa
 in 14 symbols on average, so a true pair lies beyond 27 with a chance of 3e-5.
 
 Pairs that meet and are within distance 27 are confirmed on full sets, in bounded blocks of
-documents; a set is sent only where its signature has such a partner. Equal sets are one class
-from the start. First each class meets the smallest class of its buckets; then only buckets
+documents; a set is sent only where its signature has such a partner, and for a pair that meets
+in many buckets only to the one of its lowest shared key. Equal sets are one class from the start. First each class meets the smallest class of its buckets; then only buckets
 whose members are still in different components are compared, all pairs in blocks, and a block
 returns a spanning forest of the links found. No pair of different components within the distance
 is left out, and no list of all pairs of a bucket is ever written.
@@ -192,8 +192,19 @@ def _per_block(fn, names: list[str]):
     return run
 
 
-def near_members(side: np.ndarray, comp: np.ndarray, sigs: list[bytes]) -> np.ndarray:
-    """Rows with a partner of another component within MAX_DISTANCE."""
+def first_shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The lowest key prefix (chunk and error position, as in ``keys``) that row pairs of
+    signatures share; they share one if they are within MAX_DISTANCE."""
+    off = (x != y).reshape(-1, CHUNKS, CHUNK)
+    wrong = off.sum(axis=2)
+    chunk = np.argmax(wrong <= 1, axis=1)
+    one = np.arange(len(off))
+    return chunk * CHUNK + np.where(wrong[one, chunk] == 1, off[one, chunk].argmax(axis=1), 0)
+
+
+def near_members(g: int, side: np.ndarray, comp: np.ndarray, sigs: list[bytes]) -> np.ndarray:
+    """Rows of bucket ``g`` with a partner of another component within MAX_DISTANCE, for pairs
+    whose lowest shared key is ``g``: a pair that meets in many buckets is looked at in one."""
     sig = np.frombuffer(b"".join(sigs), dtype=np.uint8).reshape(-1, SYMBOLS)
     across, near = side.any() and not side.all(), np.zeros(len(sig), dtype=bool)
     step = max(1, MATRIX // (len(sig) * SYMBOLS))
@@ -202,19 +213,20 @@ def near_members(side: np.ndarray, comp: np.ndarray, sigs: list[bytes]) -> np.nd
         hit &= comp[a:a + step, None] != comp[None, :]
         if across:
             hit &= side[a:a + step, None] != side[None, :]
-        near[a:a + step] |= hit.any(axis=1)
+        x, y = np.nonzero(hit)
+        near[a + x[first_shared(sig[a + x], sig[y]) == g >> 32]] = True
     return near
 
 
 def close_by(groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows (g, k) of groups (g, k, n, comp) that have a partner of another component within
-    MAX_DISTANCE in their group: only their full sets need to be sent."""
+    """The rows (g, k) of buckets (g, k, n, comp) that have a partner of another component within
+    MAX_DISTANCE whose lowest shared key is g: only their full sets need to be sent."""
     rows = (blocks(groups).join(classes.select("k", "sig"), "k")
             .select("g", "i", "j", "blk", "comp", "k", "sig")
             .repartition("g", "i", "j").sortWithinPartitions("g", "i", "j"))
 
     def fn(g, side, comp, k, sigs):
-        return [(g, x) for x in k[near_members(side, comp, sigs)].tolist()]
+        return [(g, x) for x in k[near_members(g, side, comp, sigs)].tolist()]
 
     return rows.mapInArrow(_per_block(fn, ["g", "k"]), "g long, k long").distinct()
 

@@ -213,3 +213,34 @@ def test_embeddings_odd_rows(spark):
     assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in got) == [
         (0, 2, 0, True), (1, 2, 1, True), (1, 2, 1, True)]
     assert nndescent.near_duplicates(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_near_pairs_are_judged_in_their_lowest_shared_bucket():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 256, minhash.SYMBOLS)
+    sigs = [base]
+    for wrong in (0, 1, 9, 20, 27, 28, 40):
+        other = base.copy()
+        other[rng.choice(minhash.SYMBOLS, wrong, replace=False)] ^= 1
+        sigs.append(other)
+    sigs = np.array(sigs, dtype=np.uint8)
+
+    def shared(x, y):
+        out = []
+        for c in range(minhash.CHUNKS):
+            for e in range(minhash.CHUNK):
+                part = [c * minhash.CHUNK + i for i in range(minhash.CHUNK) if i != e]
+                if (x[part] == y[part]).all():
+                    out.append(c * minhash.CHUNK + e)
+        return out
+
+    for a in range(len(sigs)):
+        for b in range(len(sigs)):
+            if a == b or (sigs[a] != sigs[b]).sum() > minhash.MAX_DISTANCE:
+                continue
+            lowest = shared(sigs[a], sigs[b])[0]
+            assert minhash.first_shared(sigs[[a]], sigs[[b]])[0] == lowest
+            two = [sigs[a].tobytes(), sigs[b].tobytes()]
+            for prefix in range(minhash.SYMBOLS):
+                near = minhash.near_members(prefix << 32, np.zeros(2, bool), np.array([1, 2]), two)
+                assert near.all() == near.any() == (prefix == lowest)
