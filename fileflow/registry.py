@@ -806,6 +806,36 @@ def q_csv_drift(spark, sf):
                                              "o_totalprice")
 
 
+_LAYOUTS = 60
+
+
+@register("csv_many_layouts", f"""
+SELECT o_orderkey, CAST(o_orderkey % {_LAYOUTS} AS BIGINT) AS layout, o_custkey AS kept,
+       o_totalprice FROM orders""")
+def q_csv_many_layouts(spark, sf):
+    """Every file has a header of its own: own column names, in turned order."""
+    from fileflow.sources.csv import read_csv
+    root, k = _scratch(spark, "csv_many_layouts"), F.col("o_orderkey") % _LAYOUTS
+    cells = F.array(*[F.col(c).cast("string") for c in ("o_orderkey", "o_custkey", "o_totalprice")])
+    names = F.array(F.lit("o_orderkey"), F.concat(F.lit("Kept "), F.col("k")), F.lit("o_totalprice"))
+
+    def line(values):
+        at = (F.col("k") % 3 + 1).cast("int")
+        return F.concat_ws(",", F.slice(values, at, F.lit(3)), F.slice(values, F.lit(1), at - 1))
+
+    rows = load(spark, sf, "orders").withColumn("k", k).withColumn("cells", cells)
+    heads = rows.select("k").distinct().select("k", F.lit(0).alias("n"), line(names).alias("value"))
+    rows = rows.select("k", F.lit(1).alias("n"), line(F.col("cells")).alias("value"))
+    heads.union(rows).repartition("k").sortWithinPartitions("k", "n").select("k", "value") \
+        .write.partitionBy("k").text(root)
+    data = read_csv(spark, root).data
+    mine = [i for i in range(_LAYOUTS) if f"kept_{i}" in data.columns]
+    layout = F.coalesce(*[F.when(F.col(f"kept_{i}").isNotNull(), F.lit(i).cast("long"))
+                          for i in mine])
+    return data.select("o_orderkey", layout.alias("layout"),
+                       F.coalesce(*[F.col(f"kept_{i}") for i in mine]).alias("kept"), "o_totalprice")
+
+
 _NOTE = " – café €"
 
 

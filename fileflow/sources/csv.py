@@ -17,14 +17,14 @@ Plan
 
 Files given in chunks skip step 2: ``sources.ranges`` finds their records (quoted line breaks
 included) by a scan of quote states, and ``from_csv`` parses them, so no row holds a file.
+Files of more than MAX_LAYOUT_READS layouts go the same way, but are cut into arrays of cells in
+one plan for all layouts (``sources.layouts``).
 
 Quotes follow the usual rule: a doubled quote inside quotes is one quote; a backslash is text.
 """
 
 from __future__ import annotations
 
-import csv as _pycsv
-import io
 from dataclasses import dataclass
 from functools import reduce
 
@@ -40,6 +40,7 @@ from fileflow.operators.clean import (BLOCK_COL, FILE_COL, add_audit, coerce_dat
 from fileflow.functions.strings import normalize_names
 from fileflow.session import materialize, scratch_path
 from fileflow.sources.chunks import chunked, read_chunks
+from fileflow.sources.layouts import parse_header, read_layouts
 from fileflow.sources.profile import FALLBACK_ENCODING, QUOTED, decoded, with_profile
 from fileflow.sources.ranges import profile_chunks, records
 
@@ -48,6 +49,8 @@ LAYOUT, SOURCE = "_g", "_src"
 MAX_BROADCAST_FILES = 500_000
 #: A folder with a larger file is read in ranges; up to here a file is one row.
 WHOLE_MAX = 256 << 20
+#: More layouts than this are read by one plan (``sources.layouts``), up to here each by its own.
+MAX_LAYOUT_READS = 16
 
 
 @dataclass
@@ -65,13 +68,6 @@ def as_utf8(content):
         .otherwise(content)
 
 
-def parse_header(line: str, delimiter: str) -> list[str]:
-    """Header fields of one line (quote-aware); runs on the driver over header text only."""
-    if line is None or line == "":
-        return []
-    return next(_pycsv.reader(io.StringIO(line), delimiter=delimiter))
-
-
 def stage_text(files: DataFrame, fallback: str = FALLBACK_ENCODING) -> str:
     """Write the decoded text of every file (``path``, ``content``, profile columns) as UTF-8
     under one scratch folder, in partitions (layout, file); returns the folder."""
@@ -245,13 +241,25 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
     names = materialize(files.select(_source_id().alias(FILE_COL), F.col("path").alias("_path")),
                         "csv-names")
     names = F.broadcast(names) if names.count() <= MAX_BROADCAST_FILES else names
+    found = files.filter("reason is null").groupBy(
+        _layout_id().alias("id"), "delimiter", "header_line", "multi_line") \
+        .agg(F.min("path").alias("path")).orderBy("path")
+    layouts = found.limit(MAX_LAYOUT_READS + 1).collect()
+    many = len(layouts) > MAX_LAYOUT_READS
+    if many and not in_ranges:
+        text = decoded(F.col("content"), F.col("encoding"), fallback)
+        chunks = chunked(files.select("path", F.encode(text, "UTF-8").alias("content")))
+        files, states = profile_chunks(chunks, "UTF-8", delimiter, fallback_encoding)
+        files, in_ranges = materialize(files, "csv-files"), True
     bad = files.filter("reason is not null").select(
         _source_id().alias(FILE_COL), F.lit(None).cast("string").alias("line"), "reason")
-    layouts = files.filter("reason is null").groupBy(
-        _layout_id().alias("id"), "delimiter", "header_line", "multi_line") \
-        .agg(F.min("path").alias("path")).orderBy("path").collect()
     stage = stage_text(files, fallback) if layouts and not in_ranges else None
-    parts, rejects = [], [bad] if in_ranges else []
+    parts, rejects, groups = [], [bad] if in_ranges else [], len(layouts)
+    if many:
+        mine = files.filter("reason is null")
+        good, rej, groups = read_layouts(records(chunks, mine, states, fallback), mine,
+                                         _layout_id(), _source_id())
+        parts, rejects, layouts = [good], [*rejects, rej], []
     for g in layouts:
         if in_ranges:
             mine = files.filter((_layout_id() == g.id) & F.col("reason").isNull())
@@ -278,7 +286,7 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
     data = coerce_dates(data, list(date_columns), date_formats)
     data = add_audit(data.join(names, FILE_COL), src, loaded_at) \
         .drop(FILE_COL, BLOCK_COL, "_path")
-    return CsvResult(data, rj, len(layouts))
+    return CsvResult(data, rj, groups)
 
 
 def _empty(spark):
