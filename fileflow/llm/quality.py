@@ -9,17 +9,22 @@ sigmoid(w.x - threshold).
 Features come from the whole text alone: frequencies of adjacent byte classes (lower, upper,
 digit, space, line break, non-ASCII, and each ASCII punctuation sign), the share of words that
 repeat the word before them, the share of distinct words, of repeated lines, and the length.
-The model is fitted on a bounded sample (SAMPLE rows of each label, drawn by a hash of the id);
-every document is scored.
+Every labelled row trains: rows are dealt by a hash into lots of about SAMPLE rows of the commoner
+label, a task fits each lot, and w is the mean of the lots' weights, each counting by its rows (one
+lot: its own fit). The threshold is the exact quantile over all training rows, found by counting
+scores in bins and dividing the bin that holds it. Every document is scored.
 
 Defined cases: a null or empty text has zero features and a score like any other; labels that
 are null, not 0 / 1 or contradict each other for one id are not used; without rows of both
-labels every score is 0.5. Null ids are scored, and are never training rows.
+labels every score is 0.5. Null ids are scored, and are never training rows. A label with few rows
+goes to several lots, so that each holds about SAMPLE / RARE of it or all there are; a lot that meets more
+than 4 * SAMPLE rows (an id repeated that often) is fitted in several parts.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
@@ -28,10 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_arrow, small_batches, text_bytes
+from .common import append_arrow, materialize, small_batches, text_bytes
 
-#: Documented bound of the training sample: rows of each label.
-SAMPLE = 3000
+#: Rows of the commoner label in a lot (no cut: all lots train); the rarer one should have a RARE-th.
+SAMPLE, RARE = 3000, 10
+#: Labels are broadcast up to here.
+MAX_BROADCAST = 500_000
+#: Tasks that fit lots, and so rows of weights that reach the driver.
+TASKS = 1000
+#: Bins of one count of scores.
+BINS = 4096
 EPOCHS, BATCH, RATE, DECAY = 40, 256, 0.3, 1e-4
 #: Added to a text's length in its frequencies: a few characters say little about a document.
 SHRINK = 8
@@ -96,30 +107,117 @@ def fit(x: np.ndarray, y: np.ndarray, share: float | None = None,
     return w, float((low + high) / 2)
 
 
+def _fit_lots(batches: Iterator[pa.RecordBatch], share: float, most: int):
+    """(lot, rows, fits, weights and threshold, both times rows): the sums over the lots of a task,
+    from rows (lot, id, y, text) sorted by lot."""
+    held: list[tuple] = []
+    lot, first, rows, fits, total = None, None, 0, 0, np.zeros(N_FEATURES + 1)
+
+    def done():
+        nonlocal held, rows, fits, total
+        held.sort(key=lambda r: (r[0], r[1]))
+        y = np.array([r[2] for r in held])
+        x = np.empty((len(held), N_FEATURES), dtype=np.float32)
+        while held:                              # each row is let go as it is copied
+            r = held.pop()
+            x[len(held)] = np.frombuffer(r[1], dtype=np.float32)
+        if 0 < y.sum() < len(y):
+            w, cut = fit(x, y, share)
+            total = total + len(y) * np.append(w, cut)
+            rows, fits = rows + len(y), fits + 1
+
+    for b in batches:
+        for k in range(0, b.num_rows, BATCH):
+            part = b.slice(k, BATCH)
+            x = features(part.column(3))
+            for at, i, y, r in zip(*(part.column(c).to_pylist() for c in range(3)), x):
+                if held and (at != lot or len(held) >= most):
+                    done()
+                lot = at
+                first = at if first is None else first
+                held.append((i, r.tobytes(), y))
+    if held:
+        done()
+    if rows:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([first], pa.int64()), pa.array([rows], pa.int64()),
+             pa.array([fits], pa.int64()), pa.array([total.tobytes()], pa.binary())],
+            ["lot", "rows", "fits", "total"])
+
+
+def _deal(rows: DataFrame, n: dict[int, int], sample: int) -> tuple[DataFrame, int]:
+    """(rows with their lot, number of lots): a rare label's rows are copied to several lots."""
+    lots = max(1, -(-max(n.values()) // sample))
+    copies = {k: min(lots, max(1, -(-(sample // RARE) * lots // n[k]))) for k in (0, 1)}
+    times = F.when(F.col("y") == 0, copies[0]).otherwise(copies[1])
+    at = F.explode(F.sequence(F.lit(0), times - 1))
+    return rows.select("*", at.alias("copy")).select(
+        ((F.pmod(F.xxhash64("id", "text"), F.lit(lots)) + F.col("copy")) % lots).alias("lot"),
+        F.col("id"), F.col("y").cast("int").alias("y"), "text"), lots
+
+
+def _threshold(scored: DataFrame, share: float) -> float:
+    """``fit``'s threshold over all rows (y, z): the middle between the scores on both sides of the
+    quantile ``share``, where a row counts for its label's share."""
+    n = {r.y: r["count"] for r in scored.groupBy("y").count().collect()}
+    each = {0: share / n[0], 1: (1 - share) / n[1]}
+    low, high = scored.agg(F.min("z"), F.max("z")).first()
+    below, left = 0.0, None                      # weight and largest score under the bins' range
+    while True:
+        width = (high - low) / BINS
+        inside = scored.where(F.col("z").between(low, high))
+        bin_ = F.least(F.floor((F.col("z") - low) / width), F.lit(BINS - 1)) if width > 0 \
+            else F.lit(0)
+        found = inside.groupBy(bin_.alias("bin")).agg(
+            *[F.count(F.when(F.col("y") == k, 1)).alias(f"n{k}") for k in (0, 1)],
+            F.min("z").alias("lo"), F.max("z").alias("hi")).orderBy("bin").collect()
+        for r in found:
+            upto = below + r.n0 * each[0] + r.n1 * each[1]
+            if upto >= share or r is found[-1]:
+                break
+            below, left = upto, r.hi
+        if r.lo == r.hi or (r.lo, r.hi) == (low, high):
+            break
+        low, high = r.lo, r.hi
+    # the first row at or over the quantile has score r.lo; the one under it too, if there are more
+    inside = min(each[k] for k in (0, 1) if (r.n0, r.n1)[k])
+    under = r.lo if below + inside < share and r.n0 + r.n1 > 1 else left
+    return float(((r.lo if under is None else under) + r.lo) / 2)
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", sample: int = SAMPLE) -> tuple[np.ndarray, float]:
-    """Fit on at most ``sample`` rows of each label."""
+    """Fit on all labelled rows, in lots of ``sample`` rows of the commoner label."""
     small_batches(docs.sparkSession)
     y = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
          .groupBy(F.col(id_col).alias("id"))
-         .agg(F.min(label_col).alias("y"), F.max(label_col).alias("y1")).where("y = y1"))
+         .agg(F.min(label_col).alias("y"), F.max(label_col).alias("y1")).where("y = y1")
+         .select("id", "y"))
     n = {r.y: r["count"] for r in y.groupBy("y").count().collect()}
-    order = [F.xxhash64("id"), F.col("id")]
-    picked = (y.where("y = 0").orderBy(*order).limit(sample)
-              .union(y.where("y = 1").orderBy(*order).limit(sample)).select("id", "y"))
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(picked), "id"))
-    got = append_arrow(rows, [("x", T.BinaryType())], lambda b: [pa.array(
-        [r.tobytes() for r in features(b.column(b.schema.get_field_index("text")))],
-        pa.binary())]).select("id", "y", "x").orderBy("id", "x").limit(4 * sample).collect()
+    y = F.broadcast(y) if sum(n.values()) <= MAX_BROADCAST else y
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(y, "id")
+    met = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    if len(met) < 2:
+        return np.zeros(N_FEATURES), 0.0
+    share = n[0] / sum(n.values())
+    dealt, lots = _deal(rows, met, sample)
+    got = (dealt.repartition(min(lots, TASKS), "lot").sortWithinPartitions("lot")
+           .mapInArrow(lambda it: _fit_lots(it, share, 4 * sample),
+                       "lot long, rows long, fits long, total binary").collect())
+    got.sort(key=lambda r: r.lot)                # one sum, whatever order the tasks end in
     if not got:
         return np.zeros(N_FEATURES), 0.0
-    y = np.array([r.y for r in got])
-    x = np.empty((len(got), N_FEATURES), dtype=np.float32)
-    while got:                                   # each row is let go as it is copied
-        r = got.pop()
-        x[len(got)] = np.frombuffer(r.x, dtype=np.float32)
-    return fit(x, y, n.get(0, 0) / sum(n.values()))
+    total = sum(np.frombuffer(r.total) for r in got) / sum(r.rows for r in got)
+    w = total[:-1]
+    if sum(r.fits for r in got) == 1:
+        return w, float(total[-1])
+
+    def run(b: pa.RecordBatch):
+        return [pa.array(features(b.column(b.schema.get_field_index("text"))).astype(
+            np.float64) @ w, pa.float64())]
+
+    scored = append_arrow(rows, [("z", T.DoubleType())], run).select("y", "z")
+    return w, _threshold(materialize(scored, "quality-scores"), share)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text",

@@ -345,3 +345,63 @@ def test_pii_overlaps_are_redacted_together(spark):
     assert pii.redact(pii.detect(df)).first().text == "x [EMAIL] y"
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(
         F.sha2(F.lit(""), 256)).first()[0]
+
+
+def test_quality_trains_on_every_labelled_row(spark):
+    import numpy as np
+    r = random.Random(5)
+    rows = [(i, prose(i, 12) if i % 4 else " ".join(r.choice("abc!? ") for _ in range(30)),
+             int(i % 4 > 0)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    labels = docs.select("doc_id", "quality")
+    w, cut = quality.train(docs, labels, sample=40)
+    # rows that the first 40 of each label, by the hash of the id, leave out
+    last = [x.doc_id for x in docs.orderBy(F.xxhash64("doc_id").desc()).limit(2).collect()]
+    for i in last:
+        other = docs.withColumn("text", F.when(F.col("doc_id") == i, "1 2 3").otherwise(F.col("text")))
+        assert not np.array_equal(quality.train(other, labels, sample=40)[0], w)
+    x = quality.features(__import__("pyarrow").array([t for _, t, _ in rows]))
+    y, z = np.array([q for *_, q in rows]), x.astype(np.float64) @ w
+    order = np.sort(z)
+    assert order[98] <= cut <= order[100]                  # the share of label 0 is a quarter
+    got = quality.score(docs, (w, cut)).collect()
+    assert sum(g.predicted == g.quality for g in got) >= 0.97 * len(got) and y.sum() == 300
+    whole = quality.train(docs, labels, sample=400)        # one lot: its own fit
+    want = quality.fit(x, y, 0.25)
+    assert np.allclose(whole[0], want[0]) and abs(whole[1] - want[1]) < 1e-9
+
+
+def test_quality_threshold_equals_the_sorted_one(spark):
+    import numpy as np
+    r = random.Random(8)
+    for values in ([r.gauss(0, 1) for _ in range(500)], [r.randrange(4) * 1.0 for _ in range(90)],
+                   [0.5] * 20, [0.0, 1e-300, 1.0, 1e9, 1e9 + 1e-6] * 9):
+        y = [int(r.random() < .6) for _ in values[:-2]] + [0, 1]
+        z = spark.createDataFrame(list(zip(y, map(float, values))), "y int, z double")
+        share, y = .4, np.array(y)
+        order = np.lexsort((y, values))
+        weight = np.where(y == 0, share / (y == 0).sum(), (1 - share) / (y == 1).sum())[order]
+        cut = min(int(np.searchsorted(np.cumsum(weight), share)), len(order) - 1)
+        s = np.array(values)[order]
+        got = quality._threshold(z, share)
+        assert s[max(0, cut - 1)] <= got <= s[cut], (got, s[max(0, cut - 1)], s[cut])
+
+
+def test_rare_labels_reach_every_lot(spark):
+    rows = spark.range(900).select(F.col("id"), F.lit("t").alias("text"),
+                                   (F.col("id") < 4).cast("int").alias("y"))
+    dealt, lots = quality._deal(rows, {0: 896, 1: 4}, 100)
+    got = dealt.groupBy("lot").agg(F.sum("y").alias("n1"), F.count("*").alias("n")).collect()
+    assert lots == 9 and len(got) == 9 and all(r.n1 == 4 for r in got)
+    assert sum(r.n for r in got) == 896 + 9 * 4
+
+
+def test_leaks_are_searched_in_bounded_lots():
+    texts = ["a" * 300_000, "b" * 300_000, "", "c" * 2_000_000, "d"]
+    assert [len(x) for x in decontam.lots(texts)] == [1, 2, 1, 1]
+    assert [t for part in decontam.lots(texts) for t in part] == texts
+    index, r = decontam.Index([(1, prose(3, 40))]), random.Random(1)
+    docs = [prose(9, 20) + " " + prose(3, 40) if r.random() < .4 else prose(i, 30)
+            for i in range(40)]
+    parts = [x for d in docs for x in decontam.find(index, [d])]
+    assert decontam.find(index, docs) == parts and any(parts)
