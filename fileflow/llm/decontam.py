@@ -42,6 +42,7 @@ WINDOW, Q, RATE, MIN_ITEM = 96, 6, 0.08, 24
 WHOLE = 12                    # bytes of the piece by which a shorter item is looked up
 SLICE = 1 << 19               # pairs of a place in a document and a place in an item at a time
 BLOCK_BYTES = 8 << 20         # benchmark text broadcast at a time
+TEXT_CHARS = 1 << 19          # document text searched at a time (or one document)
 _BITS = 22
 _BASE = np.uint64(int(odd_constants(1, 31)[0]))
 _CODE = odd_constants(256, 33)
@@ -314,6 +315,20 @@ def _places(text: str) -> np.ndarray:
                      [len(c.lower().encode("utf-8", "replace")) for c in text])
 
 
+def lots(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, at most TEXT_CHARS at a time or one text: the arrays of a search take
+    about a hundred times as many bytes."""
+    held, size = [], 0
+    for t in texts:
+        if held and size + len(t) > TEXT_CHARS:
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t)
+    if held:
+        yield held
+
+
 def find(index: Index, texts: list[str]) -> list[list[dict]]:
     """Leaks of each text: one entry per item, over all its windows."""
     raw = [t.lower().encode("utf-8", "replace") + b"\n" for t in texts]
@@ -365,7 +380,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
         def run(b: pa.RecordBatch, sent=sent):
             col = b.column(b.schema.get_field_index(text_col)).fill_null("").to_pylist()
-            return [pa.array(find(sent.value, col), type=_ARROW)]
+            found = [x for part in lots(col) for x in find(sent.value, part)]
+            return [pa.array(found, type=_ARROW)]
 
         docs = append_arrow(docs, [(name, MATCH)], run)
     both = reduce(lambda x, y: F.concat(x, y), [F.col(n) for n in names],
