@@ -6,7 +6,9 @@ Layout under ``root``::
     root/<build>/data/    the rows in order, range by range
     root/<build>/ranges/  (file, first, rows, low): first rank, rows and lowest key of each file
 
-A build is one range partitioning and a sort inside each range. The rows of a page at any offset
+A build is one range partitioning into tasks of about TASK_ROWS rows, a sort inside each and a new
+file after every ``rows_per_range`` rows, so what the driver hears of (sampled keys, task results)
+goes by the tasks and not by the ranges. The rows of a page at any offset
 lie in the files whose ranks ``first .. first + rows - 1`` meet the page: only those are opened, and
 inside them a row's rank is ``first`` plus its position in the file. So the cost of a page depends
 on ``rows_per_range`` and not on the offset or on the size of the table.
@@ -33,8 +35,8 @@ from fileflow.operators.records import MAX_PAGE
 from fileflow.session import path_exists
 
 ROWS_PER_RANGE = 1_000_000
-#: Files per block of the running sum over files.
-_BLOCK = 1000
+#: Rows of one task of a build: it writes many ranges where they are smaller.
+TASK_ROWS = 500_000
 _TIE = "__tie"
 _LOG_SCHEMA = ("build string, source string, order_by array<string>, schema_json string, "
                "rows long, ranges long, built_at timestamp")
@@ -102,24 +104,29 @@ def build(df: DataFrame, root: str, order_by: list[str], source: str = "",
     name = f"build-{uuid.uuid4().hex[:12]}"
     rest = [f.name for f in df.schema.fields if f.name not in order_by and _sortable(f.dataType)]
     order = [F.col(f"`{c}`").asc_nulls_last() for c in [*order_by, *rest]] + [F.col(_TIE).asc()]
-    n = max(1, -(-df.count() // rows_per_range))
-    # a count of partitions given by number is not coalesced, so ranges keep their size
+    rows = df.count()
+    n = max(1, -(-rows // max(rows_per_range, TASK_ROWS)),
+            min(-(-rows // rows_per_range), spark.sparkContext.defaultParallelism))
+    # a count of partitions given by number is not coalesced
     (df.withColumn(_TIE, F.rand(11)).repartitionByRange(n, *order).sortWithinPartitions(*order)
-     .drop(_TIE).write.parquet(f"{root}/{name}/data"))
-    part = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
+     .drop(_TIE).write.option("maxRecordsPerFile", str(rows_per_range))
+     .parquet(f"{root}/{name}/data"))
+    # a task numbers its files in the order it writes them
+    part, seq = (F.regexp_extract("file", rx, 1).cast("long")
+                 for rx in (r"^part-(\d+)", r"-c(\d+)\."))
     low = F.to_json(F.struct(*[F.col(f"`{c}`") for c in order_by]))
     files = (spark.read.schema(df.schema).parquet(f"{root}/{name}/data")
              .select(F.col("_metadata.file_name").alias("file"),
                      F.when(F.col("_metadata.row_index") == 0, low).alias("low"))
              .groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.max("low").alias("low"))
-             .withColumn("part", part).withColumn("block", F.floor(F.col("part") / _BLOCK)))
-    # running sum in two steps: over blocks of files, then inside each block
+             .withColumn("part", part).withColumn("seq", seq))
+    # running sum in two steps: over tasks, then over the files of each
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = files.groupBy("block").agg(F.sum("rows").alias("in_block")).withColumn(
-        "base", F.coalesce(F.sum("in_block").over(before.orderBy("block")), F.lit(0)))
+    parts = files.groupBy("part").agg(F.sum("rows").alias("in_part")).withColumn(
+        "base", F.coalesce(F.sum("in_part").over(before.orderBy("part")), F.lit(0)))
     inside = F.coalesce(F.sum("rows").over(
-        before.partitionBy("block").orderBy("part", "file")), F.lit(0))
-    (files.withColumn("inside", inside).join(blocks.select("block", "base"), "block")
+        before.partitionBy("part").orderBy("seq", "file")), F.lit(0))
+    (files.withColumn("inside", inside).join(parts.select("part", "base"), "part")
      .select("file", (F.col("base") + F.col("inside")).alias("first"), "rows", "low")
      .write.parquet(f"{root}/{name}/ranges"))
     total = spark.read.schema(_RANGES_SCHEMA).parquet(f"{root}/{name}/ranges").agg(

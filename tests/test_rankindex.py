@@ -65,3 +65,12 @@ def test_index_follows_the_version_of_a_table(spark, scratch):
     assert [r.id for r in two.page(3, 118).collect()] == [118, 119]
     assert open_index(spark, f"{t.root}/_rank", ["other"], "v1") is None
     assert t.read().count() == 120
+
+
+def test_small_ranges_do_not_make_small_tasks(spark, scratch):
+    index = build(spark.range(6000), f"{scratch}/ix", ["id"], rows_per_range=10)
+    got = index.ranges().collect()
+    tasks = {r.file.split("-")[1] for r in got}
+    assert len(got) >= 600 and len(tasks) <= spark.sparkContext.defaultParallelism
+    assert max(r.rows for r in got) == 10
+    assert [r.id for r in index.page(25, 2995).collect()] == list(range(2995, 3020))
