@@ -20,6 +20,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a Python worker holds a batch or two: few bytes, whatever the rows are (chunks, texts)
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # single-byte fallback for CSV decoding may be windows-1252 (survey Q8)
     "spark.sql.legacy.javaCharsets": "true",
     # bytes without a character in the file's charset become U+FFFD instead of failing the job
