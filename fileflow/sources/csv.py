@@ -25,9 +25,11 @@ Quotes follow the usual rule: a doubled quote inside quotes is one quote; a back
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -39,7 +41,7 @@ from fileflow.operators.clean import (BLOCK_COL, FILE_COL, add_audit, coerce_dat
                                       strip_strings)
 from fileflow.functions.strings import normalize_names
 from fileflow.session import materialize, scratch_path
-from fileflow.sources.chunks import chunked, read_chunks
+from fileflow.sources.chunks import chunked, open_fs, read_chunks
 from fileflow.sources.layouts import parse_header, read_layouts
 from fileflow.sources.profile import FALLBACK_ENCODING, QUOTED, decoded, with_profile
 from fileflow.sources.ranges import profile_chunks, records
@@ -47,8 +49,12 @@ from fileflow.sources.ranges import profile_chunks, records
 CORRUPT = "_corrupt_record"
 LAYOUT, SOURCE = "_g", "_src"
 MAX_BROADCAST_FILES = 500_000
-#: A folder with a larger file is read in ranges; up to here a file is one row.
-WHOLE_MAX = 256 << 20
+#: A folder with a larger file is read in ranges; up to here a file is one row. A task that decodes
+#: and profiles a row needs about ten times its bytes.
+WHOLE_MAX = 8 << 20
+#: UTF-16, which has no ranges, stays one row up to here, and so far line breaks inside quotes are
+#: what the plain reader makes of them.
+PLAIN_MAX = 256 << 20
 #: More layouts than this are read by one plan (``sources.layouts``), up to here each by its own.
 MAX_LAYOUT_READS = 16
 
@@ -68,6 +74,32 @@ def as_utf8(content):
         .otherwise(content)
 
 
+def _utf16(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The paths whose file begins with a byte order mark of UTF-16."""
+    for b in batches:
+        found = []
+        for path in b.column(0).to_pylist():
+            system, name = open_fs(path)
+            with system.open_input_file(name) as fh:
+                if fh.read_at(2, 0) in (b"\xff\xfe", b"\xfe\xff"):
+                    found.append(path)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["path"])
+
+
+def folder_chunks(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
+    """The files of a folder (``files``: their listing) as chunk rows: larger ones by byte ranges."""
+    length = F.col("length")
+    wide = files.where((length > WHOLE_MAX) & (length <= PLAIN_MAX)).select("path")
+    wide = materialize(wide.mapInArrow(_utf16, "path string"), "csv-utf16")
+    rows = read_chunks(spark, folder, WHOLE_MAX, min_bytes=WHOLE_MAX)
+    small = files.where(length <= WHOLE_MAX)
+    if not wide.isEmpty():
+        rows = rows.join(F.broadcast(wide), "path", "left_anti").select(*rows.columns)
+        small = small.unionByName(files.where(length <= PLAIN_MAX).join(
+            F.broadcast(wide), "path", "left_semi").select(*files.columns))
+    return rows.unionByName(chunked(small.withColumn("content", as_utf8(F.col("content")))))
+
+
 def stage_text(files: DataFrame, fallback: str = FALLBACK_ENCODING) -> str:
     """Write the decoded text of every file (``path``, ``content``, profile columns) as UTF-8
     under one scratch folder, in partitions (layout, file); returns the folder."""
@@ -209,6 +241,7 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
     ``root`` when given, else the full path. ``profiles``: set when ``paths`` already carries
     the profile columns computed at landing; then the bytes are read once, by the staging step.
     """
+    as_plain = 0
     if isinstance(paths, DataFrame):
         files = paths
         if "content" not in files.columns:
@@ -221,9 +254,8 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
             .load(plist)
         # only the listing is read here; one large file and all of them go by ranges
         if isinstance(paths, str) and (files.agg(F.max("length")).first()[0] or 0) > WHOLE_MAX:
-            small = files.where(F.col("length") <= WHOLE_MAX).withColumn("content", as_utf8(
-                F.col("content")))
-            files = read_chunks(spark, paths, min_bytes=WHOLE_MAX).unionByName(chunked(small))
+            files = folder_chunks(spark, paths, files)
+            as_plain = PLAIN_MAX
     fallback = encoding or fallback_encoding
     in_ranges = "offset" in files.columns
     states = None
@@ -257,14 +289,14 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
     parts, rejects, groups = [], [bad] if in_ranges else [], len(layouts)
     if many:
         mine = files.filter("reason is null")
-        good, rej, groups = read_layouts(records(chunks, mine, states, fallback), mine,
+        good, rej, groups = read_layouts(records(chunks, mine, states, fallback, as_plain), mine,
                                          _layout_id(), _source_id())
         parts, rejects, layouts = [good], [*rejects, rej], []
     for g in layouts:
         if in_ranges:
             mine = files.filter((_layout_id() == g.id) & F.col("reason").isNull())
-            good, rej = _read_records(records(chunks, mine, states, fallback), g.delimiter,
-                                      g.header_line)
+            good, rej = _read_records(records(chunks, mine, states, fallback, as_plain),
+                                      g.delimiter, g.header_line)
         else:
             good, rej = _read_layout(spark, stage, g.id, g.delimiter, g.header_line, g.multi_line)
         parts.append(good)

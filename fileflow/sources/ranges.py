@@ -38,6 +38,8 @@ _SCAN = ("path string, size_bytes long, offset long, length long, steps string,
          "tail binary, valid boolean")
 _RECORDS = "path string, block long, starts boolean, encoding string, record binary"
 MAX_BROADCAST = 500_000
+#: Records that a Python worker hands back at a time.
+OUT_ROWS = 10_000
 
 
 def accepted(buf: np.ndarray, delimiter: int, state: int) -> tuple[np.ndarray, bool]:
@@ -154,10 +156,12 @@ def _split(whole: bool):
                 if whole:
                     cuts = np.concatenate((first, [len(buf)])) if closed else first
                     cuts = (cuts[1:] if at == 0 else cuts).astype(np.int64)      # the header
-                    if len(cuts) > 1:
+                    for k in range(0, len(cuts) - 1, OUT_ROWS):
+                        some = cuts[k:k + OUT_ROWS + 1]
                         yield rows(path, at, True, encoding, pa.Array.from_buffers(
-                            pa.large_binary(), len(cuts) - 1,
-                            [None, pa.py_buffer(cuts.tobytes()), data]).cast(pa.binary()))
+                            pa.large_binary(), len(some) - 1,
+                            [None, pa.py_buffer((some - some[0]).tobytes()),
+                             data.slice(int(some[0]), int(some[-1] - some[0]))]).cast(pa.binary()))
                     continue
                 head = buf[:first[0]] if len(first) else buf
                 if len(head):
@@ -186,7 +190,7 @@ def profile_chunks(chunks: DataFrame, encoding: str | None = None, delimiter: st
     header = F.regexp_extract(text, FIRST_RECORD, 1)
     first = first.select(
         "path", "mark", header.alias("header_line"), F.octet_length("content").alias("n"),
-        "size_bytes", F.substring("content", 1, F.octet_length(header) + 3).alias("start"))
+        "size_bytes", F.substring("content", 1, F.octet_length(header) + 5).alias("start"))
     first = materialize(first.withColumn("delimiter", F.lit(delimiter) if delimiter else
                                          detect_delimiter(F.col("header_line"))), "csv-heads")
     named = chunks.join(_hint(first.select("path", "delimiter")), "path")
@@ -211,8 +215,12 @@ def profile_chunks(chunks: DataFrame, encoding: str | None = None, delimiter: st
     # the header was cut out as UTF-8; in another charset it is read from its bytes again
     again = F.regexp_extract(decoded(F.col("start"), F.col("encoding"), encoding or fallback),
                              FIRST_RECORD, 1)
+    follows = F.regexp_extract(F.substr(
+        decoded(F.col("start"), F.col("encoding"), encoding or fallback),
+        F.length(again) + 1), r"^(?:\r\n|\n|\r)", 0)
     return out.select("path", "size_bytes", "delimiter", again.alias("header_line"), "encoding",
-                      F.lit(True).alias("multi_line"), reason.alias("reason")), states
+                      F.lit(True).alias("multi_line"), reason.alias("reason"),
+                      follows.alias("line_break")), states
 
 
 def _hint(small: DataFrame) -> DataFrame:
@@ -221,8 +229,10 @@ def _hint(small: DataFrame) -> DataFrame:
 
 
 def records(chunks: DataFrame, files: DataFrame, states: DataFrame,
-            fallback: str = FALLBACK_ENCODING) -> DataFrame:
-    """(path, block, record) of ``files``, without headers and blank lines, in file order."""
+            fallback: str = FALLBACK_ENCODING, as_plain: int = 0) -> DataFrame:
+    """(path, block, record) of ``files``, without headers and blank lines, in file order.
+    ``as_plain``: in files up to so many bytes the file's own line break becomes LF inside quotes
+    too, as the plain reader has it."""
     known = materialize(states.join(files.select("path", "delimiter", "encoding"), "path"),
                         "csv-states")
     rows = chunks.join(_hint(known), ["path", "offset"]).select(
@@ -239,5 +249,12 @@ def records(chunks: DataFrame, files: DataFrame, states: DataFrame,
     out = rows.mapInArrow(_split(True), _RECORDS).drop("starts").unionByName(joined)
     text = F.regexp_replace(decoded(F.col("record"), F.col("encoding"), fallback),
                             r"(?:\r\n|\n|\r)\z", "")
+    if as_plain:
+        breaks = files.where((F.col("size_bytes") <= as_plain) & F.col("line_break").startswith("\r"))
+        breaks = breaks.select("path", "line_break")
+        if not breaks.isEmpty():
+            out = out.join(_hint(breaks), "path", "left")
+            text = F.when(F.col("line_break").isNull(), text).otherwise(
+                F.replace(text, F.col("line_break"), F.lit("\n")))
     return out.select("path", "block", text.alias("record")).where(
         F.col("record").rlike(r"[^\x00-\x20]"))

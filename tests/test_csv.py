@@ -145,3 +145,24 @@ def test_source_file_keeps_plain_path(spark, scratch):
     r = read_csv(spark, scratch, root=scratch)
     assert [x.source_file for x in r.data.collect()] == ["a b/f ü%1+2.csv"]
 
+
+
+def test_a_large_file_is_not_one_row(spark, scratch, monkeypatch):
+    from fileflow.sources import csv
+    write(f"{scratch}/in/lf.csv", "a,b\n" + "".join(f'{i},"x\r\n{i}"\n' for i in range(400)))
+    write(f"{scratch}/in/dos.csv", "a,b\r\n" + "".join(f'{i},"x\r\n{i}"\r\n' for i in range(400)))
+    write(f"{scratch}/in/wide.csv", "a,b\n" + "".join(f'{i},"é\n"\n' for i in range(400)), "utf-16")
+    write(f"{scratch}/in/small.csv", 'a,b\n1,"y\n"\n')
+
+    def rows():
+        return sorted(map(tuple, read_csv(spark, f"{scratch}/in", root=f"{scratch}/in").data.select(
+            "source_file", "row_id", "a", "b").collect()), key=str)
+
+    want = rows()
+    monkeypatch.setattr(csv, "WHOLE_MAX", 1000)
+    assert rows() == want and len(want) == 1201
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{scratch}/in")
+    held = csv.folder_chunks(spark, f"{scratch}/in", files).groupBy("path").agg(
+        F.max(F.octet_length("content")).alias("n")).collect()
+    most = {r.path.rsplit("/", 1)[1]: r.n for r in held}
+    assert most["lf.csv"] == most["dos.csv"] == 1000 and most["wide.csv"] > 1000
