@@ -27,8 +27,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from fileflow.session import materialize
 
 CHUNK_BYTES = 32 << 20
-#: Ranges of small files are packed into one task up to this size.
-TASK_BYTES = 128 << 20
+#: Chunks are packed into one task up to this size. Its rows are parsed by one task too, here and
+#: from what it writes, and short rows cost far more than their bytes.
+TASK_BYTES = 16 << 20
 FANOUT = 1024
 CHUNKS = "path string, size_bytes long, modified_at timestamp, offset long, content binary"
 _ARROW = pa.schema([("path", pa.string()), ("size_bytes", pa.int64()),

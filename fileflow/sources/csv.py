@@ -158,9 +158,12 @@ def _read_records(records: DataFrame, delimiter: str, header_line: str):
     raw_names, raw_cols = _columns(header_line, delimiter)
     schema = ", ".join(f"`{c}` string" for c in [*raw_cols, CORRUPT])
     options = {**_OPTIONS, "sep": delimiter, "maxColumns": str(max(20480, 2 * len(raw_cols)))}
-    df = records.select(F.from_csv("record", schema, options).alias("r"),
-                        _source_id().alias(FILE_COL), F.col("block").alias(BLOCK_COL))
-    return _good_and_rejects(df.select("r.*", FILE_COL, BLOCK_COL), raw_names, raw_cols, delimiter)
+    # by a generator, which filters on the fields are not moved below: as a plain column the record
+    # would be parsed again for each field that they name
+    df = records.select(_source_id().alias(FILE_COL), F.col("block").alias(BLOCK_COL),
+                        F.inline(F.array(F.from_csv("record", schema, options))))
+    return _good_and_rejects(df.select(*raw_cols, CORRUPT, FILE_COL, BLOCK_COL), raw_names,
+                             raw_cols, delimiter)
 
 
 def _good_and_rejects(df: DataFrame, raw_names: list[str], raw_cols: list[str], delimiter: str):

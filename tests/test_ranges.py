@@ -126,3 +126,22 @@ def test_digests(spark, scratch, monkeypatch):
         (x.path, x.checksum_md5, x.digest) for x in got.values())
     with pytest.raises(Exception, match="missing or repeated"):
         chunks.md5s(rows.where("offset <> 64")).collect()
+
+
+def test_a_record_is_parsed_once(spark):
+    rows = spark.createDataFrame([("a", 0, "1,x"), ("a", 0, "2,y,z"), ("a", 9, "3"),
+                                  ("b", 0, "NA,")], "path string, block long, record string")
+    good, rejects = csv._read_records(rows, ",", "id,name")
+    clean = csv.drop_empty_rows(csv.null_na_tokens(good))
+    plan = clean._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") == 1
+    assert sorted(map(tuple, clean.select("id", "name", "_block").collect())) == [
+        ("1", "x", 0), ("3", None, 9)]
+    assert [r.line for r in rejects.collect()] == ["2,y,z"]
+
+
+def test_short_rows_of_a_large_file_go_to_many_tasks():
+    tasks = chunks.deal([("a", 100 << 20, 1), ("b", 5, 2)], 1 << 15)
+    assert max(sum(x[4] for x in t.ranges) for t in tasks) <= 16 << 20
+    at = [x for t in tasks for x in t.ranges]
+    assert sum(x[4] for x in at) == (100 << 20) + 5 and at[-1] == ("b", 5, 2, 0, 5)
