@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader
 
+from fileflow.session import materialize
 from fileflow.sources.chunks import (CHUNK_BYTES, CHUNKS, Ranges, chunk_row, deal, list_files,
                                      open_fs, shown)
+from fileflow.sources.landing import MAX_BROADCAST_FILES
 
 _NAME = "listing-%09d.jsonl"
 
@@ -122,4 +124,7 @@ def settled(chunks: DataFrame) -> DataFrame:
     """The chunks of files that are there from the first byte to the last."""
     whole = chunks.groupBy("path").agg(F.sum(F.octet_length("content")).alias("n"),
                                        F.max("size_bytes").alias("size")).where("n = size")
-    return chunks.join(whole.select("path"), "path", "left_semi")
+    # one short row per file: as a broadcast it leaves the chunks in the tasks that they are in
+    whole = materialize(whole.select("path"), "stream-whole")
+    return chunks.join(F.broadcast(whole) if whole.count() <= MAX_BROADCAST_FILES else whole,
+                       "path", "left_semi")

@@ -1,5 +1,7 @@
 import os
 
+from pyspark.sql import functions as F
+
 from fileflow.operators.table import SnapshotTable
 from fileflow.streaming import changes
 from fileflow.streaming.incremental import run_available
@@ -65,3 +67,14 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_settled_leaves_chunks_in_their_tasks(spark):
+    rows = [("a", 6, 0, b"abc"), ("a", 6, 3, b"def"), ("b", 9, 0, b"abc")] \
+        + [("c", 300, 3 * i, b"xyz") for i in range(100)]
+    part = spark.createDataFrame(rows, "path string, size_bytes long, offset long, content binary")
+    found = changes.settled(part.repartition(8))
+    assert found.groupBy("path").count().orderBy("path").collect() == [("a", 2), ("c", 100)]
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    in_task = found.where("path = 'c'").groupBy(F.spark_partition_id()).count().count()
+    assert in_task == 8
