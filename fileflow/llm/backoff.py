@@ -19,7 +19,9 @@ counts, and those of the trigrams made of two of them, are broadcast. There are
 hot words, and as many hot bigrams.
 
 Records travel as compressed arrays for each lot of documents. Words are lower-cased runs
-between ASCII white space, named by 64-bit hashes.
+between ASCII white space, named by 64-bit hashes; for COMMON frequent words every task knows these,
+so their places in that list travel instead. A task sums the scores of its partitions by document
+before it hands them on, as pairs (document, sum) where few documents of a lot are met.
 
 Defined cases: null, empty and blank texts have 0 words and a score of 0; repeated rows count
 as often as they occur; null ids are kept; other input columns are dropped.
@@ -44,6 +46,9 @@ MIN, BACK = 2, 0.4
 HOT, PART = 2_000_000, 1_000_000        # records of a word or bigram / of a partition
 MAX_HOT = 100_000                       # hot words and bigrams that may be sent to every task
 LOT_WORDS, LOT_DOCS = 2_000_000, 4000
+COMMON, RARE = 1 << 16, 500_000         # names known to every task; of lots' words, 1 in so many
+MANY, EACH = 64, 32                     # tasks of one partition each; partitions of a task beyond
+HELD = 64 << 20                         # bytes of sums that a task holds back
 _BOS, _EOS = np.uint64(0), np.uint64(1)
 _A = odd_constants(4, 61)
 
@@ -105,10 +110,12 @@ def _triple(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 class Hot:
-    """Exact counts of the hot words, bigrams and trigrams."""
+    """Exact counts of the hot words, bigrams and trigrams, and the sorted names of frequent words,
+    which decide on nothing but the bytes that travel."""
 
-    def __init__(self, total: int, tables: list[dict[int, int]]):
+    def __init__(self, total: int, tables: list[dict[int, int]], common: np.ndarray | None = None):
         self.total = total
+        self.common = np.array([_BOS, _EOS]) if common is None else common
         self.keys = [np.array(sorted(t), dtype=np.uint64) for t in tables]
         self.counts = [np.array([t[k] for k in sorted(t)], dtype=np.int64) for t in tables]
 
@@ -158,11 +165,11 @@ def _count(key: np.ndarray) -> np.ndarray:
 
 
 def _sums(docs: DataFrame, fn) -> list:
-    """(k, x, n) rows summed over all lots; ``fn(left, word, right)`` gives k, x, n arrays."""
+    """(k, x, n) rows summed over all lots; ``fn(lot, left, word, right)`` gives k, x, n arrays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, w, doc in _lots(batches):
+        for lot, _, w, doc in _lots(batches):
             left, right, _ = _records(w, doc)
-            for k, x, n in fn(left, w, right):
+            for k, x, n in fn(lot, left, w, right):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(x), k)), pa.array(x.view(np.int64)),
                      pa.array(n.astype(np.int64))], ["k", "x", "n"])
@@ -177,21 +184,27 @@ def hot_ngrams(docs: DataFrame) -> Hot:
     Where a record goes changes no result, so what is rare in every lot may be left out of the
     first look; the counts of what was found are exact.
     """
-    def look(left, w, right):
+    def look(lot, left, w, right):
         yield 0, np.zeros(1, np.uint64), np.array([len(w)])
+        if not lot % (1 << 32):                   # a task's first lot shows what is frequent
+            x, n = np.unique(w, return_counts=True)
+            yield 3, x[n * RARE >= len(w)], n[n * RARE >= len(w)]
         for k, key in ((1, w), (2, _pair(left, w)), (2, _pair(w, right)[right == _EOS])):
             x, n = np.unique(key, return_counts=True)
             yield k, x[n * 2000 >= len(w)], n[n * 2000 >= len(w)]
 
     got = materialize(_sums(docs, look), "lm-look")
     total = got.where("k = 0").agg(F.sum("n")).first()[0] or 0
-    rows = got.where((F.col("k") > 0) & (F.col("n") >= max(HOT, total // MAX_HOT))).collect()
+    often = got.where("k = 3").orderBy(F.desc("n"), "x").limit(COMMON - 2).select("x").collect()
+    common = np.array([r.x for r in often], np.int64).view(np.uint64)
+    common = np.unique(np.concatenate((np.array([_BOS, _EOS]), common)))
+    rows = got.where(F.col("k").isin(1, 2) & (F.col("n") >= max(HOT, total // MAX_HOT))).collect()
     found = [np.sort(np.array([r.x for r in rows if r.k == k], np.int64).view(np.uint64))
              for k in (1, 2)]
     if not rows:
-        return Hot(total, [{}, {}, {}])
+        return Hot(total, [{}, {}, {}], common)
 
-    def exact(left, w, right):
+    def exact(_, left, w, right):
         one, two = _pair(left, w), _pair(w, right)
         both = np.isin(one, found[1]) & np.isin(two, found[1])
         end = right == _EOS
@@ -203,7 +216,7 @@ def hot_ngrams(docs: DataFrame) -> Hot:
     tables: list[dict[int, int]] = [{}, {}, {}]
     for r in _sums(docs, exact).collect():
         tables[r.k - 1][r.x % (1 << 64)] = r.n
-    return Hot(total, tables)
+    return Hot(total, tables, common)
 
 
 def _codes(w: np.ndarray, left: np.ndarray, right: np.ndarray):
@@ -233,9 +246,43 @@ def _copies(hot: Hot, left, w, right):
     return index, kind, other, key, direct
 
 
+def _names_out(names: np.ndarray, place: np.ndarray) -> tuple[bytes, bytes]:
+    """Sorted names as (steps between the places of the common ones, the others); ``place`` is -1
+    for these."""
+    known = place[place >= 0]
+    return (_pack(np.diff(known, prepend=0).astype(np.uint16)), _pack(names[place < 0]))
+
+
+def _names_in(steps: bytes, others: bytes, common: np.ndarray) -> np.ndarray:
+    known = np.cumsum(_unpack(steps, np.uint16), dtype=np.int64)
+    return np.sort(np.concatenate((common[known], _unpack(others, np.uint64))))
+
+
+def _code_out(c: np.ndarray, kind) -> bytes:
+    """(word, left, right) places of records in order of their words; the first as steps."""
+    c = c.reshape(3, -1).astype(kind)
+    c[0, 1:] = np.diff(c[0])
+    return _pack(c)
+
+
+def _code_in(raw: bytes, kind) -> np.ndarray:
+    c = _unpack(raw, kind).reshape(3, -1).astype(np.int64)
+    c[0] = np.cumsum(c[0])
+    return c
+
+
+def _tag_out(tag: np.ndarray, kind) -> bytes:
+    """Steps, which wrap round below zero."""
+    return _pack(np.diff(tag.astype(kind), prepend=kind(0)))
+
+
+def _tag_in(raw: bytes, kind) -> np.ndarray:
+    return np.cumsum(_unpack(raw, kind), dtype=kind)
+
+
 def partial_scores(docs: DataFrame, hot: Hot) -> DataFrame:
-    """(lot, ids, n, s): for each lot of documents one row with ids and word counts, and any
-    number of rows with parts of the scores, as arrays."""
+    """(lot, docs, ids, n, at, s): for each lot of documents one row with ids and word counts, and
+    any number of rows with parts of the scores, as arrays; ``at``: of which documents, or null."""
     parts = max(1, math.ceil(hot.total / PART))
     sent = docs.sparkSession.sparkContext.broadcast(hot)
 
@@ -245,6 +292,8 @@ def partial_scores(docs: DataFrame, hot: Hot) -> DataFrame:
             left, right, mark = _records(w, doc)
             index, kind, other, key, direct = _copies(table, left, w, right)
             names, code = _codes(w, left, right)
+            place = np.minimum(np.searchsorted(table.common, names), len(table.common) - 1)
+            place = np.where(table.common[place] == names, place, -1)
             tag = mark[index] * 8 + kind * 2 + other
             part = (key % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((code[0][index], part))
@@ -264,9 +313,9 @@ def partial_scores(docs: DataFrame, hot: Hot) -> DataFrame:
                 at = order[cuts[p]:cuts[p + 1]]
                 if len(at):
                     used, c = np.unique(code[:, index[at]], return_inverse=True)
-                    rows.append((p, lot, len(ids), _pack(names[used]),
-                                 _pack(c.astype(_small(len(used)))),
-                                 _pack(tag[at].astype(_small(16 * len(ids)))), None))
+                    steps, others = _names_out(names[used], place[used])
+                    rows.append((p, lot, len(ids), others, _code_out(c, _small(len(used))),
+                                 _tag_out(tag[at], _small(16 * len(ids))), steps))
             for i in range(0, len(rows), 64):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[j] for r in rows[i:i + 64]], t) for j, t in enumerate(
@@ -277,13 +326,13 @@ def partial_scores(docs: DataFrame, hot: Hot) -> DataFrame:
     def close(rows):
         table = sent.value
         mid, left, right, tag, sizes = [], [], [], [], []
-        for _, docs_n, names, code, m, _ in rows:
-            names = _unpack(names, np.uint64)
-            code = _unpack(code, _small(len(names))).reshape(3, -1)
+        for _, docs_n, names, code, m, steps in rows:
+            names = _names_in(steps, names, table.common)
+            code = _code_in(code, _small(len(names)))
             mid.append(names[code[0]])
             left.append(names[code[1]])
             right.append(names[code[2]])
-            tag.append(_unpack(m, _small(16 * docs_n)).astype(np.int32))
+            tag.append(_tag_in(m, _small(16 * docs_n)).astype(np.int32))
             sizes.append(code.shape[1])
         mid, left, right, tag = map(np.concatenate, (mid, left, right, tag))
         kind, other, mark = (tag // 2 % 4).astype(np.int8), tag % 2 == 1, tag // 8
@@ -306,11 +355,23 @@ def partial_scores(docs: DataFrame, hot: Hot) -> DataFrame:
             del x, y, z
         s = _scores(kind, other, left, right, mark % 2 == 1, table.total, u, b1, b2, t)
         ends = np.cumsum(sizes)
-        return _lot_rows([(r[0], None, None, np.bincount(mark[a:b] // 2, s[a:b], minlength=r[1]))
-                          for r, a, b in zip(rows, [0, *ends], ends)])
+        return [(r[0], np.bincount(mark[a:b] // 2, s[a:b], minlength=r[1]))
+                for r, a, b in zip(rows, [0, *ends], ends)]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
+        sums: dict[int, np.ndarray] = {}
+
+        def add() -> bool:
+            for lot, s in close(held):
+                sums[lot] = sums[lot] + s if lot in sums else s
+            return sum(s.nbytes for s in sums.values()) > HELD
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lot, s in sums.items():
+                yield _lot_rows([(lot, None, None, s)])
+            sums.clear()
+
         for b in batches:
             for p, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if p < 0:                                    # the head of a lot
@@ -321,25 +382,33 @@ def partial_scores(docs: DataFrame, hot: Hot) -> DataFrame:
                     yield _lot_rows([(lot, ids, _unpack(n, np.int64), _unpack(s, np.float64))])
                     continue
                 if p != at and held:
-                    yield close(held)
+                    if add():
+                        yield from flush()
                     held = []
                 at = p
                 held.append(row)
         if held:
-            yield close(held)
+            add()
+        yield from flush()
 
     out = docs.mapInArrow(split, "p long, lot long, docs long, names binary, code binary, "
                                  "mark binary, ids binary")
-    return (out.repartition(parts, "p").sortWithinPartitions("p")
-            .mapInArrow(score, "lot long, ids array<long>, n array<long>, s binary"))
+    return (out.repartition(max(min(parts, MANY), parts // EACH), "p").sortWithinPartitions("p")
+            .mapInArrow(score, "lot long, docs long, ids array<long>, n array<long>, at binary, "
+                               "s binary"))
 
 
 def _lot_rows(rows: list[tuple]) -> pa.RecordBatch:
+    at = [np.flatnonzero(r[3]).astype(np.uint32) for r in rows]
+    few = [12 * len(x) < r[3].nbytes for x, r in zip(at, rows)]
     return pa.RecordBatch.from_arrays(
         [pa.array([r[0] for r in rows], pa.int64()),
+         pa.array([len(r[3]) for r in rows], pa.int64()),
          pa.array([r[1] for r in rows], pa.list_(pa.int64())),
          pa.array([None if r[2] is None else r[2].tolist() for r in rows], pa.list_(pa.int64())),
-         pa.array([r[3].tobytes() for r in rows], pa.binary())], ["lot", "ids", "n", "s"])
+         pa.array([x.tobytes() if f else None for x, f in zip(at, few)], pa.binary()),
+         pa.array([(r[3][x] if f else r[3]).tobytes() for r, x, f in zip(rows, at, few)],
+                  pa.binary())], ["lot", "docs", "ids", "n", "at", "s"])
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -352,9 +421,10 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         sums: dict[int, np.ndarray] = {}
         heads: dict[int, tuple] = {}
         for b in batches:
-            for lot, ids, n, s in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                x = np.frombuffer(s, np.float64)
-                sums[lot] = sums[lot] + x if lot in sums else x
+            for lot, size, ids, n, at, s in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                total = sums.setdefault(lot, np.zeros(size))
+                total[slice(None) if at is None else np.frombuffer(at, np.uint32)] += \
+                    np.frombuffer(s, np.float64)
                 if ids is not None:
                     heads[lot] = (ids, n)
         for lot, (ids, n) in heads.items():

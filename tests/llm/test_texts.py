@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,6 +272,28 @@ def test_backoff_equals_brute_force(spark, monkeypatch, hot, part, lot):
         assert got[i].n_words == n and got[i].log_score == pytest.approx(s, abs=1e-7), i
 
 
+def test_backoff_records_travel_small_and_whole():
+    r = np.random.default_rng(5)
+    common = np.unique(r.integers(2, 1 << 63, 60_000).astype(np.uint64))
+    names = np.unique(np.concatenate((common[::7], r.integers(2, 1 << 63, 500).astype(np.uint64))))
+    place = np.minimum(np.searchsorted(common, names), len(common) - 1)
+    place = np.where(common[place] == names, place, -1)
+    steps, others = backoff._names_out(names, place)
+    assert (backoff._names_in(steps, others, common) == names).all()
+    assert len(steps) + len(others) < names.nbytes / 4
+    c = r.integers(0, 5000, (3, 20_000))
+    c[0].sort()
+    back = backoff._code_in(backoff._code_out(c, np.uint16), np.uint16)
+    assert (back == c).all()
+    tag = r.integers(0, 60_000, 20_000)
+    assert (backoff._tag_in(backoff._tag_out(tag, np.uint16), np.uint16) == tag).all()
+    s = np.zeros(4000)
+    s[[7, 9]] = -1.5
+    b = backoff._lot_rows([(3, None, None, s)])
+    assert b.nbytes < 200 and b.column("docs").to_pylist() == [4000]
+    assert np.frombuffer(b.column("at")[0].as_py(), np.uint32).tolist() == [7, 9]
+
+
 def test_backoff_odd_rows(odd_docs, no_docs):
     rows = backoff.scores(odd_docs).collect()
     want = brute_scores([r.text for r in odd_docs.collect()])
