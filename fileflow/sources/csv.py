@@ -273,7 +273,9 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
         files = files.withColumn("reason", F.lit(None).cast("string"))
     # an empty file has no header and no rows: nothing to read
     files = files.filter(F.col("size_bytes") > 0)
-    names = materialize(files.select(_source_id().alias(FILE_COL), F.col("path").alias("_path")),
+    # a file's name as rows show it is made once per file
+    src = relative_path("path", root) if root else F.col("path")
+    names = materialize(files.select(_source_id().alias(FILE_COL), src.alias("_path")),
                         "csv-names")
     names = F.broadcast(names) if names.count() <= MAX_BROADCAST_FILES else names
     found = files.filter("reason is null").groupBy(
@@ -304,7 +306,7 @@ def read_csv(spark: SparkSession, paths: list[str] | str | DataFrame, *,
             good, rej = _read_layout(spark, stage, g.id, g.delimiter, g.header_line, g.multi_line)
         parts.append(good)
         rejects.append(rej)
-    src = relative_path("_path", root) if root else F.col("_path")
+    src = F.col("_path")
     rj = _empty(spark).rejects
     if rejects:
         rj = reduce(DataFrame.unionByName, rejects).join(names, FILE_COL) \

@@ -147,6 +147,13 @@ def test_source_file_keeps_plain_path(spark, scratch):
 
 
 
+def test_a_file_name_is_made_once_per_file(spark, scratch):
+    write(f"{scratch}/in/a b/x.csv", "id\n1\n2\n")
+    data = read_csv(spark, f"{scratch}/in", root=f"{scratch}/in").data.select("id", "source_file")
+    assert "regexp_replace" not in data._jdf.queryExecution().optimizedPlan().toString()
+    assert _rows(data, "id", "source_file") == [(1, "a b/x.csv"), (2, "a b/x.csv")]
+
+
 def test_a_large_file_is_not_one_row(spark, scratch, monkeypatch):
     from fileflow.sources import csv
     write(f"{scratch}/in/lf.csv", "a,b\n" + "".join(f'{i},"x\r\n{i}"\n' for i in range(400)))
