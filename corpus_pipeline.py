@@ -18,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fileflow.llm import bpe, decontam, minhash, pii, quality
-from fileflow.llm.common import materialize, table
+from fileflow.llm import bpe, common, decontam, minhash, pii, quality
+from fileflow.llm.common import among, materialize, table
 from fileflow.llm.queries import tokenizer_path
 
 
@@ -34,8 +34,12 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     ids = (found.where("doc_id is not null").groupBy(F.col("doc_id").alias("gone__id"))
            .agg(F.max("kept").alias("kept"), F.count("*").alias("n")))
     ids = materialize(ids, "pipeline-ids")
-    kept = docs.join(ids.where("not kept").select("gone__id"),
-                     F.col("doc_id") == F.col("gone__id"), "left_anti")
+    gone, same = ids.where("not kept").select("gone__id"), F.col("doc_id") == F.col("gone__id")
+    if gone.count() <= common.BROADCAST_IDS:
+        kept = docs.join(F.broadcast(gone), same, "left_anti")
+    else:                                    # only texts that may go have to meet the ids
+        maybe, stay = among(docs, "doc_id", gone, "gone__id")
+        kept = maybe.join(gone, same, "left_anti").union(stay)
     if ids.where("n > 1").isEmpty():
         return kept
     return kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).union(

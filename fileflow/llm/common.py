@@ -14,6 +14,8 @@ from fileflow.session import materialize, scratch_path
 
 #: Rows and bytes of one Arrow batch handed to a Python worker (documents can be long).
 BATCH_ROWS, BATCH_BYTES = 1000, "8m"
+BROADCAST_IDS = 500_000       # rows that may be broadcast: 48 bytes each
+ID_MAPS = 2048                # bitmaps of 4 KB each at most, of the ids that are too many for that
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -73,6 +75,33 @@ def odd_constants(n: int, seed: int) -> np.ndarray:
     return mix64(np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed << 32)) | np.uint64(1)
 
 
+def light(df: DataFrame) -> DataFrame:
+    """``df`` (cheap to count), to be broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
+def among(docs: DataFrame, on: str, ids: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``docs`` that may have one of many ``ids``, rows that surely have none).
+
+    A bitmap of the ids' hashes is broadcast, 32 bits an id but 8 MB at most, so that of the
+    long rows only the first kind, few if few are wanted, has to meet the ids by a shuffle.
+    """
+    maps = min(ID_MAPS, ids.count() // 1024 + 1)
+
+    def place(c: str) -> list:
+        return [F.pmod(F.xxhash64(c), F.lit(maps)).alias("__map"),
+                F.shiftrightunsigned(F.xxhash64(c), 49).alias("__at")]    # a bit of 32768
+
+    bits = materialize(ids.select(*place(id_col)).repartition("__map").groupBy("__map").agg(
+        F.bitmap_construct_agg("__at").alias("__bits")), "id-map")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    seen = docs.select(*own, *place(on)).join(F.broadcast(bits), "__map", "left")
+    byte = F.conv(F.hex(F.expr("substring(__bits, cast(__at div 8 as int) + 1, 1)")), 16, 10)
+    hit = F.getbit(byte.cast("int"), (F.col("__at") % 8).cast("int")) == 1
+    hit = F.col(f"`{on}`").isNotNull() & F.coalesce(hit, F.lit(False))
+    return seen.where(hit).select(*own), seen.where(~hit).select(*own)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(id, component): the smallest id reachable over undirected links, for linked ids.
 
@@ -112,5 +141,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
                                  .distinct()), "cc")
 
 
-__all__ = ["BATCH_ROWS", "append_arrow", "components", "materialize", "mix64", "odd_constants",
-           "scratch_path", "small_batches", "table", "text_bytes", "without"]
+__all__ = ["BATCH_ROWS", "BROADCAST_IDS", "among", "append_arrow", "components", "light",
+           "materialize", "mix64", "odd_constants", "scratch_path", "small_batches", "table",
+           "text_bytes", "without"]

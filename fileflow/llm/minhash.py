@@ -30,7 +30,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_arrow, components, materialize, odd_constants, small_batches, text_bytes
+from . import common
+from .common import (
+    among,
+    append_arrow,
+    components,
+    light,
+    materialize,
+    odd_constants,
+    small_batches,
+    text_bytes,
+)
 from .shingles import shingle_sets
 
 CHUNKS, CHUNK = 14, 5
@@ -39,7 +49,6 @@ SYMBOLS = CHUNKS * CHUNK
 MAX_DISTANCE = 2 * CHUNKS - 1
 BLOCK = 1 << 19               # shingles (plus 256 a document) in a block of documents
 MATRIX = 1 << 23              # cells of a dense block matrix
-BROADCAST_IDS = 500_000       # rows that may be broadcast: 48 bytes each
 _MUL, _XOR = odd_constants(SYMBOLS, 101), odd_constants(SYMBOLS, 202)
 
 
@@ -233,9 +242,8 @@ def close_by(groups: DataFrame, classes: DataFrame) -> DataFrame:
 
 def confirm(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) links inside the groups (g, k, n, comp), compared in blocks of bounded size."""
-    rows = materialize(blocks(groups), "mh-block")     # where to send each set; the sets move
-    if rows.count() <= BROADCAST_IDS:                  # once if it can be broadcast, else also
-        rows = F.broadcast(rows)                       # to meet it
+    # where to send each set; the sets move once if it can be broadcast, else also to meet it
+    rows = light(materialize(blocks(groups), "mh-block"))
     rows = (sets.join(rows, "k").select("g", "i", "j", "blk", "comp", "k", "s")
             .repartition("g", "i", "j").sortWithinPartitions("g", "i", "j"))
 
@@ -246,12 +254,10 @@ def confirm(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_pairs(star: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of (k, n, rep) whose signatures are within MAX_DISTANCE."""
+    """The rows of (k, n, rep) whose signatures (k, sig) are within MAX_DISTANCE."""
     centre = materialize(star.select("rep").distinct().join(
         classes.select(F.col("k").alias("rep"), F.col("sig").alias("mid")), "rep"), "mh-centre")
-    if centre.count() <= BROADCAST_IDS:
-        centre = F.broadcast(centre)
-    rows = star.join(classes.select("k", "sig"), "k").join(centre, "rep")
+    rows = star.join(classes.select("k", "sig"), "k").join(light(centre), "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -278,14 +284,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = materialize(buckets, "mh-bucket")
     members = buckets.groupBy("k").agg(F.first("n").alias("n"), F.min("m").alias("rep"))
     members = materialize(members, "mh-member")
-    star = materialize(near_pairs(members.where("rep < k").select("k", "n", "rep"), classes),
+    # only classes of some bucket go on
+    members = materialize(classes.select("k", "cid", "sig").join(light(members), "k"), "mh-member")
+    star = materialize(near_pairs(members.where("rep < k").select("k", "n", "rep"), members),
                        "mh-star")
     # one document stands for each class; its set is made again from its text
-    wanted = materialize(members.join(classes.select("k", "cid"), "k").select(
-        F.col("cid").alias("id"), F.col("k").alias("want")), "mh-wanted")
+    wanted = members.select(F.col("cid").alias("id"), F.col("k").alias("want"))
     n_wanted = wanted.count()
-    texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-             .join(F.broadcast(wanted) if n_wanted <= BROADCAST_IDS else wanted, "id"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    if n_wanted > common.BROADCAST_IDS:
+        texts = among(texts, "id", wanted, "id")[0]
+    texts = texts.join(light(wanted), "id")
 
     def with_set(b: pa.RecordBatch):
         sets = _sets_of(b, "text", words)
@@ -303,7 +312,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     label = members.select("k", "rep").join(comp, F.col("k") == F.col("id"), "left").select(
         "k", "rep", F.coalesce("component", "k").alias("comp"))
-    rest = buckets.join(label, "k")
+    rest = buckets.join(light(materialize(label, "mh-label")), "k")
     mixed = (rest.groupBy("key").agg(
         F.count("*").alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
         F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("f1"),
@@ -311,9 +320,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("k").alias("k0"), F.max(F.struct("k", "rep")).alias("k1"))
         .where("c0 < c1 and not (size = 2 and k1.rep = k0)")
         .groupBy("size", "f1", "f2").agg(F.min("key").alias("key")))
-    groups = materialize(rest.join(mixed.select("key"), "key").select(
+    mixed = light(materialize(mixed.select("key"), "mh-mixed"))
+    groups = materialize(rest.join(mixed, "key").select(
         F.col("key").alias("g"), "k", "n", "comp"), "mh-group")
-    groups = groups.join(close_by(groups, classes), ["g", "k"])
+    groups = groups.join(close_by(groups, members), ["g", "k"])
     more = materialize(confirm(groups, sets, percent), "mh-link")
     comp = components(links.union(more))
 

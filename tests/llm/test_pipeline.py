@@ -1,7 +1,7 @@
 import pytest
 
 import corpus_pipeline as cp
-from fileflow.llm import minhash, quality
+from fileflow.llm import common, minhash, quality
 from fileflow.llm.queries import ORACLE, QUERIES
 from fileflow.session import scratch_path
 
@@ -54,6 +54,49 @@ def test_repeated_rows_of_a_kept_id(spark, folder):
     assert sorted(r.doc_id for r in got) == [1, 3]
 
 
+@pytest.fixture
+def no_small_tables(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, old)
+
+
+def test_kept_texts_do_not_move_when_copies_go(spark, folder, no_small_tables):
+    rows = [(k, prose(k % 30, 40)) for k in range(60)] + [(None, prose(1, 40)), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = common.materialize(docs, "t")
+    out = cp.near_dedup_stage(spark, docs, folder)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" not in plan and "SortMergeJoin" not in plan
+    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(map(str, [*range(30), None, None]))
+
+
+def test_many_ids_to_go(spark, folder, monkeypatch, no_small_tables):
+    rows = [(prose(k % 30, 40), k) for k in range(60)] + [(prose(1, 40), None), (None, None)]
+    docs = common.materialize(spark.createDataFrame(rows, "text string, doc_id long"), "t")
+    few = cp.near_dedup_stage(spark, docs, folder)
+    monkeypatch.setattr(common, "BROADCAST_IDS", 0)
+    many = cp.near_dedup_stage(spark, docs, folder)
+    assert many.columns == docs.columns and sorted(map(str, many.collect())) == sorted(
+        map(str, few.collect()))
+
+
+@pytest.mark.parametrize("maps, most", [(2048, 120), (1, 500)])
+def test_among_loses_no_id(spark, monkeypatch, maps, most):
+    monkeypatch.setattr(common, "ID_MAPS", maps)
+    rows = [(k, "x") for k in [*range(4000), *range(5), None, None]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = spark.createDataFrame([(k,) for k in [*range(0, 4000, 4), *range(10_000, 13_000)]],
+                                "g long")
+    maybe, rest = (x.collect() for x in common.among(docs, "doc_id", ids, "g"))
+    assert sorted(map(str, map(tuple, [*maybe, *rest]))) == sorted(map(str, rows))
+    found = {r.doc_id for r in maybe}
+    assert set(range(0, 4000, 4)) <= found and None not in found
+    assert len(found) <= 1000 + most
+
+
 def test_registered():
     assert [n for n in QUERIES if n.startswith("op")] and {int(n[2:].split("_")[0]) for n in QUERIES} \
         == set(range(1, 14))
