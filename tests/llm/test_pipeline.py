@@ -70,7 +70,8 @@ def test_kept_texts_do_not_move_when_copies_go(spark, folder, no_small_tables):
     out = cp.near_dedup_stage(spark, docs, folder)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(doc_id" not in plan and "SortMergeJoin" not in plan
-    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(map(str, [*range(30), None, None]))
+    want = [*range(30), None, None]
+    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(map(str, want))
 
 
 def test_many_ids_to_go(spark, folder, monkeypatch, no_small_tables):
